@@ -7,18 +7,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arborpay.llm.embedding_dedup import embedding_duplicates
 from arborpay.llm.minhash_forest import near_duplicates
+from arborpay.llm.packing import pack_documents, piece_digests
+from arborpay.llm.token_store import store_documents
+from arborpay.llm.toxicity_pu import score_documents
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(pack_documents(_read(spark, sf_dir, "documents")))
+
+
+def op6_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op7_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_minhash_forest,)}
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_documents(_read(spark, sf_dir, "documents")).digests()
+
+
+QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op5_vector_packing, op6_pu_toxicity, op7_minhash_forest, op8_token_store)}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')"
 
@@ -45,4 +65,20 @@ c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept FROM n JOIN c USING (doc_id)
 """
 
-ORACLE_SQL = {"op7_minhash_forest": _OP7}
+_OP1 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, e -> e IS NULL OR NOT isfinite(e))) = 0),
+u AS (SELECT vec_id, label, len(x) AS d, x, sqrt(list_inner_product(x, x)) AS n FROM v WHERE list_inner_product(x, x) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.d = b.d AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.x, b.x) / (a.n * b.n) >= 0.93),
+reach AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+c AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+k AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, component_id = e.vec_id AS kept
+FROM embeddings e JOIN c USING (vec_id) LEFT JOIN k USING (vec_id)
+"""
+
+ORACLE_SQL = {"op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7}
