@@ -1,11 +1,11 @@
-"""What several operators share: tables in the shared folder, connected components, running totals."""
+"""What several operators share: tables in the shared folder, dropped ids, connected components."""
 
 from __future__ import annotations
 
 import atexit
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
@@ -55,6 +55,16 @@ class Workspace:
                     fs.delete(status.getPath(), True)
 
 
+#: Ids up to which a set of ids is broadcast; a larger one is joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def without_ids(ws: Workspace, docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id isn't among ids (one column, doc_id); rows without doc_id stay."""
+    ids = ws.table(ids.where("doc_id is not null").distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti")
+
+
 def connected_components(ws: Workspace, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(v, root): each vertex that an edge names, and the smallest vertex it is connected with.
 
@@ -88,19 +98,3 @@ def connected_components(ws: Workspace, edges: DataFrame, a: str = "a", b: str =
     for p in maps[1:]:
         out = out.join(p.select(F.col("v").alias("root"), "p"), "root", "left").select("v", F.coalesce("p", "root").alias("root"))
     return out
-
-
-def running_total(ws: Workspace, df: DataFrame, order: list, value: str, name: str) -> DataFrame:
-    """df with column ``name``: the sum of ``value`` over all rows before, in the given order.
-
-    Rows are dealt out by ranges of the order, each range is summed within itself, and one total per
-    range gives the offsets, so no task sees more than its range.
-    """
-    dealt = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    dealt = ws.table(dealt, "ranges")
-    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = dealt.groupBy("_part").agg(F.sum(value).alias("_sum"))
-    parts = parts.select("_part", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"))
-    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = dealt.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return out.join(parts, "_part").withColumn(name, (F.col("_ahead") + F.col("_within")).cast("long")).drop("_part", "_ahead", "_within")

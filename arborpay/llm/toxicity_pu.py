@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arborpay.llm.text import span_hashes
 
@@ -115,17 +116,25 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([features(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())], ["positive", "buckets"])
 
 
-def _scorer(model: PUModel) -> Callable:
+def _scorer(model: PUModel, place: int) -> Callable:
+    """Adds the score of the text in the column at a place."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
-                scores = [model.score(features(t)) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
+                scores = [model.score(features(t)) for t in part.column(place).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], [*part.schema.names, "_pu_score"])
 
     return run
 
 
+def with_scores(docs: DataFrame, model: PUModel) -> DataFrame:
+    """docs with a column ``_pu_score``; ``text`` must be a string column."""
+    schema = T.StructType([*docs.drop("_pu_score").schema.fields, T.StructField("_pu_score", T.DoubleType())])
+    return docs.drop("_pu_score").mapInArrow(_scorer(model, docs.drop("_pu_score").columns.index("text")), schema)
+
+
 def held_out(doc_id) -> "F.Column":
     """True for the fold that is never learned from; false for a null doc_id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
@@ -160,7 +169,11 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     document to learn from, every score is 0. No rows give no rows; columns beside doc_id and text are
     not read.
     """
-    model = train(docs, labels)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = plain.mapInArrow(_scorer(model), "doc_id long, score double")
+    scored = with_scores(plain, train(docs, labels)).withColumnRenamed("_pu_score", "score")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs with a score under the threshold, with all their columns."""
+    return with_scores(docs, train(docs, labels)).where(F.col("_pu_score") < threshold).drop("_pu_score")
