@@ -25,25 +25,33 @@ from arborpay.llm.text import canonical, shingles
 
 WORDS, NUM, DEN = 5, 75, 100
 #: Hash functions; trees and values of a region key. TREES * DEPTH functions order the trees, all estimate.
-HASHES, TREES, DEPTH = 256, 40, 4
-#: Pairs whose estimated similarity is under this are not confirmed: 3.7 standard deviations under 0.75.
-ESTIMATE = 0.65
+HASHES, TREES, DEPTH = 512, 40, 4
+#: Bytes of a signature: the trees' values in 16 bits each, then all values in 8 bits each.
+KEYS = 2 * TREES * DEPTH
+#: Pairs across components whose estimated similarity is under this are not confirmed: 3.7 standard deviations under 0.75.
+ESTIMATE = 0.68
 #: Rows of a block of a crowded region.
 BLOCK = 512
 _A = np.random.default_rng(7).integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = np.random.default_rng(8).integers(0, 2**32, HASHES, dtype=np.uint32)
 
 
-def signature(values: np.ndarray) -> np.ndarray:
-    """Low halves of the MinHash values of a set of hashes."""
+def signature(values: np.ndarray) -> bytes:
+    """Low bits of the MinHash values of a set of hashes: 16 of those that order the trees, 8 of all."""
     low = np.full(HASHES, 0xFFFFFFFF, np.uint32)
     x = (values >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(x), 512):
+    for at in range(0, len(x), 256):
         with np.errstate(over="ignore"):
-            h = x[at : at + 512, None] * _A
+            h = x[at : at + 256, None] * _A
             h ^= _B
         np.minimum(low, h.min(axis=0), out=low)
-    return low.astype(np.uint16)
+    return low[: TREES * DEPTH].astype("<u2").tobytes() + low.astype(np.uint8).tobytes()
+
+
+def _signatures(column) -> tuple[np.ndarray, np.ndarray]:
+    """Of a column of signatures: the trees' values, a 64-bit region key per tree, and the 8-bit values."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), KEYS + HASHES)
+    return np.ascontiguousarray(raw[:, :KEYS]).view(np.int64), raw[:, KEYS:]
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,7 +65,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 s = shingles(canonical(text), WORDS)
                 keys.append(xxh128_digest(s.tobytes()) if len(s) else None)
                 sizes.append(len(s))
-                sigs.append(signature(s).tobytes() if len(s) else None)
+                sigs.append(signature(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())], ["doc_id", "set_key", "n_shingles", "sig"])
 
 
@@ -67,11 +75,10 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(batch), 1024):
             part = batch.slice(at, 1024)
             n = len(part)
-            sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(n, HASHES)
-            keys = np.ascontiguousarray(sig).view(np.int64)  # DEPTH values of 16 bits
+            keys, _ = _signatures(part.column(1))
             tree = np.repeat(np.arange(TREES, dtype=np.int32), n)
-            region = keys[:, :TREES].T.ravel()
-            after = keys[:, 1 : TREES + 1].T.ravel()
+            region = keys.T.ravel()
+            after = np.roll(keys, -1, axis=1).T.ravel()
             yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(region), pa.array(after), pa.array(np.tile(part.column(0).to_numpy(zero_copy_only=False), TREES))], ["tree", "region", "after", "doc"])
 
 
@@ -128,16 +135,6 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([pack(canonical(t)) for t in part.column(1).to_pylist()], pa.binary())], ["doc", "packed"])
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures agree often enough."""
-    for batch in batches:
-        if not len(batch):
-            continue
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(len(batch), HASHES) for i in (2, 3))
-        keep = (a == b).sum(axis=1) >= ESTIMATE * HASHES
-        yield batch.filter(pa.array(keep)).select([0, 1])
-
-
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose full sets reach the similarity, in integers."""
     import zstandard
@@ -168,14 +165,13 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _across(table: pa.Table) -> pa.Table:
     """Pairs of a block pair from different components with similar signatures, each in its first tree only."""
-    n = table.num_rows
     doc = table.column("doc").to_numpy()
     comp = table.column("comp").to_numpy()
     size = table.column("n_shingles").to_numpy()
     side = table.column("block").to_numpy()
     i0, j0 = table.column("i")[0].as_py(), table.column("j")[0].as_py()
     tree = table.column("tree")[0].as_py()
-    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(n, HASHES)
+    keys, sig = _signatures(table.column("sig"))
     left, right = np.flatnonzero(side == i0), np.flatnonzero(side == j0)
     outs_a, outs_b = [], []
     for k, x in enumerate(left):
@@ -185,12 +181,9 @@ def _across(table: pa.Table) -> pa.Table:
         others = others[low * DEN >= NUM * high]
         if not len(others):
             continue
-        equal = sig[others] == sig[x]
-        near = equal.sum(axis=1) >= ESTIMATE * HASHES
-        others, equal = others[near], equal[near]
+        others = others[(sig[others] == sig[x]).sum(axis=1) >= ESTIMATE * HASHES]
         if len(others):
-            first = equal[:, : TREES * DEPTH].reshape(len(others), TREES, DEPTH).all(axis=2).argmax(axis=1)
-            others = others[first == tree]
+            others = others[(keys[others] == keys[x]).argmax(axis=1) == tree]
             outs_a.append(np.minimum(doc[others], doc[x]))
             outs_b.append(np.maximum(doc[others], doc[x]))
     empty = np.empty(0, np.int64)
@@ -227,7 +220,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = crowd.select(F.col("doc")).distinct()
     packed = plain.where("doc_id is not null").mapInArrow(_pack, "doc long, packed binary")
     packed = ws.table(packed.join(wanted, "doc", "left_semi").dropDuplicates(["doc"]), "packed")
-    sigs = signed.select("doc", "sig")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         pa_, pb_ = packed.select(F.col("doc").alias("a"), F.col("packed").alias("pa")), packed.select(F.col("doc").alias("b"), F.col("packed").alias("pb"))
@@ -235,8 +227,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return ws.table(joined.mapInArrow(_confirm, "a long, b long"), "links")
 
     near = crowd.where("before is not null and before <> doc").select(F.least("doc", "before").alias("a"), F.greatest("doc", "before").alias("b")).distinct()
-    sa, sb = sigs.select(F.col("doc").alias("a"), F.col("sig").alias("sa")), sigs.select(F.col("doc").alias("b"), F.col("sig").alias("sb"))
-    near = ws.table(near.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_similar, "a long, b long"), "near")
     links = confirm(near)
     comps = ws.table(connected_components(ws, links), "comps")
 
