@@ -11,7 +11,7 @@ _BYTE = _RULES.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint
 _powers = {"n": 0}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least n of them."""
     if _powers["n"] < n:
         size = max(1 << 14, 1 << (n - 1).bit_length())
@@ -38,7 +38,7 @@ def canonical(text: str | None) -> bytes:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of data[start:end] for each span, from one running polynomial."""
-    up, down = _power_tables(len(data) + 1)
+    up, down = power_tables(len(data) + 1)
     with np.errstate(over="ignore"):
         run = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTE[data] * up[: len(data)], dtype=np.uint64, out=run[1:])

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arborpay.llm.common import Workspace
+from arborpay.llm.text import power_tables
 from arborpay.llm.tokens import encode_column
 
 #: Ids of the rolling window; a cut where the low bits of its hash are 0; least and most ids of a chunk.
@@ -31,7 +32,6 @@ WINDOW, CUT_BITS, LEAST, MOST = 8, 10, 256, 4096
 #: Addresses a task remembers so as to send a repeated chunk once.
 SEEN = 200_000
 _TABLE = np.random.default_rng(8).integers(0, 2**64, 65536, dtype=np.uint64)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def cuts(ids: np.ndarray) -> list[int]:
@@ -39,14 +39,11 @@ def cuts(ids: np.ndarray) -> list[int]:
     n = len(ids)
     if n <= LEAST:
         return [n] if n else []
-    t = _TABLE[ids & 0xFFFF]
+    up, down = power_tables(n)
     with np.errstate(over="ignore"):
-        h = t.copy()
-        power = _STEP
-        for k in range(1, WINDOW):
-            h[k:] += t[:-k] * power
-            power = power * _STEP
-    at = np.flatnonzero((h >> np.uint64(64 - CUT_BITS)) == 0) + 1
+        run = np.cumsum(_TABLE[ids & 0xFFFF] * up[:n], dtype=np.uint64)
+        h = (run[WINDOW:] - run[:-WINDOW]) * down[1 : n - WINDOW + 1]
+    at = np.flatnonzero((h >> np.uint64(64 - CUT_BITS)) == 0) + WINDOW + 1
     ends, start = [], 0
     for end in [*at.tolist(), n]:
         while end - start > MOST:

@@ -9,8 +9,10 @@ from __future__ import annotations
 import json
 import os
 import struct
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 #: Entries a worker keeps before it starts afresh; bounds the memory of one Python worker.
@@ -42,7 +44,7 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
-        self.cache: dict[bytes, bytes] = {}
+        self.cache = _ChunkCache(self._chunk)
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
@@ -72,19 +74,27 @@ class ChunkTokenizer:
             return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
         return self.whole(chunk)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; a null text has none."""
-        split = []
-        for text in texts:
-            raw = (text or "").encode()
-            split.append((raw if b"<|" in raw else raw.lower()).split())  # special tokens keep their case
+    def encode(self, raws: list[bytes | None]) -> list[bytes]:
+        """Ids of each text, given in UTF-8; a null text has none."""
         cache = self.cache
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
             self.pieces.clear()
-        for raw in set().union(*split) - cache.keys():
-            cache[raw] = self._chunk(raw)
-        return [b"".join(map(cache.__getitem__, chunks)) for chunks in split]
+        get = cache.__getitem__
+        # Special tokens keep their case; otherwise only capitals of A-Z change, as the tokenizer does itself.
+        return [b"".join(map(get, (raw if b"<|" in raw else raw.lower()).split())) if raw else b"" for raw in raws]
+
+
+class _ChunkCache(dict):
+    """Ids by chunk; an unseen chunk is encoded when it is asked for."""
+
+    def __init__(self, encode: Callable[[bytes], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, raw: bytes) -> bytes:
+        out = self[raw] = self.encode(raw)
+        return out
 
 
 def worker_tokenizer(name: str) -> ChunkTokenizer:
@@ -98,4 +108,4 @@ def encode_column(column, name: str, batch: int = 128):
     """Yield the id bytes of an Arrow string column, a few texts at a time."""
     tok = worker_tokenizer(name)
     for at in range(0, len(column), batch):
-        yield from tok.encode(column.slice(at, batch).to_pylist())
+        yield from tok.encode(column.slice(at, batch).cast(pa.binary()).to_pylist())

@@ -65,20 +65,14 @@ def enrolled_layers(ws: Workspace, net: DataFrame, enrolled: DataFrame, deepest:
     """
     nodes = ws.table(net.select("user_id", "parent_id", "gpv", "real"), "crb-nodes")
     who = enrolled.select("user_id").distinct()
-    front = nodes.join(who, "user_id", "left_semi").select(F.col("user_id").alias("bonus_id"), "user_id", F.col("gpv").alias("gpv_real"), F.lit(1).alias("layer"), F.lit(1).alias("depth"))
-    found = []
-    while True:
-        front = ws.table(front, "crb-front")
-        if front.isEmpty() and found:
-            break
-        found.append(front.where(F.col("layer").between(1, deepest)))
-        if len(found) > tree.LEVELS:
-            raise tree.TreeError(f"paths of more than {tree.LEVELS} steps")
+
+    def step(front: DataFrame, _: int) -> DataFrame:
         below = front.where(F.col("depth") < deepest).select("bonus_id", F.col("user_id").alias("parent_id"), "depth").join(nodes, "parent_id")
-        counts = F.col("real") > 0
-        step = (F.col("depth") + 1).cast("int")
-        front = below.select("bonus_id", "user_id", F.col("real").alias("gpv_real"), F.when(counts, step).otherwise(0).alias("layer"), F.when(counts, step).otherwise(F.col("depth")).alias("depth"))
-    out = reduce(DataFrame.unionByName, found)
+        counts, next_ = F.col("real") > 0, (F.col("depth") + 1).cast("int")
+        return below.select("bonus_id", "user_id", F.col("real").alias("gpv_real"), F.when(counts, next_).otherwise(0).alias("layer"), F.when(counts, next_).otherwise(F.col("depth")).alias("depth"))
+
+    first = nodes.join(who, "user_id", "left_semi").select(F.col("user_id").alias("bonus_id"), "user_id", F.col("gpv").alias("gpv_real"), F.lit(1).alias("layer"), F.lit(1).alias("depth"))
+    out = tree.rounds(ws, first, step, "crb-front").where(F.col("layer").between(1, deepest))
     return out.select(F.col("bonus_id").alias("user_id"), F.col("user_id").alias("source_id"), "gpv_real", "layer")
 
 
@@ -127,8 +121,7 @@ def total_bonus(parts: dict[str, DataFrame], points: DataFrame, month: DataFrame
 def inactive_details(parts: dict[str, DataFrame], lb_details: DataFrame, points: DataFrame, month: DataFrame, members: DataFrame) -> DataFrame:
     """What inactive members would have got, with the leadership bonus by layer."""
     active = month.select("user_id", "is_active")
-    due = [parts[n].join(active, "user_id", "left").where("coalesce(is_active, 0) = 0").select("user_id") for n in ("se", "gpb", "crb")]
-    due += [parts[n].where(f"bonus_{n} is not null").join(active, "user_id", "left").where("coalesce(is_active, 0) = 0").select("user_id") for n in ("pe", "eab")]
+    due = [parts[n].select("user_id").join(active, "user_id", "left").where("coalesce(is_active, 0) = 0").select("user_id") for n in ("pe", "se", "gpb", "crb", "eab")]
     paying = lb_details.where("layer <= bonus_level")
     due.append(paying.join(active, "user_id").where("is_active = 0").select("user_id"))
     rows = reduce(DataFrame.union, due).distinct().join(members.select("user_id", "country_id"), "user_id", "left").join(month.select("user_id", "pv_own"), "user_id", "left")

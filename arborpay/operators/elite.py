@@ -44,7 +44,8 @@ def elite_sources(ws: Workspace, net: DataFrame, resting: bool = False) -> DataF
     hit = tree.nearest(ws, net.select("user_id", "parent_id"), net.where("elite = 10"), itself=True)
     rows = net.where("pv_own > 0").join(hit, "user_id")
     if resting:
-        roots = tree.nearest(ws, net.select("user_id", "parent_id"), net.where(F.col("parent_id") == tree.ROOT), itself=True).select("user_id", F.col("nearest").alias("top"))
+        at_top = net.where(F.col("parent_id") == tree.ROOT)
+        roots = tree.nearest(ws, net.select("user_id", "parent_id"), at_top, itself=True).select("user_id", F.col("nearest").alias("top"))
         rows = rows.join(roots, "user_id").withColumn("nearest", F.when(F.col("nearest") == tree.ROOT, F.col("top")).otherwise(F.col("nearest")))
     return rows.where(F.col("nearest") != tree.ROOT).select(F.col("user_id").alias("source_id"), F.col("nearest").alias("bonus_id"), F.col("pv_own").alias("source_pv"))
 

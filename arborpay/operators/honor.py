@@ -11,15 +11,20 @@ from arborpay.operators.elite import by_region
 from arborpay.sources.workspace import Workspace
 
 
-def layer_sources(ws: Workspace, levels: DataFrame) -> DataFrame:
+def above(ws: Workspace, levels: DataFrame) -> DataFrame:
+    """(user_id, se): the nearest member of level 30 above each, or ROOT."""
+    up = tree.nearest(ws, levels.select("user_id", "parent_id"), levels.where("elite_level = 30"))
+    return ws.table(up.withColumnRenamed("nearest", "se"), "above")
+
+
+def layer_sources(ws: Workspace, levels: DataFrame, up: DataFrame) -> DataFrame:
     """(user_id, source_id, pv): the first layer's volume of each member of level 30.
 
     Real volume of a direct child goes one such member further up than that of others; virtual volume
     always goes to the nearest.
     """
-    up = ws.table(tree.nearest(ws, levels.select("user_id", "parent_id"), levels.where("elite_level = 30")), "parent-se")
-    rows = levels.join(up.withColumnRenamed("nearest", "se"), "user_id")
-    grand = up.select(F.col("user_id").alias("parent_id"), F.col("nearest").alias("grand"))
+    rows = levels.join(up, "user_id")
+    grand = up.select(F.col("user_id").alias("parent_id"), F.col("se").alias("grand"))
     rows = rows.where("top_deep > 0").join(grand, "parent_id", "left")
     real = rows.select(F.when(F.col("se") == F.col("parent_id"), F.col("grand")).otherwise(F.col("se")).alias("user_id"), F.col("user_id").alias("source_id"), F.col("gpv_real").alias("pv"), F.lit(True).alias("is_real"))
     unreal = rows.where("gpv_unreal > 0").select(F.col("se").alias("user_id"), F.col("user_id").alias("source_id"), F.col("gpv_unreal").alias("pv"), F.lit(False).alias("is_real"))
@@ -32,51 +37,34 @@ def climb(ws: Workspace, seeds: DataFrame, up: DataFrame, by: tuple[str, ...] =
     ``up`` (user_id, se) holds the members a volume may pass; a step to anyone else ends its way. Each
     round sums what meets at a member, so a round has at most a row per member and group.
     """
-    front = seeds.select("user_id", *by, F.lit(10).alias("layer"), F.col("lb_pv").cast("long").alias("lb_pv"))
-    found: list[DataFrame] = []
-    while True:
-        front = ws.table(front, "climb")
-        if front.isEmpty() and found:
-            break
-        found.append(front)
-        if len(found) > tree.LEVELS:
-            raise tree.TreeError(f"chains of more than {tree.LEVELS} members")
+
+    def step(front: DataFrame, _: int) -> DataFrame:
         above = front.join(up, "user_id").select(F.col("se").alias("user_id"), *by, "layer", "lb_pv").join(up.select("user_id"), "user_id", "left_semi")
-        front = above.groupBy("user_id", *by).agg((F.max("layer") + 10).alias("layer"), F.sum("lb_pv").alias("lb_pv"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+        return above.groupBy("user_id", *by).agg((F.max("layer") + 10).alias("layer"), F.sum("lb_pv").alias("lb_pv"))
+
+    first = seeds.select("user_id", *by, F.lit(10).alias("layer"), F.col("lb_pv").cast("long").alias("lb_pv"))
+    return tree.rounds(ws, first, step, "climb")
 
 
 def chain_lengths(ws: Workspace, levels: DataFrame, up_all: DataFrame, active: DataFrame) -> DataFrame:
     """(user_id, se, length): the longest chain of level-30 members that ends at each, passing active members alone."""
-    front = levels.where("elite_level = 30").select("user_id").join(up_all, "user_id").select("user_id", "se", F.lit(1).alias("length"))
-    found: list[DataFrame] = []
     passing = up_all.join(active.select("user_id"), "user_id", "left_semi")
-    while True:
-        front = ws.table(front, "chains")
-        if front.isEmpty() and found:
-            break
-        found.append(front)
-        if len(found) > tree.LEVELS:
-            raise tree.TreeError(f"chains of more than {tree.LEVELS} members")
+
+    def step(front: DataFrame, _: int) -> DataFrame:
         heads = front.groupBy(F.col("se").alias("user_id")).agg((F.max("length") + 1).alias("length"))
-        front = heads.join(passing, "user_id").select("user_id", "se", "length")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.groupBy("user_id", "se").agg(F.max("length").alias("length"))
+        return heads.join(passing, "user_id").select("user_id", "se", "length")
+
+    first = levels.where("elite_level = 30").select("user_id").join(up_all, "user_id").select("user_id", "se", F.lit(1).alias("length"))
+    return tree.rounds(ws, first, step, "chains").groupBy("user_id", "se").agg(F.max("length").alias("length"))
 
 
-def honor_levels(ws: Workspace, levels: DataFrame, sources: DataFrame, members: DataFrame, limits: DataFrame) -> tuple[DataFrame, DataFrame]:
+def honor_levels(ws: Workspace, levels: DataFrame, sources: DataFrame, members: DataFrame, limits: DataFrame, up_all: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(honors, layers).
 
     honors: depth of volume layers, legs of three, two and one members, the level before limits
     (``ori``), the member level's limit, what pays (``bonus``) and what lasts (``last``: no more than
-    ten per member in the longest chain below). layers: (user_id, layer, lb_pv) up to ``ori``.
+    ten per member in the longest chain below). ``up_all`` is what above() gives. layers: (user_id, layer, lb_pv) up to ``ori``.
     """
-    up_all = ws.table(tree.nearest(ws, levels.select("user_id", "parent_id"), levels.where("elite_level = 30")).withColumnRenamed("nearest", "se"), "parent-se")
     first = sources.groupBy("user_id").agg(F.sum("pv").alias("lb_pv")).where("lb_pv > 0")
     active = ws.table(first.join(levels.select("user_id"), "user_id", "left_semi"), "active")
     up = up_all.join(active.select("user_id"), "user_id", "left_semi")
@@ -124,7 +112,7 @@ def highest_honor_by_half_years(history: DataFrame, members: DataFrame, period:
     return rows.select("user_id", "before", F.greatest("before", F.coalesce(three, F.lit(0)), F.coalesce(fourth, F.lit(0))).cast("int").alias("highest"))
 
 
-def leadership(ws: Workspace, levels: DataFrame, sources: DataFrame, honors: DataFrame, members: DataFrame, regions: DataFrame, month: DataFrame, rates: DataFrame) -> tuple[DataFrame, DataFrame]:
+def leadership(ws: Workspace, levels: DataFrame, sources: DataFrame, honors: DataFrame, members: DataFrame, regions: DataFrame, month: DataFrame, rates: DataFrame, up_all: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(details, bonuses) of the leadership bonus by region and layer.
 
     A layer's pool is its rate of the region's volume, cut at six decimals; so is the pool over the
@@ -132,7 +120,6 @@ def leadership(ws: Workspace, levels: DataFrame, sources: DataFrame, honors: Dat
     paid in the member's country.
     """
     active = ws.table(sources.groupBy("user_id").agg(F.sum("pv").alias("lb_pv")).where("lb_pv > 0").join(levels.select("user_id"), "user_id", "left_semi"), "lb-active")
-    up_all = tree.nearest(ws, levels.select("user_id", "parent_id"), levels.where("elite_level = 30")).withColumnRenamed("nearest", "se")
     up = ws.table(up_all.join(active.select("user_id"), "user_id", "left_semi"), "lb-up")
     own = members.select(F.col("user_id").alias("source_id"), F.col("country_id"))
     seeds = sources.join(own, "source_id", "left").groupBy("user_id", "country_id").agg(F.sum("pv").alias("lb_pv")).where("lb_pv > 0").join(levels.select("user_id"), "user_id", "left_semi")

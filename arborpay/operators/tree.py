@@ -30,22 +30,41 @@ def without_roots(edges: DataFrame) -> DataFrame:
 
 
 def depths(ws: Workspace, edges: DataFrame) -> DataFrame:
-    """edges with ``depth``, 0 for children of ROOT. Orphans and cycles raise TreeError."""
-    hops = ws.table(edges.select("user_id", F.col("parent_id").alias("up"), F.lit(0).alias("hops")), "depths")
+    """edges with ``depth``, 0 for children of ROOT; edges that have it stay. Orphans and cycles raise TreeError."""
+    if "depth" in edges.columns:
+        return edges
+    hops, left = ws.counted(edges.select("user_id", F.col("parent_id").alias("up"), F.lit(0).alias("hops")), "depths", f"up <> {ROOT}")
     for _ in range(ROUNDS):
-        if hops.where(F.col("up") != ROOT).isEmpty():
+        if not left:
             return edges.join(hops.select("user_id", F.col("hops").alias("depth")), "user_id")
         over = hops.select(F.col("user_id").alias("up"), F.col("up").alias("up2"), F.col("hops").alias("hops2"))
         done, rest = hops.where(F.col("up") == ROOT), hops.where(F.col("up") != ROOT)
         moved = rest.join(over, "up", "left")
         moved = moved.select("user_id", F.coalesce("up2", F.lit(-2)).alias("up"), (F.col("hops") + 1 + F.coalesce("hops2", F.lit(0))).cast("int").alias("hops"))
-        hops = ws.table(done.unionByName(moved), "depths")
-        orphans = [r[0] for r in hops.where("up = -2").limit(5).collect()]
-        if orphans:
-            raise TreeError(f"no path to the root, for example of {orphans}")
+        hops, left = ws.counted(done.unionByName(moved), "depths", f"up <> {ROOT}")
+        if left and not hops.where("up = -2").isEmpty():
+            raise TreeError(f"no path to the root, for example of {[r[0] for r in hops.where('up = -2').limit(5).collect()]}")
     raise TreeError("a cycle: depths don't settle")
 
 
+def subtree_sums(ws: Workspace, edges: DataFrame, values: list[str]) -> DataFrame:
+    """edges with each of ``values`` (long columns) summed over the member's subtree, itself included.
+
+    By doubling: after round k a member holds the sums over descendants less than 2**k below it, and
+    gives them to its ancestor 2**k above. As many rounds as the depth has bits.
+    """
+    rows, left = ws.counted(edges.select("user_id", F.col("parent_id").alias("up"), *values), "sums", f"up <> {ROOT}")
+    for _ in range(ROUNDS):
+        if not left:
+            return edges.drop(*values).join(rows.drop("up"), "user_id")
+        given = rows.where(F.col("up") != ROOT).groupBy(F.col("up").alias("user_id")).agg(*[F.sum(v).alias(f"_{v}") for v in values])
+        over = rows.select(F.col("user_id").alias("up"), F.col("up").alias("up2"))
+        moved = rows.join(given, "user_id", "left").join(over, "up", "left")
+        moved = moved.select("user_id", F.coalesce("up2", F.lit(ROOT)).alias("up"), *[(F.col(v) + F.coalesce(f"_{v}", F.lit(0))).alias(v) for v in values])
+        rows, left = ws.counted(moved, "sums", f"up <> {ROOT}")
+    raise TreeError("a cycle: sums don't settle")
+
+
 def nearest(ws: Workspace, edges: DataFrame, wanted: DataFrame, itself: bool = False) -> DataFrame:
     """(user_id, nearest): the closest ancestor among ``wanted`` (user_id), or ROOT; with ``itself``, a member counts as its own."""
     marks = wanted.select("user_id", F.lit(True).alias("hit")).distinct()
@@ -53,17 +72,35 @@ def nearest(ws: Workspace, edges: DataFrame, wanted: DataFrame, itself: bool = F
     hop = ws.table(base.select("user_id", F.col("parent_id").alias("up"), F.coalesce("hit", F.lit(False)).alias("hit")), "nearest")
     for _ in range(ROUNDS):
         over = hop.select(F.col("user_id").alias("up"), F.col("up").alias("up2"), F.col("hit").alias("stop"))
-        moved = hop.join(over, "up", "left")
         go_on = ~F.coalesce("stop", F.lit(True))
-        hop2 = moved.select("user_id", F.when(go_on, F.col("up2")).otherwise(F.col("up")).alias("up"), "hit", go_on.alias("moved"))
-        hop2 = ws.table(hop2, "nearest")
-        hop = hop2.drop("moved")
-        if hop2.where("moved").isEmpty():
+        moved = hop.join(over, "up", "left").select("user_id", F.when(go_on, F.col("up2")).otherwise(F.col("up")).alias("up"), "hit", go_on.alias("moved"))
+        hop, left = ws.counted(moved, "nearest", "moved")
+        hop = hop.drop("moved")
+        if not left:
             own = F.when(F.col("hit"), F.col("user_id")) if itself else F.lit(None)
             return hop.select("user_id", F.coalesce(own, F.col("up")).alias("nearest"))
     raise TreeError("a cycle: nearest ancestors don't settle")
 
 
+def rounds(ws: Workspace, front: DataFrame, step: Callable[[DataFrame, int], DataFrame], name: str, most: int = LEVELS) -> DataFrame:
+    """All rows of a frontier and of what a step makes of it, round by round, until none are left."""
+    found: list[DataFrame] = []
+    while True:
+        front, left = ws.counted(front, name)
+        if not left and found:
+            break
+        found.append(front)
+        if not left:
+            break
+        if len(found) > most:
+            raise TreeError(f"paths of more than {most} steps")
+        front = step(front, len(found))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def closure(ws: Workspace, edges: DataFrame, carry: tuple[str, ...] = (), levels: int = LEVELS) -> DataFrame:
     """(ancestor, descendant, level, *carry): every pair on a path, ROOT excluded.
 
@@ -71,23 +108,13 @@ def closure(ws: Workspace, edges: DataFrame, carry: tuple[str, ...] = (), levels
     reached twice, or a path of more than ``levels`` steps, raises TreeError.
     """
     steps = ws.table(without_roots(edges).select("user_id", "parent_id", *carry), "closure-edges")
-    front = steps.select(F.col("parent_id").alias("ancestor"), F.col("user_id").alias("descendant"), F.lit(1).alias("level"), *carry)
-    found, level = [], 1
-    while True:
-        front = ws.table(front, "closure")
-        if front.isEmpty():
-            break
-        if level > levels:
-            raise TreeError(f"paths of more than {levels} steps")
-        found.append(front)
-        up = steps.select(F.col("user_id").alias("ancestor"), F.col("parent_id"), *[F.col(c).alias(f"up_{c}") for c in carry])
-        front = front.join(up, "ancestor").select(F.col("parent_id").alias("ancestor"), "descendant", (F.col("level") + 1).alias("level"), *[F.col(f"up_{c}").alias(c) for c in carry])
-        level += 1
-    if not found:
-        return front
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+    up = steps.select(F.col("user_id").alias("ancestor"), F.col("parent_id"), *[F.col(c).alias(f"up_{c}") for c in carry])
+
+    def step(front: DataFrame, _: int) -> DataFrame:
+        return front.join(up, "ancestor").select(F.col("parent_id").alias("ancestor"), "descendant", (F.col("level") + 1).alias("level"), *[F.col(f"up_{c}").alias(c) for c in carry])
+
+    first = steps.select(F.col("parent_id").alias("ancestor"), F.col("user_id").alias("descendant"), F.lit(1).alias("level"), *carry)
+    out = rounds(ws, first, step, "closure", levels)
     twice = out.groupBy("ancestor", "descendant").count().where("count > 1").limit(20).collect()
     if twice:
         raise TreeError(f"members reached by several paths: {[(r[0], r[1]) for r in twice]}")
@@ -97,20 +124,9 @@ def closure(ws: Workspace, edges: DataFrame, carry: tuple[str, ...] = (), levels
 def ancestors(ws: Workspace, edges: DataFrame, members: DataFrame) -> DataFrame:
     """(descendant, ancestor, level) of the given members (user_id) only: the frontier starts at them."""
     steps = ws.table(without_roots(edges).select("user_id", "parent_id"), "ancestor-edges")
-    front = steps.join(members.select("user_id").distinct(), "user_id", "left_semi").select(F.col("user_id").alias("descendant"), F.col("parent_id").alias("ancestor"), F.lit(1).alias("level"))
-    found = []
-    while True:
-        front = ws.table(front, "ancestors")
-        if front.isEmpty() and found:
-            break
-        found.append(front)
-        if len(found) > LEVELS:
-            raise TreeError(f"paths of more than {LEVELS} steps")
-        front = front.join(steps.withColumnRenamed("user_id", "ancestor"), "ancestor").select("descendant", F.col("parent_id").alias("ancestor"), (F.col("level") + 1).alias("level"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    up = steps.withColumnRenamed("user_id", "ancestor")
+    first = steps.join(members.select("user_id").distinct(), "user_id", "left_semi").select(F.col("user_id").alias("descendant"), F.col("parent_id").alias("ancestor"), F.lit(1).alias("level"))
+    return rounds(ws, first, lambda front, _: front.join(up, "ancestor").select("descendant", F.col("parent_id").alias("ancestor"), (F.col("level") + 1).alias("level")), "ancestors")
 
 
 def descendant_counts(with_depth: DataFrame) -> DataFrame:

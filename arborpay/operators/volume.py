@@ -23,20 +23,16 @@ def team_volume(ws: Workspace, edges: DataFrame, own: DataFrame, legs: bool = Fa
     """Volume of each member's whole subtree, itself included, where any buyer is in it.
 
     Gives (user_id, parent_id, depth, pv_own, pv_team, below), ``below`` counting buyers underneath; with
-    ``legs`` also pv_1l and pv_2l, the volumes under each leg. One fold, linear in the number of members.
+    ``legs`` also pv_1l and pv_2l, the volumes under each leg.
     """
-    nodes = tree.depths(ws, edges).join(own.select("user_id", "pv_own"), "user_id", "left").withColumn("buyer", F.col("pv_own").isNotNull().cast("long")).withColumn("pv_own", or_zero("pv_own"))
-    gives = {"sum": (F.sum("pv_team"), "long"), "n": (F.sum(F.col("buyer") + F.col("below")), "long")}
+    nodes = tree.depths(ws, edges).join(own.select("user_id", "pv_own"), "user_id", "left").withColumn("pv_own", or_zero("pv_own").cast("long"))
+    nodes = nodes.join(own.select("user_id", F.lit(1).cast("long").alias("below")), "user_id", "left").withColumn("below", or_zero("below")).withColumn("pv_team", F.col("pv_own"))
+    rows = tree.subtree_sums(ws, nodes, ["pv_team", "below"]).where("below > 0")
+    rows = ws.table(rows.join(own.select("user_id", F.lit(1).cast("long").alias("buyer")), "user_id", "left").withColumn("below", F.col("below") - or_zero("buyer")).drop("buyer"), "team")
     if legs:
-        gives |= {f"leg{k}": (F.sum(F.when(F.col("leg") == k, F.col("pv_team"))), "long") for k in (1, 2)}
-
-    def takes(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("pv_team", F.col("pv_own") + or_zero("sum")).withColumn("below", or_zero("n"))
-        if legs:
-            rows = rows.withColumn("pv_1l", or_zero("leg1")).withColumn("pv_2l", or_zero("leg2"))
-        return rows.drop("sum", "n", "leg1", "leg2")
-
-    return tree.fold(ws, nodes, gives, takes).where("buyer + below > 0")
+        of = [F.coalesce(F.sum(F.when(F.col("leg") == k, F.col("pv_team"))), F.lit(0)).alias(f"pv_{k}l") for k in (1, 2)]
+        rows = rows.join(rows.groupBy(F.col("parent_id").alias("user_id")).agg(*of), "user_id", "left").withColumn("pv_1l", or_zero("pv_1l")).withColumn("pv_2l", or_zero("pv_2l"))
+    return rows
 
 
 def leg_volume(ws: Workspace, placement: DataFrame, own: DataFrame) -> DataFrame:
@@ -54,13 +50,14 @@ def leg_volume_by_closure(closure: DataFrame, own: DataFrame) -> DataFrame:
     return joined.groupBy(F.col("ancestor").alias("user_id")).agg(of(1), of(2))
 
 
-def monthly(ws: Workspace, orders: DataFrame, sponsor: DataFrame, placement: DataFrame, members: DataFrame, carry: DataFrame, active_pv: int) -> DataFrame:
+def monthly(ws: Workspace, orders: DataFrame, sponsor: DataFrame, placement: DataFrame, members: DataFrame, carry: DataFrame, active_pv: int, team: DataFrame | None = None) -> DataFrame:
     """Performance of a period: one row per member with own, team, leg or stockist volume.
 
     ``carry`` has user_id, surplus_1l and surplus_2l. Active is who bought at least ``active_pv`` or is listed.
+    A team volume that is there already can be given.
     """
     own = ws.table(own_volume(orders), "own")
-    team = team_volume(ws, sponsor, own).select("user_id", "pv_team")
+    team = (team_volume(ws, sponsor, own) if team is None else team).select("user_id", "pv_team")
     legs = leg_volume(ws, placement, own)
     stock = orders.where("stockist_id is not null").groupBy(F.col("stockist_id").alias("user_id")).agg(F.sum("pv").alias("stockist_pv"))
     users = own.select("user_id").union(team.select("user_id")).union(legs.select("user_id")).union(stock.select("user_id")).distinct()

@@ -39,12 +39,12 @@ def level_fee_commission(s: Settlement) -> DataFrame:
 
 @settled
 def sponsor_depth(s: Settlement) -> DataFrame:
-    return tree_depths(s.d)
+    return tree_depths(s)
 
 
 @settled
 def generation_counts(s: Settlement) -> DataFrame:
-    return tree.descendant_counts(tree.depths(s.ws, s.d.placement))
+    return tree.descendant_counts(s.placement)
 
 
 @settled
@@ -65,7 +65,7 @@ def direct_children(s: Settlement) -> DataFrame:
 
 @settled
 def placement_pv(s: Settlement) -> DataFrame:
-    return money(volume.leg_volume(s.ws, s.d.placement, s.own), "pv_1l", "pv_2l")
+    return money(volume.leg_volume(s.ws, s.placement, s.own), "pv_1l", "pv_2l")
 
 
 @settled
@@ -221,7 +221,7 @@ def inactive_details(s: Settlement) -> DataFrame:
 
 @settled
 def country_share(s: Settlement) -> DataFrame:
-    return money(volume.country_share(s.ws, s.d.sponsor, s.orders).withColumnRenamed("share_e4", "share"), "pv", share=4)
+    return money(volume.country_share(s.ws, s.sponsor, s.orders).withColumnRenamed("share_e4", "share"), "pv", share=4)
 
 
 @settled

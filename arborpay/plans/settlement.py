@@ -29,25 +29,37 @@ class Settlement:
     def orders(self) -> DataFrame:
         return self.ws.table(self.d.of_period(), "orders")
 
+    @cached_property
+    def sponsor(self) -> DataFrame:
+        return self.ws.table(tree.depths(self.ws, self.d.sponsor), "sponsor")
+
+    @cached_property
+    def placement(self) -> DataFrame:
+        return self.ws.table(tree.depths(self.ws, self.d.placement), "placement")
+
+    @cached_property
+    def above(self) -> DataFrame:
+        return honor.above(self.ws, self.levels)
+
     @cached_property
     def own(self) -> DataFrame:
         return self.ws.table(volume.own_volume(self.orders), "own")
 
     @cached_property
     def team(self) -> DataFrame:
-        return self.ws.table(volume.team_volume(self.ws, self.d.sponsor, self.own), "team")
+        return self.ws.table(volume.team_volume(self.ws, self.sponsor, self.own), "team")
 
     @cached_property
     def carry(self) -> DataFrame:
         """Leg surplus that the period before left: its new leg volumes matched against each other."""
-        past = volume.leg_volume(self.ws, self.d.placement, volume.own_volume(self.d.of_period(self.d.period - 1)))
+        past = volume.leg_volume(self.ws, self.placement, volume.own_volume(self.d.of_period(self.d.period - 1)))
         touch = F.least("pv_1l", "pv_2l")
         return self.ws.table(past.select("user_id", (F.col("pv_1l") - touch).alias("surplus_1l"), (F.col("pv_2l") - touch).alias("surplus_2l")), "carry")
 
     @cached_property
     def month(self) -> DataFrame:
         active = int(self.config.number("monthActivePV") * 100)
-        return volume.monthly(self.ws, self.orders, self.d.sponsor, self.d.placement, self.d.members, self.carry, active)
+        return volume.monthly(self.ws, self.orders, self.sponsor, self.placement, self.d.members, self.carry, active, self.team)
 
     @cached_property
     def elite_net(self) -> DataFrame:
@@ -63,20 +75,20 @@ class Settlement:
 
     @cached_property
     def ranks(self) -> DataFrame:
-        return elite.rank_snapshot(self.ws, self.d.sponsor, self.own)
+        return elite.rank_snapshot(self.ws, self.sponsor, self.own)
 
     @cached_property
     def ranks_before(self) -> DataFrame:
-        return elite.rank_snapshot(self.ws, self.d.sponsor, volume.own_volume(self.d.of_period(self.d.period - 1)))
+        return elite.rank_snapshot(self.ws, self.sponsor, volume.own_volume(self.d.of_period(self.d.period - 1)))
 
     @cached_property
     def layer_sources(self) -> DataFrame:
-        return honor.layer_sources(self.ws, self.levels)
+        return honor.layer_sources(self.ws, self.levels, self.above)
 
     @cached_property
     def _honor(self) -> tuple[DataFrame, DataFrame]:
         limits = self.family("leadershipLimit", "member_level", "honor_limit", micro=False)
-        return honor.honor_levels(self.ws, self.levels, self.layer_sources, self.d.members, limits)
+        return honor.honor_levels(self.ws, self.levels, self.layer_sources, self.d.members, limits, self.above)
 
     @property
     def honors(self) -> DataFrame:
@@ -88,7 +100,7 @@ class Settlement:
 
     @cached_property
     def _leadership(self) -> tuple[DataFrame, DataFrame]:
-        details, paid = honor.leadership(self.ws, self.levels, self.layer_sources, self.honors, self.d.members, self.d.regions, self.month, self.family("leadershipRate", "layer", "rate"))
+        details, paid = honor.leadership(self.ws, self.levels, self.layer_sources, self.honors, self.d.members, self.d.regions, self.month, self.family("leadershipRate", "layer", "rate"), self.above)
         return details, self.ws.table(paid, "leadership")
 
     @cached_property
@@ -131,7 +143,7 @@ class Settlement:
     @cached_property
     def points(self) -> DataFrame:
         before = volume.own_volume(self.d.of_period(self.d.period - 1)).select("user_id", F.col("pv_own").alias("total_gpv"))
-        return self.ws.table(elite.performance_points(self.ws, self.d.members, self.d.sponsor, self.elite_net, self.month, before), "points")
+        return self.ws.table(elite.performance_points(self.ws, self.d.members, self.sponsor, self.elite_net, self.month, before), "points")
 
     def highest_honor(self) -> DataFrame:
         return honor.highest_honor(self.d.members, self.honors, self.d.history, self.d.period)
@@ -162,8 +174,7 @@ class Settlement:
         return out | {"carry": bonuses.team_carry(self.match, self.carry), "total": self.total(), "inactive": self.inactive()}
 
 
-def tree_depths(domain: Domain) -> DataFrame:
+def tree_depths(s: Settlement) -> DataFrame:
     """Depths in both trees, by member."""
-    s = tree.depths(domain.ws, domain.sponsor).select("user_id", F.col("depth").alias("sponsor_depth"))
-    p = tree.depths(domain.ws, domain.placement).select("user_id", F.col("depth").alias("placement_depth"))
-    return s.join(p, "user_id", "full_outer")
+    first = s.sponsor.select("user_id", F.col("depth").alias("sponsor_depth"))
+    return first.join(s.placement.select("user_id", F.col("depth").alias("placement_depth")), "user_id", "full_outer")

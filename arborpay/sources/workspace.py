@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
@@ -43,6 +44,12 @@ class Workspace:
         df.write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
+    def counted(self, df: DataFrame, name: str, condition: str = "true") -> tuple[DataFrame, int]:
+        """As table(), with the number of rows that meet a condition, taken while writing."""
+        seen = Observation()
+        out = self.table(df.observe(seen, F.count_if(F.expr(condition)).alias("n")), name)
+        return out, seen.get["n"]
+
     def drop(self, *names: str) -> None:
         """Delete the tables of these names; nothing may read them afterwards."""
         jvm = self.spark._jvm
