@@ -64,7 +64,8 @@ def principal_directions(units: DataFrame) -> dict[int, np.ndarray]:
         x = rows["x"].to_numpy()
         mean = x[:d] / n
         _, vectors = np.linalg.eigh(x[d:].reshape(d, d) / n - np.outer(mean, mean))
-        out[d] = np.ascontiguousarray(vectors[:, ::-1][:, :DIRECTIONS])
+        out[d] = np.zeros((d, DIRECTIONS))  # vectors shorter than that have zeros in the directions they lack
+        out[d][:, : min(d, DIRECTIONS)] = vectors[:, ::-1][:, :DIRECTIONS]
     return out
 
 

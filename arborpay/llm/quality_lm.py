@@ -4,7 +4,7 @@ The model is trained per language on trusted texts: n-gram counts are summed ove
 order's discounts, back-off weights and probabilities follow by joins on (language, gram) and
 (language, context). Documents are dealt into blocks per language; each block is joined with its
 language's table and scored text by text. A document is kept unless its cross-entropy lies over a
-quantile of the trusted documents of its language.
+quantile of trusted documents of its language that the model hasn't seen.
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ ORDER, PAD = 5, "\2"
 BLOCK_CHARS, COUNT_CHARS = 32_000_000, 8_000_000
 #: Share of the trusted documents of a language that its threshold keeps; width of a bin of cross-entropy, in nats.
 QUANTILE, BIN = 0.998, 1e-4
+#: One trusted document in so many sets the threshold instead of training the model; what a threshold
+#: from n documents allows above their quantile, in nats times the root of n.
+FOLDS, ALLOWANCE = 4, 1.0
 
 
 def codes(text: str) -> np.ndarray:
@@ -75,7 +78,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(ws: Workspace, trusted: DataFrame) -> DataFrame:
-    """(lang, n, gram, logp, back): each seen gram's probability, and its back-off weight as a context."""
+    """(lang, n, gram, logp, back): each seen gram's probability, and its back-off weight as a context; logp is null where a gram is a context only."""
     counts = trusted.select("lang", "text").mapInArrow(_count, "lang string, gram string, n long")
     counts = ws.table(counts.groupBy("lang", "gram").agg(F.sum("n").alias("c")), "grams")
     by_order = {ORDER: counts}
@@ -109,7 +112,8 @@ def train(ws: Workspace, trusted: DataFrame) -> DataFrame:
     for n in range(1, ORDER + 1):
         part = levels[n].withColumn("n", F.lit(n))
         if n < ORDER:
-            part = part.join(contexts[n + 1].select("lang", F.col("ctx").alias("gram"), "gamma"), ["lang", "gram"], "left")
+            # Beginnings of texts are contexts without being grams; they stay, without a probability.
+            part = part.join(contexts[n + 1].select("lang", F.col("ctx").alias("gram"), "gamma"), ["lang", "gram"], "full").withColumn("n", F.lit(n))
         else:
             part = part.withColumn("gamma", F.lit(None).cast("double"))
         part = part.select("lang", "n", "gram", F.log("p").alias("logp"), F.coalesce(F.log("gamma"), F.lit(0.0)).alias("back"))
@@ -178,8 +182,9 @@ class Tables:
         for k in range(ORDER, 0, -1):
             ids = np.stack([c[rows + ORDER - k + j] for j in range(k)], axis=1)
             at = self.find(k, self._key(ids, k))
-            _, _, _, logp, _ = self.levels[k]
+            logp = self.levels[k][3]
             hit = at >= 0
+            hit[hit] = np.isfinite(logp[at[hit]])
             out[rows[hit]] += logp[at[hit]]
             rows, ids = rows[~hit], ids[~hit]
             if not len(rows):
@@ -233,8 +238,10 @@ def perplexities(ws: Workspace, docs: DataFrame, trusted: DataFrame) -> DataFram
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """(doc_id, lang, n_chars, entropy, perplexity, threshold, kept) for each row of docs.
 
-    Trusted are documents that labels give quality 1 and not toxic 1. Null and empty texts, and
-    languages without trusted text, have no entropy and are kept. A null language is one of its own.
+    Trusted are documents that labels give quality 1 and not toxic 1; a quarter of them, chosen by hash,
+    set the threshold and don't train. Null and empty texts, and languages without trusted text, have no
+    entropy and are kept, as is all of a language without documents for a threshold. A null language is
+    one of its own.
     ``docs`` needs doc_id, text and lang; other columns are not read. No rows give no rows.
     """
     spark = docs.sparkSession
@@ -244,13 +251,15 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     good = ws.table(good.where("doc_id is not null and quality = 1 and coalesce(toxic, 0) <> 1").select("doc_id"), "trusted")
     ids = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
-    scored = perplexities(ws, plain, plain.join(ids, "doc_id", "left_semi"))
+    judged = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
+    scored = perplexities(ws, plain, plain.where(~judged).join(ids, "doc_id", "left_semi"))
 
-    # The quantile of each language, exact to a bin: counts by bin are few, whatever the number of documents.
+    # The quantile of each language over the trusted documents the model hasn't seen, exact to a bin:
+    # counts by bin are few, whatever the number of documents.
     own = F.coalesce("lang", F.lit("\0none"))
-    bins = scored.where("entropy is not null").join(good, "doc_id", "left_semi").groupBy(own.alias("l"), F.floor(F.col("entropy") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    bins = scored.where(F.col("entropy").isNotNull() & judged).join(good, "doc_id", "left_semi").groupBy(own.alias("l"), F.floor(F.col("entropy") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
     upto = Window.partitionBy("l").orderBy("bin")
     bins = bins.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("l")))
-    limits = bins.where(F.col("upto") >= F.col("all") * quantile).groupBy("l").agg(((F.min("bin") + 1) * BIN).alias("limit"))
+    limits = bins.where(F.col("upto") >= F.col("all") * quantile).groupBy("l").agg(((F.min("bin") + 1) * BIN + ALLOWANCE / F.sqrt(F.max("all"))).alias("limit"))
     out = scored.withColumn("l", own).join(F.broadcast(limits), "l", "left")  # one row per language
     return out.select("doc_id", "lang", "n_chars", "entropy", F.exp("entropy").alias("perplexity"), F.exp("limit").alias("threshold"), F.coalesce(F.col("entropy") <= F.col("limit"), F.lit(True)).alias("kept"))
