@@ -108,14 +108,14 @@ def op10_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_offset_masks, op3_kneser_ney, op4_kmeans_tree, op5_vector_packing, op6_pu_toxicity, op7_minhash_forest, op8_token_store, op9_budget_mix, op10_delta_rollups)}
 
-_WORDS = r"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 _OP7 = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []
     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) END AS g
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS g
   FROM d),
 n AS (SELECT doc_id, len(g) AS n FROM s),
 post AS (SELECT doc_id, unnest(g) AS t FROM s),
@@ -137,7 +137,7 @@ _OP1 = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, e -> e IS NULL OR NOT isfinite(e))) = 0),
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
 u AS (SELECT vec_id, label, len(x) AS d, x, sqrt(list_inner_product(x, x)) AS n FROM v WHERE list_inner_product(x, x) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.d = b.d AND a.vec_id <> b.vec_id
@@ -149,4 +149,20 @@ SELECT e.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id,
 FROM embeddings e JOIN c USING (vec_id) LEFT JOIN k USING (vec_id)
 """
 
-ORACLE_SQL = {"op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7}
+_MARKS_SQL = MARKS.replace("'", "''")
+_OP10 = rf"""
+WITH d AS (
+  SELECT doc_id, source, lang, coalesce(text, '') AS t,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words
+  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)),
+poor AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 0),
+c AS (
+  SELECT source, lang, 'words-1' AS tokenizer_version,
+    CASE WHEN p.doc_id IS NOT NULL THEN CAST(ceil(length(t) / 4) AS BIGINT) ELSE words END AS n
+  FROM d LEFT JOIN poor p ON p.doc_id = d.doc_id
+  UNION ALL
+  SELECT source, lang, 'words-marks-2', words + length(t) - length(translate(t, '{_MARKS_SQL}', '')) FROM d)
+SELECT source, lang, tokenizer_version, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM c GROUP BY ALL
+"""
+
+ORACLE_SQL = {"op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7, "op10_delta_rollups": _OP10}

@@ -220,3 +220,18 @@ def test_pipeline_stages_keep_the_columns(spark):
         assert docs.count() > 50, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     assert quality_lm.ORDER == 5
+
+
+def test_rollup_query_equals_sql(spark):
+    import duckdb
+
+    from arborpay.llm.queries import ORACLE_SQL, op10_delta_rollups
+
+    db = duckdb.connect()
+    for table in ("documents", "labels"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
+    columns = ["source", "lang", "tokenizer_version", "n_docs", "n_tokens"]
+    want = db.execute(ORACLE_SQL["op10_delta_rollups"]).df()[columns]
+    got = op10_delta_rollups(spark, DATA).toPandas()[columns]
+    by = columns[:3]
+    assert len(want) and got.sort_values(by).values.tolist() == want.sort_values(by).values.tolist()
