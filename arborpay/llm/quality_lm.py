@@ -1,31 +1,36 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of characters.
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of words.
 
-The model is trained per language on trusted texts: n-gram counts are summed over all of them, and each
-order's discounts, back-off weights and probabilities follow by joins on (language, gram) and
-(language, context). Documents are dealt into blocks per language; each block is joined with its
-language's table and scored text by text. A document is kept unless its cross-entropy lies over a
-quantile of trusted documents of its language that the model hasn't seen.
+The model of a language counts word n-grams over all trusted texts. Every trusted text belongs to a
+fold; a gram's row holds its count without each fold and over all of them, so that a trusted document is
+scored by a model that hasn't seen its fold and any other by the whole. Documents are gathered into
+blocks of bounded size; the distinct grams of a block are joined with the counts on (language, gram),
+so a block gets the counts of its own grams and no task holds a language's table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborpay.llm.common import BROADCAST_IDS, Workspace
 
-ORDER, PAD = 5, "\2"
+#: Order of the model of words; order and mark of a beginning of the model of characters.
+WORDS, ORDER, PAD = 3, 5, "\2"
 #: Characters of a block; characters a task counts before it gives counts out.
-BLOCK_CHARS, COUNT_CHARS = 32_000_000, 8_000_000
+BLOCK_CHARS, COUNT_CHARS = 4_000_000, 8_000_000
 #: Share of the trusted documents of a language that its threshold keeps; width of a bin of cross-entropy, in nats.
 QUANTILE, BIN = 0.998, 1e-4
-#: One trusted document in so many sets the threshold instead of training the model; what a threshold
-#: from n documents allows above their quantile, in nats times the root of n.
+#: Folds of trusted texts; what a threshold from n documents allows above their quantile, in nats times the root of n.
 FOLDS, ALLOWANCE = 4, 1.0
+#: A word, or a mark; characters of scripts without spaces are words of their own.
+TOKEN, UNSPACED = re.compile(r"\w+|[^\w\s]"), re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 
 
 def codes(text: str) -> np.ndarray:
@@ -78,7 +83,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(ws: Workspace, trusted: DataFrame) -> DataFrame:
-    """(lang, n, gram, logp, back): each seen gram's probability, and its back-off weight as a context; logp is null where a gram is a context only."""
+    """The same model over characters. (lang, n, gram, logp, back): each seen gram's probability, and its back-off weight as a context; logp is null where a gram is a context only."""
     counts = trusted.select("lang", "text").mapInArrow(_count, "lang string, gram string, n long")
     counts = ws.table(counts.groupBy("lang", "gram").agg(F.sum("n").alias("c")), "grams")
     by_order = {ORDER: counts}
@@ -198,49 +203,237 @@ class Tables:
         return out
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def tokens(text: str) -> list[str]:
+    if UNSPACED.search(text):
+        text = UNSPACED.sub(r" \1 ", text)
+    return TOKEN.findall(text)
+
+
+def keys(grams: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of each row of word ids (under 32 bytes) as a binary."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turned = lambda x, k: (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+    rows, n = grams.shape
+    h = np.full(rows, np.uint64(42 + 8 * n), np.uint64) + p5
+    for j in range(n):
+        h = turned(h ^ (turned(grams[:, j] * p2, 31) * p1), 27) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
+class Texts:
+    """Some texts as one run of word ids; each begins with WORDS - 1 marks."""
+
+    def __init__(self, texts: list[str]):
+        place: dict[str, int] = {}
+        runs = []
+        for text in texts:
+            own = tokens(text)
+            runs.append(np.fromiter((place.setdefault(w, len(place) + 1) for w in own), np.int64, len(own)))
+        self.sizes = np.array([len(r) for r in runs], np.int64)
+        ids = [0] + [int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in place]
+        self.ids = np.array(ids, np.uint64)
+        mark = np.zeros(WORDS - 1, np.int64)
+        self.flat = np.concatenate([x for r in runs for x in (mark, r)]) if runs else np.empty(0, np.int64)
+        self.text = np.repeat(np.arange(len(runs)), self.sizes + WORDS - 1)
+        self.codes = {}
+        code = self.flat
+        for n in range(1, WORDS + 1):
+            if n > 1:
+                # Numbers of shorter grams are dense, so this can't overflow.
+                code = np.unique(code, return_inverse=True)[1][: max(len(self.flat) - n + 1, 0)] * len(self.ids) + self.flat[n - 1 :]
+            self.codes[n] = code
+
+    def starts(self, n: int) -> np.ndarray:
+        """Where grams of n words begin that don't reach into the next text."""
+        return np.flatnonzero(self.text[: max(len(self.text) - n + 1, 0)] == self.text[n - 1 :])
+
+    def rows(self, at: np.ndarray, n: int) -> np.ndarray:
+        return np.stack([self.ids[self.flat[at + j]] for j in range(n)], axis=1) if n else np.empty((len(at), 0), np.uint64)
+
+    def distinct(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct grams of n words as rows of ids, and how often they occur."""
+        at = self.starts(n)
+        _, first, count = np.unique(self.codes[n][at], return_index=True, return_counts=True)
+        return self.rows(at[first], n), count
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[tuple[str, int], list[str]] = {}
+    size = 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for (lang, fold), texts in held.items():
+            grams, n = Texts(texts).distinct(WORDS)
+            for at in range(0, len(n), 200_000):
+                part = np.ascontiguousarray(grams[at : at + 200_000])
+                m = len(part)
+                gram = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer((np.arange(m + 1, dtype=np.int32) * (8 * WORDS)).tobytes()), pa.py_buffer(part.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array(np.full(m, fold, np.int32)), gram, pa.array(n[at : at + m].astype(np.int64))], ["lang", "fold", "gram", "n"])
+        held.clear()
+
+    for batch in batches:
+        for lang, fold, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if text:
+                held.setdefault((lang, fold), []).append(text)
+                size += len(text)
+                if size > COUNT_CHARS:
+                    yield from out()
+                    size = 0
+    yield from out()
+
+
+def count_words(ws: Workspace, trusted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What scoring looks up, from trusted texts (lang, fold, text).
+
+    (lang, key, kind, v): the counts of a gram of ``kind`` words, or, of kind 10 + n, of a context of grams of n
+    words: how often and with how many words seen once, twice and more often it goes on. v has one
+    element without each fold, and one over all of them. And (lang, cuts): the discounts of each order and
+    the size of the vocabulary, likewise.
+    """
+    models = range(FOLDS + 1)
+    raw = trusted.select("lang", "fold", "text").mapInArrow(_count_words, "lang string, fold int, gram binary, n long")
+    sums = raw.groupBy("lang", "gram").agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"f{f}") for f in range(FOLDS)])
+    by_order = {WORDS: ws.table(sums.select("lang", "gram", *[(F.col("n") - F.col(f"f{f}")).alias(f"c{f}") for f in range(FOLDS)], F.col("n").alias(f"c{FOLDS}")), "grams")}
+    for n in range(WORDS - 1, 0, -1):  # in how many ways a shorter gram goes on to the left
+        shorter = by_order[n + 1].groupBy("lang", F.substring("gram", 9, 8 * n).alias("gram"))
+        by_order[n] = ws.table(shorter.agg(*[F.count_if(F.col(f"c{m}") > 0).alias(f"c{m}") for m in models]), "grams")
+    found, cuts = None, None
+    for n in range(1, WORDS + 1):
+        rows = by_order[n]
+        grams = rows.select("lang", F.xxhash64("gram").alias("key"), F.lit(n).alias("kind"), F.array(*[F.array(f"c{m}") for m in models]).alias("v"))
+        goes_on = [f(F.col(f"c{m}")).alias(f"{name}{m}") for m in models for name, f in (("t", F.sum), ("a", lambda c: F.count_if(c == 1)), ("b", lambda c: F.count_if(c == 2)), ("c", lambda c: F.count_if(c > 2)))]
+        ctx = rows.groupBy("lang", F.substring("gram", 1, 8 * (n - 1)).alias("ctx")).agg(*goes_on)
+        ctx = ctx.select("lang", F.xxhash64("ctx").alias("key"), F.lit(10 + n).alias("kind"), F.array(*[F.array(*[f"{name}{m}" for name in "tabc"]) for m in models]).alias("v"))
+        found = grams.unionByName(ctx) if found is None else found.unionByName(grams).unionByName(ctx)
+        of = rows.groupBy("lang").agg(*[F.count_if(F.col(f"c{m}") == k).alias(f"n{k}_{m}") for m in models for k in (1, 2, 3, 4)], *[(F.count_if(F.col(f"c{m}") > 0) + 1).alias(f"v{m}") for m in models])
+
+        def cut(m: int, k: int):
+            once, twice, own, more = (F.col(f"n{j}_{m}") for j in (1, 2, k, k + 1))
+            y = once / F.greatest(once + 2 * twice, F.lit(1))
+            return F.greatest(F.lit(0.05), F.least(F.lit(k - 0.05), k - (k + 1) * y * more / F.greatest(own, F.lit(1))))
+
+        of = of.select("lang", F.array(*[F.array(*([F.col(f"v{m}").cast("double")] if n == 1 else []), *[cut(m, k) for k in (1, 2, 3)]) for m in models]).alias(f"cuts{n}"))
+        cuts = of if cuts is None else cuts.join(F.broadcast(of), "lang")  # one row per language
+    cuts = cuts.select("lang", F.array(*[F.concat(*[F.col(f"cuts{n}")[m] for n in range(1, WORDS + 1)]) for m in models]).alias("cuts"))
+    return found, ws.table(cuts, "cuts")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packs texts and names the block of each: so many characters of one language and model in one partition."""
     import zstandard
 
     pack = zstandard.ZstdCompressor(level=3).compress
+    next_block = TaskContext.get().partitionId() << 32
+    open_blocks: dict[tuple[str, int], list[int]] = {}
     for batch in batches:
         for at in range(0, len(batch), 512):
             part = batch.slice(at, 512)
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([None if t is None else pack(t.encode("utf-8", "surrogatepass")) for t in part.column(part.num_columns - 1).to_pylist()], pa.binary())], [*part.schema.names[:-1], "packed"])
-
-
-def _score(docs: pa.Table, model: pa.Table) -> pa.Table:
+            texts = part.column("text").to_pylist()
+            blocks = []
+            for lang, model, text in zip(part.column("lang").to_pylist(), part.column("model").to_pylist(), texts, strict=True):
+                own = open_blocks.get((lang, model))
+                if own is None or own[1] > BLOCK_CHARS:
+                    own = open_blocks[lang, model] = [next_block, 0]
+                    next_block += 1
+                own[1] += len(text or "") + 1
+                blocks.append(own[0])
+            packed = pa.array([None if t is None else pack(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "lang", "lang_was", "model")), pa.array(blocks, pa.int64()), packed], ["doc_id", "lang", "lang_was", "model", "block", "packed"])
+
+
+def _unpacked(column: list) -> list[str]:
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
-    tables = None
-    if model.num_rows:
-        tables = Tables(model.column("n").to_numpy(), model.column("gram").to_pylist(), model.column("logp").to_numpy(), model.column("back").to_numpy())
-    bits, sizes = [], []
-    for packed in docs.column("packed").to_pylist():
-        text = unpack(packed).decode("utf-8", "surrogatepass") if packed is not None else ""
-        sizes.append(len(text))
-        bits.append(float(-tables.logprobs(text).mean()) if text and tables else None)
-    return pa.table({"doc_id": docs.column("doc_id"), "lang": docs.column("lang_was"), "n_chars": pa.array(sizes, pa.int64()), "entropy": pa.array(bits, pa.float64())})
-
-
-def perplexities(ws: Workspace, docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(doc_id, lang, n_chars, entropy) of each document: nats per character, null where nothing can be said."""
-    model = train(ws, trusted)
-    per_lang = docs.groupBy("lang").agg(F.ceil(F.sum(F.length("text")) / BLOCK_CHARS).cast("int").alias("blocks"))
-    per_lang = ws.table(per_lang.select("lang", F.greatest(F.coalesce("blocks", F.lit(1)), F.lit(1)).alias("blocks")), "blocks")  # one row per language
-    dealt = docs.select("doc_id", "lang", "lang_was", F.xxhash64("doc_id", "text").alias("h"), "text").mapInArrow(_pack, "doc_id long, lang string, lang_was string, h long, packed binary")
-    dealt = dealt.join(F.broadcast(per_lang), "lang").withColumn("block", F.pmod("h", "blocks").cast("int")).drop("h", "blocks")
-    shards = model.join(F.broadcast(per_lang), "lang").select("lang", "n", "gram", "logp", "back", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    scored = dealt.groupBy("lang", "block").cogroup(shards.groupBy("lang", "block")).applyInArrow(_score, "doc_id long, lang string, n_chars long, entropy double")
+    return ["" if p is None else unpack(p).decode("utf-8", "surrogatepass") for p in column]
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct grams of each block; of one whose rows are read apart, some more than once."""
+    held: dict[tuple[str, int, int], list[str]] = {}
+    size = 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for (lang, model, block), texts in held.items():
+            own = Texts(texts)
+            asked = np.concatenate([keys(np.empty((1, 0), np.uint64)), *[keys(own.distinct(n)[0]) for n in range(1, WORDS + 1)]])
+            for at in range(0, len(asked), 200_000):
+                part = asked[at : at + 200_000]
+                m = len(part)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array(np.full(m, model, np.int32)), pa.array(np.full(m, block, np.int64)), pa.array(part)], ["lang", "model", "block", "key"])
+        held.clear()
+
+    for batch in batches:
+        for lang, model, block, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "model", "block")), _unpacked(batch.column("packed").to_pylist()), strict=True):
+            if text:
+                held.setdefault((lang, model, block), []).append(text)
+                size += len(text)
+                if size > 2 * BLOCK_CHARS:
+                    yield from out()
+                    size = 0
+    yield from out()
+
+
+def logprobs(own: Texts, kind: np.ndarray, key: np.ndarray, values: np.ndarray, cuts: list[float]) -> np.ndarray:
+    """Of each word of some texts, given the WORDS - 1 before it: counts are looked up, absent ones are 0."""
+
+    def find(k: int, wanted: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(kind == k)
+        at = at[np.argsort(key[at])]
+        if not len(at):
+            return np.zeros((len(wanted), 4))
+        place = np.minimum(np.searchsorted(key[at], wanted), len(at) - 1)
+        return np.where((key[at][place] == wanted)[:, None], values[at][place], 0)
+
+    first = own.starts(WORDS)
+    p = np.full(len(first), 1 / cuts[0])
+    for n in range(1, WORDS + 1):
+        cut = np.array([0.0, *cuts[3 * n - 2 : 3 * n + 1]])
+        at = first + WORDS - n
+        c = find(n, keys(own.rows(at, n)))[:, 0]
+        ctx = find(10 + n, keys(own.rows(at, n - 1)))
+        total = np.maximum(ctx[:, 0], 1)
+        here = (c - cut[np.minimum(c, 3).astype(int)]) / total + ctx[:, 1:] @ cut[1:] / total * p
+        p = np.where(ctx[:, 0] > 0, here, p)
+    return np.log(p)
+
+
+def _score(docs: pa.Table, found: pa.Table) -> pa.Table:
+    texts = _unpacked(docs.column("packed").to_pylist())
+    entropy: list[float | None] = [None] * len(texts)
+    kind = found.column("kind").to_numpy()
+    cuts = docs.column("cuts")[0].as_py()
+    if cuts and (kind == 11).any():
+        own = Texts(texts)
+        values = np.stack([found.column(c).to_numpy().astype(float) for c in "tabc"], axis=1)
+        lost = -logprobs(own, kind, found.column("key").to_numpy(), values, cuts)
+        sums = np.bincount(own.text[own.starts(WORDS)], lost, minlength=len(texts))
+        entropy = [float(s / n) if n else None for s, n in zip(sums, own.sizes, strict=True)]
+    return pa.table({"doc_id": docs.column("doc_id"), "lang": docs.column("lang_was"), "n_chars": pa.array([len(t) for t in texts], pa.int64()), "trusted": pa.array(docs.column("model").to_numpy() < FOLDS), "entropy": pa.array(entropy, pa.float64())})
+
+
+def perplexities(ws: Workspace, docs: DataFrame) -> DataFrame:
+    """(doc_id, lang, n_chars, trusted, entropy) of each document: nats per word, null where nothing can be said.
+
+    ``docs`` has doc_id, lang, lang_was, model and text; the model is the fold of a trusted document, FOLDS of any other.
+    """
+    found, cuts = count_words(ws, docs.where(F.col("model") < FOLDS).withColumnRenamed("model", "fold"))
+    dealt = ws.table(docs.select("doc_id", "lang", "lang_was", "model", "text").mapInArrow(_blocks, "doc_id long, lang string, lang_was string, model int, block long, packed binary"), "blocks")
+    asked = dealt.mapInArrow(_ask, "lang string, model int, block long, key long")
+    v = F.col("v")[F.col("model")]
+    answers = asked.join(found, ["lang", "key"]).select("block", "key", "kind", *[F.coalesce(F.get(v, F.lit(i)), F.lit(0)).alias(c) for i, c in enumerate("tabc")]).where("t > 0")
+    dealt = dealt.join(F.broadcast(cuts), "lang", "left").withColumn("cuts", F.col("cuts")[F.col("model")])
+    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, "doc_id long, lang string, n_chars long, trusted boolean, entropy double")
     return ws.table(scored, "scored")
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """(doc_id, lang, n_chars, entropy, perplexity, threshold, kept) for each row of docs.
 
-    Trusted are documents that labels give quality 1 and not toxic 1; a quarter of them, chosen by hash,
-    set the threshold and don't train. Null and empty texts, and languages without trusted text, have no
-    entropy and are kept, as is all of a language without documents for a threshold. A null language is
+    Trusted are documents that labels give quality 1 and not toxic 1; copies of a text share its fold. Null
+    and empty texts, and languages without trusted text, have no entropy and are kept. A null language is
     one of its own.
     ``docs`` needs doc_id, text and lang; other columns are not read. No rows give no rows.
     """
@@ -251,13 +444,15 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     good = ws.table(good.where("doc_id is not null and quality = 1 and coalesce(toxic, 0) <> 1").select("doc_id"), "trusted")
     ids = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
-    judged = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
-    scored = perplexities(ws, plain, plain.where(~judged).join(ids, "doc_id", "left_semi"))
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")
+    known = ids.withColumn("known", F.lit(True))
+    plain = plain.join(known, "doc_id", "left").withColumn("model", F.when(F.col("known"), fold).otherwise(F.lit(FOLDS)))
+    scored = perplexities(ws, plain)
 
-    # The quantile of each language over the trusted documents the model hasn't seen, exact to a bin:
+    # The quantile of each language over its trusted documents, exact to a bin:
     # counts by bin are few, whatever the number of documents.
     own = F.coalesce("lang", F.lit("\0none"))
-    bins = scored.where(F.col("entropy").isNotNull() & judged).join(good, "doc_id", "left_semi").groupBy(own.alias("l"), F.floor(F.col("entropy") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    bins = scored.where(F.col("entropy").isNotNull() & F.col("trusted")).groupBy(own.alias("l"), F.floor(F.col("entropy") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
     upto = Window.partitionBy("l").orderBy("bin")
     bins = bins.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("l")))
     limits = bins.where(F.col("upto") >= F.col("all") * quantile).groupBy("l").agg(((F.min("bin") + 1) * BIN + ALLOWANCE / F.sqrt(F.max("all"))).alias("limit"))

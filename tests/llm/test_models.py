@@ -235,3 +235,51 @@ def test_rollup_query_equals_sql(spark):
     got = op10_delta_rollups(spark, DATA).toPandas()[columns]
     by = columns[:3]
     assert len(want) and got.sort_values(by).values.tolist() == want.sort_values(by).values.tolist()
+
+
+def test_word_model_equals_definition_and_sees_word_order(spark):
+    order, n_folds = quality_lm.WORDS, quality_lm.FOLDS
+    texts = [(f % n_folds, t) for f, t in enumerate(["the cat sat on the mat .", "the dog sat on the cat", "a cat", "on the mat", "the cat ran", "dog"])]
+    for model in (1, n_folds):  # without a fold, and the whole
+        counts = {order: Counter()}
+        for f, t in texts:
+            u = ("",) * (order - 1) + tuple(t.split())
+            if f != model:
+                counts[order].update(u[i : i + order] for i in range(len(u) - order + 1))
+        for n in range(order - 1, 0, -1):
+            counts[n] = Counter(g[1:] for g in counts[n + 1])
+        cut = {}
+        for n, c in counts.items():
+            k = Counter(c.values())
+            y = k[1] / max(k[1] + 2 * k[2], 1)
+            cut[n] = [max(0.05, min(j - 0.05, j - (j + 1) * y * k[j + 1] / max(k[j], 1))) for j in (1, 2, 3)]
+
+        def p(gram):
+            n = len(gram)
+            if not n:
+                return 1 / (len(counts[1]) + 1)
+            same = {g: c for g, c in counts[n].items() if g[:-1] == gram[:-1]}
+            if not same:
+                return p(gram[1:])
+            d = lambda c: cut[n][min(c, 3) - 1]
+            own, total = same.get(gram, 0), sum(same.values())
+            return (own - d(own) if own else 0) / total + sum(map(d, same.values())) / total * p(gram[1:])
+
+        asked = ["the cat sat on the mat .", "mat the on sat cat the .", "unseen words", "the cat unseen sat"]
+        trusted = [(i, "en", "en", f, t) for i, (f, t) in enumerate(texts)]
+        docs = spark.createDataFrame([*trusted, *[(100 + i, "en", "en", model, t) for i, t in enumerate(asked) if model == n_folds]], "doc_id long, lang string, lang_was string, model int, text string")
+        got = {r["doc_id"]: r["entropy"] for r in quality_lm.perplexities(Workspace(spark, "words"), docs).collect()}
+        check = [(100 + i, t) for i, t in enumerate(asked)] if model == n_folds else [(i, t) for i, (f, t) in enumerate(texts) if f == model]
+        for i, t in check:
+            u = ("",) * (order - 1) + tuple(t.split())
+            assert got[i] == pytest.approx(-np.mean([math.log(p(u[j : j + order])) for j in range(len(u) - order + 1)]))
+        if model == n_folds:
+            assert got[101] > got[100] + 0.5  # the same words in a wrong order
+
+
+def test_keys_are_sparks(spark):
+    rows = np.random.default_rng(3).integers(0, 2**63, (20, quality_lm.WORDS)).astype(np.uint64)
+    for n in range(quality_lm.WORDS + 1):
+        part = np.ascontiguousarray(rows[:, :n])
+        got = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(part)], "i int, b binary").select(F.xxhash64("b")).collect()
+        assert [r[0] for r in got] == quality_lm.keys(part).tolist()
