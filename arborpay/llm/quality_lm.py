@@ -27,8 +27,8 @@ WORDS, ORDER, PAD = 3, 5, "\2"
 BLOCK_CHARS, COUNT_CHARS = 4_000_000, 8_000_000
 #: Share of the trusted documents of a language that its threshold keeps; width of a bin of cross-entropy, in nats.
 QUANTILE, BIN = 0.998, 1e-4
-#: Folds of trusted texts; what a threshold from n documents allows above their quantile, in nats times the root of n.
-FOLDS, ALLOWANCE = 4, 1.0
+#: Folds of trusted texts; trusted documents a language needs for a quantile of its own, so that one of them at least may lie over it.
+FOLDS, ENOUGH = 4, 500
 #: A word, or a mark; characters of scripts without spaces are words of their own.
 TOKEN, UNSPACED = re.compile(r"\w+|[^\w\s]"), re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 
@@ -449,12 +449,23 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     plain = plain.join(known, "doc_id", "left").withColumn("model", F.when(F.col("known"), fold).otherwise(F.lit(FOLDS)))
     scored = perplexities(ws, plain)
 
-    # The quantile of each language over its trusted documents, exact to a bin:
-    # counts by bin are few, whatever the number of documents.
+    # The quantile of each language over its trusted documents, exact to a bin: counts by bin are few,
+    # whatever the number of documents. A language of few takes its mean and the quantile of all
+    # languages' distances from their means; one without any, the quantile over all trusted documents.
     own = F.coalesce("lang", F.lit("\0none"))
-    bins = scored.where(F.col("entropy").isNotNull() & F.col("trusted")).groupBy(own.alias("l"), F.floor(F.col("entropy") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("l").orderBy("bin")
-    bins = bins.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("l")))
-    limits = bins.where(F.col("upto") >= F.col("all") * quantile).groupBy("l").agg(((F.min("bin") + 1) * BIN + ALLOWANCE / F.sqrt(F.max("all"))).alias("limit"))
-    out = scored.withColumn("l", own).join(F.broadcast(limits), "l", "left")  # one row per language
+    judged = scored.where(F.col("entropy").isNotNull() & F.col("trusted")).select(own.alias("l"), "entropy")
+    means = judged.groupBy("l").agg(F.avg("entropy").alias("mean"), F.count("*").alias("judged"))
+    means = F.broadcast(ws.table(means, "means"))  # one row per language
+
+    def quantiles(rows: DataFrame, name: str) -> DataFrame:
+        bins = rows.groupBy("l", F.floor(F.col("entropy") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+        bins = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("l").orderBy("bin"))).withColumn("all", F.sum("n").over(Window.partitionBy("l")))
+        return bins.where(F.col("upto") >= F.col("all") * quantile).groupBy("l").agg(((F.min("bin") + 1) * BIN).alias(name))
+
+    apart = judged.join(means, "l").select(F.lit("").alias("l"), (F.col("entropy") - F.col("mean")).alias("entropy"))
+    pooled = quantiles(apart, "apart").join(F.broadcast(quantiles(judged.withColumn("l", F.lit("")), "over_all")), "l").drop("l")
+    limits = quantiles(judged, "limit").join(means, "l").crossJoin(F.broadcast(pooled)).select("l", F.when(F.col("judged") >= ENOUGH, F.col("limit")).otherwise(F.col("mean") + F.col("apart")).alias("limit"))
+    limits = ws.table(limits, "limits")
+    out = scored.withColumn("l", own).join(F.broadcast(limits), "l", "left").join(F.broadcast(pooled.select("over_all")), how="left")  # one row per language; one row
+    out = out.withColumn("limit", F.coalesce("limit", "over_all"))
     return out.select("doc_id", "lang", "n_chars", "entropy", F.exp("entropy").alias("perplexity"), F.exp("limit").alias("threshold"), F.coalesce(F.col("entropy") <= F.col("limit"), F.lit(True)).alias("kept"))

@@ -283,3 +283,21 @@ def test_keys_are_sparks(spark):
         part = np.ascontiguousarray(rows[:, :n])
         got = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(part)], "i int, b binary").select(F.xxhash64("b")).collect()
         assert [r[0] for r in got] == quality_lm.keys(part).tolist()
+
+
+def test_quality_threshold_has_no_term_in_size(spark, monkeypatch):
+    """Every trusted document sets the threshold, and few of them allow nothing more; a language of few takes the pooled distance."""
+    rng = np.random.default_rng(11)
+    en = [(i, "en", float(e)) for i, e in enumerate(rng.normal(5, 0.3, 600))]
+    es = [(1000 + i, "es", 7 + 0.01 * i) for i in range(4)]
+    rows = [(i, la, 10, True, e) for i, la, e in en + es] + [(2000, "es", 10, False, 9.5), (2001, "es", 10, False, 7.2), (2002, "xx", 10, False, 30.0)]
+    fake = spark.createDataFrame(rows, "doc_id long, lang string, n_chars long, trusted boolean, entropy double")
+    monkeypatch.setattr(quality_lm, "perplexities", lambda *a: fake)
+    docs = spark.createDataFrame([(1, "x", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in classify(docs, labels).collect()}
+    values = sorted(e for _, _, e in en)
+    assert math.log(got[0]["threshold"]) == pytest.approx(values[math.ceil(600 * 0.998) - 1], abs=2e-4)
+    apart = sorted([e - np.mean(values) for e in values] + [0.01 * i - 0.015 for i in range(4)])
+    assert math.log(got[1000]["threshold"]) == pytest.approx(7.015 + apart[math.ceil(604 * 0.998) - 1], abs=3e-4)
+    assert not got[2000]["kept"] and got[2001]["kept"] and not got[2002]["kept"]
