@@ -1,11 +1,16 @@
 """Incremental settlement: order events change the state of a period as a full recomputation would.
 
-State is a table per period. A micro-batch drops orders that were applied before, adds the rest to the
-members' own volume and recomputes only the members above them; everyone else keeps their state.
+State is a table per period. A micro-batch drops orders that were applied before, decides the rest one by
+one, adds what is accepted to the members' own volume and recomputes only the members above them; everyone
+else keeps their state.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +19,57 @@ from arborpay.operators import elite, tree
 from arborpay.sources.workspace import Workspace
 
 
+class Applied(NamedTuple):
+    """What a micro-batch leaves: both states, the orders applied so far, and the batch's rejected orders."""
+
+    ranks: DataFrame
+    legs: DataFrame
+    applied: DataFrame
+    rejected: DataFrame
+
+
 def new_orders(events: DataFrame, applied: DataFrame) -> DataFrame:
-    """Events (order_id, user_id, pv) that weren't applied before; one row per order."""
-    return events.dropDuplicates(["order_id"]).join(applied.select("order_id"), "order_id", "left_anti")
+    """Events (order_id, user_id, pv, and event_ts where there is one) that weren't applied before; one row per order, the earliest."""
+    rest = [c for c in events.columns if c not in ("order_id", "event_ts")]
+    first = [c for c in ("event_ts",) if c in events.columns]
+    rows = events.groupBy("order_id").agg(F.min(F.struct(*first, *rest)).alias("e")).select("order_id", "e.*").select(events.columns)
+    return rows.join(applied.select("order_id"), "order_id", "left_anti")
+
+
+def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by member in order; only the balance of the member at hand is held."""
+    member, balance = None, None
+    for batch in batches:
+        accepted = []
+        for user, pv, start in zip(*(batch.column(c).to_pylist() for c in ("user_id", "pv", "pv_own")), strict=True):
+            if user != member:
+                member, balance = user, start
+            good = balance is not None and balance + (pv or 0) >= 0
+            if good:
+                balance += pv or 0
+            accepted.append(good)
+        names = [n for n in batch.schema.names if n != "pv_own"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(accepted, pa.bool_())], [*names, "accepted"])
+
+
+def decide(state: DataFrame, orders: DataFrame) -> DataFrame:
+    """Orders with ``accepted``: by event time and order_id, a refund that would make its member's own volume negative is not.
+
+    Nor is an order of a member that the state doesn't know. What is accepted is accepted again from the same state.
+    """
+    by = [c for c in ("event_ts", "order_id") if c in orders.columns]
+    rows = orders.withColumn("pv", F.col("pv").cast("long")).join(state.select("user_id", or_zero("pv_own").cast("long").alias("pv_own")), "user_id", "left")
+    rows = rows.select(*orders.columns, "pv_own")
+    schema = rows.drop("pv_own").withColumn("accepted", F.lit(True)).schema
+    return rows.repartition("user_id").sortWithinPartitions("user_id", *by).mapInArrow(_decide, schema)
+
+
+def apply_batch(ws: Workspace, ranks: DataFrame, legs: DataFrame, sponsor: DataFrame, placement: DataFrame, events: DataFrame, applied: DataFrame) -> Applied:
+    """Both states after a micro-batch: the same accepted orders go to ranks, leg volumes and the applied ones."""
+    decided = ws.table(decide(ranks, new_orders(events, applied)), "decided")
+    accepted = decided.where("accepted").drop("accepted")
+    done = applied.select("order_id").unionByName(accepted.select("order_id"))
+    return Applied(apply_ranks(ws, ranks, sponsor, accepted), apply_leg_volume(ws, legs, placement, accepted), done, decided.where("not accepted").drop("accepted"))
 
 
 def affected(ws: Workspace, edges: DataFrame, members: DataFrame) -> DataFrame:
@@ -39,12 +92,12 @@ def apply_leg_volume(ws: Workspace, state: DataFrame, placement: DataFrame, orde
 
 
 def apply_ranks(ws: Workspace, state: DataFrame, sponsor: DataFrame, orders: DataFrame) -> DataFrame:
-    """Rank state after orders. Refunds are negative; one that would make a member's own volume negative is left out.
+    """Rank state after orders. Refunds are negative; each that would make a member's own volume negative is left out.
 
     Members above a buyer are folded anew from their children's state, the others are taken over.
     """
-    delta = orders.groupBy("user_id").agg(F.sum("pv").alias("delta"))
-    sound = state.select("user_id", "pv_own").join(delta, "user_id").where("pv_own + delta >= 0")
+    accepted = decide(state, orders).where("accepted")
+    sound = ws.table(accepted.groupBy("user_id").agg(F.sum("pv").alias("delta")), "sound")
     touched = ws.table(affected(ws, sponsor, sound), "touched")
     kept = state.join(touched, "user_id", "left_anti")
     fixed = kept.select(F.col("parent_id").alias("user_id"), "contrib", ((F.col("rank") >= 10) | (F.col("legs") >= 1)).cast("int").alias("leg"))

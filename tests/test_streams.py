@@ -111,3 +111,32 @@ def test_newest_wins(spark):
     rows = spark.createDataFrame([(1, 5, 0, 1, "a"), (1, 5, 0, 2, "b"), (1, 4, 0, 9, "c")], "id int, event_ts int, partition int, offset int, v string")
     assert changes.newest(rows, "id").first()["v"] == "b"
     assert changes.notices(rows.select(F.col("v")), 3).first()["key"] == "3"
+
+
+def test_refunds_are_decided_one_by_one(spark, ws):
+    """+30, then -50: only the second is ignored, however the events are dealt to batches; both states take the same orders."""
+    sponsor = spark.createDataFrame(SPONSOR, "user_id long, parent_id long")
+    placement = spark.createDataFrame([(1, -1, 0), (9, 1, 1), (10, 1, 2)], "user_id long, parent_id long, leg int")
+    own = lambda pv: spark.createDataFrame(list(pv.items()), "user_id long, pv_own long")
+    schema = "order_id long, user_id long, pv long, event_ts long"
+    # The order ids don't follow event time; 77 is no member.
+    events = [(8, 9, 30, 1), (2, 9, -50, 2), (3, 9, 40, 3), (1, 9, -60, 4), (5, 10, 20, 1), (5, 10, 20, 9), (6, 77, 5, 1)]
+
+    def run(batches):
+        ranks, legs, applied = elite.rank_snapshot(ws, sponsor, own({9: 0})), volume.leg_volume(ws, placement, own({9: 0})), spark.createDataFrame([], "order_id long")
+        rejected = set()
+        for batch in batches:
+            got = incremental.apply_batch(ws, ranks, legs, sponsor, placement, spark.createDataFrame(batch, schema), applied)
+            ranks, legs, applied = (ws.table(t, "batch") for t in got[:3])
+            rejected |= {r["order_id"] for r in got.rejected.collect()}
+        return sorted(map(tuple, ranks.select("user_id", "pv_own", "gpv").collect())), sorted(map(tuple, legs.collect())), sorted(r[0] for r in applied.collect()), rejected
+
+    whole = run([events])
+    assert {u: p for u, p, _ in whole[0] if p} == {9: 10, 10: 20}
+    assert (1, 10, 20) in whole[1]
+    assert whole[2] == [1, 3, 5, 8] and whole[3] == {2, 6}
+    assert run([events[:1], events[1:3], events[3:]]) == whole
+    # Ranks alone decide in the same way.
+    first = spark.createDataFrame(events[:2], schema)
+    got = incremental.apply_ranks(ws, elite.rank_snapshot(ws, sponsor, own({9: 0})), sponsor, first)
+    assert got.where("user_id = 9").first()["pv_own"] == 30
