@@ -17,7 +17,8 @@ def parse(messages: DataFrame, payload: str) -> DataFrame:
     """Change rows of raw messages (topic, partition, offset, timestamp, key, value).
 
     A null value is a tombstone and deletes; the id comes from the row after, the row before, the
-    key's JSON, or the bare key. Messages without an id, or whose JSON can't be read, are marked ``bad``.
+    key's JSON, or the bare key. Messages without an id, or whose JSON can't be read, are marked ``bad``, and
+    so are rows that aren't deleted and have a placement ('0' and null are none) but a leg other than 1 and 2.
     """
     value, key = F.col("value").cast("string"), F.col("key").cast("string")
     read = messages.withColumn("m", F.from_json(value, envelope(payload))).withColumn("k", F.from_json(key, "id string")["id"])
@@ -27,7 +28,11 @@ def parse(messages: DataFrame, payload: str) -> DataFrame:
     op = F.when(value.isNull(), "d").otherwise(F.col("m.op"))
     ts = F.coalesce(F.expr("timestamp_millis(m.ts_ms)"), F.col("timestamp"))
     bad = ident.isNull() | op.isNull() | ~op.isin("c", "r", "u", "d")
-    return read.select(ident.alias("id"), op.alias("op"), ts.alias("event_ts"), "partition", "offset", *[F.coalesce(f"m.after.{f}", f"m.before.{f}").alias(f) for f in fields], F.coalesce(bad, F.lit(True)).alias("bad"))
+    row = {f: F.coalesce(f"m.after.{f}", f"m.before.{f}") for f in fields}
+    if "placementId" in row and "placementLeg" in row:
+        placed = F.coalesce(row["placementId"].cast("string"), F.lit("0")) != "0"
+        bad = bad | ((op != "d") & placed & ~F.coalesce(row["placementLeg"], F.lit(0)).isin(1, 2))
+    return read.select(ident.alias("id"), op.alias("op"), ts.alias("event_ts"), "partition", "offset", *[c.alias(f) for f, c in row.items()], F.coalesce(bad, F.lit(True)).alias("bad"))
 
 
 def newest(rows: DataFrame, key: str) -> DataFrame:

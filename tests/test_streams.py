@@ -140,3 +140,14 @@ def test_refunds_are_decided_one_by_one(spark, ws):
     first = spark.createDataFrame(events[:2], schema)
     got = incremental.apply_ranks(ws, elite.rank_snapshot(ws, sponsor, own({9: 0})), sponsor, first)
     assert got.where("user_id = 9").first()["pv_own"] == 30
+
+
+def test_bad_legs_are_marked(spark):
+    def sent(i, placement, leg, op="u"):
+        row = {"id": str(i), "placementId": placement, "placementLeg": leg}
+        return ("user", 0, i, None, json.dumps({"id": str(i)}), json.dumps({"before": row if op == "d" else None, "after": None if op == "d" else row, "op": op, "ts_ms": 1}))
+
+    rows = [sent(1, "7", 1), sent(2, "7", 3), sent(3, "7", None), sent(4, "0", 0), sent(5, None, None), sent(6, "7", 2, "c"), sent(7, "7", 0, "d"), ("user", 0, 8, None, json.dumps({"id": "8"}), None)]
+    got = changes.parse(spark.createDataFrame(rows, MESSAGES), USER)
+    assert {r["id"] for r in got.where("bad").collect()} == {"2", "3"}
+    assert changes.newest(got.where("not bad"), "id").count() == 6
