@@ -14,17 +14,13 @@ from arborpay.llm.chat_format import conversation_digests, format_conversations
 from arborpay.llm.common import Workspace
 from arborpay.llm.embedding_dedup import embedding_duplicates
 from arborpay.llm.minhash_forest import near_duplicates
-from arborpay.llm.mixing import mix, word_count
+from arborpay.llm.mixing import mix
 from arborpay.llm.packing import pack_documents, piece_digests
 from arborpay.llm.quality_lm import classify
 from arborpay.llm.token_store import store_documents
 from arborpay.llm.toxicity_pu import score_documents
 
 
-#: ASCII marks that count as tokens of their own.
-MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-
-
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -75,30 +71,34 @@ def op9_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "epoch")
 
 
+#: Vocabularies that documents are counted under: one of words, one of bytes.
+VOCABULARIES = ("word_bpe_49k.json", "byte_bpe_50k.tiktoken")
+
+
 def op10_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after: a load under two tokenizer versions, counts revised where quality is 0, toxic documents deleted.
+    """Totals after: a load under two vocabularies, counts of poor documents revised, toxic documents deleted.
 
-    Version words-1 counts words, words-marks-2 words and ASCII marks; a revised count is a quarter of
-    the characters, rounded up. Two batches are sent again, as after a failure, and change nothing.
+    Documents that a label gives quality 0 are counted anew on their texts with runs of white space
+    made one space. Two batches are sent again, as after a failure, and change nothing.
     """
     ws = Workspace(spark, "rollup")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    marks = F.length(text) - F.length(F.translate(text, MARKS, ""))
-    counts = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", word_count(F.col("text")).alias("words"), marks.alias("marks"), F.ceil(F.length(text) / 4).cast("long").alias("again"))
-    counts = ws.table(counts, "counts")
-    labels = _read(spark, sf_dir, "labels")
-    first = counts.withColumn("tokenizer_version", F.lit("words-1")).withColumn("n_tokens", F.col("words"))
-    second = counts.withColumn("tokenizer_version", F.lit("words-marks-2")).withColumn("n_tokens", F.col("words") + F.col("marks"))
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    loaded = ws.table(token_rollup.token_counts(docs, VOCABULARIES), "counts")
     poor = labels.where("quality = 0").select("doc_id").distinct()
     gone = labels.where("toxic = 1").select("doc_id").distinct()
-    anew = first.join(poor, "doc_id", "left_semi").withColumn("old_tokens", F.col("words")).withColumn("n_tokens", F.col("again"))
-    now = first.join(poor.withColumn("poor", F.lit(True)), "doc_id", "left").withColumn("n_tokens", F.when(F.col("poor"), F.col("again")).otherwise(F.col("words")))
+    narrow = docs.join(poor, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", "[ \\t-\\r]+", " "))
+    again = token_rollup.token_counts(narrow, VOCABULARIES).groupBy("doc_id", "tokenizer_version").agg(F.max("n_tokens").alias("again"))
+    again = ws.table(again, "again")
+    both = loaded.join(again, ["doc_id", "tokenizer_version"], "left")
+    anew = both.where("again is not null").withColumnRenamed("n_tokens", "old_tokens").withColumnRenamed("again", "n_tokens")
+    now = both.withColumn("n_tokens", F.coalesce("again", "n_tokens"))
     rollup = token_rollup.TokenRollup(spark, ws.folder("state"))
+    first, second = (name.rpartition(".")[0] for name in VOCABULARIES)
     batches = [
-        ("load-words-1", [token_rollup.inserted(first)]),
-        ("load-words-marks-2", [token_rollup.inserted(second)]),
-        ("revise-words-1", [token_rollup.revised(anew)]),
-        ("delete-toxic", [token_rollup.deleted(df.join(gone, "doc_id", "left_semi")) for df in (now, second)]),
+        (f"load-{first}", [token_rollup.inserted(loaded.where(F.col("tokenizer_version") == first))]),
+        (f"load-{second}", [token_rollup.inserted(loaded.where(F.col("tokenizer_version") == second))]),
+        ("revise-poor", [token_rollup.revised(anew)]),
+        ("delete-toxic", [token_rollup.deleted(now.join(gone, "doc_id", "left_semi"))]),
     ]
     for name, changes in [*batches, batches[0], batches[3]]:
         rollup.apply(name, *changes)
@@ -149,20 +149,4 @@ SELECT e.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id,
 FROM embeddings e JOIN c USING (vec_id) LEFT JOIN k USING (vec_id)
 """
 
-_MARKS_SQL = MARKS.replace("'", "''")
-_OP10 = rf"""
-WITH d AS (
-  SELECT doc_id, source, lang, coalesce(text, '') AS t,
-    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words
-  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)),
-poor AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 0),
-c AS (
-  SELECT source, lang, 'words-1' AS tokenizer_version,
-    CASE WHEN p.doc_id IS NOT NULL THEN CAST(ceil(length(t) / 4) AS BIGINT) ELSE words END AS n
-  FROM d LEFT JOIN poor p ON p.doc_id = d.doc_id
-  UNION ALL
-  SELECT source, lang, 'words-marks-2', words + length(t) - length(translate(t, '{_MARKS_SQL}', '')) FROM d)
-SELECT source, lang, tokenizer_version, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM c GROUP BY ALL
-"""
-
-ORACLE_SQL = {"op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7, "op10_delta_rollups": _OP10}
+ORACLE_SQL = {"op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7}

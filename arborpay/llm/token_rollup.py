@@ -2,18 +2,22 @@
 
 A batch of changes (documents inserted, deleted or counted anew) becomes one signed delta per source,
 language and tokenizer version, so totals are plain sums and never need the documents again. A batch
-is committed by creating one marker file that names its written deltas; a marker is created once or
-not at all, so a batch that is applied again, or retried after a lost driver, changes nothing.
+is committed by a marker file that names its written deltas. A marker is written aside and renamed, so
+it is there whole or not at all; a batch that is applied again, or retried after a lost driver, counts once.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arborpay.llm.tokens import count_column
+
 KEYS = ("source", "lang", "tokenizer_version")
 SCHEMA = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
 
@@ -33,6 +37,25 @@ def revised(counts: DataFrame) -> DataFrame:
     return counts.select(*KEYS, F.lit(0).cast("long").alias("n_docs"), (F.coalesce("n_tokens", F.lit(0)) - F.coalesce("old_tokens", F.lit(0))).cast("long").alias("n_tokens"))
 
 
+def token_counts(docs: DataFrame, vocabularies: tuple[str, ...]) -> DataFrame:
+    """(doc_id, source, lang, tokenizer_version, n_tokens): a row per document and vocabulary.
+
+    ``docs`` needs doc_id, source, lang and text; other columns are not read. A null or empty text has
+    no tokens. Repeated rows each count. No rows give no rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
+                for name in vocabularies:
+                    version = pa.array([name.rpartition("/")[2].rpartition(".")[0]] * len(part), pa.string())
+                    yield pa.RecordBatch.from_arrays([*part.columns[:3], version, pa.array(list(count_column(part.column(3), name)), pa.int64())], ["doc_id", "source", "lang", "tokenizer_version", "n_tokens"])
+
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c).cast("string").alias(c) for c in ("source", "lang", "text")])
+    return plain.mapInArrow(run, "doc_id long, source string, lang string, tokenizer_version string, n_tokens long")
+
+
 class TokenRollup:
     """Rollups under one folder: deltas/<attempt> tables, and a marker per committed batch.
 
@@ -47,7 +70,7 @@ class TokenRollup:
         self._fs = self._root.getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _markers(self) -> list[dict]:
-        """What is committed: {batch, table, covers}; a compaction covers batches."""
+        """What is committed: {batch, table, covers}; a compaction has a name in place of a batch, and covers batches."""
         folder = self._hadoop.Path(f"{self.path}/commits")
         if not self._fs.exists(folder):
             return []
@@ -55,15 +78,23 @@ class TokenRollup:
         return [json.loads(r[0]) for r in rows]
 
     def _commit(self, name: str, entry: dict) -> bool:
-        path = self._hadoop.Path(f"{self.path}/commits/{name}.json")
+        path, aside = self._hadoop.Path(f"{self.path}/commits/{name}.json"), self._hadoop.Path(f"{self.path}/aside/{uuid.uuid4().hex}")
         if self._fs.exists(path):
-            return False
-        stream = self._fs.create(path, False)
+            if self._fs.getFileStatus(path).getLen():
+                return False
+            self._fs.delete(path, False)  # an empty file commits nothing
+        stream = self._fs.create(aside, False)
         try:
             stream.write(bytearray((json.dumps(entry) + "\n").encode()))
         finally:
             stream.close()
-        return True
+        self._fs.mkdirs(path.getParent())
+        if not self._fs.rename(aside, path) and not self._fs.exists(path):
+            raise OSError(f"{path} can't be written")
+        return name in self._names()
+
+    def _names(self) -> set[str]:
+        return {f"batch-{m['batch']}" if m["batch"] else m["name"] for m in self._markers()}
 
     def committed(self) -> set[str]:
         """Ids of the batches in the totals."""
@@ -83,19 +114,30 @@ class TokenRollup:
         deltas.write.parquet(f"{self.path}/{table}")
         return self._commit(f"batch-{batch}", {"batch": batch, "table": table, "covers": []})
 
-    def totals(self) -> DataFrame:
-        """Sums of the committed deltas."""
-        markers = self._markers()
-        covered = {b for m in markers for b in m["covers"]}
-        tables = [f"{self.path}/{m['table']}" for m in markers if not (m["batch"] in covered or m.get("name") in covered)]
+    def _tables(self, markers: list[dict]) -> tuple[list[str], list[str]]:
+        """The tables that the totals add up, and the batches in them.
+
+        One compaction at most counts, that which covers most, beside the batches it doesn't cover; so
+        neither a batch committed meanwhile nor a second compaction can count anything twice.
+        """
+        bases = [m for m in markers if not m["batch"]]
+        base = max(bases, key=lambda m: (len(m["covers"]), m["name"]), default={"covers": [], "table": None})
+        covered = set(base["covers"])
+        own = {m["batch"]: m["table"] for m in markers if m["batch"] and m["batch"] not in covered}
+        return [f"{self.path}/{t}" for t in [base["table"], *own.values()] if t], sorted({*covered, *own})
+
+    def _sums(self, tables: list[str]) -> DataFrame:
         rows = self.spark.read.schema(SCHEMA).parquet(*tables) if tables else self.spark.createDataFrame([], SCHEMA)
         sums = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return sums.where("n_docs <> 0 or n_tokens <> 0")
 
+    def totals(self) -> DataFrame:
+        """Sums of the committed deltas."""
+        return self._sums(self._tables(self._markers())[0])
+
     def compact(self) -> None:
-        """Write the totals as one table that stands for all batches so far."""
-        markers = self._markers()
+        """Write the totals as one table that stands for the batches committed so far."""
+        tables, batches = self._tables(self._markers())
         name = f"base-{uuid.uuid4().hex}"
-        self.totals().write.parquet(f"{self.path}/deltas/{name}")
-        covers = sorted({b for m in markers for b in [m["batch"], m.get("name"), *m["covers"]] if b})
-        self._commit(name, {"batch": None, "name": name, "table": f"deltas/{name}", "covers": covers})
+        self._sums(tables).write.parquet(f"{self.path}/deltas/{name}")
+        self._commit(name, {"batch": None, "name": name, "table": f"deltas/{name}", "covers": batches})

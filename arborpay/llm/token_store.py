@@ -6,8 +6,10 @@ chunks wherever they stand. A chunk's address is the SHA-256 of its bytes. The s
 chunks    digest, width (bytes per id), packed (zstd of the ids, little-endian)
 recipes   in ascending doc_id order: doc_id, n_tokens, digests, root (Merkle root of the digests), part
 manifest  one row per part: its documents, ids, ids of the parts before, and the root over its documents
+top       one row: the parts, and the root over the parts' roots
 
-Every read recomputes digests from the stored bytes and roots from the digests, and fails on any difference.
+Every read recomputes digests from the stored bytes and roots from the digests, and fails on any difference,
+on a part that the manifest has and the recipes don't, and on a manifest that differs from the top.
 """
 
 from __future__ import annotations
@@ -127,11 +129,11 @@ def _add_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _part_roots(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Root over the documents of a part, from their roots in order of place."""
     rows = sorted(x for b in batches for x in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True))
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([merkle_root([r for _, r in rows])], pa.binary())], ["part", "root"])
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([merkle_root([r for _, r in rows])], pa.binary()), pa.array([len(rows)], pa.int64())], ["part", "root", "n"])
 
 
 def _roots_of_parts(recipes: DataFrame) -> DataFrame:
-    return recipes.select("part", "place", "root").groupBy("part").applyInArrow(_part_roots, "part int, root binary")
+    return recipes.select("part", "place", "root").groupBy("part").applyInArrow(_part_roots, "part int, root binary, n long").drop("n")
 
 
 class TokenStore:
@@ -165,8 +167,22 @@ class TokenStore:
         ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
         parts = parts.withColumn("tokens_ahead", F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0)))
         parts.join(_roots_of_parts(written), "part").write.parquet(f"{self.path}/manifest")
+        self._top().write.parquet(f"{self.path}/top")
         return self
 
+    def _top(self) -> DataFrame:
+        """Parts of the manifest and the root over them."""
+        rows = self.table("manifest").select(F.lit(0).alias("part"), F.col("part").alias("place"), "root")  # one row per part
+        return rows.groupBy("part").applyInArrow(_part_roots, "part int, root binary, n long").select(F.col("n").alias("n_parts"), "root")
+
+    def _sound_manifest(self) -> DataFrame:
+        """The manifest; fails the job where it isn't the one that the top was made from."""
+        now = self._top().select(F.col("n_parts").alias("n_now"), F.col("root").alias("root_now"), F.lit(0).alias("all"))
+        top = self.table("top").select("n_parts", F.col("root").alias("top_root"), F.lit(0).alias("all"))
+        same = F.coalesce((F.col("n_parts") == F.col("n_now")) & (F.col("top_root") == F.col("root_now")), F.lit(False))
+        both = top.join(now, "all", "left").select("all", F.when(same, True).otherwise(F.raise_error(F.lit("token store: the manifest differs from its top"))).alias("sound"))
+        return self.table("manifest").withColumn("all", F.lit(0)).join(F.broadcast(both), "all").where("sound").drop("all", "sound")  # one row
+
     def chunks(self) -> DataFrame:
         """The stored chunks: digest, width, packed."""
         objects = self.spark.read.schema("kind int, doc_id long, n_tokens long, digests binary, width int, packed binary").parquet(f"{self.path}/objects")
@@ -180,13 +196,14 @@ class TokenStore:
         """
         recipes = self.table("recipes")
         again = recipes.mapInArrow(_check_roots, recipes.schema)
-        manifest = self.table("manifest").select("part", "n_docs", "tokens_ahead", F.col("root").alias("part_root"))
-        now = _roots_of_parts(recipes).withColumnRenamed("root", "root_now").join(recipes.groupBy("part").agg(F.count("*").alias("docs_now")), "part")
-        sound = (F.col("part_root") == F.col("root_now")) & (F.col("n_docs") == F.col("docs_now"))
-        parts = now.join(manifest, "part", "left").select("part", F.when(sound, F.col("tokens_ahead")).otherwise(F.raise_error(F.lit("token store: a part differs from its manifest"))).alias("tokens_ahead"))
+        manifest = self._sound_manifest().select("part", "n_docs", "tokens_ahead", F.col("root").alias("part_root"))
+        now = recipes.select("part", "place", "root").groupBy("part").applyInArrow(_part_roots, "part int, root binary, n long").select("part", F.col("root").alias("root_now"), F.col("n").alias("docs_now"))
+        sound = F.coalesce((F.col("part_root") == F.col("root_now")) & (F.col("n_docs") == F.col("docs_now")), F.lit(False))
+        # From the manifest's side, so that a part of which nothing is left is missed, too.
+        parts = manifest.join(now, "part", "full").select("part", F.when(sound, F.col("tokens_ahead")).otherwise(F.raise_error(F.lit("token store: a part differs from its manifest"))).alias("tokens_ahead"))
         within = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
         out = again.withColumn("_in", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-        return out.join(parts, "part").withColumn("start", (F.col("tokens_ahead") + F.col("_in")).cast("long"))
+        return out.join(parts, "part", "right").withColumn("start", (F.col("tokens_ahead") + F.col("_in")).cast("long"))
 
     def digests(self) -> DataFrame:
         """(doc_id, start, n_tokens, ids_crc32) of each document, from the stored bytes of its chunks."""

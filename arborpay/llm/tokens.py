@@ -6,6 +6,7 @@ ids of its chunks one after the other. Most chunks repeat, and a repeated chunk
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 import struct
@@ -109,3 +110,23 @@ def encode_column(column, name: str, batch: int = 128):
     tok = worker_tokenizer(name)
     for at in range(0, len(column), batch):
         yield from tok.encode(column.slice(at, batch).cast(pa.binary()).to_pylist())
+
+
+def count_column(column, name: str, batch: int = 128):
+    """Yield how many ids each text of an Arrow string column has under a vocabulary; a null text has none.
+
+    A name that ends in .tiktoken is a table of ranks of a byte-level vocabulary, any other a word vocabulary.
+    """
+    if not name.endswith(".tiktoken"):
+        yield from (len(ids) // 4 for ids in encode_column(column, name, batch))
+        return
+    if name not in _WORKER:
+        import tiktoken
+        import public_tokenizers
+
+        with open(tokenizer_path(name), "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        _WORKER[name] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encode = _WORKER[name].encode_ordinary
+    for text in column:
+        yield len(encode(text.as_py() or ""))

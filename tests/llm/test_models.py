@@ -222,19 +222,57 @@ def test_pipeline_stages_keep_the_columns(spark):
     assert quality_lm.ORDER == 5
 
 
-def test_rollup_query_equals_sql(spark):
-    import duckdb
-
-    from arborpay.llm.queries import ORACLE_SQL, op10_delta_rollups
-
-    db = duckdb.connect()
-    for table in ("documents", "labels"):
-        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
-    columns = ["source", "lang", "tokenizer_version", "n_docs", "n_tokens"]
-    want = db.execute(ORACLE_SQL["op10_delta_rollups"]).df()[columns]
-    got = op10_delta_rollups(spark, DATA).toPandas()[columns]
-    by = columns[:3]
-    assert len(want) and got.sort_values(by).values.tolist() == want.sort_values(by).values.tolist()
+def test_rollup_query_equals_brute_force(spark):
+    import base64
+    import re
+
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from arborpay.llm.queries import op10_delta_rollups
+
+    data = "/root/testdata/sf0.001"
+    words = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    units = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    count = {"word_bpe_49k": lambda t: len(words.encode(t, add_special_tokens=False).ids), "byte_bpe_50k": lambda t: len(units.encode_ordinary(t))}
+    labels = spark.read.parquet(f"{data}/labels.parquet").collect()
+    poor, toxic = {r["doc_id"] for r in labels if r["quality"] == 0}, {r["doc_id"] for r in labels if r["toxic"] == 1}
+    want = {}
+    for r in spark.read.parquet(f"{data}/documents.parquet").collect():
+        if r["doc_id"] not in toxic:
+            text = re.sub("[ \\t-\\r]+", " ", r["text"] or "") if r["doc_id"] in poor else r["text"] or ""
+            for version, of in count.items():
+                own = want.setdefault((r["source"], r["lang"], version), [0, 0])
+                own[0] += 1
+                own[1] += of(text)
+    got = {tuple(r)[:3]: [r["n_docs"], r["n_tokens"]] for r in op10_delta_rollups(spark, data).select("source", "lang", "tokenizer_version", "n_docs", "n_tokens").collect()}
+    assert got == want
+
+
+def test_rollups_survive_a_torn_marker_and_commits_during_a_compaction(spark, tmp_path, monkeypatch):
+    rollup = TokenRollup(spark, f"file://{tmp_path}")
+    one = spark.createDataFrame([("a", "en", "v1", 10)], "source string, lang string, tokenizer_version string, n_tokens long")
+    (tmp_path / "commits").mkdir()
+    (tmp_path / "commits" / "batch-first.json").touch()  # what a driver leaves that is lost while it writes in place
+    assert rollup.apply("first", inserted(one)) and not rollup.apply("first", inserted(one))
+    rollup.apply("second", inserted(one))
+    other, sums = TokenRollup(spark, f"file://{tmp_path}"), rollup._sums
+
+    def meanwhile(tables):
+        other.apply("third", inserted(one))
+        other.compact()
+        return sums(tables)
+
+    monkeypatch.setattr(rollup, "_sums", meanwhile)
+    rollup.compact()
+    monkeypatch.undo()
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "v1", 3, 30)]
+    assert rollup.committed() == {"first", "second", "third"}
+    rollup.compact()
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "v1", 3, 30)]
 
 
 def test_word_model_equals_definition_and_sees_word_order(spark):

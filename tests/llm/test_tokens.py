@@ -104,10 +104,26 @@ def test_store_notices_damage(spark, tmp_path):
     spark.createDataFrame(manifest, store.table("manifest").schema).withColumn("root", F.lit(b"x")).write.parquet(f"file://{tmp_path}/t/manifest")
     for part in ("objects", "recipes"):
         (tmp_path / "t" / part).symlink_to(tmp_path / "s" / part)
-    with pytest.raises(Exception, match="differs from its manifest"):
+    (tmp_path / "t" / "top").symlink_to(tmp_path / "s" / "top")
+    with pytest.raises(Exception, match="differs from its (manifest|top)"):
         TokenStore(spark, f"file://{tmp_path}/t").digests().collect()
 
 
+@pytest.mark.parametrize("table", ["recipes", "manifest"])
+def test_store_notices_a_lost_file(spark, tmp_path, table):
+    docs = spark.createDataFrame([(i, f"a b {i}") for i in range(400)], "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = store_documents(docs, f"file://{tmp_path}/s")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert store.digests().count() == 400
+    files = sorted((tmp_path / "s" / table).glob("part-*.parquet"))
+    files[len(files) // 2].unlink()
+    with pytest.raises(Exception, match="differs from its (manifest|top)"):
+        TokenStore(spark, f"file://{tmp_path}/s").digests().collect()
+
+
 def test_store_of_nothing(spark):
     assert store_documents(spark.createDataFrame([], "doc_id long, text string")).digests().count() == 0
 
