@@ -1,11 +1,12 @@
 """Near-duplicate vectors by an epsilon grid order join.
 
-Unit vectors are turned onto their leading principal directions and sorted by grid cells of width
-epsilon there. Intervals of that sequence are joined recursively: two intervals whose boxes are more
-than epsilon apart hold no pair and are skipped with all they contain. Distances in the turned space
-never exceed those in the full space, so nothing is lost. Pairs of the smallest intervals (blocks) are
-compared in double precision. A block pair gives a row per vector and a spanning set of links, never
-all its pairs.
+Equal vectors of a label are merged first; a representative carries their number, so a group of copies
+costs one row. Unit vectors are turned onto their leading principal directions and sorted by grid cells
+of width epsilon there. Intervals of that sequence are joined recursively: two intervals whose boxes are
+more than epsilon apart hold no pair and are skipped with all they contain. Distances in the turned space
+never exceed those in the full space, so nothing is lost. Of a pair of the smallest intervals (blocks)
+only the vectors within epsilon of the other's box are sent on, to be compared in double precision. A
+block pair gives a row per linked vector and a spanning set of links, never all its pairs.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,10 +23,30 @@ from arborpay.llm.common import Workspace, connected_components
 
 #: Leading principal directions of the grid; vectors of a block; intervals that one joins in the next.
 DIRECTIONS, BLOCK, FAN = 6, 512, 8
+#: Vector lengths with directions of their own, and components that these are taken from; others keep their first components.
+LENGTHS, COMPONENTS = 16, 1024
+_SPOT = ", ".join(f"lo{k} double, hi{k} double" for k in range(DIRECTIONS))
+_BLOCKS = f"part int, block int, dim int, label string, rows int, keys binary, ids binary, copies binary, wide boolean, vectors binary, {_SPOT}"
+
+
+def _narrow(v: np.ndarray) -> tuple[bool, bytes]:
+    """Vectors as bytes: singles where they hold every value exactly, else doubles."""
+    with np.errstate(over="ignore"):
+        f = v.astype(np.float32)
+    return (False, f.tobytes()) if (f == v).all() else (True, v.tobytes())
+
+
+def _units(raw: bytes, wide: bool, dim: int) -> np.ndarray:
+    """Rows of unit vectors in doubles; the largest component is scaled to 1 first, so no norm over- or underflows."""
+    x = np.frombuffer(raw, np.float64 if wide else np.float32).astype(np.float64).reshape(-1, dim)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors that can link, as bytes of doubles with their length."""
+    """Vectors that can link: their bytes, and a 128-bit key of label and vector."""
+    from xxhash import xxh128_digest
+
     for batch in batches:
         ids, labels, vectors = (c.to_pylist() for c in batch.columns)
         rows = []
@@ -32,86 +54,176 @@ def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if i is None or l is None or not x or None in x:
                 continue
             v = np.asarray(x, np.float64)
-            n = np.linalg.norm(v)
-            if np.isfinite(v).all() and n > 0 and np.isfinite(n):
-                rows.append((i, l, len(v), (v / n).tobytes()))
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary())], ["vec_id", "label", "dim", "unit"])
+            if np.isfinite(v).all() and v.any():
+                v = v + 0.0  # one zero
+                wide, raw = _narrow(v)
+                rows.append((i, l, len(v), wide, raw, xxh128_digest(l.encode("utf-8", "surrogatepass") + b"\0" + raw)))
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+        types = (pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["vec_id", "label", "dim", "wide", "v", "key"])
 
 
-def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Count, sum and second moments of the unit vectors of each length."""
-    sums: dict[int, list] = {}
-    for batch in batches:
-        dims = np.asarray(batch.column(0).to_pylist())
-        units = batch.column(1).to_pylist()
-        for d in np.unique(dims).tolist():
-            x = np.frombuffer(b"".join(u for u, k in zip(units, dims, strict=True) if k == d), np.float64).reshape(-1, d)
-            s = sums.setdefault(d, [0, np.zeros(d), np.zeros((d, d))])
-            s[0] += len(x)
-            s[1] += x.sum(axis=0)
-            s[2] += x.T @ x
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s[0] for s in sums.values()], pa.int64()), pa.array([np.concatenate([s[1], s[2].ravel()]).tolist() for s in sums.values()], pa.list_(pa.float64()))], ["dim", "n", "sums"])
-
-
-def principal_directions(units: DataFrame) -> dict[int, np.ndarray]:
-    """Leading directions for each vector length, from moments over all vectors."""
-    parts = units.select("dim", "unit").mapInArrow(_moments, "dim int, n long, sums array<double>")
+_VALID = "vec_id long, label string, dim int, wide boolean, v binary, key binary"
+
+
+def _moments(lengths: list[int]) -> Callable:
+    """Count, sum and second moments of the unit vectors of each of some lengths."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for d, wide, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                s = sums.setdefault(d, [0, np.zeros(min(d, COMPONENTS)), np.zeros((min(d, COMPONENTS),) * 2), []])
+                s[3].append(_units(raw, wide, d)[0, :COMPONENTS])
+                if len(s[3]) == 256:
+                    add(s)
+        for s in sums.values():
+            add(s)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s[0] for s in sums.values()], pa.int64()), pa.array([np.concatenate([s[1], s[2].ravel()]).tolist() for s in sums.values()], pa.list_(pa.float64()))], ["dim", "n", "sums"])
+
+    def add(s: list) -> None:
+        if s[3]:
+            x = np.stack(s[3])
+            s[:] = s[0] + len(x), s[1] + x.sum(axis=0), s[2] + x.T @ x, []
+
+    return run
+
+
+def principal_directions(valid: DataFrame) -> dict[int, np.ndarray]:
+    """Leading directions of the commonest vector lengths, from moments over all their vectors."""
+    common = valid.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(LENGTHS).collect()
+    lengths = [r["dim"] for r in common]
+    parts = valid.where(F.col("dim").isin(lengths)).select("dim", "wide", "v").mapInArrow(_moments(lengths), "dim int, n long, sums array<double>")
     flat = parts.select("dim", "n", F.posexplode("sums").alias("pos", "x")).groupBy("dim", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
     out = {}
-    for dim, rows in flat.toPandas().sort_values(["dim", "pos"]).groupby("dim"):  # d * (d + 1) numbers for each length d
-        d, n = int(dim), int(rows["n"].iloc[0])
+    for dim, rows in flat.toPandas().sort_values(["dim", "pos"]).groupby("dim"):  # c * (c + 1) numbers, c = COMPONENTS at most, for LENGTHS lengths at most
+        d, n = min(int(dim), COMPONENTS), int(rows["n"].iloc[0])
         x = rows["x"].to_numpy()
         mean = x[:d] / n
         _, vectors = np.linalg.eigh(x[d:].reshape(d, d) / n - np.outer(mean, mean))
-        out[d] = np.zeros((d, DIRECTIONS))  # vectors shorter than that have zeros in the directions they lack
-        out[d][:, : min(d, DIRECTIONS)] = vectors[:, ::-1][:, :DIRECTIONS]
+        out[int(dim)] = np.zeros((d, DIRECTIONS))  # vectors shorter than that have zeros in the directions they lack
+        out[int(dim)][:, : min(d, DIRECTIONS)] = vectors[:, ::-1][:, :DIRECTIONS]
     return out
 
 
-def _turn(directions: dict[int, np.ndarray], eps: float) -> Callable:
+def _spots(units: np.ndarray, directions: dict[int, np.ndarray]) -> np.ndarray:
+    """Places of unit vectors of one length in the turned space."""
+    turn = directions.get(units.shape[1])
+    if turn is None:
+        turn = np.eye(min(units.shape[1], COMPONENTS), DIRECTIONS)
+    return units[:, : len(turn)] @ turn
+
+
+def _cells(directions: dict[int, np.ndarray], eps: float) -> Callable:
+    """Adds the grid cell, as bytes that sort like the cell's numbers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spots, cells = [], []
-            for d, u in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p = np.frombuffer(u, np.float64) @ directions[d]
-                spots.append(p.tolist())
-                cells.append(np.floor(p / eps).astype(int).tolist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spots, pa.list_(pa.float64())), pa.array(cells, pa.list_(pa.int32()))], ["vec_id", "label", "dim", "unit", "spot", "cell"])
+            cells = []
+            for d, wide, raw in zip(*(batch.column(c).to_pylist() for c in ("dim", "wide", "v")), strict=True):
+                at = np.floor(_spots(_units(raw, wide, d), directions)[0] / eps)
+                cells.append((at + 2**31).astype(">u4").tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.binary())], [*batch.schema.names, "cell"])
 
     return run
 
 
-def _links(threshold: float) -> Callable:
-    """Of each pair of blocks: links of each vector, and links that join what is connected within it."""
+def _cut(directions: dict[int, np.ndarray]) -> Callable:
+    """Blocks of a sorted partition: rows of one label, length and width, with their box."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made = TaskContext.get().partitionId(), 0
+        held: list[tuple] = []  # (dim, label, wide, id, copies, bytes, key)
+
+        def out() -> pa.RecordBatch:
+            nonlocal made
+            dim, label, wide = held[0][:3]
+            raw = b"".join(h[5] for h in held)
+            spots = _spots(_units(raw, wide, dim), directions)
+            box = [[float(x)] for k in range(DIRECTIONS) for x in (spots[:, k].min(), spots[:, k].max())]
+            row = [[part], [made], [dim], [label], [len(held)], [b"".join(h[6] for h in held)], [np.array([h[3] for h in held], np.int64).tobytes()], [np.array([h[4] for h in held], np.int64).tobytes()], [wide], [raw], *box]
+            made += 1
+            held.clear()
+            types = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_(), pa.binary(), *[pa.float64()] * (2 * DIRECTIONS)]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, types, strict=True)], [c.split()[0] for c in _BLOCKS.split(", ")])
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("dim", "label", "wide", "rep", "n", "v", "key")), strict=True):
+                if held and (held[0][:3] != row[:3] or len(held) >= BLOCK):
+                    yield out()
+                held.append(row)
+        if held:
+            yield out()
+
+    return run
+
+
+def _halves(directions: dict[int, np.ndarray], eps: float) -> Callable:
+    """Of a block and the box of its partner: the vectors within epsilon of that box."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for same, ids_a, a, ids_b, b, dim in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ia, ib = np.frombuffer(ids_a, np.int64), np.frombuffer(ids_b, np.int64)
-                x, y = np.frombuffer(a, np.float64).reshape(-1, dim), np.frombuffer(b, np.float64).reshape(-1, dim)
-                near = x @ y.T >= threshold
-                if same:
-                    np.fill_diagonal(near, False)
-                    ids, n = ia, near.sum(axis=1)
-                    r, c = np.nonzero(near)
-                else:
-                    ids, n = np.concatenate([ia, ib]), np.concatenate([near.sum(axis=1), near.sum(axis=0)])
-                    r, c = np.nonzero(near)
-                    c = c + len(ia)
-                if not len(r):
-                    continue
-                root = np.arange(len(ids))
-                while True:  # smallest position within reach
-                    low = root.copy()
-                    np.minimum.at(low, r, root[c])
-                    np.minimum.at(low, c, root[r])
-                    low = low[low]
-                    if (low == root).all():
-                        break
-                    root = low
-                linked = n > 0
-                yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[root[linked]]), pa.array(n[linked].astype(np.int64))], ["a", "b", "n"])
+            names = batch.schema.names
+            rows = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                r = dict(zip(names, row, strict=True))
+                wide, dim = r["wide"], r["dim"]
+                keep = np.arange(r["rows"])
+                if r["i"] != r["j"]:
+                    spots = _spots(_units(r["vectors"], wide, dim), directions)
+                    low, high = (np.array([r[f"{e}{k}"] for k in range(DIRECTIONS)]) for e in ("lo", "hi"))
+                    gap = np.maximum(0, np.maximum(low - spots, spots - high))
+                    keep = np.flatnonzero((gap**2).sum(axis=1) <= eps * eps)
+                if len(keep):
+                    width = dim * (8 if wide else 4)
+                    vectors = np.frombuffer(r["vectors"], np.uint8).reshape(-1, width)[keep].tobytes()
+                    keys = np.frombuffer(r["keys"], np.uint8).reshape(-1, 16)[keep].tobytes()
+                    rows.append((r["i"], r["j"], r["side"], dim, wide, keys, *(np.frombuffer(r[c], np.int64)[keep].tobytes() for c in ("ids", "copies")), vectors))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 9
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [c.split()[0] for c in _HALVES.split(", ")])
+
+    return run
+
+
+_HALVES = "i long, j long, side int, dim int, wide boolean, keys binary, ids binary, copies binary, vectors binary"
+
+
+def _links(threshold: float) -> Callable:
+    """Of each pair of blocks: links of each vector, and links that join what is connected within it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "key": pa.array([], pa.binary())})
+        same = table.column("i")[0] == table.column("j")[0]
+        if table.num_rows < 2 and not same:
+            return none
+        sides = sorted(table.to_pylist(), key=lambda r: r["side"])
+        ids, copies = ([np.frombuffer(r[c], np.int64) for r in sides] for c in ("ids", "copies"))
+        keys = b"".join(r["keys"] for r in sides)
+        units = [_units(r["vectors"], r["wide"], r["dim"]) for r in sides]
+        near = units[0] @ units[-1].T >= threshold
+        if same:
+            np.fill_diagonal(near, False)
+            ids, n = ids[0], near @ copies[0]
+            r, c = np.nonzero(near)
+        else:
+            n = np.concatenate([near @ copies[1], near.T @ copies[0]])
+            r, c = np.nonzero(near)
+            c = c + len(ids[0])
+            ids = np.concatenate(ids)
+        if not len(r):
+            return none
+        root = np.arange(len(ids))
+        while True:  # smallest position within reach
+            low = root.copy()
+            np.minimum.at(low, r, root[c])
+            np.minimum.at(low, c, root[r])
+            low = low[low]
+            if (low == root).all():
+                break
+            root = low
+        linked = n > 0
+        return pa.table({"a": ids[linked], "b": ids[root[linked]], "n": n[linked].astype(np.int64), "key": pa.array([keys[16 * k : 16 * k + 16] for k in np.flatnonzero(linked).tolist()], pa.binary())})
 
     return run
 
@@ -128,70 +240,69 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> Data
     ws = Workspace(spark, "embeddings")
     eps = float(np.sqrt(2 - 2 * threshold)) + 1e-9
     plain = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    units = ws.table(plain.mapInArrow(_valid, "vec_id long, label string, dim int, unit binary"), "units")
-    turned = units.mapInArrow(_turn(principal_directions(units), eps), "vec_id long, label string, dim int, unit binary, spot array<double>, cell array<int>")
-
-    # The sequence: by label and length, then grid cells. Ranges of it go to partitions, which cut it into blocks.
-    order = ["dim", "label", "cell", "spot", "vec_id"]
-    n_rows = units.count()
-    dealt = turned.repartitionByRange(max(1, -(-n_rows // (16 * BLOCK))), *order).sortWithinPartitions(*order)
-    dealt = ws.table(dealt.withColumn("part", F.spark_partition_id()).withColumn("pos", F.monotonically_increasing_id()), "sequence")
-    place = F.row_number().over(Window.partitionBy("part", "dim", "label").orderBy("pos")) - 1
-    rows = dealt.withColumn("block", F.floor(place / BLOCK).cast("int"))
-    box = [f(F.col("spot")[k]).alias(f"{name}{k}") for k in range(DIRECTIONS) for f, name in ((F.min, "lo"), (F.max, "hi"))]
-    packed = F.sort_array(F.collect_list(F.struct("pos", "vec_id", "unit")))
-    blocks = rows.groupBy("dim", "label", "part", "block").agg(packed.alias("rows"), *box)
-    blocks = blocks.mapInArrow(_pack_blocks, "dim int, label string, part int, block int, ids binary, units binary, " + ", ".join(f"lo{k} double, hi{k} double" for k in range(DIRECTIONS)))
-    number = F.row_number().over(Window.partitionBy("dim", "label").orderBy("part", "block")) - 1
-    blocks = ws.table(blocks, "blocks")
-    boxes = blocks.drop("ids", "units").withColumn("no", number.cast("long"))
-    boxes = ws.table(boxes, "boxes")
+    valid = plain.mapInArrow(_valid, _VALID)
+    members = ws.table(valid.select("vec_id", "key"), "members")
+    directions = principal_directions(valid)
 
-    pairs = _interval_join(ws, boxes, eps)
-    names = boxes.select("dim", "label", "no", "part", "block")
-    sides = ws.table(blocks.select("dim", "label", "part", "block", "ids", "units").join(names, ["dim", "label", "part", "block"]).drop("part", "block"), "numbered")
-    left, right = (sides.select("dim", "label", F.col("no").alias(c), F.col("ids").alias(f"ids_{c}"), F.col("units").alias(f"units_{c}")) for c in "ij")
-    both = pairs.join(left, ["dim", "label", "i"]).join(right, ["dim", "label", "j"])
-    found = both.select((F.col("i") == F.col("j")).alias("same"), "ids_i", "units_i", "ids_j", "units_j", "dim").mapInArrow(_links(threshold), "a long, b long, n long")
-    found = ws.table(found, "links")
-    counts = found.groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links"))
-    roots = connected_components(ws, found)
-    out = plain.select("vec_id").join(counts, "vec_id", "left").join(roots.withColumnRenamed("v", "vec_id"), "vec_id", "left")
-    component = F.coalesce("root", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+    # The sequence: by label and length, then grid cells, of one row for all equal vectors. Ranges of it go to
+    # partitions, which cut it into blocks.
+    merged = valid.groupBy("dim", "label", "wide", "v", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
+    turned = merged.mapInArrow(_cells(directions, eps), "dim int, label string, wide boolean, v binary, key binary, rep long, n long, cell binary")
+    order = ["dim", "label", "wide", "cell", "rep", "key"]
+    blocks = turned.repartitionByRange(max(1, -(-members.count() // (16 * BLOCK))), *order).sortWithinPartitions(*order)
+    blocks = ws.table(blocks.mapInArrow(_cut(directions), _BLOCKS), "blocks")
+    ahead = F.coalesce(F.sum("made").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = blocks.groupBy("part").agg(F.count("*").alias("made")).withColumn("ahead", ahead)  # one row per partition of 16 blocks
+    boxes = blocks.drop("keys", "ids", "copies", "vectors").join(parts, "part").withColumn("no", (F.col("ahead") + F.col("block")).cast("long"))
+    boxes = ws.table(boxes.drop("ahead", "made"), "boxes")
 
+    pairs = _interval_join(ws, boxes, eps)
+    numbered = blocks.select("part", "block", "dim", "wide", "rows", "keys", "ids", "copies", "vectors").join(boxes.select("part", "block", F.col("no").alias("own")), ["part", "block"]).drop("part", "block")
+    far = boxes.select(F.col("no").alias("other"), *[f"{e}{k}" for k in range(DIRECTIONS) for e in ("lo", "hi")])
+    sides = pairs.select("i", "j", F.lit(0).alias("side"), F.col("i").alias("own"), F.col("j").alias("other"))
+    sides = sides.unionByName(pairs.where("i <> j").select("i", "j", F.lit(1).alias("side"), F.col("j").alias("own"), F.col("i").alias("other")))
+    halves = sides.join(far, "other").drop("other").join(numbered, "own").drop("own").mapInArrow(_halves(directions, eps), _HALVES)
+    found = ws.table(halves.groupBy("i", "j").applyInArrow(_links(threshold), "a long, b long, n long, key binary"), "links")
 
-def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, units = [], []
-        for rows in batch.column(4):
-            ids.append(np.array([r["vec_id"] for r in rows.as_py()], np.int64).tobytes())
-            units.append(b"".join(r["unit"] for r in rows.as_py()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(ids, pa.binary()), pa.array(units, pa.binary()), *batch.columns[5:]], ["dim", "label", "part", "block", "ids", "units", *batch.schema.names[5:]])
+    # Back from representatives to rows: a row links with its copies and with what its representative links with.
+    counts = found.groupBy("key").agg(F.sum("n").alias("more"))
+    reps = members.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
+    placed = ws.table(members.join(reps, "key").select("vec_id", "rep", "key", "n"), "placed")
+    counted = placed.join(counts, "key", "left")
+    counted = counted.groupBy("vec_id").agg(F.sum(F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.min("rep").alias("rep"), F.max("rep").alias("last"))
+    counted = ws.table(counted, "counted")
+    split = counted.where("rep <> last").select("vec_id").join(placed, "vec_id").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
+    roots = connected_components(ws, found.select("a", "b").union(split))
+    out = plain.select("vec_id").join(counted.select("vec_id", "n_links", "rep"), "vec_id", "left").join(roots.withColumnRenamed("v", "rep"), "rep", "left")
+    component = F.coalesce("root", "rep", "vec_id")
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
 
 
 def _interval_join(ws: Workspace, boxes: DataFrame, eps: float) -> DataFrame:
-    """(dim, label, i, j): pairs of blocks, i <= j, whose boxes may hold vectors within eps.
+    """(i, j): pairs of blocks of one label and length, i <= j, whose boxes may hold vectors within eps.
 
-    Intervals of FAN**level blocks are joined from the largest down; only pairs whose boxes come
-    near each other are taken apart into the pairs of their FAN parts.
+    Intervals of FAN**level blocks are joined from the largest down; only pairs whose labels overlap and
+    whose boxes come near each other are taken apart into the pairs of their FAN parts.
     """
     most = boxes.agg(F.max("no")).first()[0]
     if most is None:
-        return ws.spark.createDataFrame([], "dim int, label string, i long, j long")
+        return ws.spark.createDataFrame([], "i long, j long")
     top = 0
     while FAN**top <= most:
         top += 1
-    pairs = boxes.select("dim", "label").distinct().select("*", F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))
+    pairs = ws.spark.range(1).select(F.col("id").alias("i"), F.col("id").alias("j"))
     parts = F.sequence(F.lit(0), F.lit(FAN - 1))
-    for level in range(top - 1, -1, -1):
+    own = boxes.withColumn("first", F.struct("dim", "label")).withColumn("last", F.struct("dim", "label"))
+    sides = ["first", "last", *[f"{e}{d}" for d in range(DIRECTIONS) for e in ("lo", "hi")]]
+    for level in range(top, -1, -1):
         size = FAN**level
-        wide = boxes.groupBy("dim", "label", F.floor(F.col("no") / size).cast("long").alias("k")).agg(*[f(f"{name}{d}").alias(f"{name}{d}") for d in range(DIRECTIONS) for f, name in ((F.min, "lo"), (F.max, "hi"))])
-        kids = pairs.select("dim", "label", (F.col("i") * FAN).alias("i0"), (F.col("j") * FAN).alias("j0"))
-        kids = kids.withColumn("x", F.explode(parts)).withColumn("y", F.explode(parts)).select("dim", "label", (F.col("i0") + F.col("x")).alias("i"), (F.col("j0") + F.col("y")).alias("j")).where("i <= j")
-        a = wide.select("dim", "label", F.col("k").alias("i"), *[F.col(f"{n}{d}").alias(f"{n}a{d}") for d in range(DIRECTIONS) for n in ("lo", "hi")])
-        b = wide.select("dim", "label", F.col("k").alias("j"), *[F.col(f"{n}{d}").alias(f"{n}b{d}") for d in range(DIRECTIONS) for n in ("lo", "hi")])
-        near = kids.join(a, ["dim", "label", "i"]).join(b, ["dim", "label", "j"])
-        gap = sum((F.pow(F.greatest(F.lit(0.0), F.coalesce(F.col(f"loa{d}") - F.col(f"hib{d}"), F.lit(0.0)), F.coalesce(F.col(f"lob{d}") - F.col(f"hia{d}"), F.lit(0.0))), 2) for d in range(DIRECTIONS)), F.lit(0.0))
-        pairs = ws.table(near.where(gap <= eps * eps).select("dim", "label", "i", "j"), "pairs")
+        wide = own.groupBy(F.floor(F.col("no") / size).cast("long").alias("k")).agg(*[(F.min if c.startswith(("first", "lo")) else F.max)(c).alias(c) for c in sides])
+        if level < top:
+            kids = pairs.select((F.col("i") * FAN).alias("i0"), (F.col("j") * FAN).alias("j0"))
+            pairs = kids.withColumn("x", F.explode(parts)).withColumn("y", F.explode(parts)).select((F.col("i0") + F.col("x")).alias("i"), (F.col("j0") + F.col("y")).alias("j")).where("i <= j")
+        a = wide.select(F.col("k").alias("i"), *[F.col(c).alias(f"{c}_a") for c in sides])
+        b = wide.select(F.col("k").alias("j"), *[F.col(c).alias(f"{c}_b") for c in sides])
+        near = pairs.join(a, "i").join(b, "j").where("first_a <= last_b and first_b <= last_a")
+        gap = sum((F.pow(F.greatest(F.lit(0.0), F.col(f"lo{d}_a") - F.col(f"hi{d}_b"), F.col(f"lo{d}_b") - F.col(f"hi{d}_a")), 2) for d in range(DIRECTIONS)), F.lit(0.0))
+        pairs = ws.table(near.where(gap <= eps * eps).select("i", "j"), "pairs")
     return pairs

@@ -92,6 +92,25 @@ def test_embedding_duplicates_equal_brute_force(spark):
     assert got == {i: (n[i], root[i], root[i] == i) for i in range(706)}
 
 
+def test_embedding_copies_are_one_vector_of_the_join(spark, monkeypatch):
+    """4,000 equal vectors give a row of links to each neighbour, not to each other; norms may be out of range of doubles."""
+    from arborpay.llm import embedding_dedup
+
+    tables = {}
+    keep = Workspace.table
+
+    def table(self, df, name="t", **more):
+        tables[name] = keep(self, df, name, **more)
+        return tables[name]
+
+    monkeypatch.setattr(Workspace, "table", table)
+    rows = [(i, [1.0, 2.0, 3.0], 1) for i in range(4000)] + [(4000, [1.0, 2.0, 3.1], 1), (4001, [1.0, 2.0, 3.0], 2), (4002, [1e-250, 2e-250, 3e-250], 1), (4003, [1e250, 2e250, 3e250], 1), (4003, [-1.0, 0.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {(r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.embedding_duplicates(df).collect()}
+    assert got == {(i, 4002, 0) for i in range(4001)} | {(4001, 0, 4001), (4002, 4002, 0), (4003, 4002, 0)}
+    assert tables["links"].count() <= 8
+
+
 def test_embedding_duplicates_of_nothing(spark):
     assert embedding_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
