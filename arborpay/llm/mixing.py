@@ -11,6 +11,8 @@ Only document counts by leaf and by slice of the seeded order are gathered; no l
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,19 +48,29 @@ def _filled(children: DataFrame, parents: list[str], key: str) -> DataFrame:
     return rows.withColumn("share", F.greatest(F.lit(0), share).cast("long")).drop("_left", "_rest", "_full", "_l", "_r")
 
 
-def _weight(weights: dict[str, int], column: Column) -> Column:
+def _named(value: Column) -> Column:
+    """The key of a name in the tree; null is a key of its own, which no name has."""
+    return F.coalesce(F.concat(F.lit("="), value), F.lit("~"))
+
+
+def _weight(weights: dict[str, int], key: Column) -> Column:
     if not weights:
         return F.lit(1).cast("long")
-    return F.coalesce(F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])[column], F.lit(1)).cast("long")
+    return F.coalesce(F.create_map(*[F.lit(x) for name, w in weights.items() for x in (f"={name}", w)])[key], F.lit(1)).cast("long")
 
 
-def _leaf(docs: DataFrame) -> dict[str, Column]:
+def _leaf(domain: Callable[[Column], Column]) -> dict[str, Column]:
     source = F.col("source").cast("string")
-    return {"domain": domain_of(source), "lang": F.coalesce(F.col("lang").cast("string"), F.lit("none")), "source": F.coalesce(source, F.lit("none"))}
+    return {"domain": _named(domain(source)), "lang": _named(F.col("lang").cast("string")), "source": _named(source)}
+
+
+def _identity() -> Column:
+    """What seeds a row's place: its doc_id, or its text where it has none."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text-"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
 
 
-def _seeded(seed: int, epoch: Column) -> Column:
-    return F.md5(F.concat_ws("-", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+def _seeded(seed: int, epoch: Column, identity: Column) -> Column:
+    return F.md5(F.concat_ws("-", F.lit(str(seed)), epoch.cast("string"), identity))
 
 
 def leaf_quotas(meta: DataFrame, weights: dict[str, dict[str, int]], share: float | None, budget: int | None, epochs: int) -> DataFrame:
@@ -75,18 +87,19 @@ def leaf_quotas(meta: DataFrame, weights: dict[str, dict[str, int]], share: floa
     return _filled(low, ["domain", "lang"], "source").select(*LEVELS, "tokens", "share")
 
 
-def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: float | None = None, budget: int | None = None, epochs: int = 1, seed: int = 9) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: float | None = None, budget: int | None = None, epochs: int = 1, seed: int = 9, domain: Callable[[Column], Column] = domain_of) -> DataFrame:
     """docs with columns ``domain`` and ``epoch``: one row for each epoch that takes the document.
 
     ``weights`` holds whole numbers by level and name; a name that isn't listed weighs 1, so a
     level without weights shares evenly. The budget is a number of words, or ``share`` of all
     words. ``docs`` needs doc_id, text, lang and source, and keeps all its columns (one named domain or
-    epoch is replaced); nulls in lang and source are leaves of their own. A null text has no words.
-    A leaf without words is never taken. Rows with the same doc_id go together. No rows give no rows.
+    epoch is replaced); ``domain`` gives a source's domain. Nulls in lang and source are leaves of their own.
+    A null text has no words. A leaf without words is never taken. Rows with the same doc_id go
+    together, and so do rows without one that have the same text. No rows give no rows.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "mixing")
-    meta = docs.select("doc_id", *[c.alias(n) for n, c in _leaf(docs).items()], word_count(F.col("text")).alias("n_tokens"))
+    meta = docs.select(_identity().alias("id"), *[c.alias(n) for n, c in _leaf(domain).items()], word_count(F.col("text")).alias("n_tokens"))
     meta = ws.table(meta, "meta")
     quotas = ws.table(leaf_quotas(meta, weights, share, budget, epochs), "quotas")
     few = quotas.count() <= BROADCAST_LEAVES
@@ -98,7 +111,7 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: float | None
     n, digits = meta.count(), 1
     while n > SLICE_ROWS * 16**digits and digits < 8:
         digits += 1
-    last = meta.join(hint(quotas.where("rest > 0")), list(LEVELS)).withColumn("h", _seeded(seed, F.col("full") + 1))
+    last = meta.join(hint(quotas.where("rest > 0")), list(LEVELS)).withColumn("h", _seeded(seed, F.col("full") + 1, F.col("id")))
     last = last.select(*LEVELS, "n_tokens", "rest", "h", F.substring("h", 1, digits).alias("slice"))
     up_to = Window.partitionBy(*LEVELS).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = last.groupBy(*LEVELS, "rest", "slice").agg(F.sum("n_tokens").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(up_to), F.lit(0)))
@@ -109,12 +122,12 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: float | None
     inside = inside.withColumn("upto", F.col("ahead") + F.sum("n_tokens").over(running)).where("upto <= rest")
     inside = inside.groupBy(*LEVELS).agg(F.max("h").alias("h_in"))
     limits = cut.join(inside, list(LEVELS), "left").select(*LEVELS, F.coalesce("h_in", "slice").alias("h_max"))
-    limits = ws.table(quotas.join(limits, list(LEVELS), "left").select(*[F.col(c).alias(f"_{c}") for c in LEVELS], F.col("full").alias("_full"), F.col("h_max").alias("_h")), "limits")
-
-    leaf = _leaf(docs)
-    tagged = docs.withColumn("domain", leaf["domain"]).withColumn("_l", leaf["lang"]).withColumn("_s", leaf["source"])
-    out = tagged.join(hint(limits), (F.col("domain") == F.col("_domain")) & (F.col("_l") == F.col("_lang")) & (F.col("_s") == F.col("_source")))
-    partial = F.coalesce(_seeded(seed, F.col("_full") + 1) <= F.col("_h"), F.lit(False))
-    taken = F.col("_full") + partial.cast("int")
-    out = out.withColumn("epoch", F.explode(F.when(taken > 0, F.sequence(F.lit(1), taken)).otherwise(F.array().cast("array<int>"))))
-    return out.drop("_domain", "_lang", "_source", "_full", "_h", "_l", "_s")
+    limits = ws.table(quotas.join(limits, list(LEVELS), "left").select(F.struct(*LEVELS).alias("leaf"), F.col("full"), F.col("h_max")), "limits")
+
+    # The caller's columns stay in one struct, so that none can clash with those of the tree.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.struct(*[c.alias(n) for n, c in _leaf(domain).items()]).alias("leaf"), _identity().alias("id"), domain(F.col("source").cast("string")).alias("domain"))
+    rows = rows.join(hint(limits), "leaf")
+    partial = F.coalesce(_seeded(seed, F.col("full") + 1, F.col("id")) <= F.col("h_max"), F.lit(False))
+    taken = F.col("full") + partial.cast("int")
+    rows = rows.select("doc", "domain", F.explode(F.when(taken > 0, F.sequence(F.lit(1), taken)).otherwise(F.array().cast("array<int>"))).alias("epoch"))
+    return rows.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in ("domain", "epoch")], "domain", "epoch")

@@ -1,9 +1,10 @@
 """Vector bin packing of token sequences under limits on tokens, segments and loss-bearing tokens.
 
-Examples longer than a sequence are cut into full sequences; what remains is placed by the
-dot-product heuristic: an open sequence takes the example that fits and has the largest product of
-its demand with what is left of each limit. Each task packs what it reads in buffers of bounded size,
-so nothing is shuffled and a hot source or key makes no difference.
+Examples over a limit are cut into pieces; what doesn't fill a sequence by itself is placed by the
+dot-product heuristic: an open sequence takes the example that fits and has the largest product of its
+demand with what is left of each limit. Each task packs what it reads in buffers of bounded size and
+gives out full sequences; what is left over in all tasks is dealt to few tasks of a second stage and
+packed there, so the padding doesn't depend on how the input is split, and no key makes a difference.
 """
 
 from __future__ import annotations
@@ -17,12 +18,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborpay.llm.common import Workspace
 from arborpay.llm.tokens import encode_column
 
 SEQUENCE, SEGMENTS = 2048, 256
 #: Examples a task holds before it packs them; sequences this full are given out, others wait for the next buffer.
 BUFFER, FULL = 4096, 0.99
-PIECES = "doc_id long, start long, length long, doc_tokens long, loss_tokens long, sequence_id long, offset long, ids binary"
+#: Tokens of left-over pieces that a task of the second stage packs.
+LEFT_OVER = 8_000_000
+PIECES = "doc_id long, start long, length long, doc_tokens long, loss_tokens long, sequence_id long, offset long, ids binary, loss binary"
 
 
 def place(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int]) -> list[list[int]]:
@@ -53,78 +57,140 @@ def place(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int]) ->
     return bins
 
 
-def _packer(tokenizer: str, sequence: int, segments: int, loss_limit: int, end_id: int) -> Callable:
-    end = struct.pack("<I", end_id)
-    step = min(sequence, loss_limit)
+def pieces(doc: int | None, ids: bytes, loss: bytes | None, limits: tuple[int, int, int]) -> Iterator[tuple]:
+    """(doc, start, ids, tokens of the example, loss-bearing ids, mask) of each part of an example that keeps the limits.
+
+    The mask has a byte per id; without one, every id but the last of the example bears loss.
+    """
+    total = len(ids) // 4
+    bears = np.frombuffer(loss, np.uint8) if loss is not None else np.append(np.ones(total - 1, np.uint8), np.uint8(0)) if total else np.empty(0, np.uint8)
+    upto = np.concatenate([[0], np.cumsum(bears, dtype=np.int64)])
+    start = 0
+    while start < total:
+        most = int(np.searchsorted(upto, upto[start] + limits[2], "right")) - 1  # as far as the limit on loss goes
+        stop = min(total, start + limits[0], most)
+        yield doc, start, ids[4 * start : 4 * stop], total, int(upto[stop] - upto[start]), None if loss is None else loss[start:stop]
+        start = stop
+
+
+def _packer(read: Callable[[pa.RecordBatch], Iterator[tuple]], limits: tuple[int, int, int], first_id: int, last: bool) -> Callable:
+    """Places the pieces that ``read`` gives; unless this is the last stage, those left over have no sequence."""
+    sequence, segments, loss_limit = limits
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 40
+        base = first_id + (TaskContext.get().partitionId() << 36)
         made = 0
-        waiting: list[tuple] = []  # (doc_id, start, ids, doc_tokens, loss)
+        waiting: list[tuple] = []
         rows: list[tuple] = []
 
-        def give(pieces: list[tuple]) -> None:
+        def give(own: list[tuple]) -> None:
             nonlocal made
             offset = 0
-            for doc, start, ids, total, loss in pieces:
-                rows.append((doc, start, len(ids) // 4, total, loss, base + made, offset, ids))
+            for doc, start, ids, total, loss, mask in own:
+                rows.append((doc, start, len(ids) // 4, total, loss, base + made, offset, ids, mask))
                 offset += len(ids) // 4
             made += 1
 
-        def settle(last: bool) -> None:
+        def settle(flush: bool) -> None:
             nonlocal waiting
             tokens = np.array([len(w[2]) // 4 for w in waiting], np.int64)
             loss = np.array([w[4] for w in waiting], np.int64)
             later: list[tuple] = []
-            for own in place(tokens, loss, (sequence, segments, loss_limit)):
-                done = last or tokens[own].sum() >= FULL * sequence or loss[own].sum() >= FULL * loss_limit or len(own) >= segments
-                give([waiting[i] for i in own]) if done else later.extend(waiting[i] for i in own)
-            if len(later) > BUFFER // 2:  # too many that never fill a sequence: let them go as they are
-                waiting = later
-                settle(True)
-                return
+            for own in place(tokens, loss, limits):
+                done = tokens[own].sum() >= FULL * sequence or loss[own].sum() >= FULL * loss_limit or len(own) >= segments
+                if done or (flush and last):
+                    give([waiting[i] for i in own])
+                else:
+                    later.extend(waiting[i] for i in own)
             waiting = later
+            if flush or len(later) > BUFFER // 2:  # too many that never fill a sequence
+                if last:
+                    waiting = []
+                    for own in place(np.array([len(w[2]) // 4 for w in later], np.int64), np.array([w[4] for w in later], np.int64), limits):
+                        give([later[i] for i in own])
+                else:
+                    rows.extend((doc, start, len(ids) // 4, total, n, None, None, ids, mask) for doc, start, ids, total, n, mask in later)
+                    waiting = []
 
         def batch() -> pa.RecordBatch:
             nonlocal rows
-            out = pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i == 7 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))], [c.split()[0] for c in PIECES.split(", ")])
+            out = pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i > 6 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))], [c.split()[0] for c in PIECES.split(", ")])
             rows = []
             return out
 
         for part in batches:
-            docs = part.column(0).to_pylist()
-            for doc, ids in zip(docs, encode_column(part.column(1), tokenizer), strict=True):
-                ids += end
-                total = len(ids) // 4
-                for start in range(0, total, step):
-                    piece = ids[4 * start : 4 * (start + step)]
-                    n = len(piece) // 4
-                    loss = n - (start + n == total)  # the end id bears no loss
-                    if n == sequence:
-                        give([(doc, start, piece, total, loss)])
-                    else:
-                        waiting.append((doc, start, piece, total, loss))
+            for piece in read(part):
+                if len(piece[2]) == 4 * sequence:
+                    give([piece])
+                else:
+                    waiting.append(piece)
                 if len(waiting) >= BUFFER:
                     settle(False)
                 if len(rows) >= 1024:
                     yield batch()
         settle(True)
-        if rows:
+        while rows:
+            rows, more = rows[:1024], rows[1024:]
             yield batch()
+            rows = more
 
     return pack
 
 
+def _pack(df: DataFrame, read: Callable[[pa.RecordBatch], Iterator[tuple]], limits: tuple[int, int, int]) -> DataFrame:
+    if min(limits) < 1:
+        raise ValueError("limits must be 1 at least")
+    ws = Workspace(df.sparkSession, "packing")
+    first = ws.table(df.mapInArrow(_packer(read, limits, 0, False), PIECES), "pieces")
+    left = first.where("sequence_id is null")
+    tokens = left.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    order = ["doc_id", "start", "ids"]
+    dealt = left.repartition(max(1, -(-tokens // LEFT_OVER)), F.xxhash64(*order)).sortWithinPartitions(*order)
+
+    def again(part: pa.RecordBatch) -> Iterator[tuple]:
+        return zip(*(part.column(c).to_pylist() for c in ("doc_id", "start", "ids", "doc_tokens", "loss_tokens", "loss")), strict=True)
+
+    return first.where("sequence_id is not null").unionByName(dealt.mapInArrow(_packer(again, limits, 1 << 62, True), PIECES))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", sequence: int = SEQUENCE, segments: int = SEGMENTS, loss_limit: int | None = None, end_id: int = 1) -> DataFrame:
     """Pieces of all documents, each with its ids (little-endian unsigned 32-bit) and its place in a sequence.
 
-    Reads doc_id and text; other columns are ignored. A null or empty text is its end id alone. A null
-    doc_id stays null, and rows with the same doc_id are packed apart. No rows give no rows.
+    Every id but the end id bears loss, so without a limit on loss under that on tokens, only tokens and
+    segments can bind. Reads doc_id and text; other columns are ignored. A null or empty text is its end
+    id alone. A null doc_id stays null, and rows with the same doc_id are packed apart. No rows give no rows.
     """
+    end = struct.pack("<I", end_id)
+    limits = (sequence, segments, loss_limit or sequence)
+
+    def read(part: pa.RecordBatch) -> Iterator[tuple]:
+        for doc, ids in zip(part.column(0).to_pylist(), encode_column(part.column(1), tokenizer), strict=True):
+            yield from pieces(doc, ids + end, None, limits)
+
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(_packer(tokenizer, sequence, segments, loss_limit or sequence, end_id), PIECES)
+    return _pack(plain, read, limits)
+
+
+def pack_examples(examples: DataFrame, sequence: int = SEQUENCE, segments: int = SEGMENTS, loss_limit: int | None = None) -> DataFrame:
+    """Pieces of instruction data: ``examples`` has doc_id, ids and loss (a boolean per id), as formatted conversations have.
+
+    A piece carries its mask, a byte per id. A null in a mask bears no loss; null or empty ids give no
+    piece; a mask of another length than its ids fails the job, a null mask bears loss but for the last
+    id. Other columns are ignored, null and repeated doc_ids stay apart. No rows give no rows.
+    """
+    limits = (sequence, segments, loss_limit or sequence)
+
+    def read(part: pa.RecordBatch) -> Iterator[tuple]:
+        for doc, ids, loss in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            if ids:
+                if loss is not None and len(loss) != len(ids):
+                    raise ValueError("a mask differs in length from its ids")
+                yield from pieces(doc, np.asarray(ids, "<u4").tobytes(), None if loss is None else bytes(map(bool, loss)), limits)
+
+    plain = examples.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<long>").alias("ids"), F.col("loss").cast("array<boolean>").alias("loss"))
+    return _pack(plain, read, limits)
 
 
-def piece_digests(pieces: DataFrame) -> DataFrame:
+def piece_digests(packed: DataFrame) -> DataFrame:
     """The pieces with a CRC-32 in place of their ids."""
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids", "loss")

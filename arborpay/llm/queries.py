@@ -149,4 +149,42 @@ SELECT e.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id,
 FROM embeddings e JOIN c USING (vec_id) LEFT JOIN k USING (vec_id)
 """
 
-ORACLE_SQL = {"op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7}
+
+
+def _level(name: str, children: str, parents: str, key: str) -> str:
+    """Water filling: those whose cap per weight lies under the level take their cap, the others share what is left by weight."""
+    by = f"PARTITION BY {parents}" if parents else ""
+    first = f"{by} ORDER BY is_full, cap / weight, {key} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    return f"""
+{name}_a AS (
+  SELECT *, budget - coalesce(sum(cap) OVER ({by} ORDER BY cap / weight, {key} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_,
+    sum(weight) OVER ({by} ORDER BY cap / weight, {key} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest_
+  FROM ({children})),
+{name}_b AS (SELECT *, cap * rest_ <= left_ * weight AS is_full FROM {name}_a),
+{name} AS (
+  SELECT * EXCLUDE (left_, rest_, is_full), greatest(0, CASE WHEN is_full THEN cap
+    ELSE first(left_) OVER ({first}) * weight // first(rest_) OVER ({first}) END) AS share
+  FROM {name}_b)"""
+
+
+_OP9 = rf"""
+WITH d AS (
+  SELECT doc_id, source, lang,
+    CASE WHEN right(source, 1) IN ('0', '1', '2', '3') THEN 'web' WHEN right(source, 1) IN ('4', '5', '6') THEN 'books' WHEN source IS NULL THEN 'none' ELSE 'code' END AS domain,
+    CAST(coalesce(len(list_filter(regexp_split_to_array(text, '[ 	-]+'), lambda x: x <> '')), 0) AS HUGEINT) AS n
+  FROM documents),
+leaves AS (SELECT domain, lang, source, sum(n) AS tokens, sum(n) * 2 AS cap FROM d GROUP BY ALL),
+langs AS (SELECT domain, lang, sum(cap) AS cap FROM leaves GROUP BY ALL),
+total AS (SELECT CAST(floor(CAST(sum(tokens) AS DOUBLE) * CAST(0.8 AS DOUBLE)) AS HUGEINT) AS budget FROM leaves),
+{_level("top", "SELECT domain, sum(cap) AS cap, CASE domain WHEN 'web' THEN 5 WHEN 'books' THEN 3 WHEN 'code' THEN 2 ELSE 1 END AS weight, any_value(budget) AS budget FROM langs, total GROUP BY domain", "", "domain")},
+{_level("mid", "SELECT l.*, CASE l.lang WHEN 'en' THEN 11 WHEN 'de' THEN 3 WHEN 'fr' THEN 3 WHEN 'es' THEN 3 ELSE 1 END AS weight, t.share AS budget FROM langs l JOIN top t USING (domain)", "domain", "lang")},
+{_level("low", "SELECT l.*, 1 AS weight, m.share AS budget FROM leaves l JOIN mid m ON m.domain = l.domain AND m.lang IS NOT DISTINCT FROM l.lang", "domain, lang", "source")},
+q AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN share // tokens ELSE 0 END AS whole, CASE WHEN tokens > 0 THEN share % tokens ELSE 0 END AS rest FROM low),
+h AS (
+  SELECT d.*, whole, rest, md5('9-' || CAST(whole + 1 AS VARCHAR) || '-' || CAST(doc_id AS VARCHAR)) AS h
+  FROM d JOIN q ON q.domain = d.domain AND q.lang IS NOT DISTINCT FROM d.lang AND q.source IS NOT DISTINCT FROM d.source),
+t AS (SELECT *, whole + CAST(rest > 0 AND sum(n) OVER (PARTITION BY domain, lang, source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest AS INT) AS taken FROM h)
+SELECT doc_id, domain, lang, source, CAST(unnest(range(1, taken + 1)) AS INT) AS epoch FROM t
+"""
+
+ORACLE_SQL = {"op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7, "op9_budget_mix": _OP9}

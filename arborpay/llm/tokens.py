@@ -18,7 +18,7 @@ import regex
 
 #: Entries a worker keeps before it starts afresh; bounds the memory of one Python worker.
 CACHE_ENTRIES = 600_000
-_WORKER: dict[str, "ChunkTokenizer"] = {}
+_WORKER: dict[str, "ChunkTokenizer | ByteEncoding"] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -112,6 +112,39 @@ def encode_column(column, name: str, batch: int = 128):
         yield from tok.encode(column.slice(at, batch).cast(pa.binary()).to_pylist())
 
 
+class ByteEncoding:
+    """A byte-level vocabulary given as ranks, with marks that are tokens of their own after its ids."""
+
+    def __init__(self, name: str, marks: tuple[str, ...] = ()):
+        import public_tokenizers
+        import tiktoken
+
+        with open(tokenizer_path(name), "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        first = max(ranks.values()) + 1
+        special = {mark: first + i for i, mark in enumerate(marks)}
+        self._encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self._marks = set(marks)
+        self.sizes = np.zeros(first + len(marks), np.int64)
+        for token, rank in ranks.items():
+            self.sizes[rank] = len(token)
+        for mark, at in special.items():
+            self.sizes[at] = len(mark.encode())
+
+    def encode(self, text: str) -> list[int]:
+        if not self._marks:
+            return self._encoding.encode_ordinary(text)
+        return self._encoding.encode(text, allowed_special=self._marks, disallowed_special=())
+
+
+def byte_encoding(name: str, marks: tuple[str, ...] = ()) -> ByteEncoding:
+    """The encoding of this Python worker, loaded once."""
+    key = "\0".join([name, *marks])
+    if key not in _WORKER:
+        _WORKER[key] = ByteEncoding(name, marks)
+    return _WORKER[key]
+
+
 def count_column(column, name: str, batch: int = 128):
     """Yield how many ids each text of an Arrow string column has under a vocabulary; a null text has none.
 
@@ -120,13 +153,6 @@ def count_column(column, name: str, batch: int = 128):
     if not name.endswith(".tiktoken"):
         yield from (len(ids) // 4 for ids in encode_column(column, name, batch))
         return
-    if name not in _WORKER:
-        import tiktoken
-        import public_tokenizers
-
-        with open(tokenizer_path(name), "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        _WORKER[name] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    encode = _WORKER[name].encode_ordinary
+    encoding = byte_encoding(name)
     for text in column:
-        yield len(encode(text.as_py() or ""))
+        yield len(encoding.encode(text.as_py() or ""))

@@ -11,8 +11,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from arborpay.llm import token_store
-from arborpay.llm.chat_format import conversation_digests, escape, format_conversations, mask, parse, render, unescape
-from arborpay.llm.packing import pack_documents, piece_digests, place
+from arborpay.llm.chat_format import conversation_digests, covered, escape, format_conversations, mask, parse, render, unescape
+from arborpay.llm.packing import pack_examples, pack_documents, piece_digests, place
 from arborpay.llm.token_store import TokenStore, crc32_joined, cuts, store_documents
 from arborpay.llm.tokens import ChunkTokenizer
 
@@ -74,13 +74,42 @@ def test_placing_keeps_all_limits():
         assert len(b) <= 5 and np.minimum(loss, 900)[b].sum() <= 900
 
 
-def test_packing_leaves_little_padding(spark):
+@pytest.mark.parametrize("parts", [1, 60])
+def test_packing_leaves_little_padding(spark, parts):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(["word"] * int(n))) for i, n in enumerate(rng.integers(1, 3000, 400))]
-    used = pack_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.sum("n"), F.count("*")).first()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    used = pack_documents(docs).groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.sum("n"), F.count("*")).first()
     assert used[0] / (used[1] * 2048) > 0.98
 
 
+def test_packing_of_nothing(spark):
+    assert pack_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("segments, loss_limit", [(3, 2048), (256, 500), (4, 300)])
+def test_packing_of_instruction_data_keeps_all_limits(spark, segments, loss_limit):
+    """Formatted conversations with their masks, under limits on segments and on loss that bind."""
+    rng = np.random.default_rng(6)
+    rows = [(c, t, ["user", "assistant"][t % 2], " ".join(["word"] * int(rng.integers(0, 400)))) for c in range(80) for t in range(int(rng.integers(1, 6)))]
+    examples = format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).select(F.col("conv_id").alias("doc_id"), "ids", "loss", F.lit(1).alias("length"))
+    want = {r["doc_id"]: (list(r["ids"]), bytes(r["loss"])) for r in examples.collect()}
+    got = pack_examples(examples, 2048, segments, loss_limit).collect()
+    held, whole = {}, {}
+    for r in sorted(got, key=lambda r: r["offset"]):
+        own = held.setdefault(r["sequence_id"], [0, 0, 0])
+        assert own[0] == r["offset"] and sum(bytes(r["loss"])) == r["loss_tokens"]
+        own[0], own[1], own[2] = own[0] + r["length"], own[1] + 1, own[2] + r["loss_tokens"]
+        whole.setdefault(r["doc_id"], []).append((r["start"], bytes(r["ids"]), bytes(r["loss"])))
+    tops = np.array(list(held.values())).max(axis=0)
+    assert tops[0] <= 2048 and tops[1] <= segments and tops[2] <= loss_limit
+    assert (tops[1] == segments and segments < 10) or tops[2] >= 0.95 * loss_limit  # the limit under test binds
+    for doc, parts in whole.items():
+        parts.sort()
+        assert np.frombuffer(b"".join(p[1] for p in parts), "<u4").tolist() == want[doc][0] and b"".join(p[2] for p in parts) == want[doc][1]
+    assert set(whole) == set(want)
+
+
 def test_store_gives_back_every_document(spark, tokenizer):
     docs, rows = documents(spark)
     store = store_documents(docs)
@@ -152,10 +181,29 @@ def test_rendering_reads_back(turns):
     assert all("<|" not in escape(t) for _, t in turns)
 
 
-def test_mask_covers_spans_exactly():
-    starts, ends = np.array([0, 2, 4, 4, 7]), np.array([2, 4, 7, 7, 9])
-    bears, covered = mask([(1, 5), (6, 8)], starts, ends)
-    assert covered == [(1, 5), (6, 8)] and bears.all()
+def test_mask_takes_whole_tokens_within_spans():
+    starts, ends = np.array([0, 2, 4, 4, 7, 9]), np.array([2, 4, 7, 7, 9, 12])
+    bears = mask([(2, 7), (9, 9), (9, 12)], starts, ends)
+    assert bears.tolist() == [False, True, True, True, False, True] and covered(bears, starts, ends) == [(2, 7), (9, 12)]
+
+
+def test_no_loss_token_reaches_out_of_its_text(spark):
+    """Over all conversations: every character of an assistant's text is under the mask, and no token touches anything else."""
+    rows = format_conversations(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")).collect()
+    assert len(rows) > 100
+    for r in rows:
+        inside = np.zeros(len(r["text"]), bool)
+        at = 0
+        for role, text in parse(r["text"]):
+            _, spans = render([(role, text)])
+            if role == "assistant":
+                inside[at + spans[0][0] : at + spans[0][1]] = True
+            at += len(render([(role, text)])[0])
+        under = np.zeros(len(r["text"]), bool)
+        for a, b, bears in zip(r["token_starts"], r["token_ends"], r["loss"], strict=True):
+            if bears:
+                under[a:b] = True
+        assert (under == inside).all()
 
 
 def test_conversations(spark):
