@@ -16,6 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if "dir" not in _OWN:
         import shutil
         import tempfile
@@ -59,10 +61,19 @@ class Workspace:
 BROADCAST_IDS = 2_000_000
 
 
+def _by_ids(ws: Workspace, docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    ids = ws.table(ids.where("doc_id is not null").distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
+
+
 def without_ids(ws: Workspace, docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of docs whose doc_id isn't among ids (one column, doc_id); rows without doc_id stay."""
-    ids = ws.table(ids.where("doc_id is not null").distinct(), "ids")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti")
+    return _by_ids(ws, docs, ids, "left_anti")
+
+
+def only_ids(ws: Workspace, docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is among ids (one column, doc_id); up to BROADCAST_IDS ids, no text is shuffled."""
+    return _by_ids(ws, docs, ids, "left_semi")
 
 
 def connected_components(ws: Workspace, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

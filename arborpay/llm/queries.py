@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from arborpay.llm import token_rollup
 from arborpay.llm.ann_tree import nearest_neighbours
 from arborpay.llm.chat_format import conversation_digests, format_conversations
-from arborpay.llm.common import Workspace
+from arborpay.llm.common import Workspace, only_ids
 from arborpay.llm.embedding_dedup import embedding_duplicates
 from arborpay.llm.minhash_forest import near_duplicates
 from arborpay.llm.mixing import mix
@@ -86,7 +86,7 @@ def op10_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = ws.table(token_rollup.token_counts(docs, VOCABULARIES), "counts")
     poor = labels.where("quality = 0").select("doc_id").distinct()
     gone = labels.where("toxic = 1").select("doc_id").distinct()
-    narrow = docs.join(poor, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", "[ \\t-\\r]+", " "))
+    narrow = only_ids(ws, docs, poor).withColumn("text", F.regexp_replace("text", "[ \\t-\\r]+", " "))
     again = token_rollup.token_counts(narrow, VOCABULARIES).groupBy("doc_id", "tokenizer_version").agg(F.max("n_tokens").alias("again"))
     again = ws.table(again, "again")
     both = loaded.join(again, ["doc_id", "tokenizer_version"], "left")
@@ -171,7 +171,8 @@ _OP9 = rf"""
 WITH d AS (
   SELECT doc_id, source, lang,
     CASE WHEN right(source, 1) IN ('0', '1', '2', '3') THEN 'web' WHEN right(source, 1) IN ('4', '5', '6') THEN 'books' WHEN source IS NULL THEN 'none' ELSE 'code' END AS domain,
-    CAST(coalesce(len(list_filter(regexp_split_to_array(text, '[ 	-]+'), lambda x: x <> '')), 0) AS HUGEINT) AS n
+    CAST(coalesce(len(list_filter(regexp_split_to_array(text, '[ 	-
+]+'), lambda x: x <> '')), 0) AS HUGEINT) AS n
   FROM documents),
 leaves AS (SELECT domain, lang, source, sum(n) AS tokens, sum(n) * 2 AS cap FROM d GROUP BY ALL),
 langs AS (SELECT domain, lang, sum(cap) AS cap FROM leaves GROUP BY ALL),
@@ -184,7 +185,7 @@ h AS (
   SELECT d.*, whole, rest, md5('9-' || CAST(whole + 1 AS VARCHAR) || '-' || CAST(doc_id AS VARCHAR)) AS h
   FROM d JOIN q ON q.domain = d.domain AND q.lang IS NOT DISTINCT FROM d.lang AND q.source IS NOT DISTINCT FROM d.source),
 t AS (SELECT *, whole + CAST(rest > 0 AND sum(n) OVER (PARTITION BY domain, lang, source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest AS INT) AS taken FROM h)
-SELECT doc_id, domain, lang, source, CAST(unnest(range(1, taken + 1)) AS INT) AS epoch FROM t
+SELECT doc_id, domain, lang, source, CAST(unnest(range(1, CAST(taken AS BIGINT) + 1)) AS INT) AS epoch FROM t
 """
 
 ORACLE_SQL = {"op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7, "op9_budget_mix": _OP9}
