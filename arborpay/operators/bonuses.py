@@ -15,18 +15,22 @@ from arborpay.sources.workspace import Workspace
 def level_fee(ws: Workspace, sponsor: DataFrame, orders: DataFrame, rates: DataFrame) -> DataFrame:
     """(user_id, level, commission): each order's amount times the rate of every level above its buyer, a half cent going up.
 
-    Orders climb one level a round, only as far as there are rates (level, ppm), and are summed by
-    member after each step's commission is rounded per buyer's order.
+    A commission depends only on amount and rate, so equal amounts of a buyer go up as one row with their
+    number; a round joins buyers' ancestors, not orders, one level further, only as far as there are rates
+    (level, ppm).
     """
     top = rates.agg(F.max("level")).first()[0] or 0
     edges = ws.table(tree.without_roots(sponsor).select("user_id", "parent_id"), "fee-edges")
-    front = orders.select(F.col("user_id"), "order_id", "amount")
+    sums = ws.table(orders.groupBy(F.col("user_id").alias("buyer"), "amount").agg(F.count("*").alias("n")), "fee-amounts")
+    # What each buyer's orders give at a level: one row per buyer and rate, however many orders.
+    given = sums.crossJoin(F.broadcast(rates)).groupBy("buyer", "level").agg(F.sum(half_up("amount", "ppm", 1_000_000) * F.col("n")).alias("commission"), F.sum("n").alias("n_orders"))
+    path = sums.select("buyer", F.col("buyer").alias("user_id")).distinct()
     found = []
     for level in range(1, top + 1):
-        front = ws.table(front.join(edges, "user_id").select(F.col("parent_id").alias("user_id"), "order_id", "amount"), "fee-level")
-        found.append(front.select("user_id", F.lit(level).alias("level"), "amount"))
-    rows = reduce(DataFrame.unionByName, found).join(F.broadcast(rates), "level")
-    return rows.groupBy("user_id", "level").agg(F.sum(half_up("amount", "ppm", 1_000_000)).alias("commission"), F.count("*").alias("n_orders"))
+        path = ws.table(path.join(edges, "user_id").select("buyer", F.col("parent_id").alias("user_id")), "fee-level")
+        found.append(path.select("buyer", "user_id", F.lit(level).alias("level")))
+    rows = reduce(DataFrame.unionByName, found).join(given, ["buyer", "level"])
+    return rows.groupBy("user_id", "level").agg(F.sum("commission").alias("commission"), F.sum("n_orders").alias("n_orders"))
 
 
 def team_match(month: DataFrame, members: DataFrame, rates: DataFrame, caps: DataFrame) -> DataFrame:

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborpay.operators.tree import ROOT, without_roots
+from arborpay.operators.tree import ROOT, reached
+from arborpay.sources.workspace import Workspace
 
 
-def reachable(edges: DataFrame) -> DataFrame:
-    """One row (members, roots, orphans): orphans name a parent that is no member."""
-    inner = without_roots(edges).select(F.col("parent_id").alias("user_id"), F.col("user_id").alias("child"))
-    orphans = inner.join(edges.select("user_id"), "user_id", "left_anti").agg(F.count("*").alias("orphans"))
-    counts = edges.agg(F.count("*").alias("members"), F.sum((F.col("parent_id") == ROOT).cast("long")).alias("roots"))
-    return counts.crossJoin(orphans)  # one row each
+def reachable(ws: Workspace, edges: DataFrame) -> DataFrame:
+    """One row (members, roots, unreached): members from which the root isn't reached, as orphans and what hangs on them or on a cycle."""
+    cut_off = edges.select("user_id").join(reached(ws, edges), "user_id", "left_anti").agg(F.count("*").alias("unreached"))
+    counts = edges.agg(F.count("*").alias("members"), F.coalesce(F.sum((F.col("parent_id") == ROOT).cast("long")), F.lit(0)).alias("roots"))
+    return counts.crossJoin(cut_off)  # one row each
 
 
 def missing(of: DataFrame, within: DataFrame) -> DataFrame:
@@ -21,13 +21,13 @@ def missing(of: DataFrame, within: DataFrame) -> DataFrame:
     return of.select("user_id").distinct().join(within.select("user_id"), "user_id", "left_anti")
 
 
-def integrity_report(members: DataFrame, sponsor: DataFrame, placement: DataFrame, orders: DataFrame) -> DataFrame:
+def integrity_report(ws: Workspace, members: DataFrame, sponsor: DataFrame, placement: DataFrame, orders: DataFrame) -> DataFrame:
     """(check_no, name, violations) of all checks; the first with violations is the one a settlement stops at."""
     one = placement.where("parent_id <> -1")
     stock = orders.where("stockist_id is not null").select(F.col("stockist_id").alias("user_id"))
     checks = [
-        ("sponsor tree is connected", reachable(sponsor).select((F.col("orphans") + F.abs(F.col("roots") - 1)).alias("n"))),
-        ("placement tree is connected", reachable(placement).select((F.col("orphans") + F.abs(F.col("roots") - 1)).alias("n"))),
+        ("sponsor tree is connected", reachable(ws, sponsor).select((F.col("unreached") + F.abs(F.col("roots") - 1)).alias("n"))),
+        ("placement tree is connected", reachable(ws, placement).select((F.col("unreached") + F.abs(F.col("roots") - 1)).alias("n"))),
         ("sponsor members are members", missing(sponsor, members).agg(F.count("*").alias("n"))),
         ("placement members are members", missing(placement, members).agg(F.count("*").alias("n"))),
         ("buyers are in the sponsor tree", missing(orders, sponsor).agg(F.count("*").alias("n"))),

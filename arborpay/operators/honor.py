@@ -140,11 +140,11 @@ def leadership(ws: Workspace, levels: DataFrame, sources: DataFrame, honors: Dat
 
 
 def global_pool(layers: DataFrame, members: DataFrame, month: DataFrame, rates: DataFrame) -> DataFrame:
-    """Layers 70, 80 and 90 share their rate of all volume, half by heads and half by volume; founders count twice."""
-    rows = layers.where("layer in (70, 80, 90)").join(members.select("user_id", "is_founder"), "user_id").withColumn("heads", 1 + F.col("is_founder"))
+    """Each layer that ``rates`` (layer, rate) names shares its rate of all volume, half by heads and half by volume; founders count twice."""
+    rows = layers.join(F.broadcast(rates.select("layer")), "layer", "left_semi").join(members.select("user_id", "is_founder"), "user_id").withColumn("heads", 1 + F.col("is_founder"))
     total = month.agg(or_zero(F.sum("pv_own")).alias("total"))
     pools = rows.groupBy("layer").agg(F.sum("heads").alias("n"), F.sum(F.col("lb_pv") * F.col("heads")).alias("pv")).join(F.broadcast(rates), "layer", "left").crossJoin(total)
-    per_head = F.coalesce(cut("total", F.coalesce("rate", F.lit(0)) / 2, F.col("n") * 100), F.lit(0))
+    per_head = F.coalesce(cut("total", F.coalesce("rate", F.lit(0)), F.col("n") * 200), F.lit(0))
     per_pv = F.coalesce(cut(F.col("total").cast("decimal(38,0)") * F.coalesce("rate", F.lit(0)), 1, F.col("pv") * 2), F.lit(0))
     pools = pools.select("layer", per_head.alias("per_head"), per_pv.alias("per_pv"))
     rows = rows.join(pools, "layer").where("bonus >= layer")

@@ -17,16 +17,43 @@ from arborpay.sources.workspace import Workspace
 ROOT = -1
 #: Rounds of doubling (depth up to 2**ROUNDS), and levels of a closure, beyond which input is taken for a cycle.
 ROUNDS, LEVELS = 40, 5000
+#: Name of the folders of a table that is written step by step.
+STEP = "step"
 
 
 class TreeError(ValueError):
     """The edges don't form a forest under the root."""
 
 
-def without_roots(edges: DataFrame) -> DataFrame:
-    """Edges between members; the spellings of "no parent" that occur in sources count as the root."""
-    none = ["0.0", "", "<NA>", "None", "nan", "NaN", str(ROOT)]
-    return edges.where(F.col("parent_id").isNotNull() & ~F.col("parent_id").cast("string").isin(none))
+#: Spellings of "no parent" that no member has as its id. Where no member is called 0, sources spell it "0" as well.
+NO_PARENT, ZERO = ("0.0", "", "<NA>", "None", "nan", "NaN", str(ROOT)), ("0",)
+
+
+def without_roots(edges: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Edges between members; the spellings of "no parent" that occur in sources count as the root, ``also`` more of them."""
+    return edges.where(F.col("parent_id").isNotNull() & ~F.col("parent_id").cast("string").isin(*NO_PARENT, *also))
+
+
+def rooted(edges: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """edges with one root, ROOT, for every spelling of "no parent"."""
+    parent = F.col("parent_id").cast("string")
+    none = F.coalesce(parent.isin(*NO_PARENT, *also), F.lit(True))
+    return edges.withColumn("parent_id", F.when(none, F.lit(ROOT)).otherwise(F.expr("try_cast(parent_id as bigint)")).cast("long"))
+
+
+def reached(ws: Workspace, edges: DataFrame) -> DataFrame:
+    """(user_id) of the members from which the root is reached. Orphans, and members of a cycle or below one, aren't.
+
+    By doubling: after as many rounds as the number of members has bits, every path that ends has ended.
+    """
+    hops, n = ws.counted(edges.select("user_id", F.col("parent_id").alias("up")), "reached")
+    for _ in range(n.bit_length()):
+        over = hops.select(F.col("user_id").alias("up"), F.col("up").alias("up2"))
+        done, rest = hops.where(F.col("up") == ROOT), hops.where(F.col("up") != ROOT)
+        hops, left = ws.counted(done.unionByName(rest.join(over, "up").select("user_id", F.col("up2").alias("up"))), "reached", f"up <> {ROOT}")
+        if not left:
+            break
+    return hops.where(F.col("up") == ROOT).select("user_id").distinct()
 
 
 def depths(ws: Workspace, edges: DataFrame) -> DataFrame:
@@ -83,31 +110,34 @@ def nearest(ws: Workspace, edges: DataFrame, wanted: DataFrame, itself: bool = F
 
 
 def rounds(ws: Workspace, front: DataFrame, step: Callable[[DataFrame, int], DataFrame], name: str, most: int = LEVELS) -> DataFrame:
-    """All rows of a frontier and of what a step makes of it, round by round, until none are left."""
-    found: list[DataFrame] = []
+    """All rows of a frontier and of what a step makes of it, round by round, until none are left.
+
+    Rounds are folders of one table, so the result is one scan, however many there are.
+    """
+    path, schema, n = ws.folder(name), None, 0
     while True:
-        front, left = ws.counted(front, name)
-        if not left and found:
-            break
-        found.append(front)
+        at = f"{path}/{STEP}={n}"
+        front, left = ws.counted_at(front, at)
+        schema = schema or front.schema
+        n += 1
         if not left:
-            break
-        if len(found) > most:
+            return ws.spark.read.schema(schema).parquet(*[f"{path}/{STEP}={k}" for k in range(n)])
+        if n > most:
             raise TreeError(f"paths of more than {most} steps")
-        front = step(front, len(found))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+        front = step(front, n)
 
 
 def closure(ws: Workspace, edges: DataFrame, carry: tuple[str, ...] = (), levels: int = LEVELS) -> DataFrame:
     """(ancestor, descendant, level, *carry): every pair on a path, ROOT excluded.
 
     ``carry`` names columns of the edge just below the ancestor, for example the leg. A pair that is
-    reached twice, or a path of more than ``levels`` steps, raises TreeError.
+    reached twice, a path of more than ``levels`` steps, or a carried leg other than 1 and 2 raises TreeError.
     """
     steps = ws.table(without_roots(edges).select("user_id", "parent_id", *carry), "closure-edges")
+    if "leg" in carry:
+        wrong = steps.where("leg is null or leg not in (1, 2)").limit(20).collect()
+        if wrong:
+            raise TreeError(f"members on no leg: {[r['user_id'] for r in wrong]}")
     up = steps.select(F.col("user_id").alias("ancestor"), F.col("parent_id"), *[F.col(c).alias(f"up_{c}") for c in carry])
 
     def step(front: DataFrame, _: int) -> DataFrame:
@@ -134,16 +164,33 @@ def descendant_counts(with_depth: DataFrame) -> DataFrame:
     return with_depth.groupBy(F.col("depth").alias("level")).agg(F.count("*").alias("n"))
 
 
+def descendants(ws: Workspace, edges: DataFrame, members: DataFrame, deepest: int = LEVELS) -> DataFrame:
+    """(ancestor, descendant, level) below the given members (user_id), to a depth at most; themselves excluded."""
+    down = ws.table(without_roots(edges).select(F.col("parent_id").alias("descendant"), F.col("user_id").alias("child")), "descendant-edges")
+    first = members.select(F.col("user_id").alias("ancestor")).distinct().join(down.withColumnRenamed("descendant", "ancestor"), "ancestor").select("ancestor", F.col("child").alias("descendant"), F.lit(1).alias("level"))
+
+    def step(front: DataFrame, _: int) -> DataFrame:
+        below = front.where(F.col("level") < deepest).join(down, "descendant")
+        return below.select("ancestor", F.col("child").alias("descendant"), (F.col("level") + 1).alias("level"))
+
+    return rounds(ws, first.where(F.lit(deepest) > 0), step, "descendants")
+
+
 def children(edges: DataFrame, parents: DataFrame) -> DataFrame:
     """(parent_id, children): direct children of the given members, in order."""
     kept = edges.join(parents.select(F.col("user_id").alias("parent_id")).distinct(), "parent_id", "left_semi")
     return kept.groupBy("parent_id").agg(F.sort_array(F.collect_list("user_id")).alias("children"))
 
 
-def page(df: DataFrame, key: str, cursor, size: int) -> DataFrame:
-    """The next rows after a cursor, one more than asked for to show that there are more."""
-    rows = df if cursor is None else df.where(F.col(key) > cursor)
-    return rows.orderBy(key).limit(size + 1)
+def page(df: DataFrame, key: str | tuple[str, ...], cursor, size: int) -> DataFrame:
+    """The next rows after a cursor, one more than asked for to show that there are more.
+
+    With several keys (depth and member, or parent and member) the cursor is a tuple, and rows go in their order.
+    """
+    keys = (key,) if isinstance(key, str) else key
+    at = (cursor,) if isinstance(key, str) else cursor
+    rows = df if cursor is None else df.where(F.struct(*keys) > F.struct(*[F.lit(x).alias(k) for k, x in zip(keys, at, strict=True)]))
+    return rows.orderBy(*keys).limit(size + 1)
 
 
 def fold(ws: Workspace, nodes: DataFrame, gives: dict[str, tuple[Column, str]], takes: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -152,21 +199,19 @@ def fold(ws: Workspace, nodes: DataFrame, gives: dict[str, tuple[Column, str]],
     ``nodes`` has user_id, parent_id, depth and own columns. For each level, from the deepest,
     ``gives`` (name: aggregate, type) sums up the finished rows of the level below by parent, and
     ``takes`` finishes the rows of the level from their own and these columns, which are null where no
-    child gave anything.
+    child gave anything. Levels are folders of one table, so the result is one scan. A level is a job:
+    a tree as deep as it has members takes as many.
     """
     schema = nodes.schema
     nodes = ws.table(nodes, "fold-nodes", partition_by=("depth",)).select(schema.names)
     top = nodes.agg(F.max("depth")).first()[0]
-    done: list[DataFrame] = []
+    path, below = ws.folder("fold"), None
     for depth in range(0 if top is None else top, -1, -1):
         level = nodes.where(F.col("depth") == depth)
-        if done:
-            given = done[-1].groupBy(F.col("parent_id").alias("user_id")).agg(*[x.cast(kind).alias(name) for name, (x, kind) in gives.items()])
+        if below is not None:
+            given = below.groupBy(F.col("parent_id").alias("user_id")).agg(*[x.cast(kind).alias(name) for name, (x, kind) in gives.items()])
             level = level.join(given, "user_id", "left")
         else:
             level = level.select("*", *[F.lit(None).cast(kind).alias(name) for name, (_, kind) in gives.items()])
-        done.append(ws.table(takes(level), "fold-level"))
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out
+        below = ws.table_at(takes(level), f"{path}/{STEP}={depth}")
+    return ws.spark.read.schema(below.schema).parquet(*[f"{path}/{STEP}={k}" for k in range(0 if top is None else top, -1, -1)])

@@ -110,17 +110,26 @@ def country_share(ws: Workspace, sponsor: DataFrame, orders: DataFrame) -> DataF
     own = ws.table(own.join(placed, "user_id"), "share-own", partition_by=("depth",))
     top = own.agg(F.max("depth")).first()[0]
     parents = placed.select("user_id", F.col("parent_id").alias("grand_id"))
-    done: list[DataFrame] = []
+    path, below = ws.folder("share"), None
     for depth in range(0 if top is None else top, -1, -1):
         rows = own.where(F.col("depth") == depth).select("user_id", "parent_id", "country_id", "pv", "n_orders", "n_users")
-        if done:
-            up = done[-1].join(parents.withColumnRenamed("user_id", "parent_id"), "parent_id").select(F.col("parent_id").alias("user_id"), F.col("grand_id").alias("parent_id"), "country_id", "pv", "n_orders", "n_users")
+        if below is not None:
+            up = below.join(parents.withColumnRenamed("user_id", "parent_id"), "parent_id").select(F.col("parent_id").alias("user_id"), F.col("grand_id").alias("parent_id"), "country_id", "pv", "n_orders", "n_users")
             rows = rows.unionByName(up)
         sums = rows.groupBy("user_id", "parent_id", "country_id").agg(*[F.sum(c).alias(c) for c in ("pv", "n_orders", "n_users")])
-        done.append(ws.table(sums, "share-level"))
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
+        below = ws.table_at(sums, f"{path}/{tree.STEP}={depth}")
+    out = ws.spark.read.schema(below.schema).parquet(*[f"{path}/{tree.STEP}={k}" for k in range(0 if top is None else top, -1, -1)])
     team = out.groupBy("user_id").agg(F.sum("pv").alias("team"))
     share = F.coalesce(cut("pv", 10_000, "team"), F.lit(0)).alias("share_e4")
     return out.join(team, "user_id").select("user_id", "parent_id", "country_id", "pv", "n_orders", "n_users", share)
+
+
+def country_share_of_leadership(share: DataFrame, members: DataFrame, leadership: DataFrame) -> DataFrame:
+    """The leadership bonus of each member, split by where the volume below it was ordered.
+
+    ``share`` is what country_share() gives, ``leadership`` (user_id, bonus_lb) in cents; a member's bonuses in
+    several countries each meet all its shares. The global bonus is in cents of 1/10000, exact.
+    """
+    paid = leadership.where("bonus_lb > 0").select("user_id", "bonus_lb")
+    rows = share.join(paid, "user_id").join(members.select("user_id", F.col("country_id").alias("home_id")), "user_id", "left")
+    return rows.select("user_id", F.col("country_id").alias("order_country"), F.col("home_id").alias("user_country"), "pv", "n_orders", "n_users", "share_e4", "bonus_lb", (F.col("bonus_lb") * F.col("share_e4")).alias("bonus_global"))

@@ -8,18 +8,27 @@ from __future__ import annotations
 
 import re
 
-from arborpay.functions.config import Config
-from arborpay.plans.settlement import LEVEL_FEES
-from arborpay.sources.domain import PERIOD
-
-P = PERIOD
-_C = Config()
+#: The quarter that is settled.
+P = 7989
+# The settlement configuration, rates in millionths, stated here again so that a wrong one in the engine shows.
+_MICRO = {"eabRate": 100_000, "eliteRate": 150_000, "proEliteRate": 150_000, "stockistFeeRate": 80_000, "superEliteRate": 100_000, "teamBisectRate": 240_000}
+_FAMILIES = {
+    "leadershipRate": {10: 45_000, 20: 45_000, 30: 45_000, 40: 36_000, 50: 36_000, 60: 36_000, 70: 18_000, 80: 18_000, 90: 18_000},
+    "leadershipLimit": {0: 0, 10: 0, 20: 30, 30: 60, 40: 90},
+    "teamTouchRate": {10: 100_000, 20: 150_000, 30: 200_000, 40: 200_000},
+    "teamTouchCapping": {10: 0, 20: 0, 30: 0, 40: 0},
+    "carRate": {1: 8571, 2: 7143, 3: 5714, 4: 4286, 5: 2857, 6: 1429},
+    "roomRate": {1: 5714, 2: 4762, 3: 3810, 4: 2857, 5: 1905, 6: 952},
+    "globalPoolBonus": {70: 10_000, 80: 10_000, 90: 10_000},
+    "globalPoolOpen": {10: 10_333, 20: 5001, 30: 20_000, 70: 10_000, 80: 10_000, 90: 10_000},
+    "levelFee": {1: 100_000, 2: 50_000, 3: 30_000, 4: 20_000, 5: 10_000, 6: 5000},
+}
 #: Levels of unrolled folds: enough for three million members in the sponsor tree.
 DEPTHS = range(13, -1, -1)
 
 
-def _family(prefix: str, micro: bool = True) -> str:
-    return f"(VALUES {', '.join(f'({k}, {v})' for k, v in _C.family(prefix, micro).items())})"
+def _family(prefix: str) -> str:
+    return f"(VALUES {', '.join(f'({k}, {v})' for k, v in _FAMILIES[prefix].items())})"
 
 
 def _unrolled(name: str, nodes: str, given: str, taken: str, depth: str = "depth") -> dict[str, str]:
@@ -33,6 +42,14 @@ def _unrolled(name: str, nodes: str, given: str, taken: str, depth: str = "depth
     return out
 
 
+def _pools(family: str) -> str:
+    return f"SELECT layer, CAST({_h('total')} * v // (n * 200) AS BIGINT) AS per_head, CAST({_h('total')} * v // (pv * 2) AS BIGINT) AS per_pv FROM (SELECT layer, sum(heads) AS n, sum(lb_pv * heads) AS pv FROM gp GROUP BY 1) JOIN {_family(family)} f(k, v) ON f.k = layer, (SELECT coalesce(sum(pv_own), 0) AS total FROM month)"
+
+
+def _shares_of_pool(pool: str) -> str:
+    return f"SELECT user_id, bonus_head, bonus_pv, bonus_head + bonus_pv AS bonus_gpb, coalesce(is_active, 0) AS is_active FROM (SELECT user_id, sum(CAST(CAST(per_head AS HUGEINT) * heads // 10000 AS BIGINT)) AS bonus_head, sum(CAST(CAST(lb_pv * heads AS HUGEINT) * per_pv // 1000000 AS BIGINT)) AS bonus_pv FROM gp JOIN {pool} USING (layer) WHERE bonus >= layer GROUP BY 1) LEFT JOIN month USING (user_id)"
+
+
 T: dict[str, str] = {
     "members": "SELECT c_custkey AS user_id, c_nationkey AS country_id, (c_custkey % 4 + 1) * 10 AS member_level, CAST(c_custkey % 17 = 0 AS INT) AS is_founder, c_acctbal > 9000 AS listed, (c_custkey % 7) * 10 AS honor_before FROM customer",
     "regions": "SELECT n_nationkey AS country_id, n_regionkey AS region_id FROM nation",
@@ -59,7 +76,7 @@ T: dict[str, str] = {
     "month": f"""SELECT u.user_id, coalesce(pv_own, 0) AS pv_own, coalesce(pv_zc, 0) AS pv_zc, coalesce(pv_fx, 0) AS pv_fx, coalesce(pv_team, 0) AS pv_team,
         coalesce(pv_1l, 0) AS pv_1l, coalesce(pv_2l, 0) AS pv_2l, coalesce(surplus_1l, 0) AS pre_surplus_1l, coalesce(surplus_2l, 0) AS pre_surplus_2l,
         coalesce(pv_1l, 0) + coalesce(surplus_1l, 0) AS total_1l, coalesce(pv_2l, 0) + coalesce(surplus_2l, 0) AS total_2l, coalesce(stockist_pv, 0) AS stockist_pv,
-        CAST(coalesce(pv_own, 0) >= {int(_C.number('monthActivePV') * 100)} OR coalesce(listed, false) AS INT) AS is_active, coalesce(country_id, -1) AS country_id
+        CAST(coalesce(pv_own, 0) >= 3000 OR coalesce(listed, false) AS INT) AS is_active, coalesce(country_id, -1) AS country_id
         FROM (SELECT user_id FROM own UNION SELECT user_id FROM pss UNION SELECT user_id FROM legs UNION SELECT user_id FROM stock) u
         LEFT JOIN own USING (user_id) LEFT JOIN pss USING (user_id) LEFT JOIN legs USING (user_id) LEFT JOIN stock USING (user_id) LEFT JOIN carry USING (user_id) LEFT JOIN members USING (user_id)""",
     "enet_none": "SELECT 0 AS parent_id, CAST(NULL AS INT) AS elite, CAST(0 AS BIGINT) AS gpv WHERE false",
@@ -113,7 +130,7 @@ T |= {
         LEFT JOIN (SELECT se AS user_id, count(*) FILTER (n >= 3) AS l90, count(*) FILTER (n >= 2) AS l80, count(*) FILTER (n >= 1) AS l70 FROM chains GROUP BY 1) USING (user_id)
         LEFT JOIN (SELECT user_id, max(n) AS n FROM chains GROUP BY 1) c USING (user_id)""",
     "hori": "SELECT *, CASE WHEN legs_max >= 90 AND legs_90 >= 3 THEN 90 WHEN legs_max >= 80 AND legs_80 >= 3 THEN 80 WHEN legs_max >= 70 AND legs_70 >= 3 THEN 70 ELSE least(legs_max, 60) END AS ori FROM hbase",
-    "honors": f"SELECT *, least(bonus, chain * 10) AS last FROM (SELECT h.*, lim.v AS honor_limit, CASE WHEN ori <= lim.v THEN ori ELSE lim.v END AS bonus FROM hori h LEFT JOIN members m USING (user_id) LEFT JOIN {_family('leadershipLimit', False)} lim(k, v) ON lim.k = m.member_level)",
+    "honors": f"SELECT *, least(bonus, chain * 10) AS last FROM (SELECT h.*, lim.v AS honor_limit, CASE WHEN ori <= lim.v THEN ori ELSE lim.v END AS bonus FROM hori h LEFT JOIN members m USING (user_id) LEFT JOIN {_family('leadershipLimit')} lim(k, v) ON lim.k = m.member_level)",
     "hlayers": "SELECT user_id, layer, CAST(sum(lb_pv) AS BIGINT) AS lb_pv, any_value(bonus) AS bonus FROM walk JOIN honors USING (user_id) WHERE layer <= ori GROUP BY user_id, layer",
     "history": f"SELECT user_id, period, least(90, CAST(sum(pv) AS BIGINT) // 10000 * 10) AS honor FROM all_orders WHERE period BETWEEN {P - 15} AND {P - 1} GROUP BY user_id, period",
     "hcounts": f"SELECT user_id, count(*) FILTER (honor >= 80) AS n80, count(*) FILTER (honor = 90) AS n90 FROM (SELECT user_id, honor FROM history WHERE period BETWEEN {P - 11} AND {P - 1} AND honor >= 80 UNION ALL SELECT user_id, last FROM honors) GROUP BY 1",
@@ -130,23 +147,25 @@ T |= {
         SELECT l.user_id, l.layer, l.region_id, sum(l.lb_pv) AS lb_pv, max(l.bonus) AS bonus_level, max(p.layer_pv) AS layer_pv, max(p.lb_rate) AS lb_rate, sum({_wide(_h('l.lb_pv') + ' * coalesce(p.lb_rate, 0)', '1000000')}) AS bonus_lb
         FROM lblayers l LEFT JOIN lbpool p ON p.region_id = l.region_id AND p.layer = l.layer GROUP BY l.user_id, l.layer, l.region_id) d LEFT JOIN members m ON m.user_id = d.user_id LEFT JOIN regions r ON r.country_id = m.country_id""",
     "b_lb": "SELECT * FROM (SELECT user_id, country_id, sum(bonus_lb) AS ori_bonus_lb, coalesce(sum(bonus_lb) FILTER (layer <= bonus_level), 0) AS bonus_lb FROM lbdet GROUP BY ALL) WHERE bonus_lb > 0",
-    "b_e": f"SELECT user_id, parent_id, depth AS top_deep, gpv_real, {_wide(_h('gpv_real') + f' * {_C.micro("eliteRate")}', '1000000')} AS bonus_e FROM enet WHERE gpv_real > 0 AND elite = 10",
-    "b_pe": f"SELECT *, {_wide(_h('base') + f' * {_C.micro("proEliteRate")}', '1000000')} AS bonus_pe FROM (SELECT l.user_id, coalesce(kids, 0) + gpv_unreal AS base, coalesce(is_active, 0) AS is_active FROM levels l LEFT JOIN (SELECT parent_id AS user_id, sum(gpv_real) AS kids FROM levels GROUP BY 1) USING (user_id) LEFT JOIN month USING (user_id) WHERE elite_level >= 20)",
+    "b_e": f"SELECT user_id, parent_id, depth AS top_deep, gpv_real, {_wide(_h('gpv_real') + f' * {_MICRO["eliteRate"]}', '1000000')} AS bonus_e FROM enet WHERE gpv_real > 0 AND elite = 10",
+    "b_pe": f"SELECT *, {_wide(_h('base') + f' * {_MICRO["proEliteRate"]}', '1000000')} AS bonus_pe FROM (SELECT l.user_id, coalesce(kids, 0) + gpv_unreal AS base, coalesce(is_active, 0) AS is_active FROM levels l LEFT JOIN (SELECT parent_id AS user_id, sum(gpv_real) AS kids FROM levels GROUP BY 1) USING (user_id) LEFT JOIN month USING (user_id) WHERE elite_level >= 20)",
     "ordreg": "SELECT coalesce(region_id, o.country_id) AS region_id, sum(pv) AS pv FROM ord o LEFT JOIN regions r ON r.country_id = o.country_id GROUP BY 1",
     "b_se": f"""SELECT s.*, b.bonus_se, coalesce(is_active, 0) AS is_active FROM (SELECT l.user_id, m.country_id, coalesce(region_id, m.country_id) AS region_id FROM levels l JOIN members m USING (user_id) LEFT JOIN regions r ON r.country_id = m.country_id WHERE elite_level = 30) s
-        JOIN (SELECT region_id, CAST({_h('pv')} * {_C.micro('superEliteRate')} // (n * 1000000) AS BIGINT) AS bonus_se FROM (SELECT coalesce(region_id, m.country_id) AS region_id, count(*) AS n FROM levels l JOIN members m USING (user_id) LEFT JOIN regions r ON r.country_id = m.country_id WHERE elite_level = 30 GROUP BY 1) JOIN ordreg USING (region_id)) b USING (region_id)
+        JOIN (SELECT region_id, CAST({_h('pv')} * {_MICRO['superEliteRate']} // (n * 1000000) AS BIGINT) AS bonus_se FROM (SELECT coalesce(region_id, m.country_id) AS region_id, count(*) AS n FROM levels l JOIN members m USING (user_id) LEFT JOIN regions r ON r.country_id = m.country_id WHERE elite_level = 30 GROUP BY 1) JOIN ordreg USING (region_id)) b USING (region_id)
         LEFT JOIN month mo USING (user_id) WHERE bonus_se > 0""",
     "tmatch": f"""SELECT *, CASE WHEN cap = 0 OR cap > ori_base THEN ori_base ELSE cap END AS base FROM (SELECT t.*, CAST({_h('touch_pv')} * rate // 10000 AS BIGINT) AS ori_base FROM (
         SELECT mo.user_id, mo.country_id, is_active, pv_own, total_1l, total_2l, total_1l - least(total_1l, total_2l) AS surplus_1l, total_2l - least(total_1l, total_2l) AS surplus_2l, least(total_1l, total_2l) AS touch_pv, coalesce(r.v, 0) AS rate, coalesce(c.v, 0) * 10000 AS cap
-        FROM month mo LEFT JOIN members m USING (user_id) LEFT JOIN {_family('teamTouchRate')} r(k, v) ON r.k = member_level LEFT JOIN {_family('teamTouchCapping', False)} c(k, v) ON c.k = member_level) t)""",
+        FROM month mo LEFT JOIN members m USING (user_id) LEFT JOIN {_family('teamTouchRate')} r(k, v) ON r.k = member_level LEFT JOIN {_family('teamTouchCapping')} c(k, v) ON c.k = member_level) t)""",
     "b_tb": f"""SELECT t.user_id, t.country_id, touch_pv, surplus_1l, surplus_2l, ori_base, base, tb_rate, CAST({_h('base')} * tb_rate // 100000000 AS BIGINT) AS bonus_tb FROM tmatch t,
-        (SELECT coalesce(CAST({_h('(SELECT sum(pv_own) FROM tmatch)')} * {_C.micro('teamBisectRate') * 100} // nullif((SELECT sum(base) FROM tmatch WHERE is_active = 1 AND touch_pv > 0), 0) AS BIGINT), 0) AS tb_rate)
+        (SELECT coalesce(CAST({_h('(SELECT sum(pv_own) FROM tmatch)')} * {_MICRO['teamBisectRate'] * 100} // nullif((SELECT sum(base) FROM tmatch WHERE is_active = 1 AND touch_pv > 0), 0) AS BIGINT), 0) AS tb_rate)
         WHERE touch_pv > 0 AND base > 0 AND is_active = 1 AND tb_rate > 0""",
-    "b_sfb": f"""SELECT * FROM (SELECT *, bonus_unity + bonus_app + bonus_otc AS bonus_sfb FROM (SELECT s.*, {', '.join(_wide(_h(f'pv_{n}') + f' * {_C.micro("stockistFeeRate")}', '1000000') + f' AS bonus_{n}' for n in ('unity', 'app', 'otc'))}, m.country_id FROM (
+    "b_sfb": f"""SELECT * FROM (SELECT *, bonus_unity + bonus_app + bonus_otc AS bonus_sfb FROM (SELECT s.*, {', '.join(_wide(_h(f'pv_{n}') + f' * {_MICRO["stockistFeeRate"]}', '1000000') + f' AS bonus_{n}' for n in ('unity', 'app', 'otc'))}, m.country_id FROM (
         SELECT stockist_id AS user_id, sum(pv) AS stockist_pv, {', '.join(f'coalesce(sum(pv) FILTER (type_id = {k}), 0) AS pv_{n}' for k, n in ((1, 'unity'), (2, 'app'), (3, 'otc')))} FROM ord WHERE stockist_id IS NOT NULL GROUP BY 1) s LEFT JOIN members m USING (user_id) WHERE stockist_pv > 0)) WHERE bonus_sfb > 0""",
-    "gp": "SELECT h.*, 1 + is_founder AS heads FROM hlayers h JOIN members USING (user_id) WHERE layer IN (70, 80, 90)",
-    "gpool": f"SELECT layer, CAST({_h('total')} * (v / 2)::BIGINT // (n * 100) AS BIGINT) AS per_head, CAST({_h('total')} * v // (pv * 2) AS BIGINT) AS per_pv FROM (SELECT layer, sum(heads) AS n, sum(lb_pv * heads) AS pv FROM gp GROUP BY 1) LEFT JOIN {_family('globalPoolBonus')} f(k, v) ON f.k = layer, (SELECT coalesce(sum(pv_own), 0) AS total FROM month)",
-    "b_gpb": "SELECT user_id, bonus_head, bonus_pv, bonus_head + bonus_pv AS bonus_gpb, coalesce(is_active, 0) AS is_active FROM (SELECT user_id, sum(CAST(CAST(per_head AS HUGEINT) * heads // 10000 AS BIGINT)) AS bonus_head, sum(CAST(CAST(lb_pv * heads AS HUGEINT) * per_pv // 1000000 AS BIGINT)) AS bonus_pv FROM gp JOIN gpool USING (layer) WHERE bonus >= layer GROUP BY 1) LEFT JOIN month USING (user_id)",
+    "gp": "SELECT h.*, 1 + is_founder AS heads FROM hlayers h JOIN members USING (user_id)",
+    "gpool": _pools("globalPoolBonus"),
+    "gpopen": _pools("globalPoolOpen"),
+    "b_gpb": _shares_of_pool("gpool"),
+    "b_gpo": _shares_of_pool("gpopen"),
     "enrolled": f"SELECT c_custkey AS user_id, 'CAR' AS kind, c_custkey % 3 + {P - 1} AS end_period, 50000 AS capping FROM customer WHERE c_custkey % 20 = 0 UNION ALL SELECT c_custkey, 'ROOM', c_custkey % 3 + {P - 1}, 30000 FROM customer WHERE c_custkey % 25 = 0",
     "crb": "SELECT user_id AS bonus_id, user_id, gpv AS gpv_real, 1 AS layer, 1 AS deep FROM lnet WHERE user_id IN (SELECT user_id FROM enrolled) UNION ALL SELECT c.bonus_id, n.user_id, n.rl, CASE WHEN n.rl > 0 THEN c.deep + 1 ELSE 0 END, CASE WHEN n.rl > 0 THEN c.deep + 1 ELSE c.deep END FROM crb c JOIN lnet n ON n.parent_id = c.user_id",
     "crbpool": "SELECT coalesce(sum(pv), 0) AS pool FROM ord WHERE country_id IN (1, 3, 4)",
@@ -161,7 +180,7 @@ for _kind, _prefix in (("CAR", "carRate"), ("ROOM", "roomRate")):
 T |= {
     "b_crb": "SELECT * FROM (SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.ori, 0) AS ori_car, coalesce(a.paid, 0) AS bonus_car, coalesce(b.ori, 0) AS ori_room, coalesce(b.paid, 0) AS bonus_room, coalesce(is_active, 0) AS is_active, coalesce(a.paid, 0) + coalesce(b.paid, 0) AS bonus_crb FROM p_car a FULL JOIN p_room b ON a.user_id = b.user_id LEFT JOIN month mo ON mo.user_id = coalesce(a.user_id, b.user_id)) WHERE bonus_crb > 0",
     "eabwho": "SELECT e.user_id, gpv, m.country_id, coalesce(region_id, m.country_id) AS region_id FROM enet e JOIN members m USING (user_id) LEFT JOIN regions r ON r.country_id = m.country_id WHERE gpv >= 100000",
-    "b_eab": f"SELECT w.user_id, gpv, country_id, region_id, bonus_eab, CASE WHEN coalesce(is_active, 0) = 1 THEN bonus_eab ELSE 0 END AS payable, coalesce(is_active, 0) AS is_active FROM eabwho w JOIN (SELECT region_id, coalesce(CAST(({_h('pv')} * {2 * _C.micro('eabRate')} + n * 1000000) // (n * 2000000) AS BIGINT), 0) AS bonus_eab FROM (SELECT region_id, count(*) AS n FROM eabwho GROUP BY 1) LEFT JOIN ordreg USING (region_id)) USING (region_id) LEFT JOIN (SELECT user_id, is_active FROM month) USING (user_id) WHERE bonus_eab > 0",
+    "b_eab": f"SELECT w.user_id, gpv, country_id, region_id, bonus_eab, CASE WHEN coalesce(is_active, 0) = 1 THEN bonus_eab ELSE 0 END AS payable, coalesce(is_active, 0) AS is_active FROM eabwho w JOIN (SELECT region_id, coalesce(CAST(({_h('pv')} * {2 * _MICRO['eabRate']} + n * 1000000) // (n * 2000000) AS BIGINT), 0) AS bonus_eab FROM (SELECT region_id, count(*) AS n FROM eabwho GROUP BY 1) LEFT JOIN ordreg USING (region_id)) USING (region_id) LEFT JOIN (SELECT user_id, is_active FROM month) USING (user_id) WHERE bonus_eab > 0",
     "pbnodes": """SELECT d.user_id, d.parent_id, d.depth, m.country_id, coalesce(e.gpv, 0) AS gpv, coalesce(e.pv_own, 0) AS pv, coalesce(e.elite, 0) AS elite, coalesce(p.pv, 0) + coalesce(e.gpv, 0) AS total_gpv,
         greatest(CASE WHEN coalesce(p.pv, 0) >= 60000 THEN 30 WHEN coalesce(p.pv, 0) >= 30000 THEN 20 ELSE 10 END, CASE WHEN coalesce(mo.pv_team, 0) >= 60000 THEN 30 ELSE 10 END,
         CASE WHEN coalesce(p.pv, 0) + coalesce(e.gpv, 0) >= 60000 THEN 30 WHEN coalesce(p.pv, 0) + coalesce(e.gpv, 0) >= 30000 THEN 20 ELSE 10 END) AS level
@@ -195,7 +214,7 @@ def _m(*names: str, **scales: int) -> str:
 _ALL = [f"bonus_{n}" for n in _NAMES]
 _MONTH = ["pv_own", "pv_zc", "pv_fx", "pv_team", "pv_1l", "pv_2l", "pre_surplus_1l", "pre_surplus_2l", "total_1l", "total_2l", "stockist_pv"]
 _SELECTS = {
-    "level_fee_commission": f"SELECT user_id, level, CAST(sum((CAST(amount AS HUGEINT) * ppm + 500000) // 1000000) * 0.01 AS DECIMAL(18, 2)) AS commission, count(*) AS n_orders FROM (SELECT ancestor AS user_id, level, amount FROM ord JOIN sup ON descendant = user_id) JOIN (VALUES {', '.join(f'({k}, {v})' for k, v in LEVEL_FEES.items())}) f(k, ppm) ON k = level GROUP BY user_id, level",
+    "level_fee_commission": f"SELECT user_id, level, CAST(sum((CAST(amount AS HUGEINT) * ppm + 500000) // 1000000) * 0.01 AS DECIMAL(18, 2)) AS commission, count(*) AS n_orders FROM (SELECT ancestor AS user_id, level, amount FROM ord JOIN sup ON descendant = user_id) JOIN (VALUES {', '.join(f'({k}, {v})' for k, v in _FAMILIES['levelFee'].items())}) f(k, ppm) ON k = level GROUP BY user_id, level",
     "sponsor_depth": "SELECT user_id, s.depth AS sponsor_depth, p.depth AS placement_depth FROM sdepth s FULL JOIN pdepth p USING (user_id)",
     "generation_counts": "SELECT depth AS level, count(*) AS n FROM pdepth GROUP BY 1",
     "placement_closure": "SELECT ancestor, descendant, level, leg FROM pup",
@@ -234,12 +253,18 @@ _SELECTS = {
     "achievement_bonus": f"SELECT user_id, {_m('gpv', 'bonus_eab', 'payable')}, country_id, region_id, is_active FROM b_eab",
     "total_bonus": f"SELECT user_id, country_id, is_active, {_m('total_bonus', 'total_points', *_ALL)} FROM tot WHERE total_bonus > 0 OR total_points > 0",
     "inactive_details": f"SELECT user_id, country_id, {_m('pv_own', 'bonus_pb', *_ALL, *[f'lb{k}' for k in range(10, 100, 10)])} FROM idle",
+    "country_share_lb": f"SELECT c.user_id, c.order_country, m.country_id AS user_country, c.pv, c.n_orders, c.n_users, c.share, CAST(bonus_lb * 0.01 AS DECIMAL(18, 2)) AS bonus_lb, CAST(bonus_lb * e4 * 0.000001 AS DECIMAL(18, 6)) AS bonus_global FROM (SELECT s.user_id, country_id AS order_country, {_m('pv')}, n_orders, n_users, coalesce(CAST(pv AS HUGEINT) * 10000 // nullif(t.pv_team, 0), 0) AS e4, CAST(e4 * 0.0001 AS DECIMAL(18, 4)) AS share FROM shares s JOIN pss t USING (user_id)) c JOIN (SELECT user_id, bonus_lb FROM b_lb WHERE bonus_lb > 0) l USING (user_id) JOIN members m USING (user_id)",
+    "descendants_below": "SELECT ancestor AS user_id, level, count(*) AS n FROM sup JOIN sdepth d ON d.user_id = ancestor WHERE d.depth = 2 AND level <= 3 GROUP BY ALL",
+    "global_pool_low_layers": f"SELECT user_id, {_m('bonus_head', 'bonus_pv', 'bonus_gpb')}, is_active FROM b_gpo",
     "country_share": f"SELECT s.user_id, parent_id, country_id, {_m('pv')}, n_orders, n_users, CAST(coalesce(CAST(pv AS HUGEINT) * 10000 // nullif(t.pv_team, 0), 0) * 0.0001 AS DECIMAL(18, 4)) AS share FROM shares s JOIN sponsor USING (user_id) JOIN pss t USING (user_id)",
     "effectiveness": f"""SELECT user_id, since AS effect_month, {_m('effect_pv')}, CAST(strptime(since || '01', '%Y%m%d')::DATE + INTERVAL 11 MONTH >= DATE '1997-03-01' AS INT) AS effect_active FROM (
         SELECT m.user_id, CASE WHEN coalesce(p.pv % 3000, 0) + pv_own >= 3000 THEN '199703' WHEN p.user_id IS NULL THEN '199703' ELSE '199601' END AS since, CASE WHEN coalesce(p.pv % 3000, 0) + pv_own >= 3000 THEN 0 ELSE coalesce(p.pv % 3000, 0) + pv_own END AS effect_pv FROM month m LEFT JOIN past p USING (user_id))""",
     "rank_change_events": "SELECT user_id, p.rank AS old_value, r.rank AS new_value, CASE WHEN r.rank > p.rank THEN 'UP' ELSE 'DOWN' END AS direction FROM rank r JOIN prev p USING (user_id) WHERE r.rank <> p.rank",
     "integrity_report": """SELECT * FROM (VALUES (1, 'sponsor tree is connected'), (2, 'placement tree is connected'), (3, 'sponsor members are members'), (4, 'placement members are members'), (5, 'buyers are in the sponsor tree'), (6, 'buyers are in the placement tree'), (7, 'stockists are members'), (8, 'legs are 1 or 2'), (9, 'one placement parent'), (10, 'one child per leg'), (11, 'one sponsor parent'), (12, 'no member has the root''s id')) t(check_no, name),
-        LATERAL (SELECT CAST(CASE check_no WHEN 1 THEN (SELECT count(*) FROM sponsor) - (SELECT count(*) FROM sdepth) WHEN 2 THEN (SELECT count(*) FROM placement) - (SELECT count(*) FROM pdepth)
+        LATERAL (SELECT CAST(CASE check_no WHEN 1 THEN (SELECT count(*) FROM sponsor) - (SELECT count(*) FROM sdepth) + abs((SELECT count(*) FROM sponsor WHERE parent_id = -1) - 1) WHEN 2 THEN (SELECT count(*) FROM placement) - (SELECT count(*) FROM pdepth) + abs((SELECT count(*) FROM placement WHERE parent_id = -1) - 1)
+        WHEN 3 THEN (SELECT count(DISTINCT user_id) FROM sponsor WHERE user_id NOT IN (SELECT user_id FROM members)) WHEN 4 THEN (SELECT count(DISTINCT user_id) FROM placement WHERE user_id NOT IN (SELECT user_id FROM members))
+        WHEN 9 THEN (SELECT count(*) FROM (SELECT user_id FROM placement GROUP BY 1 HAVING count(*) > 1)) WHEN 10 THEN (SELECT count(*) FROM (SELECT parent_id, leg FROM placement WHERE parent_id <> -1 GROUP BY ALL HAVING count(*) > 1))
+        WHEN 11 THEN (SELECT count(*) FROM (SELECT user_id FROM sponsor GROUP BY 1 HAVING count(*) > 1)) WHEN 12 THEN (SELECT count(*) FROM sponsor WHERE user_id = -1)
         WHEN 5 THEN (SELECT count(DISTINCT user_id) FROM ord WHERE user_id NOT IN (SELECT user_id FROM sponsor)) WHEN 6 THEN (SELECT count(DISTINCT user_id) FROM ord WHERE user_id NOT IN (SELECT user_id FROM placement))
         WHEN 7 THEN (SELECT count(DISTINCT stockist_id) FROM ord WHERE stockist_id NOT IN (SELECT user_id FROM members)) WHEN 8 THEN (SELECT count(*) FROM placement WHERE parent_id <> -1 AND leg NOT IN (1, 2)) ELSE 0 END AS BIGINT) AS violations)""",
     "cdc_latest_state": "SELECT user_id AS id, op, ts AS event_ts, event_id AS \"offset\", value, k FROM (SELECT *, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op, CAST(json_extract_string(props, '$.k') AS INT) AS k, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1 AND op <> 'd'",

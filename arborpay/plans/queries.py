@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arborpay.functions.config import DEFAULTS, Config
 from arborpay.functions.money import to_decimal
 from arborpay.operators import bonuses, checks, elite, honor, tree, volume
 from arborpay.plans.settlement import Settlement, tree_depths
@@ -224,6 +225,31 @@ def country_share(s: Settlement) -> DataFrame:
     return money(volume.country_share(s.ws, s.sponsor, s.orders).withColumnRenamed("share_e4", "share"), "pv", share=4)
 
 
+@settled
+def country_share_lb(s: Settlement) -> DataFrame:
+    rows = volume.country_share_of_leadership(volume.country_share(s.ws, s.sponsor, s.orders), s.d.members, s._leadership[1])
+    return money(rows.withColumnRenamed("share_e4", "share"), "pv", "bonus_lb", share=4, bonus_global=6)
+
+
+@settled
+def descendants_below(s: Settlement) -> DataFrame:
+    """Members below each of the root's grandchildren, by level, three levels deep."""
+    rows = tree.descendants(s.ws, s.d.sponsor, s.sponsor.where("depth = 2"), deepest=3)
+    return rows.groupBy(F.col("ancestor").alias("user_id"), "level").agg(F.count("*").alias("n"))
+
+
+#: Pools for layers that occur in small data as well, at a rate that doesn't halve evenly in millionths.
+OPEN_POOLS = {"globalPoolBonus10": "1.0333", "globalPoolBonus20": ".5001", "globalPoolBonus30": "2"}
+
+
+def global_pool_low_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Settlement(load(spark, sf_dir, config=Config(list((DEFAULTS | OPEN_POOLS).items())))).part("gpb")
+    return money(rows, "bonus_head", "bonus_pv", "bonus_gpb")
+
+
+QUERIES["global_pool_low_layers"] = global_pool_low_layers
+
+
 @settled
 def effectiveness(s: Settlement) -> DataFrame:
     return money(s.effective(), "effect_pv")
@@ -231,7 +257,7 @@ def effectiveness(s: Settlement) -> DataFrame:
 
 @settled
 def integrity_report(s: Settlement) -> DataFrame:
-    return checks.integrity_report(s.d.members, s.d.sponsor, s.d.placement, s.orders)
+    return checks.integrity_report(s.ws, s.d.members, s.d.sponsor, s.d.placement, s.orders)
 
 
 @settled

@@ -1,7 +1,8 @@
 """Tables kept as versions: publish gates, blue/green publishing with roll-back, merges, and backups by period.
 
-A table is a folder of version folders and one small pointer file that names the current one. Readers
-follow the pointer; a publish writes a new version, checks it, and moves the pointer by one rename.
+A table is a folder of version folders, and pointers: empty files whose names hold a running number and
+the version it names; the highest counts. A publish writes a new version, checks it and creates the next
+pointer, which is there or isn't; nothing is ever without a pointer once it had one. One writer at a time.
 """
 
 from __future__ import annotations
@@ -45,22 +46,34 @@ class VersionedTable:
 
     def version(self) -> int:
         """The published version, 0 if there is none."""
-        pointer = f"{self.path}/current"
-        if not self._fs.exists(self._fs_path(pointer)):
-            return 0
-        return int(self.spark.read.text(pointer).first()[0])
+        return max(self._pointers(), default=(0, 0))[1]
+
+    def _pointers(self) -> list[tuple[int, int]]:
+        folder = self._fs_path(f"{self.path}/pointers")
+        names = [s.getPath().getName() for s in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+        return [(int(n.split("-")[0]), int(n.split("-")[1])) for n in names if n[0].isdigit()]
+
+    def _next(self) -> int:
+        """A version that was never published."""
+        return max((v for _, v in self._pointers()), default=0) + 1
 
     def read(self, columns: list[str] | None = None, version: int | None = None) -> tuple[DataFrame, int]:
         """(rows, version), of the named columns."""
         at = self.version() if version is None else version
         if not at:
             raise AnalysisException(f"no version of {self.path}")
-        df = self.spark.read.parquet(f"{self.path}/v{at}")
+        df = self.whole(at)
+        if "gone" in df.columns:
+            df = df.where("not gone").drop("gone")
         return (df.select(*columns) if columns else df), at
 
+    def whole(self, version: int) -> DataFrame:
+        """Rows of a version, after merges also those deleted of late, marked ``gone``."""
+        return self.spark.read.parquet(f"{self.path}/v{version}")
+
     def publish(self, df: DataFrame, key: str, source: DataFrame | None = None, partitions: int | None = None) -> int:
         """Write, check and publish a version; whatever fails, the current one stays."""
-        at = self.version() + 1
+        at = self._next()
         folder = self._fs_path(f"{self.path}/v{at}")
         (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(folder.toString())
         try:
@@ -72,16 +85,8 @@ class VersionedTable:
         return at
 
     def _point(self, version: int) -> None:
-        staged = self._fs_path(f"{self.path}/.current-{uuid.uuid4().hex}")
-        stream = self._fs.create(staged, False)
-        try:
-            stream.write(bytearray(f"{version}\n".encode()))
-        finally:
-            stream.close()
-        pointer = self._fs_path(f"{self.path}/current")
-        self._fs.delete(pointer, False)
-        if not self._fs.rename(staged, pointer):
-            raise OSError(f"the pointer of {self.path} can't be moved")
+        number = max(self._pointers(), default=(0, 0))[0] + 1
+        self._fs.create(self._fs_path(f"{self.path}/pointers/{number:012d}-{version}"), False).close()
 
     def roll_back(self) -> int:
         """Point to the version before."""
@@ -96,12 +101,10 @@ class VersionedTable:
         if rows.isEmpty():
             return self.version()
         if not self.version():
-            at = 1
-            out = rows.where("op <> 'd'").drop("op", "partition", "offset", "bad")
+            out = rows.withColumn("gone", F.col("op") == "d").drop("op", "partition", "offset", "bad")
         else:
-            table, at = self.read()
-            out = changes.merge(table, rows, key)
-            at += 1
+            out = changes.merged(self.whole(self.version()), rows, key)
+        at = self._next()
         out.write.mode("overwrite").parquet(f"{self.path}/v{at}")
         self._point(at)
         return at
@@ -112,6 +115,67 @@ def jdbc(spark: SparkSession, url: str, table: str, user: str, password: str, fe
     return spark.read.format("jdbc").options(url=url, dbtable=table, user=user, password=password, fetchsize=str(fetch)).load()
 
 
+class PeriodRuns:
+    """Which periods take orders, and the results of each, published together.
+
+    A period's status is the last of its events, kept as empty files like a table's pointers, so another
+    driver sees it. A period settles only after the one before. All result tables of a run lie in one
+    folder; the event that ends the run makes all of them the period's results at once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._fs_path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._fs_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _events(self, period: int) -> list[tuple[int, str, str]]:
+        """(number, status, run) of a period, in order."""
+        folder = self._fs_path(f"{self.path}/status/{period}")
+        names = [s.getPath().getName() for s in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+        return sorted((int(a), b, c) for a, b, c in (n.split("-") for n in names if n[0].isdigit()))
+
+    def _say(self, period: int, status: str, run: str) -> None:
+        events = self._events(period)
+        number = events[-1][0] + 1 if events else 1
+        self._fs.create(self._fs_path(f"{self.path}/status/{period}/{number:08d}-{status}-{run}"), False).close()
+
+    def status(self, period: int) -> str:
+        events = self._events(period)
+        return events[-1][1] if events else "OPEN"
+
+    def writable(self, period: int) -> bool:
+        return self.status(period) == "OPEN"
+
+    def begin(self, period: int, first: bool = False) -> str:
+        """Start a run and return its name."""
+        if not first and self.status(period - 1) != "DONE":
+            raise ValueError(f"period {period - 1} isn't settled")
+        if self.status(period) == "RUNNING":
+            raise ValueError(f"period {period} is being settled")
+        run = uuid.uuid4().hex
+        self._say(period, "RUNNING", run)
+        return run
+
+    def end(self, period: int, run: str, results: dict[str, DataFrame] | None) -> None:
+        """Write a run's results and publish them together; without results, or where one can't be written, the run failed."""
+        if self._events(period)[-1][1:] != ("RUNNING", run):
+            raise ValueError(f"period {period} isn't settled by this run")
+        try:
+            for name, df in (results or {}).items():
+                df.write.mode("overwrite").parquet(f"{self.path}/runs/{run}/{name}")
+        except Exception:
+            self._say(period, "FAILED", run)
+            raise
+        self._say(period, "FAILED" if results is None else "DONE", run)
+
+    def read(self, period: int, name: str) -> DataFrame:
+        """A result of the period's last run that ended well."""
+        done = [run for _, status, run in self._events(period) if status == "DONE"]
+        if not done:
+            raise AnalysisException(f"no results of period {period}")
+        return self.spark.read.parquet(f"{self.path}/runs/{done[-1]}/{name}")
+
+
 def back_up(results: dict[str, DataFrame], path: str, period: int) -> None:
     """Keep results under <path>/<name>/period=<period>; a period that is there is replaced."""
     for name, df in results.items():

@@ -16,6 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if "dir" not in _OWN:
         import shutil
         import tempfile
@@ -39,15 +41,22 @@ class Workspace:
 
     def table(self, df: DataFrame, name: str = "t", partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write df once and read it back: cuts the lineage, and every reader sees the same rows."""
-        path = self.folder(name)
+        return self.table_at(df, self.folder(name), partition_by)
+
+    def table_at(self, df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """As table(), at a place of its own."""
         schema = df.schema
         df.write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def counted(self, df: DataFrame, name: str, condition: str = "true") -> tuple[DataFrame, int]:
         """As table(), with the number of rows that meet a condition, taken while writing."""
+        return self.counted_at(df, self.folder(name), condition)
+
+    def counted_at(self, df: DataFrame, path: str, condition: str = "true") -> tuple[DataFrame, int]:
+        """As counted(), at a place of its own."""
         seen = Observation()
-        out = self.table(df.observe(seen, F.count_if(F.expr(condition)).alias("n")), name)
+        out = self.table_at(df.observe(seen, F.count_if(F.expr(condition)).alias("n")), path)
         return out, seen.get["n"]
 
     def drop(self, *names: str) -> None:

@@ -43,19 +43,35 @@ def newest(rows: DataFrame, key: str) -> DataFrame:
     return agg.select(key, "t.event_ts", "t.partition", "t.offset", *[F.col(f"v.{c}").alias(c) for c in rest])
 
 
-def merge(table: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:
-    """The table after a batch of newest changes.
+#: How long a deleted row is remembered, so that an older change that comes late doesn't revive it.
+REMEMBER = "30 days"
+
+
+def merged(table: DataFrame, rows: DataFrame, key: str = "id", remember: str = REMEMBER) -> DataFrame:
+    """The table after a batch of newest changes, with ``gone``: deleted rows stay for a time after the newest change.
 
-    A change takes effect only if it is newer than the row it meets, deletes too; inserts need no row.
-    Columns that either side lacks come out as nulls.
+    A change takes effect only if it is newer than the row it meets, deletes too, and deleted rows
+    count as met; inserts need no row. ``table`` may have ``gone``. Columns that either side lacks come
+    out as nulls.
     """
+    if "gone" not in table.columns:
+        table = table.withColumn("gone", F.lit(False))
+    table = table.withColumn("op", F.when(F.col("gone"), "d").otherwise("r")).drop("gone")
     rows = rows.drop("partition", "offset", "bad")
-    marked = table.withColumn("op", F.lit("r")).withColumn("_in", F.lit(0)).unionByName(rows.withColumn("_in", F.lit(1)), allowMissingColumns=True)
+    marked = table.withColumn("_in", F.lit(0)).unionByName(rows.withColumn("_in", F.lit(1)), allowMissingColumns=True)
     own = [c for c in marked.columns if c not in (key, "event_ts")]
     # Of two rows with the same time the one that is there stays.
     best = F.max_by(F.struct("event_ts", *own), F.struct("event_ts", -F.col("_in"))).alias("v")
     out = marked.groupBy(key).agg(best).select(key, "v.*")
-    return out.where("op <> 'd'").drop("op", "_in")
+    out = out.withColumn("gone", F.col("op") == "d").drop("op", "_in")
+    newest_of_all = out.agg(F.max("event_ts").alias("_last"))
+    stays = ~F.col("gone") | (F.col("event_ts") >= F.col("_last") - F.expr(f"interval {remember}")) if dict(out.dtypes)["event_ts"].startswith("timestamp") else F.lit(True)
+    return out.crossJoin(F.broadcast(newest_of_all)).where(stays).drop("_last")  # one row
+
+
+def merge(table: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:
+    """The live rows of the table after a batch of newest changes."""
+    return merged(table, rows, key).where("not gone").drop("gone")
 
 
 def diff(old: DataFrame, new: DataFrame, key: str, value: str, only_up: bool = False) -> DataFrame:

@@ -91,26 +91,70 @@ def apply_leg_volume(ws: Workspace, state: DataFrame, placement: DataFrame, orde
     return rows.select("user_id", (or_zero("pv_1l") + or_zero("d1")).cast("long").alias("pv_1l"), (or_zero("pv_2l") + or_zero("d2")).cast("long").alias("pv_2l"))
 
 
+def _refold(ws: Workspace, state: DataFrame, touched: DataFrame, side: DataFrame, gives: dict, takes) -> DataFrame:
+    """The state with touched members (user_id) folded anew; ``side`` (user_id, ...) is what their other children give, by the names of ``gives``."""
+    kept = state.join(touched, "user_id", "left_anti")
+    beside = side.join(touched.select(F.col("user_id").alias("child")), "child", "left_anti").groupBy("user_id").agg(*[x.alias(f"side_{name}") for name, x in _again(gives).items()])
+    own = ["user_id", "parent_id", "depth", "pv_own"]
+    nodes = state.join(touched, "user_id", "left_semi").select(*own).join(beside, "user_id", "left")
+    return kept.unionByName(tree.fold(ws, nodes, gives, takes).select(kept.columns))
+
+
+def _again(gives: dict) -> dict[str, F.Column]:
+    """Aggregates of what single children give: the same sums and maxima, by name."""
+    return {name: (F.max if name == "qualified" else F.sum)(F.col(name)) for name in gives}
+
+
+_RANKS = {"sum": (F.sum, lambda: F.col("contrib"), "long"), "legs_in": (F.sum, lambda: ((F.col("rank") >= 10) | (F.col("legs") >= 1)).cast("int"), "long")}
+_BONUS = {"sum": (F.sum, lambda: F.when(F.col("elite") == 0, F.col("gpv")), "long"), "qualified": (F.max, lambda: F.col("elite"), "int")}
+
+
+def _fold_of(ws: Workspace, state: DataFrame, touched: DataFrame, rules: dict, finish) -> DataFrame:
+    gives = {name: (agg(value()), kind) for name, (agg, value, kind) in rules.items()}
+    side = state.select(F.col("parent_id").alias("user_id"), F.col("user_id").alias("child"), *[value().alias(name) for name, (_, value, _) in rules.items()])
+
+    def takes(rows: DataFrame) -> DataFrame:
+        for name, (agg, _, _) in rules.items():
+            both = F.greatest(name, f"side_{name}") if agg is F.max else or_zero(name) + or_zero(f"side_{name}")
+            rows = rows.withColumn(name, both)
+        return finish(rows).drop(*[c for name in rules for c in (name, f"side_{name}")])
+
+    return _refold(ws, state, touched, side, gives, takes)
+
+
+def _rank_of(rows: DataFrame) -> DataFrame:
+    return elite.ranked(rows.withColumn("gpv", (F.col("pv_own") + F.col("sum")).cast("long")).withColumn("legs", F.col("legs_in").cast("long")))
+
+
+def _bonus_of(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("gpv", (F.col("pv_own") + F.col("sum")).cast("long"))
+    rows = rows.withColumn("elite", F.when((F.col("gpv") >= elite.ELITE_PV) | (or_zero("qualified") == 10), 10).otherwise(0))
+    return rows.withColumn("gpv_real", F.when(F.col("elite") == 10, F.col("gpv")).otherwise(0).cast("long"))
+
+
+def _after_orders(ws: Workspace, state: DataFrame, sponsor: DataFrame, orders: DataFrame, rules: dict, finish) -> DataFrame:
+    accepted = decide(state, orders).where("accepted")
+    sound = ws.table(accepted.groupBy("user_id").agg(F.sum("pv").alias("delta")), "sound")
+    touched = ws.table(affected(ws, sponsor, sound), "touched")
+    state = state.join(sound, "user_id", "left").withColumn("pv_own", (or_zero("pv_own") + or_zero("delta")).cast("long")).select(state.columns)
+    return _fold_of(ws, state, touched, rules, finish)
+
+
 def apply_ranks(ws: Workspace, state: DataFrame, sponsor: DataFrame, orders: DataFrame) -> DataFrame:
     """Rank state after orders. Refunds are negative; each that would make a member's own volume negative is left out.
 
     Members above a buyer are folded anew from their children's state, the others are taken over.
     """
-    accepted = decide(state, orders).where("accepted")
-    sound = ws.table(accepted.groupBy("user_id").agg(F.sum("pv").alias("delta")), "sound")
-    touched = ws.table(affected(ws, sponsor, sound), "touched")
-    kept = state.join(touched, "user_id", "left_anti")
-    fixed = kept.select(F.col("parent_id").alias("user_id"), "contrib", ((F.col("rank") >= 10) | (F.col("legs") >= 1)).cast("int").alias("leg"))
-    beside = fixed.groupBy("user_id").agg(F.sum("contrib").alias("side_pv"), F.sum("leg").alias("side_legs"))
-    nodes = state.join(touched, "user_id", "left_semi").select("user_id", "parent_id", "depth", "pv_own")
-    nodes = nodes.join(sound.select("user_id", "delta"), "user_id", "left").withColumn("pv_own", (F.col("pv_own") + or_zero("delta")).cast("long")).drop("delta").join(beside, "user_id", "left")
-    gives = {"sum": (F.sum("contrib"), "long"), "legs_in": (F.sum(((F.col("rank") >= 10) | (F.col("legs") >= 1)).cast("int")), "long")}
+    return _after_orders(ws, state, sponsor, orders, _RANKS, _rank_of)
 
-    def takes(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("gpv", F.col("pv_own") + or_zero("sum") + or_zero("side_pv")).withColumn("legs", (or_zero("legs_in") + or_zero("side_legs")).cast("long"))
-        return elite.ranked(rows).drop("sum", "legs_in", "side_pv", "side_legs")
 
-    return kept.unionByName(tree.fold(ws, nodes, gives, takes).select(kept.columns))
+def apply_bonus(ws: Workspace, state: DataFrame, sponsor: DataFrame, orders: DataFrame) -> DataFrame:
+    """The Elite net after orders, refunds as in apply_ranks(); the bonus follows from it by elite.elite_bonus().
+
+    ``state`` is what elite.elite_net() gives. A refund can take away a qualification, so members above a
+    buyer are folded anew; volume flows on to the next member above that no longer stops it.
+    """
+    return _after_orders(ws, state, sponsor, orders, _BONUS, _bonus_of)
 
 
 def move_member(edges: DataFrame, user_id: int, parent_id: int) -> DataFrame:
@@ -118,21 +162,32 @@ def move_member(edges: DataFrame, user_id: int, parent_id: int) -> DataFrame:
     return edges.withColumn("parent_id", F.when(F.col("user_id") == user_id, F.lit(parent_id)).otherwise(F.col("parent_id")).cast("long"))
 
 
-class PeriodGate:
-    """Which periods take orders: a period that runs, failed or is closed doesn't, and one settles only after the one before."""
-
-    def __init__(self):
-        self.status: dict[int, str] = {}
+def patch(ws: Workspace, edges: DataFrame, moves: DataFrame) -> DataFrame:
+    """The tree after moves (user_id, parent_id, and leg in a placement tree); one move a member.
 
-    def writable(self, period: int) -> bool:
-        return self.status.get(period, "OPEN") == "OPEN"
-
-    def begin(self, period: int, first: bool = False) -> None:
-        if not first and self.status.get(period - 1) != "DONE":
-            raise ValueError(f"period {period - 1} isn't settled")
-        if self.status.get(period) == "RUNNING":
-            raise ValueError(f"period {period} is being settled")
-        self.status[period] = "RUNNING"
-
-    def end(self, period: int, ok: bool) -> None:
-        self.status[period] = "DONE" if ok else "FAILED"
+    New members may come; a parent that is no member, a cycle, a leg other than 1 and 2 and a leg taken
+    twice raise TreeError, and then nothing of the patch holds.
+    """
+    columns = ["user_id", "parent_id", *([c for c in ("leg",) if c in edges.columns])]
+    new = ws.table(edges.select(columns).join(moves.select("user_id"), "user_id", "left_anti").unionByName(moves.select(columns)), "patched")
+    if "leg" in columns:
+        placed = tree.without_roots(new)
+        twice = placed.groupBy("parent_id", "leg").count().where("count > 1").select(F.col("parent_id").alias("user_id"))
+        wrong = placed.where("leg is null or leg not in (1, 2)").select("user_id").union(twice).limit(20).collect()
+        if wrong:
+            raise tree.TreeError(f"legs that don't fit: {[r[0] for r in wrong]}")
+    return tree.depths(ws, new)
+
+
+def apply_moves(ws: Workspace, state: DataFrame, old: DataFrame, new: DataFrame, moves: DataFrame) -> DataFrame:
+    """Rank state after moves from the ``old`` sponsor tree to the ``new`` one, which patch() gives.
+
+    Only the moved members and those above them, before or after, are folded anew; new members start
+    with no volume. Depths change in whole subtrees and are taken over.
+    """
+    placed = new.select("user_id", "parent_id", "depth")
+    fresh = placed.join(state.drop("parent_id", "depth"), "user_id", "left").select(state.columns)
+    zero = [c for c in state.columns if c not in ("user_id", "parent_id", "depth", "is_elite")]
+    fresh = ws.table(fresh.withColumns({c: F.coalesce(c, F.lit(0)).cast(state.schema[c].dataType) for c in zero}).withColumn("is_elite", F.coalesce("is_elite", F.lit(False))), "moved-state")
+    touched = affected(ws, old, moves).union(affected(ws, new, moves)).distinct()
+    return _fold_of(ws, fresh, ws.table(touched, "touched"), _RANKS, _rank_of)

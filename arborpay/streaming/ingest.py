@@ -33,8 +33,9 @@ class Ingest:
     """Applies micro-batches to one versioned table per topic.
 
     Each topic's processor gets that topic's messages alone. A batch id that a table has seen is
-    skipped, so a replayed batch changes nothing. Messages that can't be read go to the dead letters; a
-    topic that fails doesn't stop the others, its messages go there too.
+    skipped, so a replayed batch changes nothing. Messages that can't be read go to the dead letters. A
+    topic that fails for any other reason doesn't stop the others, but fails the batch after them, unmarked:
+    the stream replays it, and no message is lost.
     """
 
     def __init__(self, spark: SparkSession, path: str, topics: dict[str, str]):
@@ -56,6 +57,7 @@ class Ingest:
 
     def batch(self, messages: DataFrame, batch: int) -> None:
         """One micro-batch, as foreachBatch calls it."""
+        failed: list[Exception] = []
         messages = messages.persist()
         try:
             for topic, payload in self.topics.items():
@@ -68,11 +70,13 @@ class Ingest:
                     if not bad.isEmpty():
                         self._letters(bad, batch, topic)
                     self.table(topic).merge(changes.newest(rows.where("not bad"), "id").drop("bad"))
+                    self._mark(topic, batch)
                 except Exception as error:  # noqa: BLE001  the other topics go on
-                    self._letters(own.withColumn("error", F.lit(str(error)[:500])), batch, topic)
-                self._mark(topic, batch)
+                    failed.append(error)
         finally:
             messages.unpersist()
+        if failed:
+            raise failed[0]
 
     def start(self, stream: DataFrame, **trigger) -> StreamingQuery:
         return stream.writeStream.foreachBatch(self.batch).option("checkpointLocation", f"{self.path}/checkpoint").trigger(**(trigger or {"availableNow": True})).start()
