@@ -56,6 +56,33 @@ def test_minhash_forest_equals_brute_force(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == {i: (len(sets[i]), root[i], root[i] == i) for i in ids}
 
 
+def test_crowded_regions_are_deepened_without_losing_a_link(spark, monkeypatch):
+    """Many documents share a long passage; with room for few pairs a region, the exact way has to find their links."""
+    from arborpay.llm import minhash_forest
+
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    shared = list(rng.choice(vocabulary, 120))
+    texts = []
+    for _ in range(150):
+        own = list(rng.choice(vocabulary, 60))
+        texts.append(" ".join(shared + own))
+        if rng.random() < 0.2:
+            texts.append(" ".join(shared + own[:-8] + list(rng.choice(vocabulary, 8))))
+    rows = [*enumerate(texts), (3, "another text of the same document " + " ".join(rng.choice(vocabulary, 40)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    depths = []
+    prefix = minhash_forest._prefix
+    monkeypatch.setattr(minhash_forest, "CROWD", 20)
+    monkeypatch.setattr(minhash_forest, "_prefix", lambda d: depths.append(d) or prefix(d))
+    got = near_duplicates(docs).collect()
+    sets = [(i, brute_sets(t)) for i, t in rows]
+    links = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[:k] if 100 * len(x & y) >= 75 * len(x | y)]
+    root = components({i for i, _ in sets}, [x for x in links if x[0] != x[1]])
+    assert len(depths) > 1 and len(set(root.values())) > 50
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted((i, len(x), root[i]) for i, x in sets)
+
+
 def test_minhash_forest_odd_rows(spark):
     schema = "doc_id long, text string"
     assert near_duplicates(spark.createDataFrame([], schema)).count() == 0
