@@ -4,7 +4,8 @@ The tree is fitted on a bounded sample; every row is put into the leaf that a de
 centroid reaches. A query walks the tree through a priority queue of its distances to the nodes and
 takes leaves in the order they come out. How many leaves are visited is calibrated: for a bounded set
 of calibration queries the exact neighbours are found among all rows, and the number widens until so
-large a share of them lies in the visited leaves.
+large a share of them lies in the visited leaves. Neighbours equal to their query are easy and don't
+count there. A walk also goes on until its leaves hold as many candidates as are asked for.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 
 from arborpay.llm.common import Workspace
 
-#: Rows that the tree is fitted on; children of a node; most leaves; calibration queries and the recall they must reach.
-SAMPLE, BRANCH, MOST_LEAVES, CALIBRATION, RECALL = 8192, 8, 4096, 128, 0.97
+#: Rows that the tree is fitted on, at least and for each leaf, and their bytes at most; children of a node; calibration queries and the recall they must reach.
+SAMPLE, PER_LEAF, SAMPLE_BYTES, BRANCH, CALIBRATION, RECALL = 8192, 4, 1 << 26, 8, 128, 0.97
+#: Most leaves, so that the tree stays small enough to be sent to every task; twice the root of the rows up to then.
+MOST_LEAVES = 32_768
 #: Rows of one block of a leaf.
 BLOCK = 2048
 
@@ -34,6 +37,7 @@ class Tree:
     children: list[list[int]] = field(default_factory=list)
     leaf: list[int] = field(default_factory=list)
     leaves: int = 0
+    of_children: dict[int, np.ndarray] = field(default_factory=dict)
 
     def add(self, centroid: np.ndarray) -> int:
         self.centroids.append(centroid)
@@ -41,6 +45,12 @@ class Tree:
         self.leaf.append(-1)
         return len(self.leaf) - 1
 
+    def around(self, node: int) -> np.ndarray:
+        """Centroids of a node's children, kept once asked for."""
+        if node not in self.of_children:
+            self.of_children[node] = np.stack([self.centroids[k] for k in self.children[node]])
+        return self.of_children[node]
+
     def assign(self, x: np.ndarray) -> np.ndarray:
         """Leaf of each row, by descent."""
         out = np.full(len(x), -1)
@@ -53,21 +63,22 @@ class Tree:
                 out[rows] = self.leaf[node]
                 continue
             kids = self.children[node]
-            c = np.stack([self.centroids[k] for k in kids])
+            c = self.around(node)
             near = ((c**2).sum(axis=1) - 2 * x[rows] @ c.T).argmin(axis=1)
             stack += [(k, rows[near == i]) for i, k in enumerate(kids)]
         return out
 
-    def order(self, q: np.ndarray, visits: int) -> list[int]:
-        """Leaves in the order a best-bin-first walk reaches them."""
-        d = ((np.stack(self.centroids) - q) ** 2).sum(axis=1)
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < visits:
+    def order(self, q: np.ndarray, visits: int, sizes: np.ndarray | None = None, wanted: int = 0) -> list[int]:
+        """Leaves in the order a best-bin-first walk reaches them: so many, and until they hold as many rows as wanted."""
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < visits or held < wanted):
             _, node = heapq.heappop(queue)
             if self.leaf[node] >= 0:
                 out.append(self.leaf[node])
-            for k in self.children[node]:
-                heapq.heappush(queue, (float(d[k]), k))
+                held += int(sizes[self.leaf[node]]) if sizes is not None else 0
+            elif self.children[node]:
+                for k, d in zip(self.children[node], ((self.around(node) - q) ** 2).sum(axis=1).tolist(), strict=True):
+                    heapq.heappush(queue, (d, k))
         return out
 
 
@@ -156,11 +167,11 @@ def _brute(queries: list[tuple[int, bytes]], width: int, k: int) -> Callable:
     return run
 
 
-def _walker(tree: Tree, width: int, visits: int) -> Callable:
+def _walker(tree: Tree, width: int, visits: int, sizes: np.ndarray, wanted: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                leaves = tree.order(np.frombuffer(raw.ljust(8 * width, b"\0"), np.float64), visits)
+                leaves = tree.order(np.frombuffer(raw.ljust(8 * width, b"\0"), np.float64), visits, sizes, wanted)
                 yield pa.RecordBatch.from_arrays([pa.array([i] * len(leaves), pa.int64()), pa.array([raw] * len(leaves), pa.binary()), pa.array(leaves, pa.int32())], ["query_id", "q", "leaf"])
 
     return run
@@ -183,8 +194,10 @@ def _searcher(width: int, k: int) -> Callable:
 
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, recall: float = RECALL) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest vectors found for each query, by Euclidean distance.
+    """(query_id, rank, vec_id, score, visits, trial_recall): the k nearest vectors found for each query, by Euclidean distance.
 
+    ``visits`` is the calibrated number of leaves, ``trial_recall`` the share of the calibration queries'
+    exact neighbours in them (null where none differ from their query).
     Both frames need vec_id and embedding. A query's own id is no candidate. Vectors that are null,
     empty, zero or hold null or non-finite components, and rows without vec_id, take no part; shorter
     vectors count as filled up with zeros. Ties go to the smaller vec_id. Repeated ids are candidates of
@@ -200,31 +213,37 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, reca
     rows = ws.table(clean(vectors), "vectors")
     asked = ws.table(clean(queries).groupBy("vec_id").agg(F.min("v").alias("q")), "queries")
     n, width = rows.agg(F.count("*"), F.max("dim")).first()
-    none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, visits int, trial_recall double")
     if not n or asked.isEmpty():
         return none
     mix = F.xxhash64("vec_id", "v")
-    sample = rows.orderBy(mix).limit(SAMPLE).select("v").toArrow()
-    tree = fit_tree(_matrix(sample.column("v"), width), leaves=int(min(MOST_LEAVES, max(1, 2 * n**0.5))))
+    leaves = int(min(MOST_LEAVES, max(1, 2 * n**0.5)))
+    bound = max(1, min(max(SAMPLE, PER_LEAF * leaves), SAMPLE_BYTES // (8 * width)))
+    sample = rows.orderBy(mix).limit(bound).select("v").toArrow()
+    tree = fit_tree(_matrix(sample.column("v"), width), leaves)
     placed = ws.table(rows.mapInArrow(_assigner(tree, width), "vec_id long, v binary, leaf int"), "placed")
 
-    trial = [(r["vec_id"], bytes(r["q"])) for r in asked.orderBy(F.xxhash64("vec_id")).limit(CALIBRATION).collect()]
+    trial = [(r["vec_id"], bytes(r["q"])) for r in asked.groupBy("q").agg(F.min("vec_id").alias("vec_id")).orderBy(F.xxhash64("vec_id")).limit(CALIBRATION).collect()]
     exact = placed.mapInArrow(_brute(trial, width, k), "query_id long, near array<struct<score: double, leaf: int>>")
     exact = exact.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near")).collect()
     ranks = []
     asked_by = dict(trial)
     for r in exact:
         place = {leaf: at for at, leaf in enumerate(tree.order(np.frombuffer(asked_by[r["query_id"]].ljust(8 * width, b"\0"), np.float64), tree.leaves))}
-        ranks += [place[x["leaf"]] for x in r["near"]]
+        ranks += [place[x["leaf"]] for x in r["near"] if x["score"] > 0]
     ranks.sort()
     visits = 1 + (ranks[min(len(ranks) - 1, int(np.ceil(recall * len(ranks))) - 1)] if ranks else 0)
+    reached = float(np.mean(np.array(ranks) < visits)) if ranks else None
+    held = placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()  # one row per leaf, at most MOST_LEAVES
+    in_leaf = np.zeros(tree.leaves, np.int64)
+    in_leaf[[r["leaf"] for r in held]] = [r["n"] for r in held]
 
     # Large leaves are cut into blocks; a query visits every block of its leaves.
     sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     sizes = F.broadcast(sizes)  # one row per leaf, at most MOST_LEAVES
     placed = placed.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")).cast("int").alias("block"), "vec_id", "v")
-    walks = asked.withColumnRenamed("vec_id", "query_id").select("query_id", "q").mapInArrow(_walker(tree, width, visits), "query_id long, q binary, leaf int")
+    walks = asked.withColumnRenamed("vec_id", "query_id").select("query_id", "q").mapInArrow(_walker(tree, width, visits, in_leaf, k + 1), "query_id long, q binary, leaf int")
     walks = walks.join(sizes, "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "query_id", "q")
     near = walks.groupBy("leaf", "block").cogroup(placed.groupBy("leaf", "block")).applyInArrow(_searcher(width, k), "query_id long, near array<struct<score: double, vec_id: long>>")
     best = near.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
-    return best.select("query_id", F.posexplode("near").alias("pos", "x")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
+    return best.select("query_id", F.posexplode("near").alias("pos", "x")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"), F.lit(visits).cast("int").alias("visits"), F.lit(reached).cast("double").alias("trial_recall"))

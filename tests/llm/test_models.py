@@ -141,10 +141,20 @@ def test_search_recall_and_scores(spark):
     assert np.mean([len({i for i, _ in found[q]} & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.9
     assert [i for i, _ in found[100]] == list(range(2000, 2010))  # ties go to smaller ids
     assert nearest_neighbours(df.limit(0), df).count() == 0
+    assert got[0]["trial_recall"] >= 0.97 and got[0]["visits"] >= 1
     few = df.where("vec_id in (0, 1, 2)")
     assert nearest_neighbours(few, few.where("vec_id = 0")).count() == 2
 
 
+def test_search_widens_until_enough_candidates(spark):
+    """Queries in leaves of one row, beside a large group of copies, still get all their neighbours."""
+    rng = np.random.default_rng(9)
+    v = np.concatenate([np.ones((900, 8)), 50 * rng.normal(size=(60, 8))])
+    df = spark.createDataFrame([(i, [float(a) for a in x]) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = nearest_neighbours(df, df.where("vec_id >= 900")).groupBy("query_id").count().collect()
+    assert len(got) == 60 and all(r["count"] == 10 for r in got)
+
+
 def water(budget, caps, weights):
     """Shares by filling one unit of the level at a time."""
     share = dict.fromkeys(caps, 0.0)
