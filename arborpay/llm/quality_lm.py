@@ -3,13 +3,16 @@
 The model of a language counts word n-grams over all trusted texts. Every trusted text belongs to a
 fold; a gram's row holds its count without each fold and over all of them, so that a trusted document is
 scored by a model that hasn't seen its fold and any other by the whole. Documents are gathered into
-blocks of bounded size; the distinct grams of a block are joined with the counts on (language, gram),
-so a block gets the counts of its own grams and no task holds a language's table.
+blocks of bounded size; the distinct grams of a block are joined with the counts on a hash of the gram,
+so a block gets the counts of its own grams and no task holds a language's table. Counts lie in tables
+bucketed by that hash, which the join reads as they are; blocks are scored in waves, so only one wave's
+grams are shuffled at a time.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -21,10 +24,14 @@ from pyspark.sql import functions as F
 
 from arborpay.llm.common import BROADCAST_IDS, Workspace
 
-#: Order of the model of words; order and mark of a beginning of the model of characters.
-WORDS, ORDER, PAD = 3, 5, "\2"
+#: Words of a gram.
+WORDS = 3
 #: Characters of a block; characters a task counts before it gives counts out.
-BLOCK_CHARS, COUNT_CHARS = 4_000_000, 8_000_000
+BLOCK_CHARS, COUNT_CHARS = 8_000_000, 8_000_000
+#: Passes in which the blocks are scored; rows of counts to a bucket; buckets at most.
+WAVES, BUCKET_ROWS, MOST_BUCKETS = 8, 2_000_000, 4096
+#: Bits of a word's id: two of n words share one with a probability of n**2 / 2**41.
+WORD_BITS = 40
 #: Share of the trusted documents of a language that its threshold keeps; width of a bin of cross-entropy, in nats.
 QUANTILE, BIN = 0.998, 1e-4
 #: Folds of trusted texts; trusted documents a language needs for a quantile of its own, so that one of them at least may lie over it.
@@ -33,176 +40,6 @@ FOLDS, ENOUGH = 4, 500
 TOKEN, UNSPACED = re.compile(r"\w+|[^\w\s]"), re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 
 
-def codes(text: str) -> np.ndarray:
-    return np.frombuffer((PAD * (ORDER - 1) + text).encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def _grams(texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """Distinct grams of some texts and how often they occur."""
-    each = [codes(t) for t in texts]
-    windows = [np.lib.stride_tricks.sliding_window_view(c, ORDER) for c in each if len(c) >= ORDER]
-    if not windows:
-        return [], np.empty(0, np.int64)
-    alphabet = np.unique(np.concatenate(each))
-    base = len(alphabet)
-    if base**ORDER < 2**63:
-        keys = []
-        for w, c in zip(windows, [c for c in each if len(c) >= ORDER], strict=True):
-            ids = np.searchsorted(alphabet, c)
-            key = np.zeros(len(w), np.int64)
-            for k in range(ORDER):
-                key = key * base + ids[k : k + len(w)]
-            keys.append(key)
-        distinct, n = np.unique(np.concatenate(keys), return_counts=True)
-        places = np.stack([distinct // base**k % base for k in range(ORDER - 1, -1, -1)], axis=1)
-        rows = alphabet[places]
-    else:
-        rows, n = np.unique(np.concatenate(windows), axis=0, return_counts=True)
-    joined = np.ascontiguousarray(rows, np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
-    return [joined[i : i + ORDER] for i in range(0, len(joined), ORDER)], n
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list[str]] = {}
-    size: dict[str, int] = {}
-
-    def out(lang: str) -> pa.RecordBatch:
-        grams, n = _grams(held.pop(lang))
-        size.pop(lang)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())], ["lang", "gram", "n"])
-
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if text:
-                held.setdefault(lang, []).append(text)
-                size[lang] = size.get(lang, 0) + len(text)
-                if size[lang] > COUNT_CHARS:
-                    yield out(lang)
-    for lang in list(held):
-        yield out(lang)
-
-
-def train(ws: Workspace, trusted: DataFrame) -> DataFrame:
-    """The same model over characters. (lang, n, gram, logp, back): each seen gram's probability, and its back-off weight as a context; logp is null where a gram is a context only."""
-    counts = trusted.select("lang", "text").mapInArrow(_count, "lang string, gram string, n long")
-    counts = ws.table(counts.groupBy("lang", "gram").agg(F.sum("n").alias("c")), "grams")
-    by_order = {ORDER: counts}
-    for n in range(ORDER - 1, 0, -1):  # in how many ways a shorter gram goes on to the left
-        longer = by_order[n + 1]
-        by_order[n] = ws.table(longer.groupBy("lang", F.substring("gram", 2, n).alias("gram")).agg(F.count("*").alias("c")), "grams")
-    sizes = by_order[1].groupBy("lang").agg((F.count("*") + 1).alias("v"))
-    below = None
-    contexts = {}
-    levels = {}
-    for n in range(1, ORDER + 1):
-        rows = by_order[n]
-        of = [F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]
-        found = rows.groupBy("lang").agg(*of)
-        y = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1))
-        cut = [F.greatest(F.lit(0.05), F.least(F.lit(k - 0.05), k - (k + 1) * y * F.col(f"n{k + 1}") / F.greatest(F.col(f"n{k}"), F.lit(1)))).alias(f"d{k}") for k in (1, 2, 3)]
-        discounts = F.broadcast(found.select("lang", *cut))  # one row per language
-        rows = rows.join(discounts, "lang").withColumn("d", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
-        rows = rows.select("lang", "gram", "c", "d", F.substring("gram", 1, n - 1).alias("ctx"), F.substring("gram", 2, n).alias("suf"))
-        ctx = rows.groupBy("lang", "ctx").agg(F.sum("c").alias("total"), F.sum("d").alias("held"))
-        ctx = ws.table(ctx.select("lang", "ctx", "total", (F.col("held") / F.col("total")).alias("gamma")), "contexts")
-        contexts[n] = ctx
-        rows = rows.join(ctx, ["lang", "ctx"])
-        if below is None:
-            rows = rows.join(F.broadcast(sizes), "lang").withColumn("lower", 1 / F.col("v"))
-        else:
-            rows = rows.join(below.select("lang", F.col("gram").alias("suf"), F.col("p").alias("lower")), ["lang", "suf"])
-        rows = rows.withColumn("p", (F.col("c") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("lower"))
-        below = levels[n] = ws.table(rows.select("lang", "gram", "p"), "level")
-    out = None
-    for n in range(1, ORDER + 1):
-        part = levels[n].withColumn("n", F.lit(n))
-        if n < ORDER:
-            # Beginnings of texts are contexts without being grams; they stay, without a probability.
-            part = part.join(contexts[n + 1].select("lang", F.col("ctx").alias("gram"), "gamma"), ["lang", "gram"], "full").withColumn("n", F.lit(n))
-        else:
-            part = part.withColumn("gamma", F.lit(None).cast("double"))
-        part = part.select("lang", "n", "gram", F.log("p").alias("logp"), F.coalesce(F.log("gamma"), F.lit(0.0)).alias("back"))
-        out = part if out is None else out.unionByName(part)
-    # What an unseen character gets: the weight of the empty context, spread evenly.
-    empty = contexts[1].join(sizes, "lang").select("lang", F.lit(0).alias("n"), F.lit("").alias("gram"), F.log(1 / F.col("v")).alias("logp"), F.log("gamma").alias("back"))
-    return ws.table(out.unionByName(empty), "model")
-
-
-class Tables:
-    """One language's model as arrays of sorted keys, looked up by hashing."""
-
-    def __init__(self, n: np.ndarray, grams: list[str], logp: np.ndarray, back: np.ndarray):
-        first = np.flatnonzero(n == 0)
-        self.unseen = float(logp[first[0]] + back[first[0]]) if len(first) else 0.0
-        letters = sorted({g for g, k in zip(grams, n, strict=True) if k == 1})
-        self.of = np.zeros(max([ord(c) for c in letters], default=0) + 2, np.int64)
-        for i, c in enumerate(letters):
-            self.of[ord(c)] = i + 1
-        self.base = len(letters) + 1
-        self.levels = {}
-        for k in range(1, ORDER + 1):
-            at = np.flatnonzero(n == k)
-            text = np.frombuffer("".join([grams[i] for i in at]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, k)
-            key = self._key(self._ids(text), k)
-            self.levels[k] = self._hashed(key, logp[at], back[at])
-
-    def _ids(self, c: np.ndarray) -> np.ndarray:
-        return self.of[np.minimum(c, len(self.of) - 1)]
-
-    def _key(self, ids: np.ndarray, k: int) -> np.ndarray:
-        key = np.zeros(len(ids), np.uint64)
-        for j in range(k):  # modulo 2**64; exact for alphabets of up to some thousand characters
-            key = key * np.uint64(self.base) + ids[:, j].astype(np.uint64)
-        return key
-
-    @staticmethod
-    def _hashed(key: np.ndarray, logp: np.ndarray, back: np.ndarray) -> tuple:
-        bits = max(4, int(np.ceil(np.log2(len(key) + 1))) + 1)
-        slot = (key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
-        order = np.argsort(slot, kind="stable")
-        edges = np.searchsorted(slot[order], np.arange((1 << bits) + 1, dtype=np.uint64))
-        return bits, edges.astype(np.int32), key[order], logp[order], back[order]
-
-    def find(self, k: int, key: np.ndarray) -> np.ndarray:
-        """Place of each key at level k, or -1."""
-        bits, edges, keys, _, _ = self.levels[k]
-        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
-        out = np.full(len(key), -1, np.int64)
-        at, end = edges[slot], edges[slot + 1]
-        rows = np.flatnonzero(at < end)
-        while len(rows):
-            hit = keys[at[rows]] == key[rows]
-            out[rows[hit]] = at[rows[hit]]
-            rows = rows[~hit]
-            at[rows] += 1
-            rows = rows[at[rows] < end[rows]]
-        return out
-
-    def logprobs(self, text: str) -> np.ndarray:
-        """Of each character of a text, given the ORDER - 1 before it."""
-        c = self._ids(codes(text))
-        m = len(c) - ORDER + 1
-        out = np.zeros(m)
-        rows = np.arange(m)
-        for k in range(ORDER, 0, -1):
-            ids = np.stack([c[rows + ORDER - k + j] for j in range(k)], axis=1)
-            at = self.find(k, self._key(ids, k))
-            logp = self.levels[k][3]
-            hit = at >= 0
-            hit[hit] = np.isfinite(logp[at[hit]])
-            out[rows[hit]] += logp[at[hit]]
-            rows, ids = rows[~hit], ids[~hit]
-            if not len(rows):
-                return out
-            if k > 1:
-                ctx = self.find(k - 1, self._key(ids[:, : k - 1], k - 1))
-                back = self.levels[k - 1][4]
-                seen = ctx >= 0
-                out[rows[seen]] += back[ctx[seen]]
-        out[rows] += self.unseen
-        return out
-
-
 def tokens(text: str) -> list[str]:
     if UNSPACED.search(text):
         text = UNSPACED.sub(r" \1 ", text)
@@ -210,29 +47,37 @@ def tokens(text: str) -> list[str]:
 
 
 def keys(grams: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of each row of word ids (under 32 bytes) as a binary."""
+    """Spark's xxhash64 of the columns of word ids of each row."""
     p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
     turned = lambda x, k: (x << np.uint64(k)) | (x >> np.uint64(64 - k))
-    rows, n = grams.shape
-    h = np.full(rows, np.uint64(42 + 8 * n), np.uint64) + p5
-    for j in range(n):
+    h = np.full(len(grams), 42, np.uint64)
+    for j in range(grams.shape[1]):
+        h = h + p5 + np.uint64(8)
         h = turned(h ^ (turned(grams[:, j] * p2, 31) * p1), 27) * p1 + p4
-    h = (h ^ (h >> np.uint64(33))) * p2
-    h = (h ^ (h >> np.uint64(29))) * p3
-    return (h ^ (h >> np.uint64(32))).view(np.int64)
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        h = h ^ (h >> np.uint64(32))
+    return h.view(np.int64)
 
 
 class Texts:
-    """Some texts as one run of word ids; each begins with WORDS - 1 marks."""
+    """Some texts of a language as one run of word ids; each begins with WORDS - 1 marks. Ids of two languages differ."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], lang: str):
         place: dict[str, int] = {}
         runs = []
         for text in texts:
             own = tokens(text)
             runs.append(np.fromiter((place.setdefault(w, len(place) + 1) for w in own), np.int64, len(own)))
         self.sizes = np.array([len(r) for r in runs], np.int64)
-        ids = [0] + [int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in place]
+        of = blake2b(lang.encode("utf-8", "surrogatepass") + b"\0", digest_size=WORD_BITS // 8)
+
+        def hashed(word: str) -> int:
+            h = of.copy()
+            h.update(word.encode("utf-8", "surrogatepass"))
+            return int.from_bytes(h.digest(), "little")
+
+        ids = [int.from_bytes(of.digest(), "little")] + [hashed(w) for w in place]
         self.ids = np.array(ids, np.uint64)
         mark = np.zeros(WORDS - 1, np.int64)
         self.flat = np.concatenate([x for r in runs for x in (mark, r)]) if runs else np.empty(0, np.int64)
@@ -259,18 +104,20 @@ class Texts:
         return self.rows(at[first], n), count
 
 
+_GRAM = ", ".join(f"w{k} long" for k in range(1, WORDS + 1))
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[tuple[str, int], list[str]] = {}
     size = 0
 
     def out() -> Iterator[pa.RecordBatch]:
         for (lang, fold), texts in held.items():
-            grams, n = Texts(texts).distinct(WORDS)
+            grams, n = Texts(texts, lang).distinct(WORDS)
             for at in range(0, len(n), 200_000):
-                part = np.ascontiguousarray(grams[at : at + 200_000])
+                part, count = grams[at : at + 200_000].astype(np.int64), n[at : at + 200_000].astype(np.int64)
                 m = len(part)
-                gram = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer((np.arange(m + 1, dtype=np.int32) * (8 * WORDS)).tobytes()), pa.py_buffer(part.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array(np.full(m, fold, np.int32)), gram, pa.array(n[at : at + m].astype(np.int64))], ["lang", "fold", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array(np.full(m, fold, np.int32)), *[pa.array(np.ascontiguousarray(part[:, k])) for k in range(WORDS)], pa.array(count)], ["lang", "fold", *[f"w{k}" for k in range(1, WORDS + 1)], "n"])
         held.clear()
 
     for batch in batches:
@@ -284,47 +131,80 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def count_words(ws: Workspace, trusted: DataFrame) -> tuple[DataFrame, DataFrame]:
+class Bucketed:
+    """Rows by key in buckets of a table, so that joins on the key don't shuffle them."""
+
+    def __init__(self, ws: Workspace, buckets: int):
+        self.ws, self.buckets, self.names = ws, buckets, []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.ws.folder(name)
+        table = f"quality_{uuid.uuid4().hex}"
+        df.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key").option("path", path).saveAsTable(table)
+        self.names.append(table)
+        return self.ws.spark.table(table)
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.ws.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.ws.drop("counts", "contexts")
+
+
+def count_words(ws: Workspace, trusted: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Bucketed]:
     """What scoring looks up, from trusted texts (lang, fold, text).
 
-    (lang, key, kind, v): the counts of a gram of ``kind`` words, or, of kind 10 + n, of a context of grams of n
-    words: how often and with how many words seen once, twice and more often it goes on. v has one
-    element without each fold, and one over all of them. And (lang, cuts): the discounts of each order and
-    the size of the vocabulary, likewise.
+    grams (key, c0, c1, ...): the counts of grams of one to WORDS words. contexts (key, t0, x0, y0, z0, t1, ...):
+    how often a context of one word or more goes on, and with how many words seen once, twice and more
+    often. A number at the end names a model: one without each fold, and the last over all of them. cuts (lang,
+    cuts): by model the size of the vocabulary, the discounts of each order, and the row of the empty context.
     """
     models = range(FOLDS + 1)
-    raw = trusted.select("lang", "fold", "text").mapInArrow(_count_words, "lang string, fold int, gram binary, n long")
-    sums = raw.groupBy("lang", "gram").agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"f{f}") for f in range(FOLDS)])
-    by_order = {WORDS: ws.table(sums.select("lang", "gram", *[(F.col("n") - F.col(f"f{f}")).alias(f"c{f}") for f in range(FOLDS)], F.col("n").alias(f"c{FOLDS}")), "grams")}
+    columns = [f"c{m}" for m in models]
+    raw = trusted.select("lang", "fold", "text").mapInArrow(_count_words, f"lang string, fold int, {_GRAM}, n long")
+    words = [f"w{k}" for k in range(1, WORDS + 1)]
+    sums = raw.groupBy("lang", *words).agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"f{f}") for f in range(FOLDS)])
+    by_order = {WORDS: ws.table(sums.select("lang", *words, *[(F.col("n") - F.col(f"f{f}")).alias(f"c{f}") for f in range(FOLDS)], F.col("n").alias(f"c{FOLDS}")), "grams")}
     for n in range(WORDS - 1, 0, -1):  # in how many ways a shorter gram goes on to the left
-        shorter = by_order[n + 1].groupBy("lang", F.substring("gram", 9, 8 * n).alias("gram"))
-        by_order[n] = ws.table(shorter.agg(*[F.count_if(F.col(f"c{m}") > 0).alias(f"c{m}") for m in models]), "grams")
-    found, cuts = None, None
+        shorter = by_order[n + 1].groupBy("lang", *[F.col(f"w{k + 1}").alias(f"w{k}") for k in range(1, n + 1)])
+        by_order[n] = ws.table(shorter.agg(*[F.count_if(F.col(c) > 0).alias(c) for c in columns]), "grams")
+    rows = by_order[WORDS].count()
+    bucketed = Bucketed(ws, int(min(MOST_BUCKETS, max(8, -(-3 * rows // (2 * BUCKET_ROWS))))))
+
+    def goes_on() -> list[F.Column]:
+        return [f(F.col(f"c{m}")).alias(f"{name}{m}") for m in models for name, f in (("t", F.sum), ("x", lambda c: F.count_if(c == 1)), ("y", lambda c: F.count_if(c == 2)), ("z", lambda c: F.count_if(c > 2)))]
+
+    grams, contexts, cuts = None, None, None
     for n in range(1, WORDS + 1):
         rows = by_order[n]
-        grams = rows.select("lang", F.xxhash64("gram").alias("key"), F.lit(n).alias("kind"), F.array(*[F.array(f"c{m}") for m in models]).alias("v"))
-        goes_on = [f(F.col(f"c{m}")).alias(f"{name}{m}") for m in models for name, f in (("t", F.sum), ("a", lambda c: F.count_if(c == 1)), ("b", lambda c: F.count_if(c == 2)), ("c", lambda c: F.count_if(c > 2)))]
-        ctx = rows.groupBy("lang", F.substring("gram", 1, 8 * (n - 1)).alias("ctx")).agg(*goes_on)
-        ctx = ctx.select("lang", F.xxhash64("ctx").alias("key"), F.lit(10 + n).alias("kind"), F.array(*[F.array(*[f"{name}{m}" for name in "tabc"]) for m in models]).alias("v"))
-        found = grams.unionByName(ctx) if found is None else found.unionByName(grams).unionByName(ctx)
-        of = rows.groupBy("lang").agg(*[F.count_if(F.col(f"c{m}") == k).alias(f"n{k}_{m}") for m in models for k in (1, 2, 3, 4)], *[(F.count_if(F.col(f"c{m}") > 0) + 1).alias(f"v{m}") for m in models])
+        own = rows.select(F.xxhash64(*words[:n]).alias("key"), *columns)
+        grams = own if grams is None else grams.unionByName(own)
+        if n > 1:
+            ctx = rows.groupBy(*words[: n - 1]).agg(*goes_on()).withColumn("key", F.xxhash64(*words[: n - 1])).drop(*words[: n - 1])
+            contexts = ctx if contexts is None else contexts.unionByName(ctx)
+        more = goes_on() if n == 1 else []
+        of = rows.groupBy("lang").agg(*[F.count_if(F.col(f"c{m}") == k).alias(f"n{k}_{m}") for m in models for k in (1, 2, 3, 4)], *[(F.count_if(F.col(f"c{m}") > 0) + 1).alias(f"v{m}") for m in models], *more)
 
         def cut(m: int, k: int):
             once, twice, own, more = (F.col(f"n{j}_{m}") for j in (1, 2, k, k + 1))
             y = once / F.greatest(once + 2 * twice, F.lit(1))
             return F.greatest(F.lit(0.05), F.least(F.lit(k - 0.05), k - (k + 1) * y * more / F.greatest(own, F.lit(1))))
 
-        of = of.select("lang", F.array(*[F.array(*([F.col(f"v{m}").cast("double")] if n == 1 else []), *[cut(m, k) for k in (1, 2, 3)]) for m in models]).alias(f"cuts{n}"))
+        empty = [F.array(*[F.col(f"{c}{m}").cast("double") for c in "txyz"]).alias(f"empty{m}") for m in models] if n == 1 else []
+        of = of.select("lang", F.array(*[F.array(*([F.col(f"v{m}").cast("double")] if n == 1 else []), *[cut(m, k) for k in (1, 2, 3)]) for m in models]).alias(f"cuts{n}"), *empty)
         cuts = of if cuts is None else cuts.join(F.broadcast(of), "lang")  # one row per language
-    cuts = cuts.select("lang", F.array(*[F.concat(*[F.col(f"cuts{n}")[m] for n in range(1, WORDS + 1)]) for m in models]).alias("cuts"))
-    return found, ws.table(cuts, "cuts")
+    cuts = cuts.select("lang", F.array(*[F.concat(*[F.col(f"cuts{n}")[m] for n in range(1, WORDS + 1)], F.col(f"empty{m}")) for m in models]).alias("cuts"))
+    cuts = ws.table(cuts, "cuts")
+    contexts = bucketed.table(contexts, "contexts")
+    grams = bucketed.table(grams, "counts")
+    ws.drop("grams")
+    return grams, contexts, cuts, bucketed
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packs texts and names the block of each: so many characters of one language and model in one partition."""
     import zstandard
 
-    pack = zstandard.ZstdCompressor(level=3).compress
+    pack = zstandard.ZstdCompressor(level=9).compress
     next_block = TaskContext.get().partitionId() << 32
     open_blocks: dict[tuple[str, int], list[int]] = {}
     for batch in batches:
@@ -357,12 +237,12 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> Iterator[pa.RecordBatch]:
         for (lang, model, block), texts in held.items():
-            own = Texts(texts)
-            asked = np.concatenate([keys(np.empty((1, 0), np.uint64)), *[keys(own.distinct(n)[0]) for n in range(1, WORDS + 1)]])
+            own = Texts(texts, lang)
+            asked = np.concatenate([keys(own.distinct(n)[0]) for n in range(1, WORDS + 1)])
             for at in range(0, len(asked), 200_000):
                 part = asked[at : at + 200_000]
                 m = len(part)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array(np.full(m, model, np.int32)), pa.array(np.full(m, block, np.int64)), pa.array(part)], ["lang", "model", "block", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, model, np.int32)), pa.array(np.full(m, block, np.int64)), pa.array(part)], ["model", "block", "key"])
         held.clear()
 
     for batch in batches:
@@ -376,24 +256,26 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def logprobs(own: Texts, kind: np.ndarray, key: np.ndarray, values: np.ndarray, cuts: list[float]) -> np.ndarray:
+def logprobs(own: Texts, key: np.ndarray, values: np.ndarray, cuts: list[float]) -> np.ndarray:
     """Of each word of some texts, given the WORDS - 1 before it: counts are looked up, absent ones are 0."""
+    order = np.argsort(key)
+    key, values = key[order], values[order]
 
-    def find(k: int, wanted: np.ndarray) -> np.ndarray:
-        at = np.flatnonzero(kind == k)
-        at = at[np.argsort(key[at])]
-        if not len(at):
-            return np.zeros((len(wanted), 4))
-        place = np.minimum(np.searchsorted(key[at], wanted), len(at) - 1)
-        return np.where((key[at][place] == wanted)[:, None], values[at][place], 0)
+    def find(wanted: np.ndarray) -> np.ndarray:
+        if not len(key):
+            return np.zeros((len(wanted), 5))
+        place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+        return np.where((key[place] == wanted)[:, None], values[place], 0)
 
     first = own.starts(WORDS)
     p = np.full(len(first), 1 / cuts[0])
+    ctx = np.tile(np.array(cuts[-4:]), (len(first), 1))
     for n in range(1, WORDS + 1):
         cut = np.array([0.0, *cuts[3 * n - 2 : 3 * n + 1]])
         at = first + WORDS - n
-        c = find(n, keys(own.rows(at, n)))[:, 0]
-        ctx = find(10 + n, keys(own.rows(at, n - 1)))
+        c = find(keys(own.rows(at, n)))[:, 0]
+        if n > 1:
+            ctx = find(keys(own.rows(at, n - 1)))[:, 1:]
         total = np.maximum(ctx[:, 0], 1)
         here = (c - cut[np.minimum(c, 3).astype(int)]) / total + ctx[:, 1:] @ cut[1:] / total * p
         p = np.where(ctx[:, 0] > 0, here, p)
@@ -403,12 +285,11 @@ def logprobs(own: Texts, kind: np.ndarray, key: np.ndarray, values: np.ndarray,
 def _score(docs: pa.Table, found: pa.Table) -> pa.Table:
     texts = _unpacked(docs.column("packed").to_pylist())
     entropy: list[float | None] = [None] * len(texts)
-    kind = found.column("kind").to_numpy()
     cuts = docs.column("cuts")[0].as_py()
-    if cuts and (kind == 11).any():
-        own = Texts(texts)
-        values = np.stack([found.column(c).to_numpy().astype(float) for c in "tabc"], axis=1)
-        lost = -logprobs(own, kind, found.column("key").to_numpy(), values, cuts)
+    if cuts and cuts[-4]:
+        own = Texts(texts, docs.column("lang")[0].as_py())
+        values = np.stack([found.column(c).to_numpy().astype(float) for c in "ctxyz"], axis=1)
+        lost = -logprobs(own, found.column("key").to_numpy(), values, cuts)
         sums = np.bincount(own.text[own.starts(WORDS)], lost, minlength=len(texts))
         entropy = [float(s / n) if n else None for s, n in zip(sums, own.sizes, strict=True)]
     return pa.table({"doc_id": docs.column("doc_id"), "lang": docs.column("lang_was"), "n_chars": pa.array([len(t) for t in texts], pa.int64()), "trusted": pa.array(docs.column("model").to_numpy() < FOLDS), "entropy": pa.array(entropy, pa.float64())})
@@ -419,14 +300,23 @@ def perplexities(ws: Workspace, docs: DataFrame) -> DataFrame:
 
     ``docs`` has doc_id, lang, lang_was, model and text; the model is the fold of a trusted document, FOLDS of any other.
     """
-    found, cuts = count_words(ws, docs.where(F.col("model") < FOLDS).withColumnRenamed("model", "fold"))
-    dealt = ws.table(docs.select("doc_id", "lang", "lang_was", "model", "text").mapInArrow(_blocks, "doc_id long, lang string, lang_was string, model int, block long, packed binary"), "blocks")
-    asked = dealt.mapInArrow(_ask, "lang string, model int, block long, key long")
-    v = F.col("v")[F.col("model")]
-    answers = asked.join(found, ["lang", "key"]).select("block", "key", "kind", *[F.coalesce(F.get(v, F.lit(i)), F.lit(0)).alias(c) for i, c in enumerate("tabc")]).where("t > 0")
-    dealt = dealt.join(F.broadcast(cuts), "lang", "left").withColumn("cuts", F.col("cuts")[F.col("model")])
-    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, "doc_id long, lang string, n_chars long, trusted boolean, entropy double")
-    return ws.table(scored, "scored")
+    spark = ws.spark
+    grams, contexts, cuts, bucketed = count_words(ws, docs.where(F.col("model") < FOLDS).withColumnRenamed("model", "fold"))
+    blocks = docs.select("doc_id", "lang", "lang_was", "model", "text").mapInArrow(_blocks, "doc_id long, lang string, lang_was string, model int, block long, packed binary")
+    dealt = ws.table(blocks.withColumn("wave", F.pmod(F.xxhash64("block"), F.lit(WAVES)).cast("int")), "blocks", partition_by=("wave",))
+    path = ws.folder("scored")
+    schema = "doc_id long, lang string, n_chars long, trusted boolean, entropy double"
+    picked = [F.coalesce(F.element_at(F.array(*[f"{c}{m}" for m in range(FOLDS + 1)]), F.col("model") + 1), F.lit(0)).cast("int").alias(c) for c in "ctxyz"]
+    for wave in range(WAVES):
+        own = dealt.where(F.col("wave") == wave).drop("wave")
+        asked = own.mapInArrow(_ask, "model int, block long, key long")
+        answers = asked.join(grams, "key", "left").join(contexts, "key", "left").select("block", "key", *picked).where("c > 0 or t > 0")
+        with_cuts = own.join(F.broadcast(cuts), "lang", "left").withColumn("cuts", F.col("cuts")[F.col("model")])  # one row per language
+        scored = with_cuts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, schema)
+        scored.write.parquet(f"{path}/wave={wave}")
+    bucketed.drop()
+    ws.drop("blocks")
+    return spark.read.schema(f"{schema}, wave int").parquet(path).drop("wave")
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:

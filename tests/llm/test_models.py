@@ -9,60 +9,50 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from arborpay.llm import mixing, quality_lm
+from arborpay.llm import mixing, quality_lm, toxicity_pu
 from arborpay.llm.ann_tree import nearest_neighbours
 from arborpay.llm.common import Workspace
-from arborpay.llm.quality_lm import ORDER, PAD, Tables, classify, train
+from arborpay.llm.quality_lm import classify
 from arborpay.llm.token_rollup import TokenRollup, deleted, inserted, revised
 from arborpay.llm.toxicity_pu import features, fit, score_documents
 
 DATA = "/root/testdata/sf0.01"
 
 
-def brute_kneser_ney(texts):
-    """Interpolated modified Kneser-Ney straight from its definition."""
-    counts = {ORDER: Counter()}
-    for t in texts:
-        u = PAD * (ORDER - 1) + t
-        counts[ORDER].update(u[i : i + ORDER] for i in range(len(u) - ORDER + 1))
-    for n in range(ORDER - 1, 0, -1):
-        counts[n] = Counter(g[1:] for g in counts[n + 1])
-    vocabulary = len(counts[1]) + 1
-    cut = {}
-    for n, c in counts.items():
-        k = Counter(c.values())
-        y = k[1] / max(k[1] + 2 * k[2], 1)
-        cut[n] = [max(0.05, min(j - 0.05, j - (j + 1) * y * k[j + 1] / max(k[j], 1))) for j in (1, 2, 3)]
-
-    def p(gram):
+class BruteKneserNey:
+    """Interpolated modified Kneser-Ney over words, straight from its definition."""
+
+    def __init__(self, texts, order=3):
+        self.order = order
+        self.counts = {order: Counter()}
+        for words in texts:
+            u = ("",) * (order - 1) + tuple(words)
+            self.counts[order].update(u[i : i + order] for i in range(len(u) - order + 1))
+        for n in range(order - 1, 0, -1):
+            self.counts[n] = Counter(g[1:] for g in self.counts[n + 1])
+        self.cut, self.after = {}, {}
+        for n, c in self.counts.items():
+            k = Counter(c.values())
+            y = k[1] / max(k[1] + 2 * k[2], 1)
+            self.cut[n] = [max(0.05, min(j - 0.05, j - (j + 1) * y * k[j + 1] / max(k[j], 1))) for j in (1, 2, 3)]
+            for g, m in c.items():
+                own = self.after.setdefault(g[:-1], [0, 0.0])
+                own[0] += m
+                own[1] += self.cut[n][min(m, 3) - 1]
+
+    def p(self, gram):
         n = len(gram)
         if not n:
-            return 1 / vocabulary
-        same = {g: c for g, c in counts[n].items() if g[:-1] == gram[:-1]}
-        if not same:
-            return p(gram[1:])
-        d = lambda c: cut[n][min(c, 3) - 1]
-        total = sum(same.values())
-        own = same.get(gram, 0)
-        return (own - d(own) if own else 0) / total + sum(map(d, same.values())) / total * p(gram[1:])
-
-    return p
-
-
-def test_language_model_equals_definition(spark):
-    texts = ["abracadabra", "abba", "cab", "bad data", "a"]
-    rows = spark.createDataFrame([("en", t) for t in texts] + [("de", "zzz")], "lang string, text string")
-    model = train(Workspace(spark, "lm"), rows).where("lang = 'en'").toPandas()
-    tables = Tables(model["n"].to_numpy(), model["gram"].tolist(), model["logp"].to_numpy(), model["back"].to_numpy())
-    p = brute_kneser_ney(texts)
-    for text in ("abba", "xyz", "dab cab", "a", "bcxd"):
-        u = PAD * (ORDER - 1) + text
-        expected = [math.log(p(u[i : i + ORDER])) for i in range(len(text))]
-        assert np.allclose(tables.logprobs(text), expected)
-    for context in ("", "abr", "zzzz"):
-        whole = (PAD * 4 + context)[-4:]
-        alphabet = {g for g in model["gram"][(model["n"] == 1) & model["logp"].notna()]}  # without the mark of a beginning
-        assert abs(sum(p(whole + a) for a in alphabet) + p(whole + "中") - 1) < 1e-9
+            return 1 / (len(self.counts[1]) + 1)
+        total, held = self.after.get(gram[:-1], (0, 0))
+        if not total:
+            return self.p(gram[1:])
+        own = self.counts[n].get(gram, 0)
+        return (own - self.cut[n][min(own, 3) - 1] if own else 0) / total + held / total * self.p(gram[1:])
+
+    def entropy(self, words):
+        u = ("",) * (self.order - 1) + tuple(words)
+        return -sum(math.log(self.p(u[i : i + self.order])) for i in range(len(words))) / len(words)
 
 
 def test_quality_keeps_clean_and_drops_junk(spark):
@@ -199,6 +189,17 @@ def test_mixing_budgets_and_prefixes(spark):
     again = mixing.mix(docs.repartition(7), weights, share=0.9, epochs=2).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
     assert mixing.mix(docs.limit(0), weights, share=0.9).count() == 0
+    clash = docs.withColumnsRenamed({"n_tokens": "full"}).withColumns({c: F.lit(c) for c in ("h_max", "leaf", "doc", "id", "_full", "_l", "domain")})
+    out = mixing.mix(clash, weights, share=0.9, epochs=2)
+    assert out.columns == [*[c for c in clash.columns if c != "domain"], "domain", "epoch"]
+    assert sorted((str(r["doc_id"]), r["epoch"]) for r in out.collect()) == sorted((str(r["doc_id"]), r["epoch"]) for r in got) and out.where("_l = '_l' and h_max = 'h_max'").count() == out.count()
+
+
+def test_mixing_keeps_null_apart_from_names_and_deals_rows_without_id(spark):
+    rows = [(i, "w " * 10, "none", "s1") for i in range(100)] + [(1000 + i, "w " * 10, None, "s1") for i in range(100)] + [(None, f"text {i} " * 5, "en", "s1") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = Counter(r["lang"] for r in mixing.mix(docs, {"lang": {"none": 1, "en": 4}}, share=0.5).select("lang").collect())
+    assert got["none"] == 25 and got[None] == 25 and got["en"] == 100
 
 
 def test_rollups_are_idempotent(spark, tmp_path):
@@ -229,7 +230,6 @@ def test_pipeline_stages_keep_the_columns(spark):
         docs = Workspace(spark, "pipe").table(out, name)
         assert docs.count() > 50, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
-    assert quality_lm.ORDER == 5
 
 
 def test_rollup_query_equals_brute_force(spark):
@@ -286,51 +286,181 @@ def test_rollups_survive_a_torn_marker_and_commits_during_a_compaction(spark, tm
 
 
 def test_word_model_equals_definition_and_sees_word_order(spark):
-    order, n_folds = quality_lm.WORDS, quality_lm.FOLDS
+    n_folds = quality_lm.FOLDS
     texts = [(f % n_folds, t) for f, t in enumerate(["the cat sat on the mat .", "the dog sat on the cat", "a cat", "on the mat", "the cat ran", "dog"])]
-    for model in (1, n_folds):  # without a fold, and the whole
-        counts = {order: Counter()}
-        for f, t in texts:
-            u = ("",) * (order - 1) + tuple(t.split())
-            if f != model:
-                counts[order].update(u[i : i + order] for i in range(len(u) - order + 1))
-        for n in range(order - 1, 0, -1):
-            counts[n] = Counter(g[1:] for g in counts[n + 1])
-        cut = {}
-        for n, c in counts.items():
-            k = Counter(c.values())
-            y = k[1] / max(k[1] + 2 * k[2], 1)
-            cut[n] = [max(0.05, min(j - 0.05, j - (j + 1) * y * k[j + 1] / max(k[j], 1))) for j in (1, 2, 3)]
-
-        def p(gram):
-            n = len(gram)
-            if not n:
-                return 1 / (len(counts[1]) + 1)
-            same = {g: c for g, c in counts[n].items() if g[:-1] == gram[:-1]}
-            if not same:
-                return p(gram[1:])
-            d = lambda c: cut[n][min(c, 3) - 1]
-            own, total = same.get(gram, 0), sum(same.values())
-            return (own - d(own) if own else 0) / total + sum(map(d, same.values())) / total * p(gram[1:])
-
-        asked = ["the cat sat on the mat .", "mat the on sat cat the .", "unseen words", "the cat unseen sat"]
-        trusted = [(i, "en", "en", f, t) for i, (f, t) in enumerate(texts)]
-        docs = spark.createDataFrame([*trusted, *[(100 + i, "en", "en", model, t) for i, t in enumerate(asked) if model == n_folds]], "doc_id long, lang string, lang_was string, model int, text string")
-        got = {r["doc_id"]: r["entropy"] for r in quality_lm.perplexities(Workspace(spark, "words"), docs).collect()}
-        check = [(100 + i, t) for i, t in enumerate(asked)] if model == n_folds else [(i, t) for i, (f, t) in enumerate(texts) if f == model]
-        for i, t in check:
-            u = ("",) * (order - 1) + tuple(t.split())
-            assert got[i] == pytest.approx(-np.mean([math.log(p(u[j : j + order])) for j in range(len(u) - order + 1)]))
-        if model == n_folds:
-            assert got[101] > got[100] + 0.5  # the same words in a wrong order
+    asked = ["the cat sat on the mat .", "mat the on sat cat the .", "unseen words", "the cat unseen sat"]
+    docs = [(i, "en", "en", f, t) for i, (f, t) in enumerate(texts)] + [(100 + i, "en", "en", n_folds, t) for i, t in enumerate(asked)] + [(200, "xx", "xx", n_folds, "the cat")]
+    df = spark.createDataFrame(docs, "doc_id long, lang string, lang_was string, model int, text string")
+    got = {r["doc_id"]: r["entropy"] for r in quality_lm.perplexities(Workspace(spark, "words"), df).collect()}
+    for i, lang, _, model, text in docs:
+        if lang == "en":  # a trusted text is judged without its fold
+            brute = BruteKneserNey([t.split() for f, t in texts if f != model], quality_lm.WORDS)
+            assert got[i] == pytest.approx(brute.entropy(text.split()))
+    assert got[200] is None  # its language has no trusted text
+    assert got[101] > got[100] + 0.5  # the same words in a wrong order
+    whole = BruteKneserNey([t.split() for _, t in texts])
+    assert sum(whole.p(("sat", "on", w)) for (w,) in whole.counts[1]) + whole.p(("sat", "on", "?")) == pytest.approx(1)
 
 
 def test_keys_are_sparks(spark):
-    rows = np.random.default_rng(3).integers(0, 2**63, (20, quality_lm.WORDS)).astype(np.uint64)
-    for n in range(quality_lm.WORDS + 1):
-        part = np.ascontiguousarray(rows[:, :n])
-        got = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(part)], "i int, b binary").select(F.xxhash64("b")).collect()
-        assert [r[0] for r in got] == quality_lm.keys(part).tolist()
+    rows = np.random.default_rng(3).integers(0, 2**40, (20, quality_lm.WORDS)).astype(np.uint64)
+    df = spark.createDataFrame([(i, *map(int, r)) for i, r in enumerate(rows)], "i int, w1 long, w2 long, w3 long").orderBy("i")
+    for n in range(1, quality_lm.WORDS + 1):
+        assert [r[0] for r in df.select(F.xxhash64(*[f"w{k}" for k in range(1, n + 1)])).collect()] == quality_lm.keys(rows[:, :n]).tolist()
+
+
+def test_risks_follow_their_definition():
+    """Both risks against a direct sum over texts, their gradients against differences, and no step where the corrected risk is negative."""
+    rng = np.random.default_rng(10)
+    dense = {"p": rng.random((12, 5)) < 0.5, "u": rng.random((30, 5)) < 0.4}
+    rows = {k: toxicity_pu.Rows(*np.nonzero(x), len(x)) for k, x in dense.items()}
+    w, b, prior = rng.normal(size=5), 0.3, 0.2
+
+    def direct(w, b):
+        zp, zu = dense["p"] @ w + b, dense["u"] @ w + b
+        return prior * np.mean(np.log1p(np.exp(-zp))), np.mean(np.log1p(np.exp(zu))) - prior * np.mean(np.log1p(np.exp(zp)))
+
+    of_positive, of_negative, down, up = toxicity_pu.risks(rows["p"], rows["u"], w, b, prior)
+    assert (of_positive, of_negative) == pytest.approx(direct(w, b))
+    for k in range(6):
+        step = np.eye(6)[k] * 1e-6
+        more, less = direct(w + step[:5], b + step[5]), direct(w - step[:5], b - step[5])
+        assert [down[k], up[k]] == pytest.approx([(m - x) / 2e-6 for m, x in zip(more, less, strict=True)], abs=1e-6)
+
+
+def integer_water(budget, caps, weights):
+    """Whole shares: smallest caps per weight first, each full if the level passes it; the others by weight of what is left."""
+    order = sorted(caps, key=lambda k: (caps[k] / weights[k], k))
+    left, shares = budget, {}
+    while order:
+        total = sum(weights[k] for k in order)
+        if caps[order[0]] * total > left * weights[order[0]]:
+            break
+        left -= caps[order[0]]
+        shares[order[0]] = caps[order[0]]
+        order.pop(0)
+    return shares | {k: max(0, left * weights[k] // sum(weights[x] for x in order)) for k in order}
+
+
+def test_pipeline_equals_brute_force_stage_by_stage(spark, tmp_path):
+    import hashlib
+    import struct
+    import zlib as z
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    data = "/root/testdata/sf0.001"
+    read = {r["doc_id"]: r.asDict() for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    labels = [r.asDict() for r in spark.read.parquet(f"{data}/labels.parquet").collect()]
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, data)
+        if name != "packing":
+            docs = Workspace(spark, "brute").table(out, name)
+            kept[name] = {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+    # Toxicity: everything fits the bounds of the samples here, so the model follows from all rows.
+    learning = {i: r for i, r in read.items() if z.crc32(str(i).encode()) % 5}
+    toxic = {r["doc_id"]: r["toxic"] for r in labels if r["toxic"] is not None and r["doc_id"] in learning}
+    sets = {i: features(r["text"]) for i, r in read.items()}
+    own = sorted((sets[i].tobytes() for i in learning if toxic.get(i) == 1))
+    other = sorted((sets[i].tobytes() for i in learning))
+    model = fit([np.frombuffer(x, np.int32) for x in own], [np.frombuffer(x, np.int32) for x in other], sum(toxic.values()) / len(toxic))
+    want = {i for i in read if model.score(sets[i]) < 0.5}
+    assert kept["toxicity"] == want
+
+    # Quality: entropies by the definition, thresholds by sorting.
+    words = {i: quality_lm.tokens(read[i]["text"] or "") for i in want}
+    good = {r["doc_id"] for r in labels if r["quality"] == 1} - {r["doc_id"] for r in labels if r["quality"] == 0 or r["toxic"] == 1}
+    fold = {r["doc_id"]: r["f"] for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", F.pmod(F.xxhash64("text"), F.lit(quality_lm.FOLDS)).alias("f")).collect()}
+    entropy, judged = {}, {}
+    for lang in {r["lang"] for r in read.values()}:
+        ids = [i for i in want if read[i]["lang"] == lang and words[i]]
+        trusted = [i for i in ids if i in good]
+        for f in [*range(quality_lm.FOLDS), None]:
+            base = [words[i] for i in trusted if fold[i] != f]
+            brute = BruteKneserNey(base, quality_lm.WORDS) if base else None
+            for i in ids:
+                if (fold[i] if i in trusted else None) == f and brute:
+                    entropy[i] = brute.entropy(words[i])
+        judged[lang] = [entropy[i] for i in trusted if i in entropy]
+    apart = sorted(e - np.mean(x) for x in judged.values() for e in x)
+    high = apart[math.ceil(len(apart) * quality_lm.QUANTILE) - 1]
+    bad = {i for i, e in entropy.items() if judged[read[i]["lang"]] and e > np.mean(judged[read[i]["lang"]]) + high + 2 * quality_lm.BIN}
+    near = {i for i, e in entropy.items() if judged[read[i]["lang"]] and abs(e - np.mean(judged[read[i]["lang"]]) - high) <= 2 * quality_lm.BIN}
+    assert kept["quality"] | near == (want - bad) | near
+    want = kept["quality"]
+
+    # Near-duplicates: all pairs of sets, the smallest id of each component stays.
+    shingles = {}
+    for i in want:
+        w = (read[i]["text"] or "").encode().lower().split()
+        shingles[i] = {tuple(w)} if 0 < len(w) < 5 else {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    root = {i: i for i in want}
+    links = [(a, b) for a in want for b in want if a < b and shingles[a] and shingles[b] and 100 * len(shingles[a] & shingles[b]) >= 75 * len(shingles[a] | shingles[b])]
+    moved = True
+    while moved:
+        moved = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            moved |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    assert kept["near_dedup"] == {i for i in want if root[i] == i}
+    want = kept["near_dedup"]
+
+    # Mixing: whole-number water filling down the tree, then the prefix of each leaf's seeded order.
+    domain = lambda s: "none" if s is None else "web" if s[-1] in "0123" else "books" if s[-1] in "456" else "code"
+    leaves = {}
+    for i in want:
+        leaves.setdefault((domain(read[i]["source"]), read[i]["lang"], read[i]["source"]), []).append(i)
+    size = {i: len((read[i]["text"] or "").encode().split()) for i in want}
+    cap = {leaf: sum(size[i] for i in ids) for leaf, ids in leaves.items()}
+    weight = lambda level, name: corpus_pipeline.WEIGHTS.get(level, {}).get(name, 1)
+    domains = {d: sum(c for x, c in cap.items() if x[0] == d) for d in {x[0] for x in cap}}
+    top = integer_water(math.floor(sum(cap.values()) * 0.9), domains, {d: weight("domain", d) for d in domains})
+    taken = set()
+    for d, budget in top.items():
+        langs = {l: sum(c for x, c in cap.items() if x[:2] == (d, l)) for l in {x[1] for x in cap if x[0] == d}}
+        for l, inner in integer_water(budget, langs, {x: weight("lang", x) for x in langs}).items():
+            sources = {x[2]: c for x, c in cap.items() if x[:2] == (d, l)}
+            for s, share in integer_water(inner, sources, {x: weight("source", x) for x in sources}).items():
+                ids = leaves[(d, l, s)]
+                if cap[(d, l, s)] and share >= cap[(d, l, s)]:
+                    taken |= set(ids)
+                    continue
+                run = 0
+                for i in sorted(ids, key=lambda i: hashlib.md5(f"9-1-{i}".encode()).hexdigest()):
+                    run += size[i]
+                    if share <= 0 or run > share:
+                        break
+                    taken.add(i)
+    assert kept["mixing"] == taken
+
+    # Packing: every id of every document once, sequences within their limit.
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = out.collect()
+    ids = {i: tokenizer.encode(read[i]["text"] or "", add_special_tokens=False).ids + [1] for i in taken}
+    assert {(r["doc_id"], r["start"]): (r["length"], r["ids_crc32"]) for r in rows} == {(r["doc_id"], r["start"]): (r["length"], z.crc32(struct.pack(f"<{r['length']}I", *ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]))) for r in rows}
+    assert Counter({i: len(x) for i, x in ids.items()}) == sum((Counter({r["doc_id"]: r["length"]}) for r in rows), Counter())
+    assert max(sum((Counter({r["sequence_id"]: r["length"]}) for r in rows), Counter()).values()) <= 2048
+
+
+def test_pipeline_takes_odd_rows(spark, tmp_path):
+    """Null and empty texts, null ids, languages and sources, repeated rows, clashing columns, no rows at all."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, _score double, leaf string, doc string, id string"
+    more = (1.0, 2.0, "l", "d", "i")
+    rows = [(1, None, "en", "s1", 0, *more), (2, "", None, None, 0, *more), (None, "a null id", "en", "s1", 1, *more), (None, "another null id", "en", "s1", 1, *more), (3, "x " * 30_000, "en", "s4", 1, *more), (4, "good words here", "en", "s1", 1, *more), (4, "good words here", "en", "s1", 1, *more)]
+    for i, rows in enumerate((rows, [])):
+        docs = spark.createDataFrame(rows, schema)
+        for name in ("documents", "labels"):
+            df = docs if name == "documents" else spark.createDataFrame([(4, 1, 0), (None, 1, 1)][: len(rows)], "doc_id long, quality int, toxic int")
+            df.write.parquet(f"file://{tmp_path}/{i}/{name}.parquet")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = Workspace(spark, "odd").table(stage(spark, docs, f"file://{tmp_path}/{i}"), name)
+            assert docs.columns == [c.split()[0] for c in schema.split(", ")], name
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, f"file://{tmp_path}/{i}").count() >= (1 if rows else 0)
 
 
 def test_quality_threshold_has_no_term_in_size(spark, monkeypatch):
