@@ -5,8 +5,8 @@ costs one row. Unit vectors are turned onto their leading principal directions a
 of width epsilon there. Intervals of that sequence are joined recursively: two intervals whose boxes are
 more than epsilon apart hold no pair and are skipped with all they contain. Distances in the turned space
 never exceed those in the full space, so nothing is lost. Of a pair of the smallest intervals (blocks)
-only the vectors within epsilon of the other's box are sent on, to be compared in double precision. A
-block pair gives a row per linked vector and a spanning set of links, never all its pairs.
+only the vectors within epsilon of the other's box are sent on, once for all pairs of a tile, to be compared
+in double precision. A tile gives a row per linked vector and a spanning set of links, never all its pairs.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from arborpay.llm.common import Workspace, connected_components
 
 #: Leading principal directions of the grid; vectors of a block; intervals that one joins in the next.
 DIRECTIONS, BLOCK, FAN = 6, 512, 8
+#: Blocks to a side of a tile: a block is sent once to each tile that has pairs of it.
+TILE = 8
 #: Vector lengths with directions of their own, and components that these are taken from; others keep their first components.
 LENGTHS, COMPONENTS = 16, 1024
 _SPOT = ", ".join(f"lo{k} double, hi{k} double" for k in range(DIRECTIONS))
@@ -158,72 +160,68 @@ def _cut(directions: dict[int, np.ndarray]) -> Callable:
     return run
 
 
-def _halves(directions: dict[int, np.ndarray], eps: float) -> Callable:
-    """Of a block and the box of its partner: the vectors within epsilon of that box."""
+_SIDES = "i long, j long, own long, partners array<long>, dim int, wide boolean, keys binary, ids binary, copies binary, vectors binary"
+
+
+def _sides(directions: dict[int, np.ndarray], eps: float) -> Callable:
+    """Of a block and the box around its partners in a tile: the vectors within epsilon of that box."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
             rows = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                r = dict(zip(names, row, strict=True))
+                r = dict(zip(batch.schema.names, row, strict=True))
                 wide, dim = r["wide"], r["dim"]
                 keep = np.arange(r["rows"])
-                if r["i"] != r["j"]:
+                if r["own"] not in r["partners"]:
                     spots = _spots(_units(r["vectors"], wide, dim), directions)
                     low, high = (np.array([r[f"{e}{k}"] for k in range(DIRECTIONS)]) for e in ("lo", "hi"))
                     gap = np.maximum(0, np.maximum(low - spots, spots - high))
                     keep = np.flatnonzero((gap**2).sum(axis=1) <= eps * eps)
                 if len(keep):
-                    width = dim * (8 if wide else 4)
-                    vectors = np.frombuffer(r["vectors"], np.uint8).reshape(-1, width)[keep].tobytes()
-                    keys = np.frombuffer(r["keys"], np.uint8).reshape(-1, 16)[keep].tobytes()
-                    rows.append((r["i"], r["j"], r["side"], dim, wide, keys, *(np.frombuffer(r[c], np.int64)[keep].tobytes() for c in ("ids", "copies")), vectors))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 9
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [c.split()[0] for c in _HALVES.split(", ")])
+                    part = [np.frombuffer(r[c], np.uint8).reshape(r["rows"], -1)[keep].tobytes() for c in ("keys", "ids", "copies", "vectors")]
+                    rows.append((r["i"], r["j"], r["own"], r["partners"], dim, wide, *part))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 10
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [c.split()[0] for c in _SIDES.split(", ")])
 
     return run
 
 
-_HALVES = "i long, j long, side int, dim int, wide boolean, keys binary, ids binary, copies binary, vectors binary"
-
-
 def _links(threshold: float) -> Callable:
-    """Of each pair of blocks: links of each vector, and links that join what is connected within it."""
+    """Of the pairs of blocks of a tile: links of each vector, and links that join what is connected within it."""
 
     def run(table: pa.Table) -> pa.Table:
-        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "key": pa.array([], pa.binary())})
-        same = table.column("i")[0] == table.column("j")[0]
-        if table.num_rows < 2 and not same:
-            return none
-        sides = sorted(table.to_pylist(), key=lambda r: r["side"])
-        ids, copies = ([np.frombuffer(r[c], np.int64) for r in sides] for c in ("ids", "copies"))
-        keys = b"".join(r["keys"] for r in sides)
-        units = [_units(r["vectors"], r["wide"], r["dim"]) for r in sides]
-        near = units[0] @ units[-1].T >= threshold
-        if same:
-            np.fill_diagonal(near, False)
-            ids, n = ids[0], near @ copies[0]
-            r, c = np.nonzero(near)
-        else:
-            n = np.concatenate([near @ copies[1], near.T @ copies[0]])
-            r, c = np.nonzero(near)
-            c = c + len(ids[0])
-            ids = np.concatenate(ids)
-        if not len(r):
-            return none
+        rows = table.to_pylist()
+        keys = b"".join(r["keys"] for r in rows)
+        ids = np.concatenate([np.frombuffer(r["ids"], np.int64) for r in rows])
+        copies = [np.frombuffer(r["copies"], np.int64) for r in rows]
+        first = np.concatenate([[0], np.cumsum([len(c) for c in copies])])
+        at = {r["own"]: k for k, r in enumerate(rows)}
+        units = [_units(r["vectors"], r["wide"], r["dim"]) for r in rows]
+        n, ends = np.zeros(len(ids), np.int64), []
+        for k, r in enumerate(rows):
+            for m in (at[o] for o in r["partners"] if o >= r["own"] and o in at):
+                near = units[k] @ units[m].T >= threshold
+                if k == m:
+                    np.fill_diagonal(near, False)
+                else:
+                    n[first[m] : first[m + 1]] += near.T @ copies[k]
+                n[first[k] : first[k + 1]] += near @ copies[m]
+                a, b = np.nonzero(near)
+                ends.append((a + first[k], b + first[m]))
+        a, b = (np.concatenate([e[x] for e in ends]) if ends else np.empty(0, np.int64) for x in (0, 1))
         root = np.arange(len(ids))
-        while True:  # smallest position within reach
+        while len(a):  # smallest position within reach
             low = root.copy()
-            np.minimum.at(low, r, root[c])
-            np.minimum.at(low, c, root[r])
+            np.minimum.at(low, a, root[b])
+            np.minimum.at(low, b, root[a])
             low = low[low]
             if (low == root).all():
                 break
             root = low
-        linked = n > 0
-        return pa.table({"a": ids[linked], "b": ids[root[linked]], "n": n[linked].astype(np.int64), "key": pa.array([keys[16 * k : 16 * k + 16] for k in np.flatnonzero(linked).tolist()], pa.binary())})
+        linked = np.flatnonzero(n)
+        return pa.table({"a": ids[linked], "b": ids[root[linked]], "n": n[linked], "key": pa.array([keys[16 * k : 16 * k + 16] for k in linked.tolist()], pa.binary())})
 
     return run
 
@@ -259,10 +257,12 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> Data
     pairs = _interval_join(ws, boxes, eps)
     numbered = blocks.select("part", "block", "dim", "wide", "rows", "keys", "ids", "copies", "vectors").join(boxes.select("part", "block", F.col("no").alias("own")), ["part", "block"]).drop("part", "block")
     far = boxes.select(F.col("no").alias("other"), *[f"{e}{k}" for k in range(DIRECTIONS) for e in ("lo", "hi")])
-    sides = pairs.select("i", "j", F.lit(0).alias("side"), F.col("i").alias("own"), F.col("j").alias("other"))
-    sides = sides.unionByName(pairs.where("i <> j").select("i", "j", F.lit(1).alias("side"), F.col("j").alias("own"), F.col("i").alias("other")))
-    halves = sides.join(far, "other").drop("other").join(numbered, "own").drop("own").mapInArrow(_halves(directions, eps), _HALVES)
-    found = ws.table(halves.groupBy("i", "j").applyInArrow(_links(threshold), "a long, b long, n long, key binary"), "links")
+    tile = [F.floor(F.col(c) / TILE).cast("long").alias(c) for c in "ij"]
+    sides = pairs.select(*tile, F.col("i").alias("own"), F.col("j").alias("other")).union(pairs.where("i <> j").select(*tile, F.col("j").alias("own"), F.col("i").alias("other")))
+    around = [f(f"{e}{k}").alias(f"{e}{k}") for k in range(DIRECTIONS) for e, f in (("lo", F.min), ("hi", F.max))]
+    sides = sides.join(far, "other").groupBy("i", "j", "own").agg(F.collect_set("other").alias("partners"), *around)  # TILE partners at most, twice that where i = j
+    sides = sides.join(numbered, "own").mapInArrow(_sides(directions, eps), _SIDES)
+    found = ws.table(sides.groupBy("i", "j").applyInArrow(_links(threshold), "a long, b long, n long, key binary"), "links")
 
     # Back from representatives to rows: a row links with its copies and with what its representative links with.
     counts = found.groupBy("key").agg(F.sum("n").alias("more"))
