@@ -61,7 +61,7 @@ def depths(ws: Workspace, edges: DataFrame) -> DataFrame:
     if "depth" in edges.columns:
         return edges
     hops, left = ws.counted(edges.select("user_id", F.col("parent_id").alias("up"), F.lit(0).alias("hops")), "depths", f"up <> {ROOT}")
-    for _ in range(ROUNDS):
+    for _ in range(left.bit_length() + 2):  # a path that ends has ended by then
         if not left:
             return edges.join(hops.select("user_id", F.col("hops").alias("depth")), "user_id")
         over = hops.select(F.col("user_id").alias("up"), F.col("up").alias("up2"), F.col("hops").alias("hops2"))

@@ -151,9 +151,15 @@ def apply_ranks(ws: Workspace, state: DataFrame, sponsor: DataFrame, orders: Dat
 def apply_bonus(ws: Workspace, state: DataFrame, sponsor: DataFrame, orders: DataFrame) -> DataFrame:
     """The Elite net after orders, refunds as in apply_ranks(); the bonus follows from it by elite.elite_bonus().
 
-    ``state`` is what elite.elite_net() gives. A refund can take away a qualification, so members above a
-    buyer are folded anew; volume flows on to the next member above that no longer stops it.
+    ``state`` is what elite.elite_net() gives: members with volume below them or of their own. Those that get
+    their first volume come in. A refund can take away a qualification, so members above a buyer are folded
+    anew; volume flows on to the next member above that no longer stops it.
     """
+    placed = tree.depths(ws, sponsor)
+    buyers = orders.select("user_id").distinct().join(placed.select("user_id"), "user_id", "left_semi")
+    new = placed.join(affected(ws, sponsor, buyers), "user_id", "left_semi").join(state.select("user_id"), "user_id", "left_anti")
+    blank = [F.lit(0).cast(state.schema[c].dataType).alias(c) for c in state.columns if c not in ("user_id", "parent_id", "depth")]
+    state = ws.table(state.unionByName(new.select("user_id", "parent_id", "depth", *blank)), "bonus-state")
     return _after_orders(ws, state, sponsor, orders, _BONUS, _bonus_of)
 
 

@@ -174,3 +174,53 @@ def test_checks(spark, sponsor):
         checks.require_amounts(spark.createDataFrame([("1.234",)], "a string"), "a")
     with pytest.raises(ValueError):
         checks.require_period(spark.createDataFrame([("x",)], "period string"), 3)
+
+
+def test_members_off_the_tree_are_counted(spark, ws):
+    """An orphan, what hangs on it, a detached cycle and what hangs on that; a second root counts as well."""
+    edges = lambda rows: spark.createDataFrame(rows, "user_id long, parent_id long")
+    chain = [(0, -1)] + [(i, i - 1) for i in range(1, 70)]
+    assert checks.reachable(ws, edges(chain)).first()["unreached"] == 0
+    got = checks.reachable(ws, edges([*chain, (100, 99), (101, 100), (200, 201), (201, 200), (202, 200), (300, -1)])).first()
+    assert (got["members"], got["roots"], got["unreached"]) == (76, 2, 5)
+
+
+def test_global_pool_halves_odd_rates_exactly(spark):
+    layers = spark.createDataFrame([(1, 70, 1000, 70), (2, 70, 3000, 70), (3, 60, 9, 70)], "user_id long, layer int, lb_pv long, bonus int")
+    members = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "user_id long, is_founder int")
+    month = spark.createDataFrame([(1, 1_000_000_000, 1), (2, 0, 1)], "user_id long, pv_own long, is_active int")
+    rates = spark.createDataFrame([(70, 333)], "layer int, rate long")
+    got = {r["user_id"]: (r["bonus_head"], r["bonus_pv"]) for r in honor.global_pool(layers, members, month, rates).collect()}
+    # 333 millionths of 10,000,000.00 are 3,330.00; half of it by heads, half by volume.
+    assert got == {1: (83_250, 41_625), 2: (83_250, 124_875)}
+
+
+def test_roots_may_be_spelled_zero(spark):
+    edges = spark.createDataFrame([("1", "0"), ("2", "1"), ("3", None), ("4", "nan")], "user_id string, parent_id string")
+    assert [r["user_id"] for r in tree.without_roots(edges, tree.ZERO).collect()] == ["2"]
+    assert [r["parent_id"] for r in tree.rooted(edges, tree.ZERO).orderBy("user_id").collect()] == [-1, 1, -1, -1]
+    assert tree.without_roots(edges).count() == 2
+
+
+def test_descendants_to_a_depth_and_pages(spark, ws):
+    edges = spark.createDataFrame(SPONSOR, "user_id long, parent_id long")
+    start = spark.createDataFrame([(3,), (8,)], "user_id long")
+    got = {tuple(r) for r in tree.descendants(ws, edges, start, deepest=2).collect()}
+    assert got == {(3, 1, 1), (3, 2, 1), (3, 9, 2), (3, 13, 2), (3, 10, 2), (8, 7, 1)}
+    rows = edges.where("parent_id <> -1")
+    first = tree.page(rows, ("parent_id", "user_id"), None, 2).collect()
+    assert [(r["parent_id"], r["user_id"]) for r in first] == [(1, 9), (1, 13), (2, 10)]
+    assert [(r["parent_id"], r["user_id"]) for r in tree.page(rows, ("parent_id", "user_id"), (1, 13), 2).collect()] == [(2, 10), (3, 1), (3, 2)]
+
+
+def test_a_closure_refuses_other_legs(spark, ws):
+    with pytest.raises(tree.TreeError):
+        tree.closure(ws, spark.createDataFrame([(1, -1, 0), (2, 1, 3)], "user_id long, parent_id long, leg int"), carry=("leg",))
+
+
+def test_level_fees_round_by_order(spark, ws):
+    sponsor = spark.createDataFrame([(1, -1), (2, 1), (3, 2)], "user_id long, parent_id long")
+    orders = spark.createDataFrame([(1, 3, 5), (2, 3, 5), (3, 3, 15), (4, 2, 7)], "order_id long, user_id long, amount long")
+    rates = spark.createDataFrame([(1, 100_000), (2, 100_000)], "level int, ppm long")
+    got = {(r["user_id"], r["level"]): (r["commission"], r["n_orders"]) for r in bonuses.level_fee(ws, sponsor, orders, rates).collect()}
+    assert got == {(2, 1): (1 + 1 + 2, 3), (1, 2): (1 + 1 + 2, 3), (1, 1): (1, 1)}

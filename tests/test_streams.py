@@ -1,16 +1,19 @@
 """Change streams, versioned tables and incremental state."""
 
+import datetime
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from arborpay.operators import elite, volume
-from arborpay.sources.versions import GateError, VersionedTable, back_up, of_period
+from arborpay.operators import elite, tree, volume
+from arborpay.sources.versions import GateError, PeriodRuns, VersionedTable, back_up, of_period
 from arborpay.streaming import changes, incremental
 from arborpay.streaming.ingest import MESSAGES, USER, Ingest, files
 
 SPONSOR = [(1, 3), (2, 3), (3, 4), (4, 5), (5, -1), (9, 1), (10, 2)]
+MORE = [*SPONSOR, (13, 1), (8, -1), (7, 8)]
 
 
 def message(offset, user, parent, op="u", ts=1000, topic="user"):
@@ -97,14 +100,112 @@ def test_topology_move(spark, ws):
     assert got == {1: 0, 3: 50_000, 4: 0, 8: 50_000}
 
 
-def test_period_gate():
-    gate = incremental.PeriodGate()
-    gate.begin(1, first=True)
-    assert not gate.writable(1)
-    gate.end(1, True)
-    gate.begin(2)
+def test_period_runs(spark, tmp_path):
+    runs = PeriodRuns(spark, f"file://{tmp_path}")
+    rows = spark.range(3)
+    first = runs.begin(1, first=True)
+    assert not runs.writable(1) and PeriodRuns(spark, f"file://{tmp_path}").status(1) == "RUNNING"  # another driver sees it
     with pytest.raises(ValueError):
-        gate.begin(3)
+        runs.begin(2)
+    with pytest.raises(AnalysisException):
+        runs.read(1, "total")
+    runs.end(1, first, {"total": rows, "rank": rows})
+    assert runs.read(1, "total").count() == 3
+    second = runs.begin(2)
+    with pytest.raises(ValueError):
+        runs.begin(2)
+    with pytest.raises(Exception):
+        runs.end(2, second, {"total": rows, "rank": rows.select(F.raise_error(F.lit("stopped")).alias("x"))})
+    assert runs.status(2) == "FAILED"
+    with pytest.raises(AnalysisException):
+        runs.read(2, "total")  # nothing of a failed run is published
+    again = runs.begin(2)
+    runs.end(2, again, {"total": rows.limit(1), "rank": rows})
+    assert runs.read(2, "total").count() == 1 and runs.read(1, "total").count() == 3
+
+
+def test_incremental_bonus_equals_recomputation(spark, ws):
+    sponsor = spark.createDataFrame(MORE, "user_id long, parent_id long")
+
+    def net(pv):
+        team = volume.team_volume(ws, tree.depths(ws, sponsor), spark.createDataFrame(list(pv.items()), "user_id long, pv_own long"))
+        return elite.elite_net(ws, team)
+
+    columns = ["user_id", "pv_own", "gpv", "elite", "gpv_real"]
+    rows = lambda df: sorted(map(tuple, df.select(columns).collect()))
+    state = net({9: 80_000, 1: 20_000, 10: 200_000})
+    assert {r["user_id"]: r["bonus_e"] for r in elite.elite_bonus(state, 150_000).collect()}[1] == 15_000
+    # A refund takes 1's qualification away, an order gives one to 13; a refund beyond what there is is ignored.
+    orders = spark.createDataFrame([(1, 1, -5_000), (2, 13, 150_000), (3, 10, -150_000), (4, 9, -90_000)], "order_id long, user_id long, pv long")
+    got = ws.table(incremental.apply_bonus(ws, state, sponsor, orders), "bonus-state")
+    assert rows(got) == rows(net({9: 80_000, 1: 15_000, 10: 50_000, 13: 150_000}))
+    back = spark.createDataFrame([(5, 13, -150_000), (6, 1, 5_000), (7, 10, 150_000)], "order_id long, user_id long, pv long")
+    assert rows(incremental.apply_bonus(ws, got, sponsor, back)) == rows(net({9: 80_000, 1: 20_000, 10: 200_000, 13: 0}))
+
+
+def test_moves_equal_recomputation_and_bad_ones_are_refused(spark, ws):
+    sponsor = spark.createDataFrame(MORE, "user_id long, parent_id long")
+    own = spark.createDataFrame([(9, 90_000), (13, 120_000), (10, 200_000), (7, 50_000)], "user_id long, pv_own long")
+    old = tree.depths(ws, sponsor)
+    moves = spark.createDataFrame([(1, 8), (14, 10)], "user_id long, parent_id long")
+    new = ws.table(incremental.patch(ws, old, moves), "new-tree")
+    got = incremental.apply_moves(ws, elite.rank_snapshot(ws, sponsor, own), old, new, moves)
+    columns = ["user_id", "parent_id", "depth", "pv_own", "gpv", "legs", "contrib", "rank"]
+    rows = lambda df: sorted(map(tuple, df.select(columns).collect()))
+    assert rows(got) == rows(elite.rank_snapshot(ws, new.select("user_id", "parent_id"), own))
+    for bad in ([(4, 1)], [(2, 77)]):  # a cycle; no such parent
+        with pytest.raises(tree.TreeError):
+            incremental.patch(ws, old, spark.createDataFrame(bad, "user_id long, parent_id long"))
+    placement = spark.createDataFrame([(1, -1, 0), (2, 1, 1), (3, 1, 2)], "user_id long, parent_id long, leg int")
+    for bad in ([(4, 1, 2)], [(4, 2, 3)]):  # a leg taken; no such leg
+        with pytest.raises(tree.TreeError):
+            incremental.patch(ws, placement, spark.createDataFrame(bad, "user_id long, parent_id long, leg int"))
+    assert incremental.patch(ws, placement, spark.createDataFrame([(4, 2, 1)], "user_id long, parent_id long, leg int")).count() == 4
+
+
+def test_a_stopped_writer_loses_nothing(spark, tmp_path, monkeypatch):
+    table = VersionedTable(spark, f"file://{tmp_path}/t")
+    schema = "id string, event_ts timestamp, v int, op string, partition int, offset long"
+    at = lambda s: datetime.datetime(2026, 1, 1, 0, 0, s)
+    table.merge(spark.createDataFrame([(str(i), at(1), i, "c", 0, i) for i in range(5)], schema))
+    monkeypatch.setattr(table, "_point", lambda version: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        table.merge(spark.createDataFrame([("9", at(2), 9, "c", 0, 9)], schema))
+    monkeypatch.undo()
+    assert table.version() == 1 and table.read()[0].count() == 5
+    table.merge(spark.createDataFrame([("9", at(2), 9, "c", 0, 9)], schema))
+    assert table.version() == 2 and table.read()[0].count() == 6
+    assert table.roll_back() == 1 and table.read()[0].count() == 5
+    assert table.merge(spark.createDataFrame([("8", at(3), 8, "c", 0, 8)], schema)) == 3  # never a version that was published
+
+
+def test_an_older_change_does_not_revive_a_deleted_row(spark, tmp_path):
+    table = VersionedTable(spark, f"file://{tmp_path}/t")
+    schema = "id string, event_ts timestamp, v int, op string, partition int, offset long"
+    at = lambda s: datetime.datetime(2026, 1, 1, 0, 0, s)
+    for row in (("1", at(10), 1, "c"), ("2", at(10), 2, "c"), ("1", at(30), None, "d"), ("1", at(20), 5, "u")):
+        table.merge(spark.createDataFrame([(*row, 0, 1)], schema))
+    assert [r["id"] for r in table.read()[0].collect()] == ["2"]
+    table.merge(spark.createDataFrame([("1", at(40), 7, "u", 0, 1)], schema))
+    assert sorted((r["id"], r["v"]) for r in table.read()[0].collect()) == [("1", 7), ("2", 2)]
+    late = datetime.datetime(2026, 6, 1)
+    table.merge(spark.createDataFrame([("2", at(50), None, "d", 0, 1)], schema))
+    table.merge(spark.createDataFrame([("3", late, 1, "c", 0, 1)], schema))
+    assert table.whole(table.version()).where("gone").count() == 0  # remembered for a bounded time
+
+
+def test_a_failed_batch_is_replayed(spark, tmp_path, monkeypatch):
+    ingest = Ingest(spark, f"file://{tmp_path}/o", {"user": USER, "other": USER})
+    sent = [(t, 0, 1, None, json.dumps({"id": "1"}), json.dumps({"before": None, "after": {"id": "1", "user": "u"}, "op": "c", "ts_ms": 5})) for t in ("user", "other")]
+    messages = spark.createDataFrame(sent, MESSAGES)
+    merge = VersionedTable.merge
+    monkeypatch.setattr(VersionedTable, "merge", lambda self, rows, key="id": (_ for _ in ()).throw(OSError("away")) if self.path.endswith("user") else merge(self, rows, key))
+    with pytest.raises(OSError):
+        ingest.batch(messages, 0)
+    assert ingest.table("other").read()[0].count() == 1 and not (tmp_path / "o" / "dead").exists()
+    monkeypatch.undo()
+    ingest.batch(messages, 0)
+    assert ingest.table("user").read()[0].count() == 1 and ingest.table("other").version() == 1
 
 
 def test_newest_wins(spark):
