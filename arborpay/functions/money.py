@@ -71,8 +71,6 @@ def ordinal_id(stamp: str, order: Column, width: int = 8) -> Column:
 def unscaled_decimal(base64: Column, scale: int) -> Column:
     """The decimal that a change stream sends as base64 of its two's-complement bytes, up to 8 bytes."""
     digits = F.hex(F.unbase64(base64))
-    bits = F.length(digits) * 4
-    value = F.conv(digits, 16, 10).cast("decimal(20,0)")
-    full = F.pow(F.lit(2.0), bits).cast("decimal(20,0)")
-    signed = F.when(value >= full / 2, value - full).otherwise(value)
-    return (signed.cast("decimal(20,0)") * F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(38,{scale})")
+    sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
+    value = F.conv(F.concat(F.repeat(sign, F.lit(16) - F.length(digits)), digits), 16, -10).cast("decimal(20,0)")
+    return (value * F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(38,{scale})")

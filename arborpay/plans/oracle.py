@@ -267,6 +267,16 @@ _SELECTS = {
         WHEN 11 THEN (SELECT count(*) FROM (SELECT user_id FROM sponsor GROUP BY 1 HAVING count(*) > 1)) WHEN 12 THEN (SELECT count(*) FROM sponsor WHERE user_id = -1)
         WHEN 5 THEN (SELECT count(DISTINCT user_id) FROM ord WHERE user_id NOT IN (SELECT user_id FROM sponsor)) WHEN 6 THEN (SELECT count(DISTINCT user_id) FROM ord WHERE user_id NOT IN (SELECT user_id FROM placement))
         WHEN 7 THEN (SELECT count(DISTINCT stockist_id) FROM ord WHERE stockist_id NOT IN (SELECT user_id FROM members)) WHEN 8 THEN (SELECT count(*) FROM placement WHERE parent_id <> -1 AND leg NOT IN (1, 2)) ELSE 0 END AS BIGINT) AS violations)""",
+    "honor_change_events": "SELECT user_id, before AS old_value, highest AS new_value, 'UP' AS direction FROM hhigh WHERE highest > before",
+    "rank_snapshot_incremental": f"SELECT user_id, parent_id, {_m('gpv', 'contrib')}, legs, virtual_width, is_elite, rank FROM rank",
+    "elite_bonus_incremental": f"SELECT user_id, parent_id, top_deep, {_m('gpv_real', 'bonus_e')} FROM b_e",
+    "member_pages": """SELECT * FROM (SELECT 'depth' AS by, CAST(depth AS BIGINT) AS key, user_id FROM sdepth WHERE (depth, user_id) > (4, 100) ORDER BY depth, user_id LIMIT 41)
+        UNION ALL SELECT * FROM (SELECT 'parent' AS by, parent_id AS key, user_id FROM sponsor WHERE (parent_id, user_id) > (16, 50) ORDER BY parent_id, user_id LIMIT 41)""",
+    "stockist_fee_from_backup": f"SELECT user_id, {_m('stockist_pv', 'pv_unity', 'pv_app', 'pv_otc', 'bonus_unity', 'bonus_app', 'bonus_otc', 'bonus_sfb')}, country_id FROM b_sfb",
+    "published_members": "SELECT user_id, country_id, CAST(member_level AS INT) AS member_level FROM members",
+    "performance_of_run": f"SELECT m.user_id, {_m('pv_own', 'pv_team')}, is_active, rank FROM (SELECT user_id, pv_own, pv_team, is_active FROM month) m LEFT JOIN (SELECT user_id, rank FROM rank) r USING (user_id)",
+    "decimal_functions": "SELECT c_custkey AS user_id, CAST(trunc(c_acctbal * 10) / 10 AS DECIMAL(18, 1)) AS cut, CAST(c_acctbal AS DECIMAL(18, 2)) AS read, CASE WHEN c_custkey % 12 = 0 THEN 199512 ELSE 199600 + c_custkey % 12 END AS month_before FROM customer",
+    "cdc_merged_state": "SELECT user_id AS id, ts AS event_ts, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1 AND event_type <> 'error'",
     "cdc_latest_state": "SELECT user_id AS id, op, ts AS event_ts, event_id AS \"offset\", value, k FROM (SELECT *, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op, CAST(json_extract_string(props, '$.k') AS INT) AS k, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1 AND op <> 'd'",
 }
 

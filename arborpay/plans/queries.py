@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborpay.functions.config import DEFAULTS, Config
-from arborpay.functions.money import to_decimal
+from arborpay.functions.money import previous_period, to_decimal, truncated, unscaled_decimal
 from arborpay.operators import bonuses, checks, elite, honor, tree, volume
 from arborpay.plans.settlement import Settlement, tree_depths
 from arborpay.sources.domain import load
-from arborpay.streaming import changes
+from arborpay.sources.versions import PeriodRuns, VersionedTable, back_up, of_period
+from arborpay.sources.workspace import Workspace
+from arborpay.streaming import changes, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -266,6 +268,102 @@ def rank_change_events(s: Settlement) -> DataFrame:
     return changes.diff(old, new, "user_id", "rank")
 
 
+@settled
+def honor_change_events(s: Settlement) -> DataFrame:
+    """Rises of the highest honor."""
+    rows = s.highest_honor()
+    return changes.diff(rows.select("user_id", F.col("before").alias("honor")), rows.select("user_id", F.col("highest").alias("honor")), "user_id", "honor", only_up=True)
+
+
+def _early_and_late(s: Settlement) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Own volume of nine orders in ten, the other orders as events, and no applied orders."""
+    late = s.orders.where("order_id % 10 = 0").select("order_id", "user_id", "pv")
+    return volume.own_volume(s.orders.where("order_id % 10 <> 0")), late, late.select("order_id").limit(0)
+
+
+@settled
+def rank_snapshot_incremental(s: Settlement) -> DataFrame:
+    """The rank snapshot, a tenth of the orders applied as a micro-batch to the state that the others leave."""
+    own, late, applied = _early_and_late(s)
+    rows = incremental.apply_ranks(s.ws, elite.rank_snapshot(s.ws, s.sponsor, own), s.sponsor, incremental.new_orders(late, applied))
+    return money(rows.select("user_id", "parent_id", "gpv", "legs", "virtual_width", "is_elite", "contrib", "rank"), "gpv", "contrib")
+
+
+@settled
+def elite_bonus_incremental(s: Settlement) -> DataFrame:
+    """The Elite bonus, likewise; every tenth order comes a second time as an order and its refund, which cancel out."""
+    own, late, applied = _early_and_late(s)
+    again = late.where("order_id % 100 = 0")
+    extra = again.withColumn("order_id", -F.col("order_id") * 2 - 1).unionByName(again.select((-F.col("order_id") * 2 - 2).alias("order_id"), "user_id", (-F.col("pv")).alias("pv")))
+    # Extra orders come before their refunds: refunds have the greater event time.
+    events = late.unionByName(extra).withColumn("event_ts", (F.col("pv") < 0).cast("long"))
+    net = elite.elite_net(s.ws, volume.team_volume(s.ws, s.sponsor, own))
+    rows = incremental.apply_bonus(s.ws, net, s.sponsor, incremental.new_orders(events, applied))
+    return money(elite.elite_bonus(rows, s.config.micro("eliteRate")), "gpv_real", "bonus_e")
+
+
+@settled
+def member_pages(s: Settlement) -> DataFrame:
+    """The page after member 100 of depth 4, and that after child 50 of parent 16, by keyset; the row more than asked for shows that there are more."""
+    by_depth = tree.page(s.sponsor, ("depth", "user_id"), (4, 100), 40).select(F.lit("depth").alias("by"), F.col("depth").cast("long").alias("key"), "user_id")
+    by_parent = tree.page(s.sponsor, ("parent_id", "user_id"), (16, 50), 40).select(F.lit("parent").alias("by"), F.col("parent_id").alias("key"), "user_id")
+    return by_depth.unionByName(by_parent)
+
+
+@settled
+def stockist_fee_from_backup(s: Settlement) -> DataFrame:
+    """The stockist fee, kept by period and read from its period's folder."""
+    path = s.ws.folder("backup")
+    back_up({"stockist_fee": s.part("sfb")}, path, s.d.period)
+    rows = of_period(s.spark, path, "stockist_fee", s.d.period)
+    return money(rows, *[c for c in rows.columns if c not in ("user_id", "country_id")])
+
+
+@settled
+def published_members(s: Settlement) -> DataFrame:
+    """Members as a gated version: published, published again without some, and rolled back."""
+    table = VersionedTable(s.spark, s.ws.folder("members"))
+    rows = s.d.members.select("user_id", "country_id", "member_level")
+    table.publish(rows, "user_id", source=s.d.sponsor.select("user_id"))
+    table.publish(rows.where("user_id % 2 = 0"), "user_id")
+    table.roll_back()
+    return table.read(["user_id", "country_id", "member_level"])[0]
+
+
+@settled
+def performance_of_run(s: Settlement) -> DataFrame:
+    """Performance and ranks published together as a period's run, read back from it."""
+    runs = PeriodRuns(s.spark, s.ws.folder("runs"))
+    run = runs.begin(s.d.period, first=True)
+    runs.end(s.d.period, run, {"performance": s.month, "rank": s.ranks})
+    rows = runs.read(s.d.period, "performance").select("user_id", "pv_own", "pv_team", "is_active")
+    return money(rows.join(runs.read(s.d.period, "rank").select("user_id", "rank"), "user_id", "left"), "pv_own", "pv_team")
+
+
+def decimal_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances cut to one decimal toward zero, and read back from two's-complement bytes as a change stream sends them."""
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
+    sent = F.base64(F.unhex(F.lpad(F.hex((F.col("balance") * 100).cast("long")), 16, "0")))
+    return rows.select("user_id", truncated(F.col("balance"), 1).cast("decimal(18,1)").alias("cut"), unscaled_decimal(sent, 2).cast("decimal(18,2)").alias("read"), previous_period(F.col("user_id") % 12 + 199601, "yyyymm").alias("month_before"))
+
+
+QUERIES["decimal_functions"] = decimal_functions
+
+
+def cdc_merged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same state by merging the events in three batches that aren't in event order; deleted rows are remembered between them."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    op = F.when(F.col("event_type") == "error", "d").when(F.col("event_type") == "signup", "c").otherwise("u")
+    rows = events.select(F.col("user_id").alias("id"), op.alias("op"), F.col("ts").alias("event_ts"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), "value")
+    table = VersionedTable(spark, Workspace(spark, "cdc").folder("state"))
+    for batch in (2, 0, 1):
+        table.merge(changes.newest(rows.where(F.col("offset") % 3 == batch), "id"))
+    return table.read(["id", "event_ts", "value"])[0]
+
+
+QUERIES["cdc_merged_state"] = cdc_merged_state
+
+
 def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest state of each user from the event stream as a change stream: errors delete, newest wins."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
