@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,13 +40,18 @@ class Workspace:
         self.count += 1
         return f"{self.path}/{self.count:03d}-{name}"
 
-    def table(self, df: DataFrame, name: str = "t", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def table(self, df: DataFrame, name: str = "t", partition_by: tuple[str, ...] = (), codec: str = "snappy") -> DataFrame:
         """Write df once and read it back: cuts the lineage, and every reader sees the same rows."""
         path = self.folder(name)
         schema = df.schema
-        df.write.partitionBy(*partition_by).parquet(path)
+        df.write.option("compression", codec).partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
+    def settle(self) -> None:
+        """Let the driver forget jobs that are done: Spark then deletes their shuffle files on all executors."""
+        gc.collect()
+        self.spark._jvm.java.lang.System.gc()
+
     def drop(self, *names: str) -> None:
         """Delete the tables of these names; nothing may read them afterwards."""
         jvm = self.spark._jvm

@@ -132,25 +132,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Bucketed:
-    """Rows by key in buckets of a table, so that joins on the key don't shuffle them."""
+    """A table of rows by key, in buckets, so that joins on the key don't shuffle it."""
 
-    def __init__(self, ws: Workspace, buckets: int):
-        self.ws, self.buckets, self.names = ws, buckets, []
+    def __init__(self, ws: Workspace, name: str, buckets: int):
+        self.ws, self.buckets = ws, buckets
+        self.name, self.path = f"quality_{name}_{uuid.uuid4().hex}", ws.folder(name)
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.ws.folder(name)
-        table = f"quality_{uuid.uuid4().hex}"
-        df.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key").option("path", path).saveAsTable(table)
-        self.names.append(table)
-        return self.ws.spark.table(table)
+    def add(self, df: DataFrame) -> None:
+        """Append rows that are dealt by repartition(buckets, "key")."""
+        df.write.mode("append").option("compression", "zstd").option("path", self.path).bucketBy(self.buckets, "key").saveAsTable(self.name)
 
-    def drop(self) -> None:
-        for name in self.names:
-            self.ws.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.ws.drop("counts", "contexts")
+    def read(self) -> DataFrame:
+        return self.ws.spark.table(self.name)
 
+    def forget(self) -> None:
+        """Take the table out of the session's catalogue; its files go with Workspace.drop()."""
+        self.ws.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
-def count_words(ws: Workspace, trusted: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Bucketed]:
+
+def count_words(ws: Workspace, trusted: DataFrame) -> tuple[Bucketed, Bucketed, DataFrame]:
     """What scoring looks up, from trusted texts (lang, fold, text).
 
     grams (key, c0, c1, ...): the counts of grams of one to WORDS words. contexts (key, t0, x0, y0, z0, t1, ...):
@@ -163,26 +163,18 @@ def count_words(ws: Workspace, trusted: DataFrame) -> tuple[DataFrame, DataFrame
     raw = trusted.select("lang", "fold", "text").mapInArrow(_count_words, f"lang string, fold int, {_GRAM}, n long")
     words = [f"w{k}" for k in range(1, WORDS + 1)]
     sums = raw.groupBy("lang", *words).agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"f{f}") for f in range(FOLDS)])
-    by_order = {WORDS: ws.table(sums.select("lang", *words, *[(F.col("n") - F.col(f"f{f}")).alias(f"c{f}") for f in range(FOLDS)], F.col("n").alias(f"c{FOLDS}")), "grams")}
+    by_order = {WORDS: ws.table(sums.select("lang", *words, *[(F.col("n") - F.col(f"f{f}")).alias(f"c{f}") for f in range(FOLDS)], F.col("n").alias(f"c{FOLDS}")), f"grams{WORDS}", codec="zstd")}
+    ws.settle()
     for n in range(WORDS - 1, 0, -1):  # in how many ways a shorter gram goes on to the left
         shorter = by_order[n + 1].groupBy("lang", *[F.col(f"w{k + 1}").alias(f"w{k}") for k in range(1, n + 1)])
-        by_order[n] = ws.table(shorter.agg(*[F.count_if(F.col(c) > 0).alias(c) for c in columns]), "grams")
+        by_order[n] = ws.table(shorter.agg(*[F.count_if(F.col(c) > 0).alias(c) for c in columns]), f"grams{n}", codec="zstd")
+        ws.settle()
     rows = by_order[WORDS].count()
-    bucketed = Bucketed(ws, int(min(MOST_BUCKETS, max(8, -(-3 * rows // (2 * BUCKET_ROWS))))))
-
-    def goes_on() -> list[F.Column]:
-        return [f(F.col(f"c{m}")).alias(f"{name}{m}") for m in models for name, f in (("t", F.sum), ("x", lambda c: F.count_if(c == 1)), ("y", lambda c: F.count_if(c == 2)), ("z", lambda c: F.count_if(c > 2)))]
-
-    grams, contexts, cuts = None, None, None
+    buckets = int(min(MOST_BUCKETS, max(8, -(-3 * rows // (2 * BUCKET_ROWS)))))
+    goes_on = [f(F.col(f"c{m}")).alias(f"{name}{m}") for m in models for name, f in (("t", F.sum), ("x", lambda c: F.count_if(c == 1)), ("y", lambda c: F.count_if(c == 2)), ("z", lambda c: F.count_if(c > 2)))]
+    cuts = None
     for n in range(1, WORDS + 1):
-        rows = by_order[n]
-        own = rows.select(F.xxhash64(*words[:n]).alias("key"), *columns)
-        grams = own if grams is None else grams.unionByName(own)
-        if n > 1:
-            ctx = rows.groupBy(*words[: n - 1]).agg(*goes_on()).withColumn("key", F.xxhash64(*words[: n - 1])).drop(*words[: n - 1])
-            contexts = ctx if contexts is None else contexts.unionByName(ctx)
-        more = goes_on() if n == 1 else []
-        of = rows.groupBy("lang").agg(*[F.count_if(F.col(f"c{m}") == k).alias(f"n{k}_{m}") for m in models for k in (1, 2, 3, 4)], *[(F.count_if(F.col(f"c{m}") > 0) + 1).alias(f"v{m}") for m in models], *more)
+        of = by_order[n].groupBy("lang").agg(*[F.count_if(F.col(f"c{m}") == k).alias(f"n{k}_{m}") for m in models for k in (1, 2, 3, 4)], *[(F.count_if(F.col(f"c{m}") > 0) + 1).alias(f"v{m}") for m in models], *(goes_on if n == 1 else []))
 
         def cut(m: int, k: int):
             once, twice, own, more = (F.col(f"n{j}_{m}") for j in (1, 2, k, k + 1))
@@ -194,10 +186,15 @@ def count_words(ws: Workspace, trusted: DataFrame) -> tuple[DataFrame, DataFrame
         cuts = of if cuts is None else cuts.join(F.broadcast(of), "lang")  # one row per language
     cuts = cuts.select("lang", F.array(*[F.concat(*[F.col(f"cuts{n}")[m] for n in range(1, WORDS + 1)], F.col(f"empty{m}")) for m in models]).alias("cuts"))
     cuts = ws.table(cuts, "cuts")
-    contexts = bucketed.table(contexts, "contexts")
-    grams = bucketed.table(grams, "counts")
-    ws.drop("grams")
-    return grams, contexts, cuts, bucketed
+    grams, contexts = Bucketed(ws, "counts", buckets), Bucketed(ws, "contexts", buckets)
+    for n in range(WORDS, 0, -1):
+        if n > 1:
+            contexts.add(by_order[n].select(F.xxhash64(*words[: n - 1]).alias("key"), *columns).repartition(buckets, "key").groupBy("key").agg(*goes_on))
+            ws.settle()
+        grams.add(by_order[n].select(F.xxhash64(*words[:n]).alias("key"), *columns).repartition(buckets, "key"))
+        ws.drop(f"grams{n}")
+        ws.settle()
+    return grams, contexts, cuts
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,7 +298,7 @@ def perplexities(ws: Workspace, docs: DataFrame) -> DataFrame:
     ``docs`` has doc_id, lang, lang_was, model and text; the model is the fold of a trusted document, FOLDS of any other.
     """
     spark = ws.spark
-    grams, contexts, cuts, bucketed = count_words(ws, docs.where(F.col("model") < FOLDS).withColumnRenamed("model", "fold"))
+    grams, contexts, cuts = count_words(ws, docs.where(F.col("model") < FOLDS).withColumnRenamed("model", "fold"))
     blocks = docs.select("doc_id", "lang", "lang_was", "model", "text").mapInArrow(_blocks, "doc_id long, lang string, lang_was string, model int, block long, packed binary")
     dealt = ws.table(blocks.withColumn("wave", F.pmod(F.xxhash64("block"), F.lit(WAVES)).cast("int")), "blocks", partition_by=("wave",))
     path = ws.folder("scored")
@@ -310,12 +307,14 @@ def perplexities(ws: Workspace, docs: DataFrame) -> DataFrame:
     for wave in range(WAVES):
         own = dealt.where(F.col("wave") == wave).drop("wave")
         asked = own.mapInArrow(_ask, "model int, block long, key long")
-        answers = asked.join(grams, "key", "left").join(contexts, "key", "left").select("block", "key", *picked).where("c > 0 or t > 0")
+        answers = asked.join(grams.read(), "key", "left").join(contexts.read(), "key", "left").select("block", "key", *picked).where("c > 0 or t > 0")
         with_cuts = own.join(F.broadcast(cuts), "lang", "left").withColumn("cuts", F.col("cuts")[F.col("model")])  # one row per language
         scored = with_cuts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, schema)
         scored.write.parquet(f"{path}/wave={wave}")
-    bucketed.drop()
-    ws.drop("blocks")
+        ws.settle()
+    for table in (grams, contexts):
+        table.forget()
+    ws.drop("blocks", "counts", "contexts")
     return spark.read.schema(f"{schema}, wave int").parquet(path).drop("wave")
 
 
