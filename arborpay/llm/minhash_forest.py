@@ -6,12 +6,12 @@ the full sets, give a first set of components. A region is a run of rows with a
 ``DEPTHS[0]`` values at first, and of more where a region has so many pairs from different components
 that comparing them would be too much. Pairs across components of a region that is small enough are
 compared. At a similarity of 0.75 a pair shares no region of the least depth with probability
-(1 - 0.75**4)**40 = 2.5e-7.
+(1 - 0.75**4)**40 = 2.5e-7, and its estimate is too low for a confirmation with 2e-4.
 
 What deepening takes apart is found in an exact way: documents of deepened regions are joined on the
 rarest of their shingles, as many as two sets of that similarity can't both lack (prefix filtering). So a
-passage that very many documents share makes a region deep, but no link is lost and none of them are
-compared all with all.
+passage that very many documents share makes a region deep, but takes no pair out of the search, and none
+of them are compared all with all.
 
 Copies with the same set of shingles are merged before the forest, so a group of exact copies costs
 one row, however large it is.
@@ -35,8 +35,8 @@ TREES, ORDER = 40, 12
 HASHES = TREES * ORDER
 #: Lengths of the prefix of a region, the next where the one before leaves too much; pairs across components that are compared in one region.
 DEPTHS, CROWD = (4, 6, 8, 12), 1 << 20
-#: Pairs whose estimated similarity is under this are not confirmed: 7.6 standard deviations under 0.75.
-ESTIMATE = 0.6
+#: Pairs across components whose estimated similarity is under this are not confirmed: 3.5 standard deviations under 0.75.
+ESTIMATE = 0.68
 #: Rows of a block of a region; bits of the buckets in which shingles are counted for the exact way.
 BLOCK, RARE_BITS = 512, 18
 #: From here on vertices stand for texts of doc_ids that have several.
