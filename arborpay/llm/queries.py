@@ -12,6 +12,7 @@ from arborpay.llm import token_rollup
 from arborpay.llm.ann_tree import nearest_neighbours
 from arborpay.llm.chat_format import conversation_digests, format_conversations
 from arborpay.llm.common import Workspace, only_ids
+from arborpay.llm.dual_tree import cluster_vectors
 from arborpay.llm.embedding_dedup import embedding_duplicates
 from arborpay.llm.minhash_forest import near_duplicates
 from arborpay.llm.mixing import mix
@@ -106,7 +107,11 @@ def op10_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
-QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_offset_masks, op3_kneser_ney, op4_kmeans_tree, op5_vector_packing, op6_pu_toxicity, op7_minhash_forest, op8_token_store, op9_budget_mix, op10_delta_rollups)}
+def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_offset_masks, op3_kneser_ney, op4_kmeans_tree, op5_vector_packing, op6_pu_toxicity, op7_minhash_forest, op8_token_store, op9_budget_mix, op10_delta_rollups, op13_dual_tree)}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -188,4 +193,32 @@ t AS (SELECT *, whole + CAST(rest > 0 AND sum(n) OVER (PARTITION BY domain, lang
 SELECT doc_id, domain, lang, source, CAST(unnest(range(1, CAST(taken AS BIGINT) + 1)) AS INT) AS epoch FROM t
 """
 
-ORACLE_SQL = {"op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7, "op9_budget_mix": _OP9}
+
+
+def _lloyd(rounds: int, k: int) -> str:
+    """Lloyd's rounds as so many steps of one query."""
+    sql = f"""
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS cluster, v AS c FROM v
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) <= {k})"""
+    for r in range(rounds + 1):
+        sql += f""",
+a{r} AS (
+  SELECT rid, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'k': cluster}}) AS m
+  FROM v, c{r} GROUP BY rid)"""
+        if r < rounds:
+            sql += f""",
+s{r} AS (SELECT m.k AS cluster, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, (SELECT unnest(range(1, 65)) AS i) GROUP BY ALL),
+n{r} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM s{r} GROUP BY cluster),
+c{r + 1} AS (SELECT cluster, coalesce(n.c, o.c) AS c FROM c{r} o LEFT JOIN n{r} n USING (cluster))"""
+    return sql + f"""
+SELECT vec_id, CAST(m.k AS INT) AS cluster, m.d AS distance, CAST(sum(m.d) OVER (PARTITION BY m.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(m.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON cluster = m.k
+"""
+
+
+ORACLE_SQL = {"op13_dual_tree": _lloyd(10, 8), "op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7, "op9_budget_mix": _OP9}
