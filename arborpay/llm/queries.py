@@ -18,6 +18,7 @@ from arborpay.llm.minhash_forest import near_duplicates
 from arborpay.llm.mixing import mix
 from arborpay.llm.packing import pack_documents, piece_digests
 from arborpay.llm.quality_lm import classify
+from arborpay.llm.token_alignment import align_tokens
 from arborpay.llm.token_store import store_documents
 from arborpay.llm.toxicity_pu import score_documents
 
@@ -107,11 +108,15 @@ def op10_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_read(spark, sf_dir, "documents"))
+
+
 def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(_read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_offset_masks, op3_kneser_ney, op4_kmeans_tree, op5_vector_packing, op6_pu_toxicity, op7_minhash_forest, op8_token_store, op9_budget_mix, op10_delta_rollups, op13_dual_tree)}
+QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_offset_masks, op3_kneser_ney, op4_kmeans_tree, op5_vector_packing, op6_pu_toxicity, op7_minhash_forest, op8_token_store, op9_budget_mix, op10_delta_rollups, op12_token_alignment, op13_dual_tree)}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 

@@ -125,17 +125,20 @@ class ByteEncoding:
         special = {mark: first + i for i, mark in enumerate(marks)}
         self._encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self._marks = set(marks)
-        self.sizes = np.zeros(first + len(marks), np.int64)
+        self.pieces = [b""] * first + [mark.encode() for mark in marks]
         for token, rank in ranks.items():
-            self.sizes[rank] = len(token)
-        for mark, at in special.items():
-            self.sizes[at] = len(mark.encode())
+            self.pieces[rank] = token
+        self.sizes = np.array([len(piece) for piece in self.pieces], np.int64)
 
     def encode(self, text: str) -> list[int]:
         if not self._marks:
             return self._encoding.encode_ordinary(text)
         return self._encoding.encode(text, allowed_special=self._marks, disallowed_special=())
 
+    def encode_array(self, text: str) -> np.ndarray:
+        """Ids of a text, in which marks are plain text."""
+        return self._encoding.encode_to_numpy(text, disallowed_special=())
+
 
 def byte_encoding(name: str, marks: tuple[str, ...] = ()) -> ByteEncoding:
     """The encoding of this Python worker, loaded once."""
