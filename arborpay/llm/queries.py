@@ -17,6 +17,7 @@ from arborpay.llm.embedding_dedup import embedding_duplicates
 from arborpay.llm.minhash_forest import near_duplicates
 from arborpay.llm.mixing import mix
 from arborpay.llm.packing import pack_documents, piece_digests
+from arborpay.llm.page_text import main_texts
 from arborpay.llm.quality_lm import classify
 from arborpay.llm.token_alignment import align_tokens
 from arborpay.llm.token_store import store_documents
@@ -108,6 +109,10 @@ def op10_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op11_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(_read(spark, sf_dir, "pages"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(_read(spark, sf_dir, "documents"))
 
@@ -116,7 +121,7 @@ def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(_read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_offset_masks, op3_kneser_ney, op4_kmeans_tree, op5_vector_packing, op6_pu_toxicity, op7_minhash_forest, op8_token_store, op9_budget_mix, op10_delta_rollups, op12_token_alignment, op13_dual_tree)}
+QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_offset_masks, op3_kneser_ney, op4_kmeans_tree, op5_vector_packing, op6_pu_toxicity, op7_minhash_forest, op8_token_store, op9_budget_mix, op10_delta_rollups, op11_host_suffixes, op12_token_alignment, op13_dual_tree)}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -200,6 +205,32 @@ SELECT doc_id, domain, lang, source, CAST(unnest(range(1, CAST(taken AS BIGINT)
 
 
 
+def _plain_text(column: str) -> str:
+    """Text of markup like that of the pages: tags inside a line go, others are spaces, the references that occur are decoded."""
+    out = f"regexp_replace(regexp_replace({column}, '</?b>|</?a( [^>]*)?>', '', 'g'), '<[^>]*>', ' ', 'g')"
+    for name, sign in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        out = f"regexp_replace({out}, '&{name};?', '{sign}', 'g')"
+    return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
+
+
+_OP11 = f"""
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, url, coalesce(html, '') AS h, regexp_extract(lower(url), '://([^:/?#]*)', 1) AS host FROM pages),
+a AS (
+  SELECT *, regexp_extract(h, '(?s)<article>(.*?)</article>', 1) AS art,
+    regexp_replace(regexp_replace(regexp_extract(h, '(?s)<body>(.*)', 1), '(?s)<article>.*?</article>', ' '), '(?s)<!--.*?-->', '', 'g') AS rest
+  FROM p),
+t AS (
+  SELECT *, {_plain_text("art")} AS text,
+    string_split({_plain_text("replace(replace(replace(rest, '<li>', ' [li] '), '<div class=" + chr(34) + "ad" + chr(34) + ">', ' [div] '), '<footer>', ' [footer] ')")}, ' ') AS w
+  FROM a),
+grams AS (SELECT rid, host, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM t)),
+repeated AS (SELECT host, g FROM grams GROUP BY ALL HAVING count(DISTINCT rid) > 1),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT *, unnest(range(0, 8)) AS k FROM grams SEMI JOIN repeated USING (host, g)) GROUP BY rid)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars, CAST(coalesce(n, 0) AS BIGINT) AS n_repeated, CAST(0 AS BIGINT) AS n_dropped
+FROM t LEFT JOIN covered USING (rid)
+"""
+
+
 def _lloyd(rounds: int, k: int) -> str:
     """Lloyd's rounds as so many steps of one query."""
     sql = f"""
@@ -226,4 +257,4 @@ FROM a{rounds} JOIN c{rounds} ON cluster = m.k
 """
 
 
-ORACLE_SQL = {"op13_dual_tree": _lloyd(10, 8), "op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7, "op9_budget_mix": _OP9}
+ORACLE_SQL = {"op11_host_suffixes": _OP11, "op13_dual_tree": _lloyd(10, 8), "op1_epsilon_grid": _OP1, "op7_minhash_forest": _OP7, "op9_budget_mix": _OP9}
