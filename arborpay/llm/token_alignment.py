@@ -16,6 +16,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -186,18 +187,43 @@ def aligner(a: str, b: str) -> Aligner:
     return _WORKER[a, b]
 
 
-def _asks(a: str, b: str) -> Callable:
-    """The distinct id pairs of a block with the number of its links that hold them."""
+#: Rows of an aligned block: its distinct pairs with the number of its links that hold them; its documents with
+#: their chunks; and one row with each chunk's number of links and the place of each link's pair among the pairs.
+_ALIGNED = "block long, pair long, n long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, chunks binary, sizes binary, links binary"
 
+
+def _rows(schema: str, rows: int, **columns) -> pa.Table:
+    """A table of so many rows with these columns, the others null."""
+    types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.table({name: pa.array(columns[name], types[kind]) if name in columns else pa.nulls(rows, types[kind]) for name, kind in fields})
+
+
+def _aligns(a: str, b: str) -> Callable:
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        own = aligner(a, b)
-        used = [d for d in own.documents(table["text"].to_pylist()) if d is not None]
+        own, block = aligner(a, b), key[0].as_py()
+        docs = own.documents(table["text"].to_pylist())
         counts, first, pairs = own.tables()
-        times = np.bincount(np.concatenate(used), minlength=len(counts)) if used else np.zeros(len(counts), np.int64)
-        own.db.register("l", pa.table({"pair": pairs, "n": np.repeat(times, counts[:, 3])}))
-        out = pa.table(own.db.execute("SELECT pair, CAST(sum(n) AS BIGINT) AS n FROM l WHERE n > 0 GROUP BY pair").fetchnumpy())
+        used = np.concatenate([d for d in docs if d is not None] or [np.empty(0, np.int64)])
+        times = np.bincount(used, minlength=len(counts))
+        here = np.argsort(-times, kind="stable")[: np.count_nonzero(times)]  # common chunks have small numbers, which pack well
+        number = np.zeros(len(counts), "<u4")
+        number[here] = np.arange(len(here))
+        size = counts[here, 3]
+        links = pairs[np.repeat(first[here] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        own.db.register("l", pa.table({"pair": links, "n": np.repeat(times[here], size)}))
+        asked = own.db.execute("SELECT pair, CAST(sum(n) AS BIGINT) AS n FROM l GROUP BY pair ORDER BY pair").fetchnumpy()
         own.db.unregister("l")
-        return out.add_column(0, "block", pa.repeat(pa.scalar(key[0].as_py(), pa.int64()), out.num_rows))
+        place = np.searchsorted(asked["pair"], links).astype("<u4")
+        sums = np.array([np.zeros(4, np.int64) if d is None else counts[d].sum(axis=0) for d in docs], np.int64).reshape(-1, 4)
+        shas = ["" if d is None else hashlib.sha256(";".join([own.texts[k] for k in d.tolist()]).encode()).hexdigest() for d in docs]
+        chunks = [b"" if d is None else number[d].tobytes() for d in docs]
+        n = len(asked["pair"])
+        return pa.concat_tables([
+            _rows(_ALIGNED, n, block=np.full(n, block), pair=asked["pair"], n=asked["n"]),
+            _rows(_ALIGNED, len(docs), block=np.full(len(docs), block), doc_id=table["doc_id"].to_pylist(), n_a=sums[:, 0], n_b=sums[:, 1], n_groups=sums[:, 2], n_links=sums[:, 3], groups_sha256=shas, chunks=chunks),
+            _rows(_ALIGNED, 1, block=[block], sizes=[size.astype("<u4").tobytes()], links=[place.tobytes()]),
+        ])
 
     return run
 
@@ -205,30 +231,20 @@ def _asks(a: str, b: str) -> Callable:
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def _tells(a: str, b: str) -> Callable:
-    """Of a block and the counts it asked for: a row per document."""
-
-    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        own = aligner(a, b)
-        used = own.documents(docs["text"].to_pylist())
-        counts, first, pairs = own.tables()
-        n = len(counts)
-        here = np.unique(np.concatenate([d for d in used if d is not None] or [np.empty(0, np.int64)]))
-        order = np.argsort(told["pair"].to_numpy())
-        known, total, best = (told[c].to_numpy(zero_copy_only=False)[order] for c in ("pair", "total", "best"))
-        size = counts[here, 3]
-        at = np.repeat(first[here] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        place = np.searchsorted(known, pairs[at])
-        owner = np.repeat(here, size)
-        sums = np.zeros((n, 6), np.int64)
-        sums[:, :4] = counts
-        np.add.at(sums[:, 4], owner, best[place].astype(np.int64))
-        np.add.at(sums[:, 5], owner, total[place])
-        rows = np.array([np.zeros(6, np.int64) if d is None else sums[d].sum(axis=0) for d in used], np.int64).reshape(-1, 6)
-        shas = ["" if d is None else hashlib.sha256(";".join([own.texts[k] for k in d.tolist()]).encode()).hexdigest() for d in used]
-        return pa.table({"doc_id": docs["doc_id"], **{c: pa.array(rows[:, k]) for k, c in enumerate(("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"))}, "groups_sha256": pa.array(shas, pa.string())})
-
-    return run
+def _tells(block: pa.Table, told: pa.Table) -> pa.Table:
+    """Of an aligned block and the counts of its pairs: a row per document."""
+    whole = block.filter(pa.compute.is_valid(block["sizes"])).slice(0, 1)
+    docs = block.filter(pa.compute.is_valid(block["chunks"]))
+    size = np.frombuffer(whole["sizes"][0].as_py(), "<u4").astype(np.int64)
+    links = np.frombuffer(whole["links"][0].as_py(), "<u4")
+    order = np.argsort(told["pair"].to_numpy())
+    worth = np.stack([told["best"].to_numpy(zero_copy_only=False)[order].astype(np.int64), told["total"].to_numpy()[order]], axis=1)
+    ahead = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(worth[links], axis=0)])
+    ends = np.cumsum(size)
+    chunk = ahead[ends] - ahead[ends - size]
+    sums = np.array([chunk[np.frombuffer(c, "<u4")].sum(axis=0) for c in docs["chunks"].to_pylist()], np.int64).reshape(-1, 2)
+    columns = {c: docs[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
+    return pa.table({**columns, "n_best": sums[:, 0], "count_sum": sums[:, 1], "groups_sha256": docs["groups_sha256"]})
 
 
 def align_tokens(docs: DataFrame, a: str = "byte_bpe_50k.tiktoken", b: str = "piece_bpe_32k.model") -> DataFrame:
@@ -243,9 +259,11 @@ def align_tokens(docs: DataFrame, a: str = "byte_bpe_50k.tiktoken", b: str = "pi
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bytes_ = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     dealt = plain.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(-(-bytes_ // BLOCK) or 1)))
-    asked = ws.table(dealt.where("text <> ''").groupBy("block").applyInArrow(_asks(a, b), "block long, pair long, n long"), "asked")
+    aligned = ws.table(dealt.groupBy("block").applyInArrow(_aligns(a, b), _ALIGNED), "aligned", codec="zstd")
+    asked = aligned.where("pair is not null").select("block", "pair", "n")
     counted = asked.groupBy("pair").agg(F.sum("n").alias("total")).withColumn("b", F.col("pair").bitwiseAND(F.lit(2**32 - 1)))
     most = counted.groupBy("b").agg(F.max("total").alias("most"))
     totals = counted.join(most, "b").select("pair", "total", (F.col("total") == F.col("most")).alias("best"))
-    told = asked.join(totals, "pair").select("block", "pair", "total", "best")
-    return dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_tells(a, b), _RESULT)
+    told = asked.join(totals, "pair").select(F.col("block").alias("back"), "pair", "total", "best")
+    rest = aligned.where("pair is null").drop("pair", "n")
+    return rest.groupBy("block").cogroup(told.groupBy("back")).applyInArrow(_tells, _RESULT)
