@@ -34,6 +34,12 @@ def of_rate(amount: Column | str, micro: Column | str | int) -> Column:
     return cut(amount, micro, MICRO)
 
 
+def of_rate_of(amount: int, micro: int) -> int:
+    """of_rate() of two numbers."""
+    taken = abs(amount * micro) // MICRO
+    return taken if amount * micro >= 0 else -taken
+
+
 def or_zero(x: Column | str) -> Column:
     return F.coalesce(F.col(x) if isinstance(x, str) else x, F.lit(0))
 

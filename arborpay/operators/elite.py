@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborpay.functions.money import cut, of_rate, or_zero
+from arborpay.functions.money import cut, of_rate, of_rate_of, or_zero
 from arborpay.operators import tree
+from arborpay.operators.paths import Rule, added
 from arborpay.sources.workspace import Workspace
 
 #: Group volume in cents that makes an Elite, and from which further Elites are virtual.
@@ -26,7 +27,13 @@ def elite_net(ws: Workspace, team: DataFrame) -> DataFrame:
         rows = rows.withColumn("elite", F.when((F.col("gpv") >= ELITE_PV) | (or_zero("qualified") == 10), 10).otherwise(0))
         return rows.withColumn("gpv_real", F.when(F.col("elite") == 10, F.col("gpv")).otherwise(0).cast("long")).drop("sum", "qualified")
 
-    return ws.table(tree.fold(ws, team.select("user_id", "parent_id", "depth", "pv_own"), gives, takes), "elite-net")
+    def row(own: dict, given: dict) -> dict:
+        gpv = own["pv_own"] + (given["sum"] or 0)
+        elite = 10 if gpv >= ELITE_PV or given["qualified"] == 10 else 0
+        return {"gpv": gpv, "elite": elite, "gpv_real": gpv if elite else 0}
+
+    rule = Rule(row, lambda x: {"sum": None if x["elite"] else x["gpv"], "qualified": x["elite"]}, {"sum": added, "qualified": max})
+    return ws.table(tree.fold(ws, team.select("user_id", "parent_id", "depth", "pv_own"), gives, takes, rule), "elite-net")
 
 
 def elite_bonus(net: DataFrame, rate: int) -> DataFrame:
@@ -64,7 +71,14 @@ def level_net(ws: Workspace, team: DataFrame) -> DataFrame:
         rows = rows.withColumn("kept", (F.col("real") > 0) | (F.col("hang") >= 2))
         return rows.withColumn("passes", F.when(F.col("kept"), F.lit(1)).otherwise(F.col("hang")).cast("long")).drop("sum", "hanging")
 
-    return ws.table(tree.fold(ws, team.select("user_id", "parent_id", "depth", "pv_own"), gives, takes), "level-net")
+    def row(own: dict, given: dict) -> dict:
+        gpv, hang = own["pv_own"] + (given["sum"] or 0), given["hanging"] or 0
+        real = gpv if gpv >= ELITE_PV else 0
+        kept = real > 0 or hang >= 2
+        return {"gpv": gpv, "hang": hang, "real": real, "kept": kept, "passes": 1 if kept else hang}
+
+    rule = Rule(row, lambda x: {"sum": None if x["real"] else x["gpv"], "hanging": x["passes"]}, {"sum": added, "hanging": added})
+    return ws.table(tree.fold(ws, team.select("user_id", "parent_id", "depth", "pv_own"), gives, takes, rule), "level-net")
 
 
 def elite_level(ws: Workspace, net: DataFrame) -> DataFrame:
@@ -93,7 +107,12 @@ def elite_level(ws: Workspace, net: DataFrame) -> DataFrame:
         level = level.withColumn("value", F.when(pulls, F.col("least.value")).otherwise(F.col("own_real")))
         return level.withColumn("pulled", F.when(pulls, -F.col("least.last"))).drop("least")
 
-    folded = ws.table(tree.fold(ws, rows, gives, takes), "pushed")
+    def row(own: dict, given: dict) -> dict:
+        pulls = own["own_real"] == 0 and own["sons"] >= 2 and given["least"] is not None
+        return {"value": given["least"]["value"] if pulls else own["own_real"], "pulled": -given["least"]["last"] if pulls else None}
+
+    rule = Rule(row, lambda x: {"least": {"value": x["value"], "last": -x["user_id"]}}, {"least": lambda a, b: min(a, b, key=lambda x: (x["value"], x["last"]))})
+    folded = ws.table(tree.fold(ws, rows, gives, takes, rule), "pushed")
     gone = folded.where("pulled is not null").select(F.col("pulled").alias("user_id"), F.lit(True).alias("gone"))
     out = folded.join(gone, "user_id", "left")
     level = F.when(F.col("sons") > 2, 30).when(F.col("sons") == 0, 10).otherwise(20)
@@ -122,7 +141,15 @@ def rank_snapshot(ws: Workspace, sponsor: DataFrame, own: DataFrame) -> DataFram
         rows = rows.withColumn("gpv", F.col("pv_own") + or_zero("sum")).withColumn("legs", or_zero("legs_in"))
         return ranked(rows).drop("sum", "legs_in")
 
-    return ws.table(tree.fold(ws, nodes, gives, takes), "ranks")
+    def row(own: dict, given: dict) -> dict:
+        gpv, legs = own["pv_own"] + (given["sum"] or 0), given["legs_in"] or 0
+        is_elite, virtual = gpv >= ELITE_PV, gpv // ELITE_PV if gpv >= DOUBLE_PV else 0
+        width = legs + virtual
+        rank = 30 if width >= 3 else 20 if width >= (1 if is_elite else 2) else 10 if is_elite else 0
+        return {"gpv": gpv, "legs": legs, "is_elite": is_elite, "contrib": 0 if is_elite else gpv, "virtual_width": virtual, "rank": rank}
+
+    rule = Rule(row, lambda x: {"sum": x["contrib"], "legs_in": int(x["rank"] >= 10 or x["legs"] >= 1)}, {"sum": added, "legs_in": added})
+    return ws.table(tree.fold(ws, nodes, gives, takes, rule), "ranks")
 
 
 def highest_rank(now: DataFrame, before: DataFrame) -> DataFrame:
@@ -190,7 +217,17 @@ def performance_points(ws: Workspace, members: DataFrame, sponsor: DataFrame, ne
         nodes = nodes.withColumn("bonus_20", F.when(under & (F.col("level") < 20), tenth + or_zero("step20")).otherwise(0).cast("long"))
         return nodes.withColumn("bonus_30", F.when(under & (F.col("level") < 30), tenth + or_zero("step30")).otherwise(0).cast("long")).drop("step20", "step30")
 
-    return tree.fold(ws, rows, gives, takes).where("points > 0").select("user_id", "country_id", "level", "total_gpv", F.col("points").alias("bonus_pb"), F.col("gpv").alias("pb_pv"))
+    def row(own: dict, given: dict) -> dict:
+        if own["gpv"] >= 100_000:
+            return {"own": 0, "points": 0, "bonus_20": 0, "bonus_30": 0}
+        of = lambda rate: of_rate_of(own["pv"], rate)
+        steps = {k: given[f"step{k}"] or 0 for k in (20, 30)}
+        mine = of(own["level"] * 10_000 + 100_000)
+        out = {"own": mine, "points": mine + sum(v for k, v in steps.items() if own["level"] >= k)}
+        return out | {f"bonus_{k}": of(100_000) + v if own["level"] < k else 0 for k, v in steps.items()}
+
+    rule = Rule(row, lambda x: {f"step{k}": None if x["elite"] else x[f"bonus_{k}"] for k in (20, 30)}, {"step20": added, "step30": added})
+    return tree.fold(ws, rows, gives, takes, rule).where("points > 0").select("user_id", "country_id", "level", "total_gpv", F.col("points").alias("bonus_pb"), F.col("gpv").alias("pb_pv"))
 
 
 def achievement_bonus(net: DataFrame, members: DataFrame, regions: DataFrame, orders: DataFrame, active: DataFrame, rate: int) -> DataFrame:

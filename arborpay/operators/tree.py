@@ -193,18 +193,25 @@ def page(df: DataFrame, key: str | tuple[str, ...], cursor, size: int) -> DataFr
     return rows.orderBy(*keys).limit(size + 1)
 
 
-def fold(ws: Workspace, nodes: DataFrame, gives: dict[str, tuple[Column, str]], takes: Callable[[DataFrame], DataFrame]) -> DataFrame:
+#: Levels from which a fold goes by heavy paths, where its rule is known for one member as well.
+DEEP = 48
+
+
+def fold(ws: Workspace, nodes: DataFrame, gives: dict[str, tuple[Column, str]], takes: Callable[[DataFrame], DataFrame], rule: "paths.Rule | None" = None) -> DataFrame:
     """Fold a forest from its leaves up.
 
     ``nodes`` has user_id, parent_id, depth and own columns. For each level, from the deepest,
     ``gives`` (name: aggregate, type) sums up the finished rows of the level below by parent, and
     ``takes`` finishes the rows of the level from their own and these columns, which are null where no
-    child gave anything. Levels are folders of one table, so the result is one scan. A level is a job:
-    a tree as deep as it has members takes as many.
+    child gave anything. Levels are folders of one table, so the result is one scan. A level is a job;
+    where a ``rule`` says the same of one member, a tree of DEEP levels or more is folded by heavy paths.
     """
     schema = nodes.schema
-    nodes = ws.table(nodes, "fold-nodes", partition_by=("depth",)).select(schema.names)
     top = nodes.agg(F.max("depth")).first()[0]
+    if rule is not None and top is not None and top >= DEEP:
+        blank = nodes.select("*", *[F.lit(None).cast(kind).alias(name) for name, (_, kind) in gives.items()])
+        return paths.fold(ws, ws.table(nodes, "fold-nodes"), gives, takes(blank).schema, rule)
+    nodes = ws.table(nodes, "fold-nodes", partition_by=("depth",)).select(schema.names)
     path, below = ws.folder("fold"), None
     for depth in range(0 if top is None else top, -1, -1):
         level = nodes.where(F.col("depth") == depth)
@@ -215,3 +222,6 @@ def fold(ws: Workspace, nodes: DataFrame, gives: dict[str, tuple[Column, str]],
             level = level.select("*", *[F.lit(None).cast(kind).alias(name) for name, (_, kind) in gives.items()])
         below = ws.table_at(takes(level), f"{path}/{STEP}={depth}")
     return ws.spark.read.schema(below.schema).parquet(*[f"{path}/{STEP}={k}" for k in range(0 if top is None else top, -1, -1)])
+
+
+from arborpay.operators import paths  # noqa: E402  it builds on this module

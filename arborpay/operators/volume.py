@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborpay.functions.money import cut, of_rate, or_zero
-from arborpay.operators import tree
+from arborpay.operators import paths, tree
 from arborpay.sources.workspace import Workspace
 
 
@@ -103,12 +106,14 @@ def country_share(ws: Workspace, sponsor: DataFrame, orders: DataFrame) -> DataF
     """By member and order country: volume, orders and buyers of the subtree, and the share of its volume.
 
     A fold over (member, country) sums: each level holds what its subtrees hold, once per country. A
-    buyer stands in one place of the tree, so distinct buyers below add up.
+    buyer stands in one place of the tree, so distinct buyers below add up. Deep trees go by heavy paths.
     """
     own = orders.groupBy("user_id", F.coalesce("country_id", F.lit(1)).alias("country_id")).agg(F.sum("pv").alias("pv"), F.count("*").alias("n_orders"), F.lit(1).cast("long").alias("n_users"))
     placed = ws.table(tree.depths(ws, sponsor), "share-depths")
+    top = placed.agg(F.max("depth")).first()[0]
+    if top is not None and top >= tree.DEEP:
+        return _with_share(_shares_by_paths(ws, placed, ws.table(own.join(placed, "user_id"), "share-own")))
     own = ws.table(own.join(placed, "user_id"), "share-own", partition_by=("depth",))
-    top = own.agg(F.max("depth")).first()[0]
     parents = placed.select("user_id", F.col("parent_id").alias("grand_id"))
     path, below = ws.folder("share"), None
     for depth in range(0 if top is None else top, -1, -1):
@@ -119,6 +124,58 @@ def country_share(ws: Workspace, sponsor: DataFrame, orders: DataFrame) -> DataF
         sums = rows.groupBy("user_id", "parent_id", "country_id").agg(*[F.sum(c).alias(c) for c in ("pv", "n_orders", "n_users")])
         below = ws.table_at(sums, f"{path}/{tree.STEP}={depth}")
     out = ws.spark.read.schema(below.schema).parquet(*[f"{path}/{tree.STEP}={k}" for k in range(0 if top is None else top, -1, -1)])
+    return _with_share(out)
+
+
+_SUMS = ("pv", "n_orders", "n_users")
+
+
+def _walk_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by path, the lowest member first, its countries together; a path's sums so far are held, a row per country."""
+    path, at, sums = None, None, {}
+
+    def rows() -> list[tuple]:
+        return [(*at, country, *values) for country, values in sums.items()] if at else []
+
+    for batch in batches:
+        out: list[tuple] = []
+        for new, member, up, country, *values in zip(*(batch.column(c).to_pylist() for c in ("path", "user_id", "_up", "country_id", *_SUMS)), strict=True):
+            if at != (member, up):
+                out += rows()
+                if path != new:
+                    sums = {}
+                path, at = new, (member, up)
+            if country is not None:
+                sums[country] = [a + b for a, b in zip(sums.get(country, (0, 0, 0)), values, strict=True)]
+        yield _shares(out)
+    yield _shares(rows())
+
+
+def _shares(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * 6
+    kinds = (pa.int64(), pa.int32(), pa.int64(), *[pa.int64()] * 3)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["user_id", "_up", "country_id", *_SUMS])
+
+
+def _shares_by_paths(ws: Workspace, placed: DataFrame, own: DataFrame) -> DataFrame:
+    """(user_id, parent_id, country_id, pv, n_orders, n_users) of the subtrees: paths as in paths.fold(), a row per member and country."""
+    spots = paths.decompose(ws, placed.select("user_id", "parent_id")).withColumnsRenamed({"level": "_level", "up": "_up"})
+    spot = ["user_id", "parent_id", "depth", "path", "_level", "_up"]
+    bare = spots.select(*spot, F.lit(None).cast("long").alias("country_id"), *[F.lit(None).cast("long").alias(c) for c in _SUMS])
+    bought = spots.join(own.drop("parent_id", "depth"), "user_id").select(*spot, F.col("country_id").cast("long").alias("country_id"), *_SUMS)
+
+    def step(level: DataFrame, tops: DataFrame | None) -> DataFrame:
+        if tops is not None:
+            given = tops.groupBy(F.col("parent_id").alias("user_id"), "country_id").agg(*[F.sum(c).alias(c) for c in _SUMS])
+            level = level.unionByName(given.join(level.where("country_id is null").select(*spot), "user_id").select(level.columns))
+        rows = level.repartition("path").sortWithinPartitions("path", F.desc("depth"))
+        walked = rows.mapInArrow(_walk_shares, "user_id long, _up int, country_id long, pv long, n_orders long, n_users long")
+        return walked.join(level.where("country_id is null").select("user_id", "parent_id"), "user_id")
+
+    return paths.levels_of(ws, bare.unionByName(bought), step, "path-share")
+
+
+def _with_share(out: DataFrame) -> DataFrame:
     team = out.groupBy("user_id").agg(F.sum("pv").alias("team"))
     share = F.coalesce(cut("pv", 10_000, "team"), F.lit(0)).alias("share_e4")
     return out.join(team, "user_id").select("user_id", "parent_id", "country_id", "pv", "n_orders", "n_users", share)

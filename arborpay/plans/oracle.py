@@ -105,6 +105,27 @@ _RANK = """SELECT *, CASE WHEN legs + virtual_width >= 3 THEN 30 WHEN (is_elite
     CASE WHEN pv_own + coalesce(s, 0) >= 100000 THEN 0 ELSE pv_own + coalesce(s, 0) END AS contrib,
     CASE WHEN pv_own + coalesce(s, 0) >= 200000 THEN (pv_own + coalesce(s, 0)) // 100000 ELSE 0 END AS virtual_width FROM {src})"""
 _GIVEN = "CAST(sum(contrib) AS BIGINT) AS s, count(*) FILTER (rank >= 10 OR legs >= 1) AS l"
+
+
+def _folded(name: str, nodes: str, given: str, none: str, taken: str) -> dict[str, str]:
+    """Table <name>: a fold of any depth, a round for each, over the rows of the round before."""
+    deepest = f"(SELECT n.*, {none} FROM {nodes} n WHERE depth = (SELECT max(depth) FROM {nodes}))"
+    next_up = f"(SELECT n.*, k.* EXCLUDE (pid) FROM {nodes} n LEFT JOIN (SELECT parent_id AS pid, {given} FROM {name} GROUP BY parent_id) k ON k.pid = n.user_id WHERE n.depth = (SELECT min(depth) FROM {name}) - 1)"
+    return {name: f"{taken.format(src=deepest)} UNION ALL {taken.format(src=next_up)}"}
+
+
+T |= {
+    "ragged": "SELECT c_custkey AS user_id, CASE WHEN c_custkey = 0 THEN -1 WHEN c_custkey % 5 = 1 THEN greatest(c_custkey - 5, 0) WHEN c_custkey % 5 = 2 THEN 0 WHEN c_custkey % 5 = 3 THEN c_custkey // 7 WHEN c_custkey % 5 = 4 THEN c_custkey - 1 ELSE (c_custkey - 1) // 3 END AS parent_id FROM customer",
+    "gdepth": "SELECT user_id, parent_id, 0 AS depth FROM ragged WHERE parent_id = -1 UNION ALL SELECT s.user_id, s.parent_id, d.depth + 1 FROM ragged s JOIN gdepth d ON s.parent_id = d.user_id",
+    "gup": "SELECT user_id AS descendant, user_id AS ancestor FROM ragged UNION ALL SELECT u.descendant, s.parent_id FROM gup u JOIN ragged s ON s.user_id = u.ancestor WHERE s.parent_id <> -1",
+    "gnodes": "SELECT d.*, coalesce(pv_own, 0) AS pv_own FROM gdepth d LEFT JOIN own USING (user_id)",
+    "gteam": "SELECT * FROM gnodes WHERE user_id IN (SELECT ancestor FROM gup JOIN own ON own.user_id = descendant)",
+    **_folded("grank", "gnodes", _GIVEN, "CAST(NULL AS BIGINT) AS s, CAST(NULL AS BIGINT) AS l", _RANK),
+    **_folded("gnet", "gteam", "CAST(sum(gpv) FILTER (elite = 0) AS BIGINT) AS s, max(elite) AS q", "CAST(NULL AS BIGINT) AS s, CAST(NULL AS INT) AS q", """SELECT user_id, parent_id, depth, pv_own, pv_own + coalesce(s, 0) AS gpv,
+        CASE WHEN pv_own + coalesce(s, 0) >= 100000 OR coalesce(q, 0) = 10 THEN 10 ELSE 0 END AS elite,
+        CASE WHEN pv_own + coalesce(s, 0) >= 100000 OR coalesce(q, 0) = 10 THEN pv_own + coalesce(s, 0) ELSE 0 END AS gpv_real FROM {src}"""),
+    "gshares": "SELECT ancestor AS user_id, coalesce(country_id, 1) AS country_id, CAST(sum(pv) AS BIGINT) AS pv, count(*) AS n_orders, count(DISTINCT descendant) AS n_users FROM gup JOIN ord ON ord.user_id = descendant GROUP BY ALL",
+}
 T |= _unrolled("rank", "rnodes", _GIVEN, _RANK) | _unrolled("prev", "pnodes", _GIVEN, _RANK)
 
 
@@ -275,6 +296,9 @@ _SELECTS = {
     "stockist_fee_from_backup": f"SELECT user_id, {_m('stockist_pv', 'pv_unity', 'pv_app', 'pv_otc', 'bonus_unity', 'bonus_app', 'bonus_otc', 'bonus_sfb')}, country_id FROM b_sfb",
     "published_members": "SELECT user_id, country_id, CAST(member_level AS INT) AS member_level FROM members",
     "performance_of_run": f"SELECT m.user_id, {_m('pv_own', 'pv_team')}, is_active, rank FROM (SELECT user_id, pv_own, pv_team, is_active FROM month) m LEFT JOIN (SELECT user_id, rank FROM rank) r USING (user_id)",
+    "ragged_ranks": f"SELECT user_id, parent_id, depth, {_m('gpv', 'contrib')}, legs, virtual_width, is_elite, rank FROM grank",
+    "ragged_elite_net": f"SELECT user_id, parent_id, depth, {_m('gpv', 'gpv_real')}, elite FROM gnet",
+    "ragged_country_share": f"SELECT user_id, parent_id, country_id, {_m('pv')}, n_orders, n_users, CAST(coalesce(CAST(pv AS HUGEINT) * 10000 // nullif(sum(pv) OVER (PARTITION BY user_id), 0), 0) * 0.0001 AS DECIMAL(18, 4)) AS share FROM gshares JOIN ragged USING (user_id)",
     "decimal_functions": "SELECT c_custkey AS user_id, CAST(trunc(c_acctbal * 10) / 10 AS DECIMAL(18, 1)) AS cut, CAST(c_acctbal AS DECIMAL(18, 2)) AS read, CASE WHEN c_custkey % 12 = 0 THEN 199512 ELSE 199600 + c_custkey % 12 END AS month_before FROM customer",
     "cdc_merged_state": "SELECT user_id AS id, ts AS event_ts, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1 AND event_type <> 'error'",
     "cdc_latest_state": "SELECT user_id AS id, op, ts AS event_ts, event_id AS \"offset\", value, k FROM (SELECT *, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op, CAST(json_extract_string(props, '$.k') AS INT) AS k, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1 AND op <> 'd'",

@@ -11,7 +11,7 @@ from arborpay.functions.config import DEFAULTS, Config
 from arborpay.functions.money import previous_period, to_decimal, truncated, unscaled_decimal
 from arborpay.operators import bonuses, checks, elite, honor, tree, volume
 from arborpay.plans.settlement import Settlement, tree_depths
-from arborpay.sources.domain import load
+from arborpay.sources.domain import load, ragged_sponsor
 from arborpay.sources.versions import PeriodRuns, VersionedTable, back_up, of_period
 from arborpay.sources.workspace import Workspace
 from arborpay.streaming import changes, incremental
@@ -340,6 +340,34 @@ def performance_of_run(s: Settlement) -> DataFrame:
     return money(rows.join(runs.read(s.d.period, "rank").select("user_id", "rank"), "user_id", "left"), "pv_own", "pv_team")
 
 
+def _over_ragged_tree(f: Callable[[Settlement], DataFrame]) -> Query:
+    """Register a query over the same orders and a deep, ragged sponsor tree."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        domain = load(spark, sf_dir)
+        domain.sponsor = ragged_sponsor(spark, sf_dir)
+        return f(Settlement(domain))
+
+    QUERIES[f.__name__] = run
+    return run
+
+
+@_over_ragged_tree
+def ragged_ranks(s: Settlement) -> DataFrame:
+    """Ranks over a tree too deep for a job a level: the fold goes by heavy paths."""
+    return money(s.ranks.select("user_id", "parent_id", "depth", "gpv", "legs", "virtual_width", "is_elite", "contrib", "rank"), "gpv", "contrib")
+
+
+@_over_ragged_tree
+def ragged_elite_net(s: Settlement) -> DataFrame:
+    return money(s.elite_net.select("user_id", "parent_id", "depth", "gpv", "elite", "gpv_real"), "gpv", "gpv_real")
+
+
+@_over_ragged_tree
+def ragged_country_share(s: Settlement) -> DataFrame:
+    return money(volume.country_share(s.ws, s.sponsor, s.orders).withColumnRenamed("share_e4", "share"), "pv", share=4)
+
+
 def decimal_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balances cut to one decimal toward zero, and read back from two's-complement bytes as a change stream sends them."""
     rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))

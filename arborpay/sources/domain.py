@@ -76,3 +76,10 @@ def load(spark: SparkSession, sf_dir: str, period: int = PERIOD, config: Config
     history = past.select("user_id", "period", F.least(F.lit(90), F.expr("pv div 10000 * 10")).cast("int").alias("honor"))
     regions = read("nation").select(F.col("n_nationkey").alias("country_id"), F.col("n_regionkey").alias("region_id"))
     return Domain(Workspace(spark, "settlement"), period, config or Config(), members, regions, sponsor, placement, orders, enrolled, history)
+
+
+def ragged_sponsor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another sponsor tree over the same keys: a fifth of all members is one chain, a fifth a star around member 0, others hang on these."""
+    key = F.col("c_custkey")
+    parent = F.when(key == 0, F.lit(-1)).when(key % 5 == 1, F.greatest(key - 5, F.lit(0))).when(key % 5 == 2, F.lit(0)).when(key % 5 == 3, F.floor(key / 7)).when(key % 5 == 4, key - 1).otherwise(F.floor((key - 1) / 3))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(key.alias("user_id"), parent.cast("long").alias("parent_id"))

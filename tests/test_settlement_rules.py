@@ -160,11 +160,11 @@ def test_config_fails_loudly():
     assert Config([("eliteRate\n", "15")]).micro("eliteRate") == 150_000
 
 
-def test_checks(spark, sponsor):
+def test_checks(spark, ws, sponsor):
     members = sponsor.select("user_id")
     placement = spark.createDataFrame([(1, -1, 0), (2, 1, 1), (3, 1, 1), (4, 1, 3)], "user_id long, parent_id long, leg int")
     orders = spark.createDataFrame([(99, None)], "user_id long, stockist_id long")
-    report = checks.integrity_report(members, sponsor, placement, orders)
+    report = checks.integrity_report(ws, members, sponsor, placement, orders)
     got = {r["name"]: r["violations"] for r in report.collect()}
     assert got["legs are 1 or 2"] == 1 and got["one child per leg"] == 1 and got["buyers are in the sponsor tree"] == 1
     assert checks.gate(report)[0] is False
