@@ -328,4 +328,5 @@ def with_tables(select: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(f"{n} AS {'' if n in _used(T[n]) else 'MATERIALIZED '}({T[n]})" for n in order) + "\n" + select
 
 
+_SELECTS["cdc_merge_on_read"] = _SELECTS["cdc_merged_state"]
 ORACLE_SQL = {name: with_tables(sql) for name, sql in _SELECTS.items()}

@@ -12,6 +12,7 @@ from arborpay.functions.money import previous_period, to_decimal, truncated, uns
 from arborpay.operators import bonuses, checks, elite, honor, tree, volume
 from arborpay.plans.settlement import Settlement, tree_depths
 from arborpay.sources.domain import load, ragged_sponsor
+from arborpay.sources.merge_table import MergeTable
 from arborpay.sources.versions import PeriodRuns, VersionedTable, back_up, of_period
 from arborpay.sources.workspace import Workspace
 from arborpay.streaming import changes, incremental
@@ -321,12 +322,13 @@ def stockist_fee_from_backup(s: Settlement) -> DataFrame:
 
 @settled
 def published_members(s: Settlement) -> DataFrame:
-    """Members as a gated version: published, published again without some, and rolled back."""
+    """Members as a gated version: published, published twice without some and rolled back each time."""
     table = VersionedTable(s.spark, s.ws.folder("members"))
     rows = s.d.members.select("user_id", "country_id", "member_level")
     table.publish(rows, "user_id", source=s.d.sponsor.select("user_id"))
-    table.publish(rows.where("user_id % 2 = 0"), "user_id")
-    table.roll_back()
+    for k in (2, 3):  # each is withdrawn, and neither comes back
+        table.publish(rows.where(f"user_id % {k} = 0"), "user_id")
+        table.roll_back()
     return table.read(["user_id", "country_id", "member_level"])[0]
 
 
@@ -392,6 +394,23 @@ def cdc_merged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["cdc_merged_state"] = cdc_merged_state
 
 
+def cdc_merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same state as a base and three deltas that are merged when they are read, of batches that aren't in event order; one comes twice."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    op = F.when(F.col("event_type") == "error", "d").when(F.col("event_type") == "signup", "c").otherwise("u")
+    rows = events.select(F.col("user_id").alias("id"), op.alias("op"), F.col("ts").alias("event_ts"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), "value")
+    table = MergeTable(spark, Workspace(spark, "cdc").folder("merged"))
+    for batch in (4, 2):
+        table.merge(changes.newest(rows.where(F.col("offset") % 5 == batch), "id"))
+    table.compact()
+    for batch in (0, 3, 1, 3):
+        table.merge(changes.newest(rows.where(F.col("offset") % 5 == batch), "id"))
+    return table.read(["id", "event_ts", "value"])[0]
+
+
+QUERIES["cdc_merge_on_read"] = cdc_merge_on_read
+
+
 def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest state of each user from the event stream as a change stream: errors delete, newest wins."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")

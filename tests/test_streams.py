@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from arborpay.operators import elite, tree, volume
+from arborpay.sources.merge_table import MergeTable
 from arborpay.sources.versions import GateError, PeriodRuns, VersionedTable, back_up, of_period
 from arborpay.streaming import changes, incremental
 from arborpay.streaming.ingest import MESSAGES, USER, Ingest, files
@@ -198,8 +199,8 @@ def test_a_failed_batch_is_replayed(spark, tmp_path, monkeypatch):
     ingest = Ingest(spark, f"file://{tmp_path}/o", {"user": USER, "other": USER})
     sent = [(t, 0, 1, None, json.dumps({"id": "1"}), json.dumps({"before": None, "after": {"id": "1", "user": "u"}, "op": "c", "ts_ms": 5})) for t in ("user", "other")]
     messages = spark.createDataFrame(sent, MESSAGES)
-    merge = VersionedTable.merge
-    monkeypatch.setattr(VersionedTable, "merge", lambda self, rows, key="id": (_ for _ in ()).throw(OSError("away")) if self.path.endswith("user") else merge(self, rows, key))
+    merge = MergeTable.merge
+    monkeypatch.setattr(MergeTable, "merge", lambda self, rows: (_ for _ in ()).throw(OSError("away")) if self.path.endswith("user") else merge(self, rows))
     with pytest.raises(OSError):
         ingest.batch(messages, 0)
     assert ingest.table("other").read()[0].count() == 1 and not (tmp_path / "o" / "dead").exists()
