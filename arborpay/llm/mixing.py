@@ -37,12 +37,12 @@ def domain_of(source: Column) -> Column:
 def _filled(children: DataFrame, parents: list[str], key: str) -> DataFrame:
     """Share each parent's ``budget`` among its children (``cap``, ``weight``): the water level rises until it is used up."""
     # In order of cap per weight, those under the water level come first.
-    turn = Window.partitionBy(*parents).orderBy((F.col("cap") / F.col("weight")).asc_nulls_last(), key)
+    turn = Window.partitionBy(*parents).orderBy(F.try_divide("cap", "weight").asc_nulls_last(), key)
     before = F.coalesce(F.sum("cap").over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rest = F.sum("weight").over(turn.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     rows = children.withColumn("_left", F.col("budget") - before).withColumn("_rest", rest)
-    rows = rows.withColumn("_full", F.col("cap") * F.col("_rest") <= F.col("_left") * F.col("weight"))
-    first = Window.partitionBy(*parents).orderBy("_full", (F.col("cap") / F.col("weight")).asc_nulls_last(), key).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("_full", (F.col("weight") > 0) & (F.col("cap") * F.col("_rest") <= F.col("_left") * F.col("weight")))
+    first = Window.partitionBy(*parents).orderBy("_full", F.try_divide("cap", "weight").asc_nulls_last(), key).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumn("_l", F.first("_left").over(first)).withColumn("_r", F.first("_rest").over(first))
     share = F.when(F.col("_full"), F.col("cap")).when(F.col("weight") == 0, F.lit(0)).otherwise(F.expr("_l * weight div _r"))
     return rows.withColumn("share", F.greatest(F.lit(0), share).cast("long")).drop("_left", "_rest", "_full", "_l", "_r")
@@ -74,10 +74,14 @@ def _seeded(seed: int, epoch: Column, identity: Column) -> Column:
 
 
 def leaf_quotas(meta: DataFrame, weights: dict[str, dict[str, int]], share: float | None, budget: int | None, epochs: int) -> DataFrame:
-    """(domain, lang, source, tokens, share): the quota of each leaf."""
-    leaves = meta.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")).withColumn("cap", F.col("tokens") * epochs)
-    langs = leaves.groupBy("domain", "lang").agg(F.sum("cap").alias("cap"))
-    domains = langs.groupBy("domain").agg(F.sum("cap").alias("cap"))
+    """(domain, lang, source, tokens, share): the quota of each leaf. What weighs 0 takes nothing, and neither does anything below it."""
+
+    def off(level: str, cap: Column) -> Column:
+        return F.when(_weight(weights.get(level, {}), F.col(level)) == 0, F.lit(0)).otherwise(cap)
+
+    leaves = meta.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")).withColumn("cap", off("source", F.col("tokens") * epochs))
+    langs = leaves.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).withColumn("cap", off("lang", F.col("cap")))
+    domains = langs.groupBy("domain").agg(F.sum("cap").alias("cap")).withColumn("cap", off("domain", F.col("cap")))
     root = leaves.agg(F.floor(F.sum("tokens") * F.lit(share)).cast("long").alias("budget")) if budget is None else leaves.limit(1).select(F.lit(budget).cast("long").alias("budget"))
     top = domains.withColumn("weight", _weight(weights.get("domain", {}), F.col("domain"))).withColumn("_root", F.lit(0)).join(root.withColumn("_root", F.lit(0)), "_root")
     top = _filled(top, ["_root"], "domain").select("domain", F.col("share").alias("budget"))
@@ -91,7 +95,7 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: float | None
     """docs with columns ``domain`` and ``epoch``: one row for each epoch that takes the document.
 
     ``weights`` holds whole numbers by level and name; a name that isn't listed weighs 1, so a
-    level without weights shares evenly. The budget is a number of words, or ``share`` of all
+    level without weights shares evenly; what weighs 0 is switched off, and the others take its share. The budget is a number of words, or ``share`` of all
     words. ``docs`` needs doc_id, text, lang and source, and keeps all its columns (one named domain or
     epoch is replaced); ``domain`` gives a source's domain. Nulls in lang and source are leaves of their own.
     A null text has no words. A leaf without words is never taken. Rows with the same doc_id go

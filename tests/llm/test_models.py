@@ -202,6 +202,17 @@ def test_mixing_keeps_null_apart_from_names_and_deals_rows_without_id(spark):
     assert got["none"] == 25 and got[None] == 25 and got["en"] == 100
 
 
+@pytest.mark.parametrize("weights", [{"domain": {"web": 0, "books": 1, "code": 1}}, {"lang": {"en": 0}}, {"source": {"s1": 0, "s4": 0}}, {"domain": {"web": 0, "books": 0, "code": 0}}, {"domain": {"web": 3}, "lang": {"de": 0}, "source": {"s1": 0}}])
+def test_what_weighs_nothing_is_switched_off_and_its_share_goes_to_others(spark, weights):
+    rows = [(i, "w " * 10, ("en", "de")[i % 2], ("s1", "s2", "s4", "s7")[i // 2 % 4]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.mix(docs, weights, share=0.2).collect()
+    on = lambda d, l, s: all(weights.get(k, {}).get(v, 1) for k, v in (("domain", d), ("lang", l), ("source", s)))
+    assert all(on(r["domain"], r["lang"], r["source"]) for r in got)
+    some = any(on(d, l, s) for d, s in (("web", "s1"), ("web", "s2"), ("books", "s4"), ("code", "s7")) for l in ("en", "de"))
+    assert len(got) == 0 if not some else 70 <= len(got) <= 80  # a fifth of 400, but for the cut of each leaf
+
+
 def test_rollups_are_idempotent(spark, tmp_path):
     rollup = TokenRollup(spark, f"file://{tmp_path}")
     schema = "source string, lang string, tokenizer_version string, n_tokens long, old_tokens long, n_docs string"
