@@ -32,10 +32,12 @@ BLOCK_CHARS, COUNT_CHARS = 8_000_000, 8_000_000
 WAVES, BUCKET_ROWS, MOST_BUCKETS = 8, 2_000_000, 4096
 #: Bits of a word's id: two of n words share one with a probability of n**2 / 2**41.
 WORD_BITS = 40
-#: Share of the trusted documents of a language that its threshold keeps; width of a bin of cross-entropy, in nats.
+#: Share of the trusted documents of a language and length that its threshold keeps; width of a bin of cross-entropy, in nats.
 QUANTILE, BIN = 0.998, 1e-4
-#: Folds of trusted texts; trusted documents a language needs for a quantile of its own, so that one of them at least may lie over it.
-FOLDS, ENOUGH = 4, 500
+#: Characters at which a length begins; trusted documents that count as much as what all languages say.
+LENGTHS, DRAW = (100, 400, 1600), 500
+#: Folds of trusted texts.
+FOLDS = 4
 #: A word, or a mark; characters of scripts without spaces are words of their own.
 TOKEN, UNSPACED = re.compile(r"\w+|[^\w\s]"), re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 
@@ -338,23 +340,31 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     plain = plain.join(known, "doc_id", "left").withColumn("model", F.when(F.col("known"), fold).otherwise(F.lit(FOLDS)))
     scored = perplexities(ws, plain)
 
-    # The quantile of each language over its trusted documents, exact to a bin: counts by bin are few,
-    # whatever the number of documents. A language of few takes its mean and the quantile of all
-    # languages' distances from their means; one without any, the quantile over all trusted documents.
+    # Short texts scatter far more than long ones, so a quantile is one of a language's trusted documents of about
+    # the same length, exact to a bin: counts by bin are few, whatever the number of documents. It is drawn
+    # towards the mean and the quantile of all languages' distances from their means, the more the fewer its documents.
+    # A language without trusted documents of a length takes its mean over all; one without any, the quantile over all.
     own = F.coalesce("lang", F.lit("\0none"))
-    judged = scored.where(F.col("entropy").isNotNull() & F.col("trusted")).select(own.alias("l"), "entropy")
-    means = judged.groupBy("l").agg(F.avg("entropy").alias("mean"), F.count("*").alias("judged"))
-    means = F.broadcast(ws.table(means, "means"))  # one row per language
-
-    def quantiles(rows: DataFrame, name: str) -> DataFrame:
-        bins = rows.groupBy("l", F.floor(F.col("entropy") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
-        bins = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("l").orderBy("bin"))).withColumn("all", F.sum("n").over(Window.partitionBy("l")))
-        return bins.where(F.col("upto") >= F.col("all") * quantile).groupBy("l").agg(((F.min("bin") + 1) * BIN).alias(name))
-
-    apart = judged.join(means, "l").select(F.lit("").alias("l"), (F.col("entropy") - F.col("mean")).alias("entropy"))
-    pooled = quantiles(apart, "apart").join(F.broadcast(quantiles(judged.withColumn("l", F.lit("")), "over_all")), "l").drop("l")
-    limits = quantiles(judged, "limit").join(means, "l").crossJoin(F.broadcast(pooled)).select("l", F.when(F.col("judged") >= ENOUGH, F.col("limit")).otherwise(F.col("mean") + F.col("apart")).alias("limit"))
-    limits = ws.table(limits, "limits")
-    out = scored.withColumn("l", own).join(F.broadcast(limits), "l", "left").join(F.broadcast(pooled.select("over_all")), how="left")  # one row per language; one row
-    out = out.withColumn("limit", F.coalesce("limit", "over_all"))
+    size = F.lit(0)
+    for k, chars in enumerate(LENGTHS, 1):
+        size = F.when(F.col("n_chars") >= chars, k).otherwise(size)
+    scored = scored.withColumn("l", own).withColumn("size", size)
+    judged = scored.where(F.col("entropy").isNotNull() & F.col("trusted")).select("l", "size", "entropy")
+    means = F.broadcast(ws.table(judged.groupBy("l", "size").agg(F.avg("entropy").alias("mean"), F.count("*").alias("judged")), "means"))  # a row per language and length
+    langs = F.broadcast(judged.groupBy("l").agg(F.avg("entropy").alias("lang_mean")))
+
+    def quantiles(rows: DataFrame, name: str, *by: str) -> DataFrame:
+        bins = rows.groupBy(*by, F.floor(F.col("entropy") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+        bins = bins.withColumn("upto", F.sum("n").over(Window.partitionBy(*by).orderBy("bin"))).withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
+        return bins.where(F.col("upto") >= F.col("all") * quantile).groupBy(*by).agg(((F.min("bin") + 1) * BIN).alias(name))
+
+    apart = judged.join(means, ["l", "size"]).select("size", F.lit(0).alias("one"), (F.col("entropy") - F.col("mean")).alias("entropy"))
+    by_size = F.broadcast(ws.table(quantiles(apart, "apart", "size"), "by-size"))  # a row per length
+    over_all = quantiles(judged.withColumn("one", F.lit(0)), "over_all", "one").join(quantiles(apart, "apart_all", "one"), "one").drop("one")
+    over_all = F.broadcast(ws.table(over_all, "over-all"))  # one row
+    exact = quantiles(judged, "exact", "l", "size").join(means, ["l", "size"]).join(by_size, "size")
+    drawn = (F.col("exact") * F.col("judged") + (F.col("mean") + F.col("apart")) * DRAW) / (F.col("judged") + DRAW)
+    limits = F.broadcast(ws.table(exact.select("l", "size", drawn.alias("limit")), "limits"))
+    out = scored.join(limits, ["l", "size"], "left").join(langs, "l", "left").join(by_size, "size", "left").join(over_all, how="left")
+    out = out.withColumn("limit", F.coalesce("limit", F.col("lang_mean") + F.coalesce("apart", "apart_all"), "over_all"))
     return out.select("doc_id", "lang", "n_chars", "entropy", F.exp("entropy").alias("perplexity"), F.exp("limit").alias("threshold"), F.coalesce(F.col("entropy") <= F.col("limit"), F.lit(True)).alias("kept"))

@@ -397,10 +397,25 @@ def test_pipeline_equals_brute_force_stage_by_stage(spark, tmp_path):
                 if (fold[i] if i in trusted else None) == f and brute:
                     entropy[i] = brute.entropy(words[i])
         judged[lang] = [entropy[i] for i in trusted if i in entropy]
-    apart = sorted(e - np.mean(x) for x in judged.values() for e in x)
-    high = apart[math.ceil(len(apart) * quality_lm.QUANTILE) - 1]
-    bad = {i for i, e in entropy.items() if judged[read[i]["lang"]] and e > np.mean(judged[read[i]["lang"]]) + high + 2 * quality_lm.BIN}
-    near = {i for i, e in entropy.items() if judged[read[i]["lang"]] and abs(e - np.mean(judged[read[i]["lang"]]) - high) <= 2 * quality_lm.BIN}
+    size = lambda i: sum(len(read[i]["text"]) >= c for c in quality_lm.LENGTHS)
+    classes = {}
+    for la, x in judged.items():
+        for i in want:
+            if i in entropy and read[i]["lang"] == la and i in good:
+                classes.setdefault((la, size(i)), []).append(entropy[i])
+    top = lambda x: sorted(x)[math.ceil(len(x) * quality_lm.QUANTILE) - 1]
+    apart = {k: top([e - np.mean(x) for (_, s), x in classes.items() if s == k for e in x]) for k in {s for _, s in classes}}
+    apart_all = top([e - np.mean(x) for x in classes.values() for e in x])
+
+    def limit(i):
+        la, k = read[i]["lang"], size(i)
+        if (la, k) not in classes:
+            return np.mean(judged[la]) + apart.get(k, apart_all)
+        x = classes[la, k]
+        return (top(x) * len(x) + (np.mean(x) + apart[k]) * quality_lm.DRAW) / (len(x) + quality_lm.DRAW)
+
+    bad = {i for i, e in entropy.items() if judged[read[i]["lang"]] and e > limit(i) + 2 * quality_lm.BIN}
+    near = {i for i, e in entropy.items() if judged[read[i]["lang"]] and abs(e - limit(i)) <= 2 * quality_lm.BIN}
     assert kept["quality"] | near == (want - bad) | near
     want = kept["quality"]
 
@@ -475,18 +490,22 @@ def test_pipeline_takes_odd_rows(spark, tmp_path):
 
 
 def test_quality_threshold_has_no_term_in_size(spark, monkeypatch):
-    """Every trusted document sets the threshold, and few of them allow nothing more; a language of few takes the pooled distance."""
+    """Every trusted document sets the threshold, and a language of few is drawn to what all say; short texts don't loosen the limit of long ones."""
     rng = np.random.default_rng(11)
     en = [(i, "en", float(e)) for i, e in enumerate(rng.normal(5, 0.3, 600))]
     es = [(1000 + i, "es", 7 + 0.01 * i) for i in range(4)]
     rows = [(i, la, 10, True, e) for i, la, e in en + es] + [(2000, "es", 10, False, 9.5), (2001, "es", 10, False, 7.2), (2002, "xx", 10, False, 30.0)]
+    rows += [(3000 + i, "en", 5000, True, 5 + 0.001 * i) for i in range(100)] + [(4000, "en", 5000, False, 5.5), (4001, "es", 5000, False, 7.1), (4002, "es", 5000, False, 8.0)]
     fake = spark.createDataFrame(rows, "doc_id long, lang string, n_chars long, trusted boolean, entropy double")
     monkeypatch.setattr(quality_lm, "perplexities", lambda *a: fake)
     docs = spark.createDataFrame([(1, "x", "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r for r in classify(docs, labels).collect()}
     values = sorted(e for _, _, e in en)
-    assert math.log(got[0]["threshold"]) == pytest.approx(values[math.ceil(600 * 0.998) - 1], abs=2e-4)
-    apart = sorted([e - np.mean(values) for e in values] + [0.01 * i - 0.015 for i in range(4)])
-    assert math.log(got[1000]["threshold"]) == pytest.approx(7.015 + apart[math.ceil(604 * 0.998) - 1], abs=3e-4)
+    top = lambda x: sorted(x)[math.ceil(len(x) * 0.998) - 1]
+    apart = top([e - np.mean(values) for e in values] + [0.01 * i - 0.015 for i in range(4)])
+    assert math.log(got[0]["threshold"]) == pytest.approx((600 * top(values) + 500 * (np.mean(values) + apart)) / 1100, abs=3e-4)
+    assert math.log(got[1000]["threshold"]) == pytest.approx((4 * 7.03 + 500 * (7.015 + apart)) / 504, abs=3e-4)
+    assert math.log(got[3000]["threshold"]) == pytest.approx(5.099, abs=3e-4) and not got[4000]["kept"]
+    assert math.log(got[4001]["threshold"]) == pytest.approx(7.015 + 0.0495, abs=3e-4) and not got[4001]["kept"] and not got[4002]["kept"]
     assert not got[2000]["kept"] and got[2001]["kept"] and not got[2002]["kept"]
