@@ -75,8 +75,33 @@ def ordinal_id(stamp: str, order: Column, width: int = 8) -> Column:
 
 
 def unscaled_decimal(base64: Column, scale: int) -> Column:
-    """The decimal that a change stream sends as base64 of its two's-complement bytes, up to 8 bytes."""
+    """The decimal that a change stream sends as base64 of its two's-complement bytes, of any number; null where it is empty or has more than 38 digits.
+
+    The last 16 bytes are read as two limbs; bytes before them may only repeat the sign.
+    """
     digits = F.hex(F.unbase64(base64))
     sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
-    value = F.conv(F.concat(F.repeat(sign, F.lit(16) - F.length(digits)), digits), 16, -10).cast("decimal(20,0)")
-    return (value * F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(38,{scale})")
+    wide = F.lpad(digits, F.greatest(F.length(digits), F.lit(32)), sign)
+    beyond = F.length(wide) - 32
+    whole = (F.substring(wide, F.lit(1), beyond) == F.repeat(sign, beyond)) & ((F.substring(wide, beyond + 1, F.lit(1)) >= "8") == (sign == "F"))
+    limb = lambda k, base: F.conv(F.substring(wide, beyond + 1 + 16 * k, F.lit(16)), 16, base).cast("decimal(20,0)")
+    high, low = limb(0, -10), limb(1, 10)
+    # high * 2**64 + low; below 0 as (high + 1) * 2**64 - (2**64 - low), so that no term is longer than the result.
+    wide_low = low.cast("decimal(38,0)")
+    low = F.when(high < 0, wide_low - F.lit(str(2**64)).cast("decimal(38,0)")).otherwise(wide_low).cast("decimal(38,0)")
+    high = F.when(high < 0, high + 1).otherwise(high).cast("decimal(20,0)")
+    top, rest = divmod(10**38 - 1, 2**64)
+    fits = (F.abs(high) < top) | ((F.abs(high) == top) & (F.abs(low) <= F.lit(str(rest)).cast("decimal(38,0)")))
+    half = F.lit(2**32).cast("decimal(10,0)")
+    value = (F.when(fits, high).cast("decimal(19,0)") * half).cast("decimal(29,0)")
+    value = ((value * half).cast("decimal(38,0)") + low).cast("decimal(38,0)")
+    value = F.when(whole & fits & (F.length(digits) > 0), value)
+    return value if scale == 0 else _scaled(value, scale)
+
+
+def _scaled(value: Column, scale: int) -> Column:
+    """A whole DECIMAL(38,0) with its point moved: exact, by text."""
+    text = F.replace(value.cast("string"), F.lit("-"), F.lit(""))  # abs() keeps 34 digits
+    text = F.lpad(text, F.greatest(F.length(text), F.lit(scale + 1)), "0")
+    moved = F.concat(F.when(value < 0, "-").otherwise(""), F.substring(text, F.lit(1), F.length(text) - scale), F.lit("."), F.substring(text, F.length(text) - scale + 1, F.lit(scale)))
+    return F.when(value.isNotNull(), moved).cast(f"decimal(38,{scale})")

@@ -328,5 +328,23 @@ def with_tables(select: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(f"{n} AS {'' if n in _used(T[n]) else 'MATERIALIZED '}({T[n]})" for n in order) + "\n" + select
 
 
+T |= {
+    "xmembers": "SELECT * FROM members WHERE user_id % 97 <> 5",
+    "xsponsor": "SELECT user_id, CASE WHEN user_id % 211 = 3 THEN user_id + 1000000000 ELSE parent_id END AS parent_id FROM sponsor UNION ALL SELECT user_id, 0 FROM sponsor WHERE user_id % 83 = 2 UNION ALL SELECT -1, 0",
+    "xplacement": "SELECT user_id, CASE WHEN user_id % 223 = 9 THEN user_id + 1000000000 ELSE parent_id END AS parent_id, CASE WHEN user_id % 89 = 7 THEN 3 WHEN user_id % 89 = 8 THEN NULL ELSE leg END AS leg FROM placement UNION ALL SELECT user_id, 0, 1 FROM placement WHERE user_id % 79 = 4",
+    "xord": "SELECT CASE WHEN user_id % 101 = 1 THEN user_id + 1000000000 ELSE user_id END AS user_id, CASE WHEN order_id % 103 = 1 THEN 1000000000 ELSE stockist_id END AS stockist_id FROM ord",
+    "xsdepth": "SELECT user_id FROM xsponsor WHERE parent_id = -1 UNION SELECT s.user_id FROM xsponsor s JOIN xsdepth r ON s.parent_id = r.user_id",
+    "xpdepth": "SELECT user_id FROM xplacement WHERE parent_id = -1 UNION SELECT s.user_id FROM xplacement s JOIN xpdepth r ON s.parent_id = r.user_id",
+}
+_PLANTED = re.sub(r"\bFROM (sponsor|placement|members|ord|sdepth|pdepth)\b", r"FROM x\1", _SELECTS["integrity_report"]).replace("leg NOT IN (1, 2)", "coalesce(leg, 0) NOT IN (1, 2)")
+for _tree in ("s", "p"):  # members that come twice count twice, however often they are reached
+    _name = {"s": "xsponsor", "p": "xplacement"}[_tree]
+    _PLANTED = _PLANTED.replace(f"(SELECT count(*) FROM {_name}) - (SELECT count(*) FROM x{_tree}depth)", f"(SELECT count(*) FROM {_name} WHERE user_id NOT IN (SELECT user_id FROM x{_tree}depth))")
+_SELECTS["integrity_report_planted"] = _PLANTED
+_SELECTS["total_bonus_ids"] = f"SELECT '199701' || lpad(CAST(row_no AS VARCHAR), 8, '0') AS row_id, row_no, user_id, {_m('total_bonus')} FROM (SELECT row_number() OVER (ORDER BY total_bonus DESC, user_id) AS row_no, user_id, total_bonus FROM tot WHERE total_bonus > 0 OR total_points > 0)"
+#: A number's hexadecimal digits, split where HUGEINT can hold the halves; a negative one less 16 to the power of its digits.
+_SELECTS["decimal_bytes"] = """SELECT user_id, CAST(CAST(CASE WHEN neg THEN v - pow16 ELSE v END AS VARCHAR) AS DECIMAL(38, 0)) * CAST(0.0001 AS DECIMAL(5, 4)) AS read FROM (
+    SELECT user_id, user_id % 3 = 0 AS neg, CAST(list_sum(list_transform(range(1, n + 1), lambda i: CAST(instr('0123456789ABCDEF', h[i]) - 1 AS HUGEINT) * (CAST(1 AS HUGEINT) << CAST(4 * (n - i) AS INT)))) AS HUGEINT) AS v, CAST(1 AS HUGEINT) << CAST(4 * n AS INT) AS pow16
+    FROM (SELECT c_custkey AS user_id, least(c_custkey % 20 + 1, 15) * 2 AS n, upper(substr(sha256(CAST(c_custkey AS VARCHAR)), 1, CAST(least(c_custkey % 20 + 1, 15) * 2 AS INT))) AS h FROM customer))"""
 _SELECTS["cdc_merge_on_read"] = _SELECTS["cdc_merged_state"]
 ORACLE_SQL = {name: with_tables(sql) for name, sql in _SELECTS.items()}

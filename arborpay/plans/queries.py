@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborpay.functions.config import DEFAULTS, Config
-from arborpay.functions.money import previous_period, to_decimal, truncated, unscaled_decimal
+from arborpay.functions.ids import numbered
+from arborpay.functions.money import ordinal_id, previous_period, to_decimal, truncated, unscaled_decimal
 from arborpay.operators import bonuses, checks, elite, honor, tree, volume
 from arborpay.plans.settlement import Settlement, tree_depths
 from arborpay.sources.domain import load, ragged_sponsor
@@ -217,6 +218,13 @@ def total_bonus(s: Settlement) -> DataFrame:
     return money(rows, *[c for c in rows.columns if "bonus" in c or c == "total_points"])
 
 
+@settled
+def total_bonus_ids(s: Settlement) -> DataFrame:
+    """Total bonuses with ids of a stamp and the row's number, the largest bonus first."""
+    rows = numbered(s.ws, s.total().select("user_id", "total_bonus"), [F.desc("total_bonus"), F.asc("user_id")])
+    return money(rows.select(ordinal_id("199701", F.col("row_no")).alias("row_id"), "row_no", "user_id", "total_bonus"), "total_bonus")
+
+
 @settled
 def inactive_details(s: Settlement) -> DataFrame:
     rows = s.inactive()
@@ -263,6 +271,22 @@ def integrity_report(s: Settlement) -> DataFrame:
     return checks.integrity_report(s.ws, s.d.members, s.d.sponsor, s.d.placement, s.orders)
 
 
+@settled
+def integrity_report_planted(s: Settlement) -> DataFrame:
+    """All checks over trees, members and orders with planted violations: none of the counts is 0."""
+    key, far = F.col("user_id"), 10**9
+    members = s.d.members.where("user_id % 97 <> 5")
+    sponsor = s.d.sponsor.withColumn("parent_id", F.when(key % 211 == 3, key + far).otherwise(F.col("parent_id")))
+    sponsor = sponsor.unionByName(s.d.sponsor.where("user_id % 83 = 2").withColumn("parent_id", F.lit(0).cast("long")))
+    sponsor = sponsor.unionByName(s.d.sponsor.where("user_id = 1").select(F.lit(-1).cast("long").alias("user_id"), F.lit(0).cast("long").alias("parent_id")))
+    leg = F.when(key % 89 == 7, 3).when(key % 89 == 8, None).otherwise(F.col("leg")).cast("int")
+    placement = s.d.placement.select("user_id", F.when(key % 223 == 9, key + far).otherwise(F.col("parent_id")).alias("parent_id"), leg.alias("leg"))
+    placement = placement.unionByName(s.d.placement.where("user_id % 79 = 4").select("user_id", F.lit(0).cast("long").alias("parent_id"), F.lit(1).alias("leg")))
+    buyer = F.when(key % 101 == 1, key + far).otherwise(key)
+    orders = s.orders.select(buyer.alias("user_id"), F.when(F.col("order_id") % 103 == 1, F.lit(far)).otherwise(F.col("stockist_id")).alias("stockist_id"))
+    return checks.integrity_report(s.ws, members, s.ws.table(sponsor, "planted"), s.ws.table(placement, "planted"), orders)
+
+
 @settled
 def rank_change_events(s: Settlement) -> DataFrame:
     old, new = s.ranks_before.select("user_id", "rank"), s.ranks.select("user_id", "rank")
@@ -394,6 +418,19 @@ def cdc_merged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["cdc_merged_state"] = cdc_merged_state
 
 
+def decimal_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of 1 to 16 bytes, and longer ones that only repeat the sign, read from their two's complement."""
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("user_id"))
+    size, negative = F.col("user_id") % 20 + 1, F.col("user_id") % 3 == 0
+    body = F.substring(F.upper(F.sha2(F.col("user_id").cast("string"), 256)), F.lit(1), (F.least(size, F.lit(15)) * 2).cast("int"))
+    sign = F.when(negative, "F").otherwise("0")
+    sent = F.concat(F.repeat(sign, (F.greatest(size, F.lit(1)) % 5 * 2 + 2).cast("int")), body)
+    return rows.select("user_id", unscaled_decimal(F.base64(F.unhex(sent)), 4).alias("read"))
+
+
+QUERIES["decimal_bytes"] = decimal_bytes
+
+
 def cdc_merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same state as a base and three deltas that are merged when they are read, of batches that aren't in event order; one comes twice."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
