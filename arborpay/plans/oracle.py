@@ -290,6 +290,8 @@ _SELECTS = {
         WHEN 7 THEN (SELECT count(DISTINCT stockist_id) FROM ord WHERE stockist_id NOT IN (SELECT user_id FROM members)) WHEN 8 THEN (SELECT count(*) FROM placement WHERE parent_id <> -1 AND leg NOT IN (1, 2)) ELSE 0 END AS BIGINT) AS violations)""",
     "honor_change_events": "SELECT user_id, before AS old_value, highest AS new_value, 'UP' AS direction FROM hhigh WHERE highest > before",
     "rank_snapshot_incremental": f"SELECT user_id, parent_id, {_m('gpv', 'contrib')}, legs, virtual_width, is_elite, rank FROM rank",
+    "order_stream_state": f"SELECT user_id, {_m('gpv', 'contrib', 'pv_1l', 'pv_2l')}, legs, virtual_width, is_elite, rank FROM (SELECT r.*, coalesce(l.pv_1l, 0) AS pv_1l, coalesce(l.pv_2l, 0) AS pv_2l FROM rank r LEFT JOIN legs l USING (user_id))",
+    "order_stream_events": "SELECT user_id, CAST(0 AS INT) AS old_value, CAST(rank AS INT) AS new_value FROM rank WHERE rank > 0",
     "elite_bonus_incremental": f"SELECT user_id, parent_id, top_deep, {_m('gpv_real', 'bonus_e')} FROM b_e",
     "member_pages": """SELECT * FROM (SELECT 'depth' AS by, CAST(depth AS BIGINT) AS key, user_id FROM sdepth WHERE (depth, user_id) > (4, 100) ORDER BY depth, user_id LIMIT 41)
         UNION ALL SELECT * FROM (SELECT 'parent' AS by, parent_id AS key, user_id FROM sponsor WHERE (parent_id, user_id) > (16, 50) ORDER BY parent_id, user_id LIMIT 41)""",

@@ -17,6 +17,7 @@ from arborpay.sources.merge_table import MergeTable
 from arborpay.sources.versions import PeriodRuns, VersionedTable, back_up, of_period
 from arborpay.sources.workspace import Workspace
 from arborpay.streaming import changes, incremental
+from arborpay.streaming.order_stream import OrderStream, into, net_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -314,6 +315,34 @@ def rank_snapshot_incremental(s: Settlement) -> DataFrame:
     return money(rows.select("user_id", "parent_id", "gpv", "legs", "virtual_width", "is_elite", "contrib", "rank"), "gpv", "contrib")
 
 
+def _streamed(s: Settlement) -> OrderStream:
+    """All orders of the period as three micro-batches, the second of which comes twice and again with the third, over no volume."""
+    stream = OrderStream(s.ws.spark, s.ws.folder("order-stream"), s.sponsor, s.d.placement)
+    orders = s.orders.select("order_id", "period", "user_id", "pv", F.col("order_id").alias("event_ts"))
+    for batch, part in ((0, "order_id % 3 = 0"), (1, "order_id % 3 = 1"), (1, "order_id % 3 = 1"), (2, "order_id % 3 <> 0")):
+        stream.batch(orders.where(part), batch)
+    stream.close(s.d.period)
+    return stream
+
+
+@settled
+def order_stream_state(s: Settlement) -> DataFrame:
+    """Ranks and leg volumes of every member as a stream of orders leaves them."""
+    stream = _streamed(s)
+    legs = stream.legs(s.d.period).where("pv_1l <> 0 or pv_2l <> 0")
+    rows = stream.ranks(s.d.period).join(legs, "user_id", "left")
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("pv_1l", "pv_2l")})
+    return money(rows.select("user_id", "gpv", "legs", "virtual_width", "is_elite", "contrib", "rank", "pv_1l", "pv_2l"), "gpv", "contrib", "pv_1l", "pv_2l")
+
+
+@settled
+def order_stream_events(s: Settlement) -> DataFrame:
+    """What a consumer of the outbox has after the stream: each member's net change of rank."""
+    stream, kept = _streamed(s), s.ws.folder("delivered")
+    stream.deliver("query", into(kept))
+    return net_changes(s.ws.spark.read.parquet(kept)).select("user_id", "old_value", "new_value")
+
+
 @settled
 def elite_bonus_incremental(s: Settlement) -> DataFrame:
     """The Elite bonus, likewise; every tenth order comes a second time as an order and its refund, which cancel out."""
