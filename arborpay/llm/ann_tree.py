@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborpay.llm.common import Workspace
@@ -25,8 +25,8 @@ from arborpay.llm.common import Workspace
 SAMPLE, PER_LEAF, SAMPLE_BYTES, BRANCH, CALIBRATION, RECALL = 8192, 4, 1 << 26, 8, 128, 0.97
 #: Most leaves, so that the tree stays small enough to be sent to every task; twice the root of the rows up to then.
 MOST_LEAVES = 32_768
-#: Rows of one block of a leaf.
-BLOCK = 2048
+#: Rows of one block of a leaf, and queries that meet a block in one task.
+BLOCK, ASKED = 2048, 4096
 
 
 @dataclass
@@ -172,7 +172,7 @@ def _walker(tree: Tree, width: int, visits: int, sizes: np.ndarray, wanted: int)
         for batch in batches:
             for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 leaves = tree.order(np.frombuffer(raw.ljust(8 * width, b"\0"), np.float64), visits, sizes, wanted)
-                yield pa.RecordBatch.from_arrays([pa.array([i] * len(leaves), pa.int64()), pa.array([raw] * len(leaves), pa.binary()), pa.array(leaves, pa.int32())], ["query_id", "q", "leaf"])
+                yield pa.RecordBatch.from_arrays([pa.array([i] * len(leaves), pa.int64()), pa.array(leaves, pa.int32())], ["query_id", "leaf"])
 
     return run
 
@@ -193,6 +193,18 @@ def _searcher(width: int, k: int) -> Callable:
     return run
 
 
+def _first_copies(rows: DataFrame, k: int) -> DataFrame:
+    """rows (vec_id, v, ...) without copies that no list of k can hold.
+
+    Ties go to smaller ids, so of equal vectors the k smallest ids but a query's own suffice, and of one id's
+    copies k. Both limits apply before rows are shuffled as well, so a vector that is everywhere is no hot group.
+    """
+    of_id = Window.partitionBy("v", "vec_id").orderBy("dim")
+    of_vector = Window.partitionBy("v").orderBy("vec_id")
+    few = rows.withColumn("_n", F.row_number().over(of_id)).where(F.col("_n") <= k)
+    return few.withColumn("_n", F.dense_rank().over(of_vector)).where(F.col("_n") <= k + 1).drop("_n")
+
+
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score, visits, trial_recall): the k nearest vectors found for each query, by Euclidean distance.
 
@@ -210,17 +222,17 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, reca
     def clean(df: DataFrame) -> DataFrame:
         return df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(_valid, "vec_id long, dim int, v binary")
 
-    rows = ws.table(clean(vectors), "vectors")
+    rows = ws.table(_first_copies(clean(vectors), k), "vectors")
     asked = ws.table(clean(queries).groupBy("vec_id").agg(F.min("v").alias("q")), "queries")
     n, width = rows.agg(F.count("*"), F.max("dim")).first()
     none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, visits int, trial_recall double")
     if not n or asked.isEmpty():
         return none
-    mix = F.xxhash64("vec_id", "v")
     leaves = int(min(MOST_LEAVES, max(1, 2 * n**0.5)))
     bound = max(1, min(max(SAMPLE, PER_LEAF * leaves), SAMPLE_BYTES // (8 * width)))
-    sample = rows.orderBy(mix).limit(bound).select("v").toArrow()
-    tree = fit_tree(_matrix(sample.column("v"), width), leaves)
+    # By hash, so that no task sorts or holds more than its part of the sample: about ``bound`` rows in all.
+    drawn = rows.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)) < bound).select("v").toArrow()
+    tree = fit_tree(_matrix(drawn.sort_by("v").column("v"), width), leaves)
     placed = ws.table(rows.mapInArrow(_assigner(tree, width), "vec_id long, v binary, leaf int"), "placed")
 
     trial = [(r["vec_id"], bytes(r["q"])) for r in asked.groupBy("q").agg(F.min("vec_id").alias("vec_id")).orderBy(F.xxhash64("vec_id")).limit(CALIBRATION).collect()]
@@ -238,12 +250,22 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, reca
     in_leaf = np.zeros(tree.leaves, np.int64)
     in_leaf[[r["leaf"] for r in held]] = [r["n"] for r in held]
 
-    # Large leaves are cut into blocks; a query visits every block of its leaves.
+    # Large leaves are cut into blocks, and queries that visit one leaf into parts: every part meets every block.
+    walks = asked.withColumnRenamed("vec_id", "query_id").select("query_id", "q")
+    # Up to k rows may be the query's own.
+    visited = ws.table(walks.mapInArrow(_walker(tree, width, visits, in_leaf, 2 * k + 1), "query_id long, leaf int"), "walks")
     sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    sizes = F.broadcast(sizes)  # one row per leaf, at most MOST_LEAVES
-    placed = placed.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")).cast("int").alias("block"), "vec_id", "v")
-    walks = asked.withColumnRenamed("vec_id", "query_id").select("query_id", "q").mapInArrow(_walker(tree, width, visits, in_leaf, k + 1), "query_id long, q binary, leaf int")
-    walks = walks.join(sizes, "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "query_id", "q")
-    near = walks.groupBy("leaf", "block").cogroup(placed.groupBy("leaf", "block")).applyInArrow(_searcher(width, k), "query_id long, near array<struct<score: double, vec_id: long>>")
+    parts = visited.groupBy("leaf").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("parts"))
+    sizes = F.broadcast(sizes.join(parts, "leaf"))  # one row per leaf that is visited, at most MOST_LEAVES
+
+    def each(number: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
+
+    own = F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")).cast("int").alias("block")
+    placed = placed.join(sizes, "leaf").select("leaf", own, each("parts").alias("part"), "vec_id", "v")
+    part = F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int").alias("part")
+    walks = visited.join(sizes, "leaf").select("leaf", "blocks", part, "query_id").join(walks, "query_id").select("leaf", each("blocks").alias("block"), "part", "query_id", "q")
+    at = ("leaf", "block", "part")
+    near = walks.groupBy(*at).cogroup(placed.groupBy(*at)).applyInArrow(_searcher(width, k), "query_id long, near array<struct<score: double, vec_id: long>>")
     best = near.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
     return best.select("query_id", F.posexplode("near").alias("pos", "x")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"), F.lit(visits).cast("int").alias("visits"), F.lit(reached).cast("double").alias("trial_recall"))
