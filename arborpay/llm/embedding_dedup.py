@@ -27,6 +27,8 @@ DIRECTIONS, BLOCK, FAN = 6, 512, 8
 TILE = 8
 #: Vector lengths with directions of their own, and components that these are taken from; others keep their first components.
 LENGTHS, COMPONENTS = 16, 1024
+#: Vectors of a length that its directions are taken from, and their bytes.
+DRAWN, DRAWN_BYTES = 4096, 1 << 26
 _SPOT = ", ".join(f"lo{k} double, hi{k} double" for k in range(DIRECTIONS))
 _BLOCKS = f"part int, block int, dim int, label string, rows int, keys binary, ids binary, copies binary, wide boolean, vectors binary, {_SPOT}"
 
@@ -68,44 +70,33 @@ def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _VALID = "vec_id long, label string, dim int, wide boolean, v binary, key binary"
 
 
-def _moments(lengths: list[int]) -> Callable:
-    """Count, sum and second moments of the unit vectors of each of some lengths."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, list] = {}
-        for batch in batches:
-            for d, wide, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                s = sums.setdefault(d, [0, np.zeros(min(d, COMPONENTS)), np.zeros((min(d, COMPONENTS),) * 2), []])
-                s[3].append(_units(raw, wide, d)[0, :COMPONENTS])
-                if len(s[3]) == 256:
-                    add(s)
-        for s in sums.values():
-            add(s)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s[0] for s in sums.values()], pa.int64()), pa.array([np.concatenate([s[1], s[2].ravel()]).tolist() for s in sums.values()], pa.list_(pa.float64()))], ["dim", "n", "sums"])
-
-    def add(s: list) -> None:
-        if s[3]:
-            x = np.stack(s[3])
-            s[:] = s[0] + len(x), s[1] + x.sum(axis=0), s[2] + x.T @ x, []
-
-    return run
+def _turn(drawn: pa.Table) -> pa.Table:
+    """The leading directions of the unit vectors of one length, leading first, as numbers in rows of DIRECTIONS."""
+    dim = drawn.column("dim")[0].as_py()
+    pairs = zip(drawn.column("wide").to_pylist(), drawn.column("v").to_pylist(), strict=True)
+    x = np.stack([_units(raw, wide, dim)[0, :COMPONENTS] for wide, raw in pairs])
+    x = x - x.mean(axis=0)
+    _, vectors = np.linalg.eigh(x.T @ x)
+    turn = np.zeros((x.shape[1], DIRECTIONS))  # vectors shorter than that have zeros in the directions they lack
+    turn[:, : min(x.shape[1], DIRECTIONS)] = vectors[:, ::-1][:, :DIRECTIONS]
+    return pa.table({"dim": pa.array([dim], pa.int32()), "turn": pa.array([turn.ravel().tolist()], pa.list_(pa.float64()))})
 
 
 def principal_directions(valid: DataFrame) -> dict[int, np.ndarray]:
-    """Leading directions of the commonest vector lengths, from moments over all their vectors."""
+    """Leading directions of the commonest vector lengths, from about DRAWN of their vectors or DRAWN_BYTES, drawn by hash.
+
+    They are a rotation: links are the same whatever it is, and blocks are apart the better the closer it is.
+    """
     common = valid.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(LENGTHS).collect()
-    lengths = [r["dim"] for r in common]
-    parts = valid.where(F.col("dim").isin(lengths)).select("dim", "wide", "v").mapInArrow(_moments(lengths), "dim int, n long, sums array<double>")
-    flat = parts.select("dim", "n", F.posexplode("sums").alias("pos", "x")).groupBy("dim", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
-    out = {}
-    for dim, rows in flat.toPandas().sort_values(["dim", "pos"]).groupby("dim"):  # c * (c + 1) numbers, c = COMPONENTS at most, for LENGTHS lengths at most
-        d, n = min(int(dim), COMPONENTS), int(rows["n"].iloc[0])
-        x = rows["x"].to_numpy()
-        mean = x[:d] / n
-        _, vectors = np.linalg.eigh(x[d:].reshape(d, d) / n - np.outer(mean, mean))
-        out[int(dim)] = np.zeros((d, DIRECTIONS))  # vectors shorter than that have zeros in the directions they lack
-        out[int(dim)][:, : min(d, DIRECTIONS)] = vectors[:, ::-1][:, :DIRECTIONS]
-    return out
+    place = F.xxhash64("vec_id", "key")
+    taken = F.lit(False)
+    for r in common:
+        bound = max(1, min(DRAWN, DRAWN_BYTES // (8 * r["dim"])))
+        taken = taken | ((F.col("dim") == r["dim"]) & (F.pmod(place, F.lit(r["n"])) < bound))
+    drawn = valid.where(taken).dropDuplicates(["vec_id", "key"])  # a row that is there many times is drawn once
+    turns = drawn.select("dim", "wide", "v").groupBy("dim").applyInArrow(_turn, "dim int, turn array<double>")
+    # COMPONENTS * DIRECTIONS numbers at most, for LENGTHS lengths at most.
+    return {r["dim"]: np.array(r["turn"]).reshape(-1, DIRECTIONS) for r in turns.collect()}
 
 
 def _spots(units: np.ndarray, directions: dict[int, np.ndarray]) -> np.ndarray:

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from arborpay.llm import embedding_dedup
 from arborpay.llm.common import Workspace, connected_components
 from arborpay.llm.embedding_dedup import embedding_duplicates
 from arborpay.llm.minhash_forest import near_duplicates
@@ -138,6 +139,19 @@ def test_embedding_copies_are_one_vector_of_the_join(spark, monkeypatch):
     assert tables["links"].count() <= 8
 
 
+def test_directions_of_a_bounded_draw(spark, monkeypatch):
+    """Directions come from as many vectors as are drawn, a repeated row counts once, and any draw gives a rotation."""
+    monkeypatch.setattr(embedding_dedup, "DRAWN", 50)
+    rng = np.random.default_rng(8)
+    rows = [(i, "a", [float(v) for v in rng.normal(size=8) * [9, 1, 1, 1, 1, 1, 1, 1]]) for i in range(3000)]
+    rows += [rows[0]] * 2000 + [(9000 + i, "b", [1.0, float(i)]) for i in range(3)]
+    valid = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>").select("vec_id", "label", "embedding").mapInArrow(embedding_dedup._valid, embedding_dedup._VALID)
+    got = embedding_dedup.principal_directions(valid)
+    assert {d: t.shape for d, t in got.items()} == {8: (8, 6), 2: (2, 6)}
+    assert np.allclose(got[8].T @ got[8], np.eye(6)) and abs(got[8][0, 0]) > 0.9
+    assert np.allclose(got[2][:, :2].T @ got[2][:, :2], np.eye(2)) and not got[2][:, 2:].any()
+
+
 def test_embedding_duplicates_of_nothing(spark):
     assert embedding_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
