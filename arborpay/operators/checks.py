@@ -11,14 +11,14 @@ from arborpay.sources.workspace import Workspace
 
 def reachable(ws: Workspace, edges: DataFrame) -> DataFrame:
     """One row (members, roots, unreached): members from which the root isn't reached, as orphans and what hangs on them or on a cycle."""
-    cut_off = edges.select("user_id").join(reached(ws, edges), "user_id", "left_anti").agg(F.count("*").alias("unreached"))
+    cut_off = edges.select("user_id").join(reached(ws, edges).hint("merge"), "user_id", "left_anti").agg(F.count("*").alias("unreached"))
     counts = edges.agg(F.count("*").alias("members"), F.coalesce(F.sum((F.col("parent_id") == ROOT).cast("long")), F.lit(0)).alias("roots"))
     return counts.crossJoin(cut_off)  # one row each
 
 
 def missing(of: DataFrame, within: DataFrame) -> DataFrame:
     """Members of one table that another lacks."""
-    return of.select("user_id").distinct().join(within.select("user_id"), "user_id", "left_anti")
+    return of.select("user_id").distinct().join(within.select("user_id").hint("merge"), "user_id", "left_anti")
 
 
 def integrity_report(ws: Workspace, members: DataFrame, sponsor: DataFrame, placement: DataFrame, orders: DataFrame) -> DataFrame:

@@ -49,11 +49,11 @@ def elite_sources(ws: Workspace, net: DataFrame, resting: bool = False) -> DataF
     ``resting`` counted for the member at the top, where they come to rest.
     """
     hit = tree.nearest(ws, net.select("user_id", "parent_id"), net.where("elite = 10"), itself=True)
-    rows = net.where("pv_own > 0").join(hit, "user_id")
+    rows = net.where("pv_own > 0").join(hit.hint("merge"), "user_id")
     if resting:
         at_top = net.where(F.col("parent_id") == tree.ROOT)
         roots = tree.nearest(ws, net.select("user_id", "parent_id"), at_top, itself=True).select("user_id", F.col("nearest").alias("top"))
-        rows = rows.join(roots, "user_id").withColumn("nearest", F.when(F.col("nearest") == tree.ROOT, F.col("top")).otherwise(F.col("nearest")))
+        rows = rows.join(roots.hint("merge"), "user_id").withColumn("nearest", F.when(F.col("nearest") == tree.ROOT, F.col("top")).otherwise(F.col("nearest")))
     return rows.where(F.col("nearest") != tree.ROOT).select(F.col("user_id").alias("source_id"), F.col("nearest").alias("bonus_id"), F.col("pv_own").alias("source_pv"))
 
 
@@ -90,7 +90,7 @@ def elite_level(ws: Workspace, net: DataFrame) -> DataFrame:
     kept = net.where("kept")
     up = tree.nearest(ws, net.select("user_id", "parent_id"), kept)
     double = F.col("real") >= DOUBLE_PV
-    rows = kept.join(up, "user_id").select(
+    rows = kept.join(up.hint("merge"), "user_id").select(
         "user_id",
         F.col("nearest").alias("parent_id"),
         F.col("real").alias("gpv"),
@@ -114,7 +114,7 @@ def elite_level(ws: Workspace, net: DataFrame) -> DataFrame:
     rule = Rule(row, lambda x: {"least": {"value": x["value"], "last": -x["user_id"]}}, {"least": lambda a, b: min(a, b, key=lambda x: (x["value"], x["last"]))})
     folded = ws.table(tree.fold(ws, rows, gives, takes, rule), "pushed")
     gone = folded.where("pulled is not null").select(F.col("pulled").alias("user_id"), F.lit(True).alias("gone"))
-    out = folded.join(gone, "user_id", "left")
+    out = folded.join(gone.hint("merge"), "user_id", "left")
     level = F.when(F.col("sons") > 2, 30).when(F.col("sons") == 0, 10).otherwise(20)
     real = F.when(F.col("gone"), 0).otherwise(F.col("value")).cast("long")
     return ws.table(out.select("user_id", "parent_id", F.col("depth").alias("top_deep"), "gpv", real.alias("gpv_real"), "gpv_unreal", "sons", level.alias("elite_level")), "elite-level")
@@ -134,7 +134,7 @@ def ranked(rows: DataFrame) -> DataFrame:
 
 def rank_snapshot(ws: Workspace, sponsor: DataFrame, own: DataFrame) -> DataFrame:
     """Rank of every member: group volume cut at ELITE_PV, qualified legs and virtual width."""
-    nodes = tree.depths(ws, sponsor).join(own.select("user_id", "pv_own"), "user_id", "left").withColumn("pv_own", or_zero("pv_own").cast("long"))
+    nodes = tree.depths(ws, sponsor).join(own.select("user_id", "pv_own").hint("merge"), "user_id", "left").withColumn("pv_own", or_zero("pv_own").cast("long"))
     gives = {"sum": (F.sum("contrib"), "long"), "legs_in": (F.sum(((F.col("rank") >= 10) | (F.col("legs") >= 1)).cast("int")), "long")}
 
     def takes(rows: DataFrame) -> DataFrame:
@@ -154,7 +154,7 @@ def rank_snapshot(ws: Workspace, sponsor: DataFrame, own: DataFrame) -> DataFram
 
 def highest_rank(now: DataFrame, before: DataFrame) -> DataFrame:
     """High-water mark of ranks, and whether it rose; both inputs (user_id, rank)."""
-    rows = now.select("user_id", F.col("rank").alias("current_rank")).join(before.select("user_id", F.col("rank").alias("prev_highest")), "user_id", "full_outer")
+    rows = now.select("user_id", F.col("rank").alias("current_rank")).join(before.select("user_id", F.col("rank").alias("prev_highest")).hint("merge"), "user_id", "full_outer")
     rows = rows.select("user_id", or_zero("current_rank").alias("current_rank"), or_zero("prev_highest").alias("prev_highest"))
     top = F.greatest("current_rank", "prev_highest")
     return rows.select("user_id", "current_rank", "prev_highest", top.alias("highest_rank"), (top > F.col("prev_highest")).alias("rose"))
@@ -163,7 +163,7 @@ def highest_rank(now: DataFrame, before: DataFrame) -> DataFrame:
 def pro_elite_bonus(levels: DataFrame, active: DataFrame, rate: int) -> DataFrame:
     """Members of level 20 and up: their compressed children's real volume plus their own virtual one."""
     kids = levels.groupBy(F.col("parent_id").alias("user_id")).agg(F.sum("gpv_real").alias("kids"))
-    rows = levels.where("elite_level >= 20").join(kids, "user_id", "left").join(active.select("user_id", "is_active"), "user_id", "left")
+    rows = levels.where("elite_level >= 20").join(kids.hint("merge"), "user_id", "left").join(active.select("user_id", "is_active").hint("merge"), "user_id", "left")
     base = or_zero("kids") + or_zero("gpv_unreal")
     return rows.select("user_id", base.alias("base"), of_rate(base, rate).alias("bonus_pe"), or_zero("is_active").alias("is_active"))
 
@@ -172,7 +172,7 @@ def pro_elite_sources(levels: DataFrame) -> DataFrame:
     """A row per child with real volume, and one for the member's own virtual volume."""
     bonus = levels.where("elite_level >= 20")
     kids = levels.where("gpv_real > 0").select(F.col("parent_id").alias("user_id"), F.col("user_id").alias("source_id"), F.col("gpv_real").alias("source_gpv"))
-    first = bonus.select("user_id").join(kids, "user_id").select("user_id", "source_id", "source_gpv", F.lit(0).cast("long").alias("source_unreal"))
+    first = bonus.select("user_id").join(kids.hint("merge"), "user_id").select("user_id", "source_id", "source_gpv", F.lit(0).cast("long").alias("source_unreal"))
     second = bonus.where("gpv_unreal > 0").select("user_id", F.col("user_id").alias("source_id"), F.lit(0).cast("long").alias("source_gpv"), F.col("gpv_unreal").alias("source_unreal"))
     return first.unionByName(second)
 
@@ -184,11 +184,11 @@ def by_region(rows: DataFrame, regions: DataFrame) -> DataFrame:
 
 def super_elite_bonus(levels: DataFrame, members: DataFrame, regions: DataFrame, orders: DataFrame, active: DataFrame, rate: int) -> DataFrame:
     """A region's pool shared evenly among its members of level 30, active or not."""
-    se = by_region(levels.where("elite_level = 30").select("user_id").join(members.select("user_id", "country_id"), "user_id"), regions)
+    se = by_region(levels.where("elite_level = 30").select("user_id").join(members.select("user_id", "country_id").hint("merge"), "user_id"), regions)
     heads = se.groupBy("region_id").agg(F.count("*").alias("heads"))
     pool = by_region(orders.groupBy("country_id").agg(F.sum("pv").alias("pv")), regions).groupBy("region_id").agg(F.sum("pv").alias("pv"))
     share = heads.join(pool, "region_id").withColumn("bonus_se", cut("pv", rate, F.col("heads") * 1_000_000)).where("bonus_se > 0")
-    rows = se.join(share, "region_id").join(active.select("user_id", "is_active"), "user_id", "left")
+    rows = se.join(share, "region_id").join(active.select("user_id", "is_active").hint("merge"), "user_id", "left")
     return rows.select("user_id", "country_id", "region_id", "bonus_se", or_zero("is_active").alias("is_active"))
 
 
@@ -201,8 +201,8 @@ def performance_points(ws: Workspace, members: DataFrame, sponsor: DataFrame, ne
     def level(total: Column) -> Column:
         return F.when(total >= 60_000, 30).when(total >= 30_000, 20).otherwise(10)
 
-    rows = tree.depths(ws, sponsor).join(members.select("user_id", "country_id"), "user_id").join(net.select("user_id", "gpv", "elite", F.col("pv_own").alias("pv")), "user_id", "left")
-    rows = rows.join(month.select("user_id", "pv_team"), "user_id", "left").join(before.select("user_id", F.col("total_gpv").alias("earlier")), "user_id", "left")
+    rows = tree.depths(ws, sponsor).join(members.select("user_id", "country_id").hint("merge"), "user_id").join(net.select("user_id", "gpv", "elite", F.col("pv_own").alias("pv")).hint("merge"), "user_id", "left")
+    rows = rows.join(month.select("user_id", "pv_team").hint("merge"), "user_id", "left").join(before.select("user_id", F.col("total_gpv").alias("earlier")).hint("merge"), "user_id", "left")
     total = or_zero("earlier") + or_zero("gpv")
     best = F.greatest(level(or_zero("earlier")), F.when(or_zero("pv_team") >= 60_000, 30).otherwise(10), level(total))
     rows = rows.select("user_id", "parent_id", "depth", "country_id", or_zero("gpv").cast("long").alias("gpv"), or_zero("pv").cast("long").alias("pv"), or_zero("elite").alias("elite"), best.alias("level"), total.cast("long").alias("total_gpv"))
@@ -235,12 +235,12 @@ def achievement_bonus(net: DataFrame, members: DataFrame, regions: DataFrame, or
 
     Every eligible member has a row; payable is what is active and over 0.
     """
-    who = by_region(net.where(F.col("gpv") >= ELITE_PV).select("user_id", "gpv").join(members.select("user_id", "country_id"), "user_id"), regions)
+    who = by_region(net.where(F.col("gpv") >= ELITE_PV).select("user_id", "gpv").join(members.select("user_id", "country_id").hint("merge"), "user_id"), regions)
     heads = who.groupBy("region_id").agg(F.count("*").alias("heads"))
     pool = by_region(orders.groupBy("country_id").agg(F.sum("pv").alias("pv")), regions).groupBy("region_id").agg(F.sum("pv").alias("pv"))
     doubled = cut(F.col("pv").cast("decimal(38,0)") * 2 * rate + F.col("heads").cast("decimal(38,0)") * 1_000_000, 1, F.col("heads") * 2_000_000)
     share = heads.join(pool, "region_id", "left").withColumn("share", F.coalesce(doubled, F.lit(0)))
-    rows = who.join(share, "region_id").join(active.select("user_id", "is_active"), "user_id", "left").withColumn("is_active", or_zero("is_active"))
+    rows = who.join(share, "region_id").join(active.select("user_id", "is_active").hint("merge"), "user_id", "left").withColumn("is_active", or_zero("is_active"))
     paid = F.when(F.col("is_active") == 1, F.col("share")).otherwise(0).cast("long")
     return rows.select("user_id", "gpv", "country_id", "region_id", F.col("share").alias("bonus_eab"), paid.alias("payable"), "is_active")
 

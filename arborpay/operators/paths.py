@@ -50,8 +50,8 @@ def sizes(ws: Workspace, edges: DataFrame) -> DataFrame:
         if not left:
             return rows.drop("up")
         given = rows.where(F.col("up") != tree.ROOT).groupBy(F.col("up").alias("user_id")).agg(F.sum("size").alias("more"))
-        over = rows.select(F.col("user_id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"))
-        moved = rows.join(given, "user_id", "left").join(over, "up", "left")
+        over = rows.select(F.col("user_id").alias("_up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"))
+        moved = tree.with_key(rows.join(given.hint("merge"), "user_id", "left")).join(over.hint("merge"), "_up", "left")
         hop = F.when(F.col("up") != tree.ROOT, F.col("depth2") + 1).otherwise(0)
         moved = moved.select("user_id", "parent_id", F.when(F.col("up") == tree.ROOT, F.lit(tree.ROOT)).otherwise(F.coalesce("up2", F.lit(-2))).alias("up"), (F.col("depth") + F.coalesce(hop, F.lit(0))).cast("int").alias("depth"), (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"))
         before = left
@@ -68,13 +68,13 @@ def decompose(ws: Workspace, edges: DataFrame) -> DataFrame:
     """
     sized = sizes(ws, edges)
     heavy = sized.groupBy("parent_id").agg(F.max(F.struct("size", "user_id"))["user_id"].alias("heavy")).where(F.col("parent_id") != tree.ROOT)
-    kids = sized.join(heavy.select(F.col("heavy").alias("user_id"), F.lit(False).alias("begins")), "user_id", "left")
+    kids = sized.join(heavy.select(F.col("heavy").alias("user_id"), F.lit(False).alias("begins")).hint("merge"), "user_id", "left")
     kids = ws.table(kids.withColumn("begins", F.coalesce("begins", F.lit(True))), "heavy")
     heads = tree.nearest(ws, kids, kids.where("begins"), itself=True).withColumnRenamed("nearest", "path")
     level = kids.where("begins").select(F.col("user_id").alias("path"), (F.length(F.bin("size")) - 1).alias("level"))
-    placed = ws.table(kids.join(heads, "user_id").join(level, "path"), "levels")
-    above = placed.where("begins").select("user_id", "parent_id").join(placed.select(F.col("user_id").alias("parent_id"), F.col("level").alias("up")), "parent_id").select("user_id", "up")
-    out = placed.join(above, "user_id", "left").select("user_id", "parent_id", "depth", "path", "level", F.coalesce("up", F.lit(-1)).alias("up"))
+    placed = ws.table(kids.join(heads.hint("merge"), "user_id").join(level.hint("merge"), "path"), "levels")
+    above = placed.where("begins").select("user_id", "parent_id").join(placed.select(F.col("user_id").alias("parent_id"), F.col("level").alias("up")).hint("merge"), "parent_id").select("user_id", "up")
+    out = placed.join(above.hint("merge"), "user_id", "left").select("user_id", "parent_id", "depth", "path", "level", F.coalesce("up", F.lit(-1)).alias("up"))
     return ws.table(out, "paths")
 
 
@@ -121,7 +121,7 @@ def fold(ws: Workspace, nodes: DataFrame, gives: dict[str, tuple[Column, str]],
     """What tree.fold() gives, for rows of a ``schema``, by a rule that says the same of one member."""
     own = nodes.columns
     placed = decompose(ws, nodes.select("user_id", "parent_id"))
-    members = nodes.join(placed.select("user_id", *[F.col(c).alias(f"_{c}") for c in ("path", "level", "up")]), "user_id")
+    members = nodes.join(placed.select("user_id", *[F.col(c).alias(f"_{c}") for c in ("path", "level", "up")]).hint("merge"), "user_id")
     out = T.StructType([*schema.fields, T.StructField("_up", T.IntegerType())])
 
     def step(level: DataFrame, tops: DataFrame | None) -> DataFrame:
@@ -129,7 +129,7 @@ def fold(ws: Workspace, nodes: DataFrame, gives: dict[str, tuple[Column, str]],
             level = level.select("*", *[F.lit(None).cast(kind).alias(name) for name, (_, kind) in gives.items()])
         else:
             given = tops.groupBy(F.col("parent_id").alias("user_id")).agg(*[x.cast(kind).alias(name) for name, (x, kind) in gives.items()])
-            level = level.join(given, "user_id", "left")
+            level = level.join(given.hint("merge"), "user_id", "left")
         rows = level.select(*own, "_path", "_up", *gives).repartition("_path").sortWithinPartitions("_path", F.desc("depth"))
         return rows.mapInArrow(_walk(rule, own, list(gives), out), out)
 

@@ -2,6 +2,9 @@
 
 Upward questions are answered by pointer doubling, in as many rounds as the depth has bits. Folds go
 level by level over a table partitioned by depth, so each row is read once and the work is linear.
+
+Members' tables are joined by merge, here and in all of the settlement: dense ids compress to next to nothing,
+so Spark would take a table of millions of members for a small one by its files and send it through the driver.
 """
 
 from __future__ import annotations
@@ -25,6 +28,11 @@ class TreeError(ValueError):
     """The edges don't form a forest under the root."""
 
 
+def with_key(rows: DataFrame, name: str = "_up") -> DataFrame:
+    """rows with ``up`` as a join key under another name; members that are at the root, who meet nobody, are dealt over all tasks."""
+    return rows.withColumn(name, F.when(F.col("up") == ROOT, F.bitwise_not("user_id")).otherwise(F.col("up")))
+
+
 #: Spellings of "no parent" that no member has as its id. Where no member is called 0, sources spell it "0" as well.
 NO_PARENT, ZERO = ("0.0", "", "<NA>", "None", "nan", "NaN", str(ROOT)), ("0",)
 
@@ -50,7 +58,7 @@ def reached(ws: Workspace, edges: DataFrame) -> DataFrame:
     for _ in range(n.bit_length()):
         over = hops.select(F.col("user_id").alias("up"), F.col("up").alias("up2"))
         done, rest = hops.where(F.col("up") == ROOT), hops.where(F.col("up") != ROOT)
-        hops, left = ws.counted(done.unionByName(rest.join(over, "up").select("user_id", F.col("up2").alias("up"))), "reached", f"up <> {ROOT}")
+        hops, left = ws.counted(done.unionByName(rest.join(over.hint("merge"), "up").select("user_id", F.col("up2").alias("up"))), "reached", f"up <> {ROOT}")
         if not left:
             break
     return hops.where(F.col("up") == ROOT).select("user_id").distinct()
@@ -63,10 +71,10 @@ def depths(ws: Workspace, edges: DataFrame) -> DataFrame:
     hops, left = ws.counted(edges.select("user_id", F.col("parent_id").alias("up"), F.lit(0).alias("hops")), "depths", f"up <> {ROOT}")
     for _ in range(left.bit_length() + 2):  # a path that ends has ended by then
         if not left:
-            return edges.join(hops.select("user_id", F.col("hops").alias("depth")), "user_id")
+            return edges.join(hops.select("user_id", F.col("hops").alias("depth")).hint("merge"), "user_id")
         over = hops.select(F.col("user_id").alias("up"), F.col("up").alias("up2"), F.col("hops").alias("hops2"))
         done, rest = hops.where(F.col("up") == ROOT), hops.where(F.col("up") != ROOT)
-        moved = rest.join(over, "up", "left")
+        moved = rest.join(over.hint("merge"), "up", "left")
         moved = moved.select("user_id", F.coalesce("up2", F.lit(-2)).alias("up"), (F.col("hops") + 1 + F.coalesce("hops2", F.lit(0))).cast("int").alias("hops"))
         hops, left = ws.counted(done.unionByName(moved), "depths", f"up <> {ROOT}")
         if left and not hops.where("up = -2").isEmpty():
@@ -83,11 +91,11 @@ def subtree_sums(ws: Workspace, edges: DataFrame, values: list[str]) -> DataFram
     rows, left = ws.counted(edges.select("user_id", F.col("parent_id").alias("up"), *values), "sums", f"up <> {ROOT}")
     for _ in range(ROUNDS):
         if not left:
-            return edges.drop(*values).join(rows.drop("up"), "user_id")
+            return edges.drop(*values).join(rows.drop("up").hint("merge"), "user_id")
         given = rows.where(F.col("up") != ROOT).groupBy(F.col("up").alias("user_id")).agg(*[F.sum(v).alias(f"_{v}") for v in values])
-        over = rows.select(F.col("user_id").alias("up"), F.col("up").alias("up2"))
-        moved = rows.join(given, "user_id", "left").join(over, "up", "left")
-        moved = moved.select("user_id", F.coalesce("up2", F.lit(ROOT)).alias("up"), *[(F.col(v) + F.coalesce(f"_{v}", F.lit(0))).alias(v) for v in values])
+        over = rows.select(F.col("user_id").alias("_up"), F.col("up").alias("up2"))
+        moved = with_key(rows.join(given.hint("merge"), "user_id", "left")).join(over.hint("merge"), "_up", "left")
+        moved = moved.select("user_id", F.when(F.col("up") == ROOT, F.lit(ROOT)).otherwise(F.coalesce("up2", F.lit(ROOT))).alias("up"), *[(F.col(v) + F.coalesce(f"_{v}", F.lit(0))).alias(v) for v in values])
         rows, left = ws.counted(moved, "sums", f"up <> {ROOT}")
     raise TreeError("a cycle: sums don't settle")
 
@@ -95,14 +103,14 @@ def subtree_sums(ws: Workspace, edges: DataFrame, values: list[str]) -> DataFram
 def nearest(ws: Workspace, edges: DataFrame, wanted: DataFrame, itself: bool = False) -> DataFrame:
     """(user_id, nearest): the closest ancestor among ``wanted`` (user_id), or ROOT; with ``itself``, a member counts as its own."""
     marks = wanted.select("user_id", F.lit(True).alias("hit")).distinct()
-    base = edges.join(marks, "user_id", "left")
-    hop = ws.table(base.select("user_id", F.col("parent_id").alias("up"), F.coalesce("hit", F.lit(False)).alias("hit")), "nearest")
+    base = edges.join(marks.hint("merge"), "user_id", "left")
+    hop = ws.table(base.select("user_id", F.col("parent_id").alias("up"), F.coalesce("hit", F.lit(False)).alias("hit"), F.lit(True).alias("moved")), "nearest")
     for _ in range(ROUNDS):
-        over = hop.select(F.col("user_id").alias("up"), F.col("up").alias("up2"), F.col("hit").alias("stop"))
-        go_on = ~F.coalesce("stop", F.lit(True))
-        moved = hop.join(over, "up", "left").select("user_id", F.when(go_on, F.col("up2")).otherwise(F.col("up")).alias("up"), "hit", go_on.alias("moved"))
-        hop, left = ws.counted(moved, "nearest", "moved")
-        hop = hop.drop("moved")
+        over = hop.select(F.col("user_id").alias("_up"), F.col("up").alias("up2"), F.col("hit").alias("stop"))
+        go_on = ~F.coalesce("stop", F.lit(True)) & (F.col("up") != ROOT)
+        rest, done = hop.where("moved"), hop.where("not moved")  # who has arrived stays, and would only crowd a key
+        moved = with_key(rest).join(over.hint("merge"), "_up", "left").select("user_id", F.when(go_on, F.col("up2")).otherwise(F.col("up")).alias("up"), "hit", go_on.alias("moved"))
+        hop, left = ws.counted(done.unionByName(moved), "nearest", "moved")
         if not left:
             own = F.when(F.col("hit"), F.col("user_id")) if itself else F.lit(None)
             return hop.select("user_id", F.coalesce(own, F.col("up")).alias("nearest"))
@@ -141,7 +149,7 @@ def closure(ws: Workspace, edges: DataFrame, carry: tuple[str, ...] = (), levels
     up = steps.select(F.col("user_id").alias("ancestor"), F.col("parent_id"), *[F.col(c).alias(f"up_{c}") for c in carry])
 
     def step(front: DataFrame, _: int) -> DataFrame:
-        return front.join(up, "ancestor").select(F.col("parent_id").alias("ancestor"), "descendant", (F.col("level") + 1).alias("level"), *[F.col(f"up_{c}").alias(c) for c in carry])
+        return front.join(up.hint("merge"), "ancestor").select(F.col("parent_id").alias("ancestor"), "descendant", (F.col("level") + 1).alias("level"), *[F.col(f"up_{c}").alias(c) for c in carry])
 
     first = steps.select(F.col("parent_id").alias("ancestor"), F.col("user_id").alias("descendant"), F.lit(1).alias("level"), *carry)
     out = rounds(ws, first, step, "closure", levels)
@@ -155,8 +163,8 @@ def ancestors(ws: Workspace, edges: DataFrame, members: DataFrame) -> DataFrame:
     """(descendant, ancestor, level) of the given members (user_id) only: the frontier starts at them."""
     steps = ws.table(without_roots(edges).select("user_id", "parent_id"), "ancestor-edges")
     up = steps.withColumnRenamed("user_id", "ancestor")
-    first = steps.join(members.select("user_id").distinct(), "user_id", "left_semi").select(F.col("user_id").alias("descendant"), F.col("parent_id").alias("ancestor"), F.lit(1).alias("level"))
-    return rounds(ws, first, lambda front, _: front.join(up, "ancestor").select("descendant", F.col("parent_id").alias("ancestor"), (F.col("level") + 1).alias("level")), "ancestors")
+    first = steps.join(members.select("user_id").distinct().hint("merge"), "user_id", "left_semi").select(F.col("user_id").alias("descendant"), F.col("parent_id").alias("ancestor"), F.lit(1).alias("level"))
+    return rounds(ws, first, lambda front, _: front.join(up.hint("merge"), "ancestor").select("descendant", F.col("parent_id").alias("ancestor"), (F.col("level") + 1).alias("level")), "ancestors")
 
 
 def descendant_counts(with_depth: DataFrame) -> DataFrame:
@@ -167,10 +175,10 @@ def descendant_counts(with_depth: DataFrame) -> DataFrame:
 def descendants(ws: Workspace, edges: DataFrame, members: DataFrame, deepest: int = LEVELS) -> DataFrame:
     """(ancestor, descendant, level) below the given members (user_id), to a depth at most; themselves excluded."""
     down = ws.table(without_roots(edges).select(F.col("parent_id").alias("descendant"), F.col("user_id").alias("child")), "descendant-edges")
-    first = members.select(F.col("user_id").alias("ancestor")).distinct().join(down.withColumnRenamed("descendant", "ancestor"), "ancestor").select("ancestor", F.col("child").alias("descendant"), F.lit(1).alias("level"))
+    first = members.select(F.col("user_id").alias("ancestor")).distinct().join(down.withColumnRenamed("descendant", "ancestor").hint("merge"), "ancestor").select("ancestor", F.col("child").alias("descendant"), F.lit(1).alias("level"))
 
     def step(front: DataFrame, _: int) -> DataFrame:
-        below = front.where(F.col("level") < deepest).join(down, "descendant")
+        below = front.where(F.col("level") < deepest).join(down.hint("merge"), "descendant")
         return below.select("ancestor", F.col("child").alias("descendant"), (F.col("level") + 1).alias("level"))
 
     return rounds(ws, first.where(F.lit(deepest) > 0), step, "descendants")
@@ -178,7 +186,7 @@ def descendants(ws: Workspace, edges: DataFrame, members: DataFrame, deepest: in
 
 def children(edges: DataFrame, parents: DataFrame) -> DataFrame:
     """(parent_id, children): direct children of the given members, in order."""
-    kept = edges.join(parents.select(F.col("user_id").alias("parent_id")).distinct(), "parent_id", "left_semi")
+    kept = edges.join(parents.select(F.col("user_id").alias("parent_id")).distinct().hint("merge"), "parent_id", "left_semi")
     return kept.groupBy("parent_id").agg(F.sort_array(F.collect_list("user_id")).alias("children"))
 
 
@@ -217,7 +225,7 @@ def fold(ws: Workspace, nodes: DataFrame, gives: dict[str, tuple[Column, str]],
         level = nodes.where(F.col("depth") == depth)
         if below is not None:
             given = below.groupBy(F.col("parent_id").alias("user_id")).agg(*[x.cast(kind).alias(name) for name, (x, kind) in gives.items()])
-            level = level.join(given, "user_id", "left")
+            level = level.join(given.hint("merge"), "user_id", "left")
         else:
             level = level.select("*", *[F.lit(None).cast(kind).alias(name) for name, (_, kind) in gives.items()])
         below = ws.table_at(takes(level), f"{path}/{STEP}={depth}")

@@ -28,13 +28,13 @@ def team_volume(ws: Workspace, edges: DataFrame, own: DataFrame, legs: bool = Fa
     Gives (user_id, parent_id, depth, pv_own, pv_team, below), ``below`` counting buyers underneath; with
     ``legs`` also pv_1l and pv_2l, the volumes under each leg.
     """
-    nodes = tree.depths(ws, edges).join(own.select("user_id", "pv_own"), "user_id", "left").withColumn("pv_own", or_zero("pv_own").cast("long"))
-    nodes = nodes.join(own.select("user_id", F.lit(1).cast("long").alias("below")), "user_id", "left").withColumn("below", or_zero("below")).withColumn("pv_team", F.col("pv_own"))
+    nodes = tree.depths(ws, edges).join(own.select("user_id", "pv_own").hint("merge"), "user_id", "left").withColumn("pv_own", or_zero("pv_own").cast("long"))
+    nodes = nodes.join(own.select("user_id", F.lit(1).cast("long").alias("below")).hint("merge"), "user_id", "left").withColumn("below", or_zero("below")).withColumn("pv_team", F.col("pv_own"))
     rows = tree.subtree_sums(ws, nodes, ["pv_team", "below"]).where("below > 0")
-    rows = ws.table(rows.join(own.select("user_id", F.lit(1).cast("long").alias("buyer")), "user_id", "left").withColumn("below", F.col("below") - or_zero("buyer")).drop("buyer"), "team")
+    rows = ws.table(rows.join(own.select("user_id", F.lit(1).cast("long").alias("buyer")).hint("merge"), "user_id", "left").withColumn("below", F.col("below") - or_zero("buyer")).drop("buyer"), "team")
     if legs:
         of = [F.coalesce(F.sum(F.when(F.col("leg") == k, F.col("pv_team"))), F.lit(0)).alias(f"pv_{k}l") for k in (1, 2)]
-        rows = rows.join(rows.groupBy(F.col("parent_id").alias("user_id")).agg(*of), "user_id", "left").withColumn("pv_1l", or_zero("pv_1l")).withColumn("pv_2l", or_zero("pv_2l"))
+        rows = rows.join(rows.groupBy(F.col("parent_id").alias("user_id")).agg(*of).hint("merge"), "user_id", "left").withColumn("pv_1l", or_zero("pv_1l")).withColumn("pv_2l", or_zero("pv_2l"))
     return rows
 
 
@@ -45,7 +45,7 @@ def leg_volume(ws: Workspace, placement: DataFrame, own: DataFrame) -> DataFrame
 
 def leg_volume_by_closure(closure: DataFrame, own: DataFrame) -> DataFrame:
     """The same from a closure (ancestor, descendant, leg), for callers that keep one."""
-    joined = closure.join(own.select(F.col("user_id").alias("descendant"), "pv_own"), "descendant")
+    joined = closure.join(own.select(F.col("user_id").alias("descendant"), "pv_own").hint("merge"), "descendant")
 
     def of(k: int) -> F.Column:
         return F.coalesce(F.sum(F.when(F.col("leg") == k, F.col("pv_own"))), F.lit(0)).alias(f"pv_{k}l")
@@ -64,8 +64,8 @@ def monthly(ws: Workspace, orders: DataFrame, sponsor: DataFrame, placement: Dat
     legs = leg_volume(ws, placement, own)
     stock = orders.where("stockist_id is not null").groupBy(F.col("stockist_id").alias("user_id")).agg(F.sum("pv").alias("stockist_pv"))
     users = own.select("user_id").union(team.select("user_id")).union(legs.select("user_id")).union(stock.select("user_id")).distinct()
-    rows = users.join(own, "user_id", "left").join(team, "user_id", "left").join(legs, "user_id", "left").join(stock, "user_id", "left")
-    rows = rows.join(carry.select("user_id", "surplus_1l", "surplus_2l"), "user_id", "left").join(members.select("user_id", "country_id", "listed_active"), "user_id", "left")
+    rows = users.join(own.hint("merge"), "user_id", "left").join(team.hint("merge"), "user_id", "left").join(legs.hint("merge"), "user_id", "left").join(stock.hint("merge"), "user_id", "left")
+    rows = rows.join(carry.select("user_id", "surplus_1l", "surplus_2l").hint("merge"), "user_id", "left").join(members.select("user_id", "country_id", "listed_active").hint("merge"), "user_id", "left")
     amounts = [or_zero(c).cast("long").alias(c) for c in ("pv_own", "pv_zc", "pv_fx", "pv_team", "pv_1l", "pv_2l")]
     before = [or_zero(f"surplus_{k}l").cast("long").alias(f"pre_surplus_{k}l") for k in (1, 2)]
     totals = [(or_zero(f"pv_{k}l") + or_zero(f"surplus_{k}l")).cast("long").alias(f"total_{k}l") for k in (1, 2)]
@@ -80,7 +80,7 @@ def placement_settlement(rows: DataFrame, before: DataFrame, now: DataFrame) ->
     pv and gpv. Whoever was active gets total = new + carried; others keep what they carried.
     """
     users = rows.select("user_id").union(before.select("user_id")).union(now.select("user_id")).distinct()
-    out = users.join(rows, "user_id", "left").join(before, "user_id", "left").join(now, "user_id", "left")
+    out = users.join(rows.hint("merge"), "user_id", "left").join(before.hint("merge"), "user_id", "left").join(now.hint("merge"), "user_id", "left")
     out = out.select("user_id", *[or_zero(c).cast("long").alias(c) for c in ("pv_1l", "pv_2l", "remain_1l", "remain_2l", "pv", "gpv")])
     busy = (F.col("pv") != 0) | (F.col("pv_1l") != 0) | (F.col("pv_2l") != 0) | (F.col("gpv") != 0)
     total = [F.when(busy, F.col(f"pv_{k}l") + F.col(f"remain_{k}l")).otherwise(0).cast("long").alias(f"total_{k}l") for k in (1, 2)]
@@ -99,7 +99,7 @@ def stockist_fee(orders: DataFrame, members: DataFrame, rate: int) -> DataFrame:
     sums = orders.where("stockist_id is not null").groupBy(F.col("stockist_id").alias("user_id")).agg(F.sum("pv").alias("stockist_pv"), *[of(k, f"pv_{n}") for k, n in names.items()])
     rows = sums.where("stockist_pv > 0").select("*", *[of_rate(f"pv_{n}", rate).alias(f"bonus_{n}") for n in names.values()])
     rows = rows.withColumn("bonus_sfb", F.col("bonus_unity") + F.col("bonus_app") + F.col("bonus_otc")).where("bonus_sfb > 0")
-    return rows.join(members.select("user_id", "country_id"), "user_id", "left")
+    return rows.join(members.select("user_id", "country_id").hint("merge"), "user_id", "left")
 
 
 def country_share(ws: Workspace, sponsor: DataFrame, orders: DataFrame) -> DataFrame:
@@ -112,14 +112,14 @@ def country_share(ws: Workspace, sponsor: DataFrame, orders: DataFrame) -> DataF
     placed = ws.table(tree.depths(ws, sponsor), "share-depths")
     top = placed.agg(F.max("depth")).first()[0]
     if top is not None and top >= tree.DEEP:
-        return _with_share(_shares_by_paths(ws, placed, ws.table(own.join(placed, "user_id"), "share-own")))
-    own = ws.table(own.join(placed, "user_id"), "share-own", partition_by=("depth",))
+        return _with_share(_shares_by_paths(ws, placed, ws.table(own.join(placed.hint("merge"), "user_id"), "share-own")))
+    own = ws.table(own.join(placed.hint("merge"), "user_id"), "share-own", partition_by=("depth",))
     parents = placed.select("user_id", F.col("parent_id").alias("grand_id"))
     path, below = ws.folder("share"), None
     for depth in range(0 if top is None else top, -1, -1):
         rows = own.where(F.col("depth") == depth).select("user_id", "parent_id", "country_id", "pv", "n_orders", "n_users")
         if below is not None:
-            up = below.join(parents.withColumnRenamed("user_id", "parent_id"), "parent_id").select(F.col("parent_id").alias("user_id"), F.col("grand_id").alias("parent_id"), "country_id", "pv", "n_orders", "n_users")
+            up = below.join(parents.withColumnRenamed("user_id", "parent_id").hint("merge"), "parent_id").select(F.col("parent_id").alias("user_id"), F.col("grand_id").alias("parent_id"), "country_id", "pv", "n_orders", "n_users")
             rows = rows.unionByName(up)
         sums = rows.groupBy("user_id", "parent_id", "country_id").agg(*[F.sum(c).alias(c) for c in ("pv", "n_orders", "n_users")])
         below = ws.table_at(sums, f"{path}/{tree.STEP}={depth}")
@@ -162,15 +162,15 @@ def _shares_by_paths(ws: Workspace, placed: DataFrame, own: DataFrame) -> DataFr
     spots = paths.decompose(ws, placed.select("user_id", "parent_id")).withColumnsRenamed({"level": "_level", "up": "_up"})
     spot = ["user_id", "parent_id", "depth", "path", "_level", "_up"]
     bare = spots.select(*spot, F.lit(None).cast("long").alias("country_id"), *[F.lit(None).cast("long").alias(c) for c in _SUMS])
-    bought = spots.join(own.drop("parent_id", "depth"), "user_id").select(*spot, F.col("country_id").cast("long").alias("country_id"), *_SUMS)
+    bought = spots.join(own.drop("parent_id", "depth").hint("merge"), "user_id").select(*spot, F.col("country_id").cast("long").alias("country_id"), *_SUMS)
 
     def step(level: DataFrame, tops: DataFrame | None) -> DataFrame:
         if tops is not None:
             given = tops.groupBy(F.col("parent_id").alias("user_id"), "country_id").agg(*[F.sum(c).alias(c) for c in _SUMS])
-            level = level.unionByName(given.join(level.where("country_id is null").select(*spot), "user_id").select(level.columns))
+            level = level.unionByName(given.join(level.where("country_id is null").select(*spot).hint("merge"), "user_id").select(level.columns))
         rows = level.repartition("path").sortWithinPartitions("path", F.desc("depth"))
         walked = rows.mapInArrow(_walk_shares, "user_id long, _up int, country_id long, pv long, n_orders long, n_users long")
-        return walked.join(level.where("country_id is null").select("user_id", "parent_id"), "user_id")
+        return walked.join(level.where("country_id is null").select("user_id", "parent_id").hint("merge"), "user_id")
 
     return paths.levels_of(ws, bare.unionByName(bought), step, "path-share")
 
@@ -178,7 +178,7 @@ def _shares_by_paths(ws: Workspace, placed: DataFrame, own: DataFrame) -> DataFr
 def _with_share(out: DataFrame) -> DataFrame:
     team = out.groupBy("user_id").agg(F.sum("pv").alias("team"))
     share = F.coalesce(cut("pv", 10_000, "team"), F.lit(0)).alias("share_e4")
-    return out.join(team, "user_id").select("user_id", "parent_id", "country_id", "pv", "n_orders", "n_users", share)
+    return out.join(team.hint("merge"), "user_id").select("user_id", "parent_id", "country_id", "pv", "n_orders", "n_users", share)
 
 
 def country_share_of_leadership(share: DataFrame, members: DataFrame, leadership: DataFrame) -> DataFrame:
@@ -188,5 +188,5 @@ def country_share_of_leadership(share: DataFrame, members: DataFrame, leadership
     several countries each meet all its shares. The global bonus is in cents of 1/10000, exact.
     """
     paid = leadership.where("bonus_lb > 0").select("user_id", "bonus_lb")
-    rows = share.join(paid, "user_id").join(members.select("user_id", F.col("country_id").alias("home_id")), "user_id", "left")
+    rows = share.join(paid.hint("merge"), "user_id").join(members.select("user_id", F.col("country_id").alias("home_id")).hint("merge"), "user_id", "left")
     return rows.select("user_id", F.col("country_id").alias("order_country"), F.col("home_id").alias("user_country"), "pv", "n_orders", "n_users", "share_e4", "bonus_lb", (F.col("bonus_lb") * F.col("share_e4")).alias("bonus_global"))

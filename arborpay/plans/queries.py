@@ -330,7 +330,7 @@ def order_stream_state(s: Settlement) -> DataFrame:
     """Ranks and leg volumes of every member as a stream of orders leaves them."""
     stream = _streamed(s)
     legs = stream.legs(s.d.period).where("pv_1l <> 0 or pv_2l <> 0")
-    rows = stream.ranks(s.d.period).join(legs, "user_id", "left")
+    rows = stream.ranks(s.d.period).join(legs.hint("merge"), "user_id", "left")
     rows = rows.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("pv_1l", "pv_2l")})
     return money(rows.select("user_id", "gpv", "legs", "virtual_width", "is_elite", "contrib", "rank", "pv_1l", "pv_2l"), "gpv", "contrib", "pv_1l", "pv_2l")
 
@@ -392,7 +392,7 @@ def performance_of_run(s: Settlement) -> DataFrame:
     run = runs.begin(s.d.period, first=True)
     runs.end(s.d.period, run, {"performance": s.month, "rank": s.ranks})
     rows = runs.read(s.d.period, "performance").select("user_id", "pv_own", "pv_team", "is_active")
-    return money(rows.join(runs.read(s.d.period, "rank").select("user_id", "rank"), "user_id", "left"), "pv_own", "pv_team")
+    return money(rows.join(runs.read(s.d.period, "rank").select("user_id", "rank").hint("merge"), "user_id", "left"), "pv_own", "pv_team")
 
 
 def _over_ragged_tree(f: Callable[[Settlement], DataFrame]) -> Query:

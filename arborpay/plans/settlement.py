@@ -177,4 +177,4 @@ class Settlement:
 def tree_depths(s: Settlement) -> DataFrame:
     """Depths in both trees, by member."""
     first = s.sponsor.select("user_id", F.col("depth").alias("sponsor_depth"))
-    return first.join(s.placement.select("user_id", F.col("depth").alias("placement_depth")), "user_id", "full_outer")
+    return first.join(s.placement.select("user_id", F.col("depth").alias("placement_depth")).hint("merge"), "user_id", "full_outer")

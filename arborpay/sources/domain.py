@@ -69,7 +69,7 @@ def load(spark: SparkSession, sf_dir: str, period: int = PERIOD, config: Config
         (F.col("o_orderkey") % 3 + 1).cast("int").alias("type_id"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.floor(F.col("o_custkey") / 7).cast("long")).alias("stockist_id"),
     )
-    orders = orders.join(members.select("user_id", "country_id"), "user_id", "left")
+    orders = orders.join(members.select("user_id", "country_id").hint("merge"), "user_id", "left")
     enrolled = customer.where(key % 20 == 0).select(key.alias("user_id"), F.lit("CAR").alias("kind"), (key % 3 + period - 1).cast("int").alias("end_period"), F.lit(50_000).cast("long").alias("capping"))
     enrolled = enrolled.unionByName(customer.where(key % 25 == 0).select(key.alias("user_id"), F.lit("ROOM").alias("kind"), (key % 3 + period - 1).cast("int").alias("end_period"), F.lit(30_000).cast("long").alias("capping")))
     past = orders.where(F.col("period").between(period - 15, period - 1)).groupBy("user_id", "period").agg(F.sum("pv").alias("pv"))

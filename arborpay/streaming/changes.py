@@ -76,7 +76,7 @@ def merge(table: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:
 
 def diff(old: DataFrame, new: DataFrame, key: str, value: str, only_up: bool = False) -> DataFrame:
     """Change events of a value between two snapshots: UP, DOWN, or only rises."""
-    rows = new.select(key, F.col(value).alias("new_value")).join(old.select(key, F.col(value).alias("old_value")), key, "full_outer")
+    rows = new.select(key, F.col(value).alias("new_value")).join(old.select(key, F.col(value).alias("old_value")).hint("merge"), key, "full_outer")
     rows = rows.select(key, F.coalesce("old_value", F.lit(0)).alias("old_value"), F.coalesce("new_value", F.lit(0)).alias("new_value"))
     rows = rows.where("new_value > old_value" if only_up else "new_value <> old_value")
     return rows.withColumn("direction", F.when(F.col("new_value") > F.col("old_value"), "UP").otherwise("DOWN"))

@@ -33,7 +33,7 @@ def new_orders(events: DataFrame, applied: DataFrame) -> DataFrame:
     rest = [c for c in events.columns if c not in ("order_id", "event_ts")]
     first = [c for c in ("event_ts",) if c in events.columns]
     rows = events.groupBy("order_id").agg(F.min(F.struct(*first, *rest)).alias("e")).select("order_id", "e.*").select(events.columns)
-    return rows.join(applied.select("order_id"), "order_id", "left_anti")
+    return rows.join(applied.select("order_id").hint("merge"), "order_id", "left_anti")
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,7 +58,7 @@ def decide(state: DataFrame, orders: DataFrame) -> DataFrame:
     Nor is an order of a member that the state doesn't know. What is accepted is accepted again from the same state.
     """
     by = [c for c in ("event_ts", "order_id") if c in orders.columns]
-    rows = orders.withColumn("pv", F.col("pv").cast("long")).join(state.select("user_id", or_zero("pv_own").cast("long").alias("pv_own")), "user_id", "left")
+    rows = orders.withColumn("pv", F.col("pv").cast("long")).join(state.select("user_id", or_zero("pv_own").cast("long").alias("pv_own")).hint("merge"), "user_id", "left")
     rows = rows.select(*orders.columns, "pv_own")
     schema = rows.drop("pv_own").withColumn("accepted", F.lit(True)).schema
     return rows.repartition("user_id").sortWithinPartitions("user_id", *by).mapInArrow(_decide, schema)
@@ -84,19 +84,19 @@ def apply_leg_volume(ws: Workspace, state: DataFrame, placement: DataFrame, orde
     up = tree.ancestors(ws, placement, own).where("level >= 1")
     # The leg under an ancestor is that of the path's last member below it.
     below = up.select("descendant", F.col("ancestor").alias("under"), (F.col("level") + 1).alias("level")).unionByName(own.select(F.col("user_id").alias("descendant"), F.col("user_id").alias("under"), F.lit(1).alias("level")))
-    paths = up.join(below, ["descendant", "level"]).join(placement.select(F.col("user_id").alias("under"), "leg"), "under")
-    delta = paths.join(own.withColumnRenamed("user_id", "descendant"), "descendant")
+    paths = up.join(below.hint("merge"), ["descendant", "level"]).join(placement.select(F.col("user_id").alias("under"), "leg").hint("merge"), "under")
+    delta = paths.join(own.withColumnRenamed("user_id", "descendant").hint("merge"), "descendant")
     sums = delta.groupBy(F.col("ancestor").alias("user_id")).agg(*[F.coalesce(F.sum(F.when(F.col("leg") == k, F.col("pv"))), F.lit(0)).alias(f"d{k}") for k in (1, 2)])
-    rows = state.join(sums, "user_id", "full_outer")
+    rows = state.join(sums.hint("merge"), "user_id", "full_outer")
     return rows.select("user_id", (or_zero("pv_1l") + or_zero("d1")).cast("long").alias("pv_1l"), (or_zero("pv_2l") + or_zero("d2")).cast("long").alias("pv_2l"))
 
 
 def _refold(ws: Workspace, state: DataFrame, touched: DataFrame, side: DataFrame, gives: dict, takes) -> DataFrame:
     """The state with touched members (user_id) folded anew; ``side`` (user_id, ...) is what their other children give, by the names of ``gives``."""
-    kept = state.join(touched, "user_id", "left_anti")
-    beside = side.join(touched.select(F.col("user_id").alias("child")), "child", "left_anti").groupBy("user_id").agg(*[x.alias(f"side_{name}") for name, x in _again(gives).items()])
+    kept = state.join(touched.hint("merge"), "user_id", "left_anti")
+    beside = side.join(touched.select(F.col("user_id").alias("child")).hint("merge"), "child", "left_anti").groupBy("user_id").agg(*[x.alias(f"side_{name}") for name, x in _again(gives).items()])
     own = ["user_id", "parent_id", "depth", "pv_own"]
-    nodes = state.join(touched, "user_id", "left_semi").select(*own).join(beside, "user_id", "left")
+    nodes = state.join(touched.hint("merge"), "user_id", "left_semi").select(*own).join(beside.hint("merge"), "user_id", "left")
     return kept.unionByName(tree.fold(ws, nodes, gives, takes).select(kept.columns))
 
 
@@ -136,7 +136,7 @@ def _after_orders(ws: Workspace, state: DataFrame, sponsor: DataFrame, orders: D
     accepted = decide(state, orders).where("accepted")
     sound = ws.table(accepted.groupBy("user_id").agg(F.sum("pv").alias("delta")), "sound")
     touched = ws.table(affected(ws, sponsor, sound), "touched")
-    state = state.join(sound, "user_id", "left").withColumn("pv_own", (or_zero("pv_own") + or_zero("delta")).cast("long")).select(state.columns)
+    state = state.join(sound.hint("merge"), "user_id", "left").withColumn("pv_own", (or_zero("pv_own") + or_zero("delta")).cast("long")).select(state.columns)
     return _fold_of(ws, state, touched, rules, finish)
 
 
@@ -156,8 +156,8 @@ def apply_bonus(ws: Workspace, state: DataFrame, sponsor: DataFrame, orders: Dat
     anew; volume flows on to the next member above that no longer stops it.
     """
     placed = tree.depths(ws, sponsor)
-    buyers = orders.select("user_id").distinct().join(placed.select("user_id"), "user_id", "left_semi")
-    new = placed.join(affected(ws, sponsor, buyers), "user_id", "left_semi").join(state.select("user_id"), "user_id", "left_anti")
+    buyers = orders.select("user_id").distinct().join(placed.select("user_id").hint("merge"), "user_id", "left_semi")
+    new = placed.join(affected(ws, sponsor, buyers).hint("merge"), "user_id", "left_semi").join(state.select("user_id").hint("merge"), "user_id", "left_anti")
     blank = [F.lit(0).cast(state.schema[c].dataType).alias(c) for c in state.columns if c not in ("user_id", "parent_id", "depth")]
     state = ws.table(state.unionByName(new.select("user_id", "parent_id", "depth", *blank)), "bonus-state")
     return _after_orders(ws, state, sponsor, orders, _BONUS, _bonus_of)
@@ -175,7 +175,7 @@ def patch(ws: Workspace, edges: DataFrame, moves: DataFrame) -> DataFrame:
     twice raise TreeError, and then nothing of the patch holds.
     """
     columns = ["user_id", "parent_id", *([c for c in ("leg",) if c in edges.columns])]
-    new = ws.table(edges.select(columns).join(moves.select("user_id"), "user_id", "left_anti").unionByName(moves.select(columns)), "patched")
+    new = ws.table(edges.select(columns).join(moves.select("user_id").hint("merge"), "user_id", "left_anti").unionByName(moves.select(columns)), "patched")
     if "leg" in columns:
         placed = tree.without_roots(new)
         twice = placed.groupBy("parent_id", "leg").count().where("count > 1").select(F.col("parent_id").alias("user_id"))
@@ -192,7 +192,7 @@ def apply_moves(ws: Workspace, state: DataFrame, old: DataFrame, new: DataFrame,
     with no volume. Depths change in whole subtrees and are taken over.
     """
     placed = new.select("user_id", "parent_id", "depth")
-    fresh = placed.join(state.drop("parent_id", "depth"), "user_id", "left").select(state.columns)
+    fresh = placed.join(state.drop("parent_id", "depth").hint("merge"), "user_id", "left").select(state.columns)
     zero = [c for c in state.columns if c not in ("user_id", "parent_id", "depth", "is_elite")]
     fresh = ws.table(fresh.withColumns({c: F.coalesce(c, F.lit(0)).cast(state.schema[c].dataType) for c in zero}).withColumn("is_elite", F.coalesce("is_elite", F.lit(False))), "moved-state")
     touched = affected(ws, old, moves).union(affected(ws, new, moves)).distinct()

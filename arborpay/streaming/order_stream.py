@@ -110,7 +110,7 @@ class OrderStream:
         """Write a period's part of a batch; its events, and whether the state was written in full."""
         known = self.decided(period)
         # The ids of all earlier orders aren't shuffled where those of the batch are few enough to go to them.
-        again = known.join(orders.select("order_id").distinct(), "order_id", "left_semi").select("order_id")
+        again = known.join(orders.select("order_id").distinct().hint("merge"), "order_id", "left_semi").select("order_id")
         old, legs = ws.table(self.ranks(period), "ranks-before"), ws.table(self.legs(period), "legs-before")
         got = incremental.apply_batch(ws, old, legs, self.sponsor, self.placement, orders, again)
         new, new_legs = ws.table(got.ranks, "ranks-after"), ws.table(got.legs, "legs-after")
@@ -118,7 +118,7 @@ class OrderStream:
         full = not numbers or len(numbers) > CHANGES
         for name, before, after in (("ranks", old, new), ("legs", legs, new_legs)):
             self._write(after if full else _changed(before, after), name, number, period)
-        accepted = got.applied.join(again, "order_id", "left_anti").select("order_id", F.lit(True).alias("accepted"))
+        accepted = got.applied.join(again.hint("merge"), "order_id", "left_anti").select("order_id", F.lit(True).alias("accepted"))
         self._write(accepted.unionByName(got.rejected.select("order_id", F.lit(False).alias("accepted"))), "decided", number, period)
         moved = changes.diff(old, new, "user_id", "rank")
         key = F.concat_ws(":", F.lit(period), F.col("user_id"), F.lit(number))
@@ -207,7 +207,7 @@ def _changed(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows that weren't there or differ."""
     rest = [c for c in after.columns if c != "user_id"]
     was = before.select("user_id", F.struct(*rest).alias("_was"))
-    return after.join(was, "user_id", "left").where(~F.struct(*rest).eqNullSafe(F.col("_was"))).select(after.columns)
+    return after.join(was.hint("merge"), "user_id", "left").where(~F.struct(*rest).eqNullSafe(F.col("_was"))).select(after.columns)
 
 
 def into(path: str) -> Callable[[DataFrame, int], None]:
