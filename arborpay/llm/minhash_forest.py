@@ -5,7 +5,9 @@ each, neighbours with the longest common prefix are the first candidates; links
 the full sets, give a first set of components. A region is a run of rows with a common prefix: of
 ``DEPTHS[0]`` values at first, and of more where a region has so many pairs from different components
 that comparing them would be too much. Pairs across components of a region that is small enough are
-compared. At a similarity of 0.75 a pair shares no region of the least depth with probability
+compared. Before that, a few trees give each such comparison's spanning forest alone, its most similar
+pairs first: a group of near copies becomes one component by as many pairs as it has rows, and what is then
+compared whole is what still stands in different components. At a similarity of 0.75 a pair shares no region of the least depth with probability
 (1 - 0.75**4)**40 = 2.5e-7, and its estimate is too low for a confirmation with 2e-4.
 
 What deepening takes apart is found in an exact way: documents of deepened regions are joined on the
@@ -19,6 +21,7 @@ one row, however large it is.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,6 +38,8 @@ TREES, ORDER = 40, 12
 HASHES = TREES * ORDER
 #: Lengths of the prefix of a region, the next where the one before leaves too much; pairs across components that are compared in one region.
 DEPTHS, CROWD = (4, 6, 8, 12), 1 << 20
+#: Trees whose regions are first searched for forests.
+FOREST_TREES = 8
 #: Pairs across components whose estimated similarity is under this are not confirmed: 3.5 standard deviations under 0.75.
 ESTIMATE = 0.68
 #: Rows of a block of a region; bits of the buckets in which shingles are counted for the exact way.
@@ -179,8 +184,28 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(keep, pa.int64())).select([0, 1])
 
 
-def _across(table: pa.Table) -> pa.Table:
-    """Pairs of a block pair from different components with similar signatures."""
+def _spanning(a: np.ndarray, b: np.ndarray, near: np.ndarray, comp_a: np.ndarray, comp_b: np.ndarray) -> np.ndarray:
+    """Places of the pairs that join components which more similar pairs haven't joined: fewer than there are components."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    keep = []
+    order = np.lexsort((b, a, -near))
+    for k, x, y in zip(order.tolist(), comp_a[order].tolist(), comp_b[order].tolist(), strict=True):
+        x, y = top(x), top(y)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            keep.append(k)
+    return np.array(keep, np.int64)
+
+
+def _similar(table: pa.Table, forest: bool) -> pa.Table:
+    """Pairs of a block pair from different components with similar signatures, or a spanning forest of them."""
     doc = table.column("doc").to_numpy()
     comp = table.column("comp").to_numpy()
     size = table.column("n_shingles").to_numpy()
@@ -188,18 +213,34 @@ def _across(table: pa.Table) -> pa.Table:
     i0, j0 = table.column("i")[0].as_py(), table.column("j")[0].as_py()
     sig = _signatures(table.column("sig"))
     left, right = np.flatnonzero(side == i0), np.flatnonzero(side == j0)
-    outs_a, outs_b = [], []
+    empty = np.empty(0, np.int64)
+    xs, ys, nears = [empty], [empty], [empty]
     for k, x in enumerate(left):
         others = right[k + 1 :] if i0 == j0 else right
         others = others[comp[others] != comp[x]]
         low, high = np.minimum(size[others], size[x]), np.maximum(size[others], size[x])
         others = others[low * DEN >= NUM * high]
         if len(others):
-            others = others[(sig[others] == sig[x]).sum(axis=1) >= ESTIMATE * HASHES]
-            outs_a.append(np.minimum(doc[others], doc[x]))
-            outs_b.append(np.maximum(doc[others], doc[x]))
-    empty = np.empty(0, np.int64)
-    return pa.table({"a": np.concatenate(outs_a) if outs_a else empty, "b": np.concatenate(outs_b) if outs_b else empty})
+            near = (sig[others] == sig[x]).sum(axis=1)
+            good = near >= ESTIMATE * HASHES
+            others = others[good]
+            xs.append(np.full(len(others), x))
+            ys.append(others)
+            nears.append(near[good])
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    a, b = np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])
+    if forest:
+        keep = _spanning(a, b, np.concatenate(nears), comp[x], comp[y])
+        a, b = a[keep], b[keep]
+    return pa.table({"a": a, "b": b})
+
+
+def _across(table: pa.Table) -> pa.Table:
+    return _similar(table, forest=False)
+
+
+def _likeliest(table: pa.Table) -> pa.Table:
+    return _similar(table, forest=True)
 
 
 def _full_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -290,21 +331,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = ws.table(connected_components(ws, links), "comps")
 
     # Regions that still hold several components: pairs across components, deeper where there are too many.
-    open_ = crowd.select("tree", "v1", "v2", "v3", "doc").join(comps.select(F.col("v").alias("doc"), "root"), "doc", "left").withColumn("comp", F.coalesce("root", "doc")).drop("root")
-    open_ = ws.table(open_, "open")
-    across, crowded = [], []
-    for depth in DEPTHS:
-        key = ["tree", "p1", "p2", "p3"]
-        rows = open_.select("tree", "v1", "v2", "v3", "doc", "comp", *_prefix(depth))
-        sums = ws.table(_mixed(rows, key), "regions")
-        small = F.col("n_rest") * (F.col("n_main") + F.col("n_rest")) <= CROWD
-        across.append(_pairs(ws, rows, sums.where(small), key, signed))
-        large = sums.where(~small).select(*key)
-        if large.isEmpty():
-            break
-        open_ = ws.table(rows.join(large, key, "left_semi").select("tree", "v1", "v2", "v3", "doc", "comp"), "open")
-        if depth == DEPTHS[0]:
-            crowded.append(open_.select("doc").distinct())
+    def regions(comps: DataFrame, trees: int, pairs_of: Callable) -> tuple[list[DataFrame], list[DataFrame]]:
+        """Pairs across components by depth, and the documents of crowded regions."""
+        open_ = crowd.where(F.col("tree") < trees).select("tree", "v1", "v2", "v3", "doc")
+        open_ = open_.join(comps.select(F.col("v").alias("doc"), "root"), "doc", "left").withColumn("comp", F.coalesce("root", "doc")).drop("root")
+        open_ = ws.table(open_, "open")
+        across, crowded = [], []
+        for depth in DEPTHS:
+            key = ["tree", "p1", "p2", "p3"]
+            rows = open_.select("tree", "v1", "v2", "v3", "doc", "comp", *_prefix(depth))
+            sums = ws.table(_mixed(rows, key), "regions")
+            small = F.col("n_rest") * (F.col("n_main") + F.col("n_rest")) <= CROWD
+            across.append(_pairs(ws, rows, sums.where(small), key, signed, pairs_of))
+            large = sums.where(~small).select(*key)
+            if large.isEmpty():
+                break
+            open_ = ws.table(rows.join(large, key, "left_semi").select("tree", "v1", "v2", "v3", "doc", "comp"), "open")
+            if depth == DEPTHS[0]:
+                crowded.append(open_.select("doc").distinct())
+        return across, crowded
+
+    first, _ = regions(comps, FOREST_TREES, _likeliest)
+    links = links.union(confirm(functools.reduce(DataFrame.unionByName, first).distinct()))
+    comps = ws.table(connected_components(ws, links), "comps")
+    across, crowded = regions(comps, TREES, _across)
     if crowded:
         sets = packed.join(crowded[0], "doc", "left_semi")
         found = sets.mapInArrow(_bucket_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # 2**RARE_BITS rows at most
@@ -312,11 +362,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         counts[found["bucket"]] = found["n"]
         keyed = sets.mapInArrow(_rarest(counts), "key long, doc long").join(comps.select(F.col("v").alias("doc"), "root"), "doc", "left")
         keyed = ws.table(keyed.select("key", "doc", F.coalesce("root", "doc").alias("comp")), "rarest")
-        across.append(_pairs(ws, keyed, ws.table(_mixed(keyed, ["key"]), "keys"), ["key"], signed))
-    both = across[0]
-    for more in across[1:]:
-        both = both.unionByName(more)
-    more = confirm(both.distinct())
+        across.append(_pairs(ws, keyed, ws.table(_mixed(keyed, ["key"]), "keys"), ["key"], signed, _across))
+    more = confirm(functools.reduce(DataFrame.unionByName, across).distinct())
 
     every = copies.union(links).union(more)
     roots = ws.table(connected_components(ws, every), "roots")
@@ -333,7 +380,7 @@ def _mixed(rows: DataFrame, key: list[str]) -> DataFrame:
     return sums.select(*key, F.col("top.comp").alias("main"), F.col("top.n").alias("n_main"), (F.col("n") - F.col("top.n")).alias("n_rest"))
 
 
-def _pairs(ws: Workspace, rows: DataFrame, sums: DataFrame, key: list[str], signed: DataFrame) -> DataFrame:
+def _pairs(ws: Workspace, rows: DataFrame, sums: DataFrame, key: list[str], signed: DataFrame, pairs_of: Callable) -> DataFrame:
     """Similar pairs across the components of each key, compared in blocks; the largest component's rows meet the rest alone."""
     cells = rows.join(sums, key)
     rest_blocks = F.greatest(F.lit(1), F.ceil(F.col("n_rest") / BLOCK)).cast("int")
@@ -345,4 +392,4 @@ def _pairs(ws: Workspace, rows: DataFrame, sums: DataFrame, key: list[str], sign
     partners = F.when(is_main, F.sequence(F.lit(0), rest_blocks - 1)).otherwise(F.sequence(F.lit(0), rest_blocks + main_blocks - 1))
     cells = cells.withColumn("other", F.explode(partners)).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     cells = cells.join(signed, "doc").select(*key, "i", "j", "block", "doc", "comp", "n_shingles", "sig")
-    return ws.table(cells.groupBy(*key, "i", "j").applyInArrow(_across, "a long, b long").distinct(), "across")
+    return ws.table(cells.groupBy(*key, "i", "j").applyInArrow(pairs_of, "a long, b long").distinct(), "across")

@@ -84,6 +84,35 @@ def test_crowded_regions_are_deepened_without_losing_a_link(spark, monkeypatch):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted((i, len(x), root[i]) for i, x in sets)
 
 
+def test_a_group_of_near_copies_gives_out_few_pairs(spark, monkeypatch):
+    """Forests join a family first; with none of them, the pairs that are given out grow with its square."""
+    from arborpay.llm import minhash_forest
+
+    rng = np.random.default_rng(6)
+    base = list(rng.choice([f"w{i}" for i in range(5000)], 150))
+    rows = [(i, varied(rng, base, 0.022)) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keep, given = Workspace.table, []
+
+    def table(self, df, name="t", **more):
+        out = keep(self, df, name, **more)
+        if name == "across":
+            given.append(out.count())
+        return out
+
+    monkeypatch.setattr(Workspace, "table", table)
+    got, sums = [], []
+    for trees in (0, minhash_forest.FOREST_TREES):
+        monkeypatch.setattr(minhash_forest, "FOREST_TREES", trees)
+        given.clear()
+        got.append(sorted((r["doc_id"], r["component_id"]) for r in near_duplicates(docs).collect()))
+        sums.append(sum(given))
+    sets = {i: brute_sets(t) for i, t in rows}
+    root = components(sets, [(a, b) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])])
+    assert got[0] == got[1] == sorted(root.items())
+    assert sums[1] < min(8 * len(rows), 0.7 * sums[0])
+
+
 def test_minhash_forest_odd_rows(spark):
     schema = "doc_id long, text string"
     assert near_duplicates(spark.createDataFrame([], schema)).count() == 0
