@@ -7,7 +7,7 @@ the full sets, give a first set of components. A region is a run of rows with a
 that comparing them would be too much. Pairs across components of a region that is small enough are
 compared. Before that, a few trees give each such comparison's spanning forest alone, its most similar
 pairs first: a group of near copies becomes one component by as many pairs as it has rows, and what is then
-compared whole is what still stands in different components. At a similarity of 0.75 a pair shares no region of the least depth with probability
+compared whole is what still stands in different components, each pair in the first tree that has it. At a similarity of 0.75 a pair shares no region of the least depth with probability
 (1 - 0.75**4)**40 = 2.5e-7, and its estimate is too low for a confirmation with 2e-4.
 
 What deepening takes apart is found in an exact way: documents of deepened regions are joined on the
@@ -204,14 +204,18 @@ def _spanning(a: np.ndarray, b: np.ndarray, near: np.ndarray, comp_a: np.ndarray
     return np.array(keep, np.int64)
 
 
-def _similar(table: pa.Table, forest: bool) -> pa.Table:
-    """Pairs of a block pair from different components with similar signatures, or a spanning forest of them."""
+def _similar(table: pa.Table, forest: bool = False, once: bool = False) -> pa.Table:
+    """Pairs of a block pair from different components with similar signatures, or a spanning forest of them.
+
+    With ``once``, of regions of the least depth, a pair only comes from the first tree that has it in a region.
+    """
     doc = table.column("doc").to_numpy()
     comp = table.column("comp").to_numpy()
     size = table.column("n_shingles").to_numpy()
     side = table.column("block").to_numpy()
     i0, j0 = table.column("i")[0].as_py(), table.column("j")[0].as_py()
     sig = _signatures(table.column("sig"))
+    tree = table.column("tree")[0].as_py() if once else None
     left, right = np.flatnonzero(side == i0), np.flatnonzero(side == j0)
     empty = np.empty(0, np.int64)
     xs, ys, nears = [empty], [empty], [empty]
@@ -223,10 +227,14 @@ def _similar(table: pa.Table, forest: bool) -> pa.Table:
         if len(others):
             near = (sig[others] == sig[x]).sum(axis=1)
             good = near >= ESTIMATE * HASHES
-            others = others[good]
+            others, near = others[good], near[good]
+            if once:
+                heads = (sig[others] == sig[x]).reshape(len(others), TREES, ORDER)[:, :, : DEPTHS[0]].all(axis=2)
+                good = heads.argmax(axis=1) == tree
+                others, near = others[good], near[good]
             xs.append(np.full(len(others), x))
             ys.append(others)
-            nears.append(near[good])
+            nears.append(near)
     x, y = np.concatenate(xs), np.concatenate(ys)
     a, b = np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])
     if forest:
@@ -236,7 +244,11 @@ def _similar(table: pa.Table, forest: bool) -> pa.Table:
 
 
 def _across(table: pa.Table) -> pa.Table:
-    return _similar(table, forest=False)
+    return _similar(table)
+
+
+def _once(table: pa.Table) -> pa.Table:
+    return _similar(table, once=True)
 
 
 def _likeliest(table: pa.Table) -> pa.Table:
@@ -331,7 +343,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = ws.table(connected_components(ws, links), "comps")
 
     # Regions that still hold several components: pairs across components, deeper where there are too many.
-    def regions(comps: DataFrame, trees: int, pairs_of: Callable) -> tuple[list[DataFrame], list[DataFrame]]:
+    # A pair whose first tree has it in a crowded region is among those of the exact way.
+    def regions(comps: DataFrame, trees: int, pairs_of: Callable, deeper: Callable) -> tuple[list[DataFrame], list[DataFrame]]:
         """Pairs across components by depth, and the documents of crowded regions."""
         open_ = crowd.where(F.col("tree") < trees).select("tree", "v1", "v2", "v3", "doc")
         open_ = open_.join(comps.select(F.col("v").alias("doc"), "root"), "doc", "left").withColumn("comp", F.coalesce("root", "doc")).drop("root")
@@ -342,7 +355,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             rows = open_.select("tree", "v1", "v2", "v3", "doc", "comp", *_prefix(depth))
             sums = ws.table(_mixed(rows, key), "regions")
             small = F.col("n_rest") * (F.col("n_main") + F.col("n_rest")) <= CROWD
-            across.append(_pairs(ws, rows, sums.where(small), key, signed, pairs_of))
+            across.append(_pairs(ws, rows, sums.where(small), key, signed, pairs_of if depth == DEPTHS[0] else deeper))
             large = sums.where(~small).select(*key)
             if large.isEmpty():
                 break
@@ -351,10 +364,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 crowded.append(open_.select("doc").distinct())
         return across, crowded
 
-    first, _ = regions(comps, FOREST_TREES, _likeliest)
+    first, _ = regions(comps, FOREST_TREES, _likeliest, _likeliest)
     links = links.union(confirm(functools.reduce(DataFrame.unionByName, first).distinct()))
     comps = ws.table(connected_components(ws, links), "comps")
-    across, crowded = regions(comps, TREES, _across)
+    across, crowded = regions(comps, TREES, _once, _across)
     if crowded:
         sets = packed.join(crowded[0], "doc", "left_semi")
         found = sets.mapInArrow(_bucket_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # 2**RARE_BITS rows at most

@@ -113,6 +113,21 @@ def test_a_group_of_near_copies_gives_out_few_pairs(spark, monkeypatch):
     assert sums[1] < min(8 * len(rows), 0.7 * sums[0])
 
 
+def test_a_pair_comes_from_one_tree():
+    """Two unlinked texts share regions of many trees; the first of them gives the pair out, the others don't."""
+    import pyarrow as pa
+
+    from arborpay.llm import minhash_forest as m
+
+    sets = [np.arange(1, 401, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.arange(61, 461, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)]
+    sigs = [m.signature(x) for x in sets]
+    heads = np.array([np.frombuffer(x, "<u2").reshape(m.TREES, m.ORDER)[:, : m.DEPTHS[0]] for x in sigs])
+    shared = np.flatnonzero((heads[0] == heads[1]).all(axis=1)).tolist()
+    block = lambda tree: pa.table({"tree": [tree] * 2, "i": [0] * 2, "j": [0] * 2, "block": [0] * 2, "doc": [5, 9], "comp": [5, 9], "n_shingles": [400] * 2, "sig": pa.array(sigs, pa.binary())})
+    assert len(shared) > 3 and all(m._across(block(t)).num_rows == 1 for t in shared)
+    assert [m._once(block(t)).to_pylist() for t in shared] == [[{"a": 5, "b": 9}]] + [[]] * (len(shared) - 1)
+
+
 def test_minhash_forest_odd_rows(spark):
     schema = "doc_id long, text string"
     assert near_duplicates(spark.createDataFrame([], schema)).count() == 0
