@@ -18,6 +18,8 @@ import regex
 
 #: Entries a worker keeps before it starts afresh; bounds the memory of one Python worker.
 CACHE_ENTRIES = 600_000
+#: Marks that make a piece of their own after a word.
+_MARKS = b".,;:!?"
 _WORKER: dict[str, "ChunkTokenizer | ByteEncoding"] = {}
 
 
@@ -61,7 +63,9 @@ class ChunkTokenizer:
         """Ids of one lower-case piece that the pre-tokenizer leaves whole."""
         out = self.pieces.get(piece)
         if out is None:
-            mapped = piece.encode().decode("latin-1").translate(self.letters)
+            # Printable ASCII stands for itself; a piece has no space.
+            plain = piece.isascii() and piece.isprintable()
+            mapped = piece if plain else piece.encode().decode("latin-1").translate(self.letters)
             out = b"".join([self.ids[t.id] for t in self.model.tokenize(mapped)])
             if len(piece) < 7:  # suffixes, marks and short words come back; long ones are in the chunk cache
                 self.pieces[piece] = out
@@ -69,6 +73,11 @@ class ChunkTokenizer:
 
     def _chunk(self, raw: bytes) -> bytes:
         """Ids of one unseen chunk. Latin-1 text is already in composed form; anything else takes the library's way."""
+        if raw.isalpha():  # ASCII letters are one piece
+            return self._piece(raw.lower().decode())
+        word, mark = raw[:-1].lower(), raw[-1:]
+        if mark in _MARKS and word.isalpha():  # a long word is kept as a chunk, so marks don't have it encoded again
+            return (self.cache[word] if len(word) > 6 else self._piece(word.decode())) + self._piece(mark.decode())
         chunk = raw.decode()
         if max(chunk) < "\u0100" and "<|" not in chunk:
             pieces = self.split(chunk.lower())

@@ -223,3 +223,18 @@ def test_conversations(spark):
     row = formatted.where("conv_id = 2").first()
     assert not any(row["loss"]) and len(row["ids"]) == len(row["token_starts"]) == len(row["loss"])
     assert conversation_digests(format_conversations(df.limit(0))).count() == 0
+
+
+def test_a_long_word_is_encoded_once_with_and_without_a_mark():
+    tok = ChunkTokenizer("word_bpe_49k.json")
+    asked, model = [], tok.model
+
+    class Counted:
+        def tokenize(self, piece):
+            asked.append(piece)
+            return model.tokenize(piece)
+
+    tok.model = Counted()
+    text = "Qwertyuiopas qwertyuiopas, qwertyuiopas. QWERTYUIOPAS; short short. a! b's x.y é, naïvetés. qwertyuiopas.. 1? ?"
+    assert tok.encode([text.encode()]) == [tok.whole(text)]
+    assert asked.count("qwertyuiopas") == 2  # once for the cache, once in a chunk of other marks
