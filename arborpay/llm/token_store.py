@@ -36,18 +36,23 @@ SEEN = 200_000
 _TABLE = np.random.default_rng(8).integers(0, 2**64, 65536, dtype=np.uint64)
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of an id stream; the last is its length."""
+def _marks(ids: np.ndarray) -> np.ndarray:
+    """Ends of the windows whose hash asks for a cut; a window's hash doesn't depend on where it stands."""
     n = len(ids)
-    if n <= LEAST:
-        return [n] if n else []
+    if n <= WINDOW:
+        return np.empty(0, np.int64)
     up, down = power_tables(n)
     with np.errstate(over="ignore"):
         run = np.cumsum(_TABLE[ids & 0xFFFF] * up[:n], dtype=np.uint64)
         h = (run[WINDOW:] - run[:-WINDOW]) * down[1 : n - WINDOW + 1]
-    at = np.flatnonzero((h >> np.uint64(64 - CUT_BITS)) == 0) + WINDOW + 1
+    return np.flatnonzero((h >> np.uint64(64 - CUT_BITS)) == 0) + WINDOW + 1
+
+
+def _ends(marks: list[int], n: int) -> list[int]:
+    if n <= LEAST:
+        return [n] if n else []
     ends, start = [], 0
-    for end in [*at.tolist(), n]:
+    for end in [*marks, n]:
         while end - start > MOST:
             start += MOST
             ends.append(start)
@@ -59,6 +64,20 @@ def cuts(ids: np.ndarray) -> list[int]:
     return ends
 
 
+def cuts(ids: np.ndarray) -> list[int]:
+    """Ends of the chunks of an id stream; the last is its length."""
+    return _ends(_marks(ids).tolist(), len(ids))
+
+
+def cuts_of_all(flat: np.ndarray, sizes: list[int]) -> Iterator[list[int]]:
+    """The cuts of streams that stand one after the other. Windows that reach into the stream before end too early to cut."""
+    marks, start = _marks(flat), 0
+    for n in sizes:
+        low, high = np.searchsorted(marks, (start, start + n)) if n > LEAST else (0, 0)
+        yield _ends((marks[low:high] - start).tolist(), n)
+        start += n
+
+
 def merkle_root(leaves: list[bytes]) -> bytes:
     """Root of a binary hash tree; an odd node goes up as it is; no leaves: the hash of nothing."""
     level = leaves or [hashlib.sha256(b"").digest()]
@@ -68,6 +87,11 @@ def merkle_root(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
+def _body(chunk: np.ndarray) -> tuple[int, bytes]:
+    """Bytes per id of a chunk, and its bytes."""
+    return (2, chunk.astype("<u2").tobytes()) if chunk.max() < 65536 else (4, chunk.tobytes())
+
+
 def _encode(tokenizer: str, end_id: int) -> Callable:
     """Recipes (kind 0) and chunks (kind 1) of the documents of a partition."""
     end = struct.pack("<I", end_id)
@@ -81,13 +105,15 @@ def _encode(tokenizer: str, end_id: int) -> Callable:
             for at in range(0, len(batch), 128):
                 part = batch.slice(at, 128)
                 rows = []
-                for doc, raw in zip(part.column(0).to_pylist(), encode_column(part.column(1), tokenizer), strict=True):
-                    ids = np.frombuffer(raw + end, "<u4")
-                    digests, start = [], 0
-                    for stop in cuts(ids):
-                        chunk = ids[start:stop]
-                        width = 2 if chunk.max() < 65536 else 4
-                        body = chunk.astype("<u2").tobytes() if width == 2 else chunk.tobytes()
+                raws = [raw + end for raw in encode_column(part.column(1), tokenizer)]
+                flat, sizes = np.frombuffer(b"".join(raws), "<u4"), [len(raw) // 4 for raw in raws]
+                bodies = flat.astype("<u2").tobytes() if flat.max() < 65536 else None
+                first = 0
+                for doc, n, stops in zip(part.column(0).to_pylist(), sizes, cuts_of_all(flat, sizes), strict=True):
+                    digests, start = [], first
+                    for stop in stops:
+                        stop += first
+                        width, body = (2, bodies[2 * start : 2 * stop]) if bodies is not None else _body(flat[start:stop])
                         digest = hashlib.sha256(bytes([width]) + body).digest()
                         digests.append(digest)
                         if digest not in seen:
@@ -96,7 +122,8 @@ def _encode(tokenizer: str, end_id: int) -> Callable:
                             seen.add(digest)
                             rows.append((1, None, None, digest, width, pack(body)))
                         start = stop
-                    rows.append((0, doc, len(ids), b"".join(digests), None, None))
+                    first += n
+                    rows.append((0, doc, n, b"".join(digests), None, None))
                 types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["kind", "doc_id", "n_tokens", "digests", "width", "packed"])
 

@@ -59,14 +59,18 @@ class ChunkTokenizer:
         """The library's own result for a text."""
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _ids(self, mapped: str) -> bytes:
+        """Ids of a piece whose bytes stand as printable letters."""
+        found = self.model.tokenize(mapped)
+        return self.ids[found[0].id] if len(found) == 1 else b"".join([self.ids[t.id] for t in found])
+
     def _piece(self, piece: str) -> bytes:
         """Ids of one lower-case piece that the pre-tokenizer leaves whole."""
         out = self.pieces.get(piece)
         if out is None:
             # Printable ASCII stands for itself; a piece has no space.
             plain = piece.isascii() and piece.isprintable()
-            mapped = piece if plain else piece.encode().decode("latin-1").translate(self.letters)
-            out = b"".join([self.ids[t.id] for t in self.model.tokenize(mapped)])
+            out = self._ids(piece if plain else piece.encode().decode("latin-1").translate(self.letters))
             if len(piece) < 7:  # suffixes, marks and short words come back; long ones are in the chunk cache
                 self.pieces[piece] = out
         return out
@@ -74,14 +78,18 @@ class ChunkTokenizer:
     def _chunk(self, raw: bytes) -> bytes:
         """Ids of one unseen chunk. Latin-1 text is already in composed form; anything else takes the library's way."""
         if raw.isalpha():  # ASCII letters are one piece
-            return self._piece(raw.lower().decode())
+            return self._ids(raw.lower().decode())
         word, mark = raw[:-1].lower(), raw[-1:]
         if mark in _MARKS and word.isalpha():  # a long word is kept as a chunk, so marks don't have it encoded again
             return (self.cache[word] if len(word) > 6 else self._piece(word.decode())) + self._piece(mark.decode())
         chunk = raw.decode()
         if max(chunk) < "\u0100" and "<|" not in chunk:
-            pieces = self.split(chunk.lower())
-            return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
+            chunk = chunk.lower()
+            if chunk.isalpha():  # letters beyond ASCII are one piece, too
+                return self._piece(chunk)
+            if mark in _MARKS and chunk[:-1].isalpha():
+                return (self.cache[chunk[:-1].encode()] if len(chunk) > 7 else self._piece(chunk[:-1])) + self._piece(chunk[-1])
+            return b"".join(map(self._piece, self.split(chunk)))
         return self.whole(chunk)
 
     def encode(self, raws: list[bytes | None]) -> list[bytes]:

@@ -238,3 +238,20 @@ def test_a_long_word_is_encoded_once_with_and_without_a_mark():
     text = "Qwertyuiopas qwertyuiopas, qwertyuiopas. QWERTYUIOPAS; short short. a! b's x.y é, naïvetés. qwertyuiopas.. 1? ?"
     assert tok.encode([text.encode()]) == [tok.whole(text)]
     assert asked.count("qwertyuiopas") == 2  # once for the cache, once in a chunk of other marks
+
+
+def test_words_beyond_ascii_are_encoded_without_splitting():
+    tok = ChunkTokenizer("word_bpe_49k.json")
+    split, asked = tok.split, []
+    tok.split = lambda chunk: asked.append(chunk) or split(chunk)
+    text = "Ñandúes canción, canción. CANCIÓN; ß é. Ångströmen! µ ªº été's naïve.. 1é ÿ² \u212bngström \u212a."
+    assert tok.encode([text.encode()]) == [tok.whole(text)]
+    assert asked == ["été's", "naïve..", "1é", "ÿ²"]
+
+
+def test_cuts_of_streams_that_stand_together():
+    rng = np.random.default_rng(5)
+    run = rng.integers(0, 49_000, 9000).astype("<u4")
+    streams = [run[:n] for n in (1, 300, 9000, 256, 257, 5, 9000)] + [np.full(9000, 7, "<u4"), run[:1], rng.integers(0, 9, 20_000).astype("<u4"), run[1:4000]]
+    got = list(token_store.cuts_of_all(np.concatenate(streams), [len(x) for x in streams]))
+    assert got == [cuts(x) for x in streams] and len(got[2]) > 5
