@@ -255,29 +255,39 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def logprobs(own: Texts, key: np.ndarray, values: np.ndarray, cuts: list[float]) -> np.ndarray:
-    """Of each word of some texts, given the WORDS - 1 before it: counts are looked up, absent ones are 0."""
+def logprobs(own: Texts, key: np.ndarray, columns: list[np.ndarray], cuts: list[float]) -> np.ndarray:
+    """Of each word of some texts, given the WORDS - 1 before it: counts are looked up, absent ones are 0.
+
+    ``columns`` hold the counts c, t, x, y, z of each key. They are read one at a time, so a block's counts
+    aren't all held for each of its words.
+    """
     order = np.argsort(key)
-    key, values = key[order], values[order]
+    key = key[order]
 
-    def find(wanted: np.ndarray) -> np.ndarray:
-        if not len(key):
-            return np.zeros((len(wanted), 5))
+    def find(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a key's counts are, and whether it has any."""
         place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-        return np.where((key[place] == wanted)[:, None], values[place], 0)
+        return order[place], key[place] == wanted
+
+    def counts(column: int, at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        return np.where(at[1], columns[column][at[0]], 0).astype(float)
 
     first = own.starts(WORDS)
     p = np.full(len(first), 1 / cuts[0])
-    ctx = np.tile(np.array(cuts[-4:]), (len(first), 1))
     for n in range(1, WORDS + 1):
         cut = np.array([0.0, *cuts[3 * n - 2 : 3 * n + 1]])
         at = first + WORDS - n
-        c = find(keys(own.rows(at, n)))[:, 0]
-        if n > 1:
-            ctx = find(keys(own.rows(at, n - 1)))[:, 1:]
-        total = np.maximum(ctx[:, 0], 1)
-        here = (c - cut[np.minimum(c, 3).astype(int)]) / total + ctx[:, 1:] @ cut[1:] / total * p
-        p = np.where(ctx[:, 0] > 0, here, p)
+        c = counts(0, find(keys(own.rows(at, n)))) if len(key) else np.zeros(len(at))
+        if n == 1:
+            goes_on, left = np.full(len(at), cuts[-4]), np.full(len(at), np.array(cuts[-3:]) @ cut[1:])
+        elif len(key):
+            ctx = find(keys(own.rows(at, n - 1)))
+            goes_on, left = counts(1, ctx), sum(counts(k + 1, ctx) * cut[k] for k in (1, 2, 3))
+        else:
+            goes_on = left = np.zeros(len(at))
+        total = np.maximum(goes_on, 1)
+        here = (c - cut[np.minimum(c, 3).astype(int)]) / total + left / total * p
+        p = np.where(goes_on > 0, here, p)
     return np.log(p)
 
 
@@ -287,8 +297,7 @@ def _score(docs: pa.Table, found: pa.Table) -> pa.Table:
     cuts = docs.column("cuts")[0].as_py()
     if cuts and cuts[-4]:
         own = Texts(texts, docs.column("lang")[0].as_py())
-        values = np.stack([found.column(c).to_numpy().astype(float) for c in "ctxyz"], axis=1)
-        lost = -logprobs(own, found.column("key").to_numpy(), values, cuts)
+        lost = -logprobs(own, found.column("key").to_numpy(), [found.column(c).to_numpy() for c in "ctxyz"], cuts)
         sums = np.bincount(own.text[own.starts(WORDS)], lost, minlength=len(texts))
         entropy = [float(s / n) if n else None for s, n in zip(sums, own.sizes, strict=True)]
     return pa.table({"doc_id": docs.column("doc_id"), "lang": docs.column("lang_was"), "n_chars": pa.array([len(t) for t in texts], pa.int64()), "trusted": pa.array(docs.column("model").to_numpy() < FOLDS), "entropy": pa.array(entropy, pa.float64())})

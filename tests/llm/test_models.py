@@ -533,3 +533,25 @@ def test_quality_threshold_has_no_term_in_size(spark, monkeypatch):
     assert math.log(got[3000]["threshold"]) == pytest.approx(5.099, abs=3e-4) and not got[4000]["kept"]
     assert math.log(got[4001]["threshold"]) == pytest.approx(7.015 + 0.0495, abs=3e-4) and not got[4001]["kept"] and not got[4002]["kept"]
     assert not got[2000]["kept"] and got[2001]["kept"] and not got[2002]["kept"]
+
+
+def test_scoring_a_block_holds_few_bytes_a_word():
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 400)) for _ in range(500)]
+    own = quality_lm.Texts(texts, "en")
+    asked = np.concatenate([quality_lm.keys(own.distinct(n)[0]) for n in (1, 2, 3)])
+    found = pa.table({"block": pa.array(np.zeros(len(asked), np.int64)), "key": pa.array(asked), **{c: pa.array(rng.integers(1, 9, len(asked)).astype(np.int32)) for c in "ctxyz"}})
+    packed = pa.array([zstandard.ZstdCompressor().compress(t.encode()) for t in texts], pa.binary())
+    cuts = [5e3, 0.5, 0.8, 1.2, 0.6, 0.9, 1.3, 0.7, 1.0, 1.4, 9e5, 2e4, 9e3, 3e4]
+    rows = {"doc_id": pa.array(range(500), pa.int64()), "lang": ["en"] * 500, "lang_was": ["en"] * 500, "model": pa.array([4] * 500, pa.int32()), "packed": packed, "cuts": [cuts] * 500}
+    tracemalloc.start()
+    scored = quality_lm._score(pa.table(rows), found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert None not in scored.column("entropy").to_pylist()
+    assert peak < 250 * own.sizes.sum()
