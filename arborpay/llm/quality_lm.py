@@ -1,35 +1,46 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of words.
 
 The model of a language counts word n-grams over all trusted texts. Every trusted text belongs to a
-fold; a gram's row holds its count without each fold and over all of them, so that a trusted document is
+fold; a gram has a count without each fold and one over all of them, so that a trusted document is
 scored by a model that hasn't seen its fold and any other by the whole. Documents are gathered into
-blocks of bounded size; the distinct grams of a block are joined with the counts on a hash of the gram,
-so a block gets the counts of its own grams and no task holds a language's table. Counts lie in tables
-bucketed by that hash, which the join reads as they are; blocks are scored in waves, so only one wave's
-grams are shuffled at a time.
+blocks of bounded size and written once, as word ids. From the longest grams to single words, a block asks
+shards, each a range of hashed grams, for its distinct grams, and brings what its trusted texts count; the
+shard adds up and answers. So a block gets the counts of its own grams, no task holds a language's table,
+and no table of counts is written. Of each gram one block learns the counts of all models, and brings them to
+the shorter grams within it. Grams and counts travel as packed arrays, a row for a block and shard, in waves of
+shards, so only one wave's grams are shuffled at a time.
 """
 
 from __future__ import annotations
 
+import contextlib
+import functools
+import itertools
 import re
 import uuid
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arborpay.llm.common import BROADCAST_IDS, Workspace
 
 #: Words of a gram.
 WORDS = 3
-#: Characters of a block; characters a task counts before it gives counts out.
-BLOCK_CHARS, COUNT_CHARS = 8_000_000, 8_000_000
-#: Passes in which the blocks are scored; rows of counts to a bucket; buckets at most.
-WAVES, BUCKET_ROWS, MOST_BUCKETS = 8, 2_000_000, 4096
+#: Characters of a block; blocks that a task holds before it gives the largest out.
+BLOCK_CHARS, HELD_BLOCKS = 8_000_000, 4
+#: Waves of shards by words of a gram; characters to a shard of a wave; shards of a wave at least.
+WAVES, SHARD_CHARS, LEAST_SHARDS = (2, 4, 3), 48_000_000, 6
+#: Waves in which blocks are scored.
+SCORE_WAVES = 4
+#: Keys that are hashed at a time.
+STEP_ROWS = 1 << 14
 #: Bits of a word's id: two of n words share one with a probability of n**2 / 2**41.
 WORD_BITS = 40
 #: Share of the trusted documents of a language and length that its threshold keeps; width of a bin of cross-entropy, in nats.
@@ -43,35 +54,100 @@ TOKEN, UNSPACED = re.compile(r"\w+|[^\w\s]"), re.compile("([\u0e00-\u0eff\u1000-
 
 
 def tokens(text: str) -> list[str]:
-    if UNSPACED.search(text):
+    if not text.isascii() and UNSPACED.search(text):
         text = UNSPACED.sub(r" \1 ", text)
     return TOKEN.findall(text)
 
 
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _mixed(ids: np.ndarray) -> np.ndarray:
+    ids = ids * _P2
+    return ((ids << np.uint64(31)) | (ids >> np.uint64(33))) * _P1
+
+
+def _step(h: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of one more column, whose values went through _mixed."""
+    out = h + (_P5 + np.uint64(8))
+    high = np.empty(min(len(out), STEP_ROWS), np.uint64)
+    for at in range(0, len(out), STEP_ROWS):  # few enough to stay in a core's cache
+        x = out[at : at + STEP_ROWS]
+        t = high[: len(x)]
+        x ^= mixed[at : at + STEP_ROWS]
+        np.right_shift(x, np.uint64(37), out=t)
+        x <<= np.uint64(27)
+        x |= t
+        x *= _P1
+        x += _P4
+        for shift, factor in ((33, _P2), (29, _P3), (32, None)):
+            np.right_shift(x, np.uint64(shift), out=t)
+            x ^= t
+            if factor is not None:
+                x *= factor
+    return out
+
+
 def keys(grams: np.ndarray) -> np.ndarray:
     """Spark's xxhash64 of the columns of word ids of each row."""
-    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    turned = lambda x, k: (x << np.uint64(k)) | (x >> np.uint64(64 - k))
     h = np.full(len(grams), 42, np.uint64)
     for j in range(grams.shape[1]):
-        h = h + p5 + np.uint64(8)
-        h = turned(h ^ (turned(grams[:, j] * p2, 31) * p1), 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        h = h ^ (h >> np.uint64(32))
+        h = _step(h, _mixed(grams[:, j]))
     return h.view(np.int64)
 
 
+@functools.cache
+def _zstd():
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+
+
+def pack(arrays: Iterable[np.ndarray]) -> bytes:
+    """Arrays of booleans or whole numbers; bytes of equal weight lie together, so small numbers take little."""
+    head, body = [], []
+    for a in arrays:
+        if a.dtype == bool:
+            head += [0, 0, len(a)]
+            body.append(np.packbits(a).tobytes())
+            continue
+        negative = a.dtype.kind == "i" and len(a) > 0 and a.min() < 0
+        a = (a << 1) ^ (a >> 63) if negative else a
+        a = a.astype("<u8")
+        width = (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
+        head += [2 if negative else 1, width, len(a)]
+        body.append(a.view(np.uint8).reshape(-1, 8).T[:width].tobytes())
+    return _zstd()[0](b"".join([np.array([len(head), *head], "<i8").tobytes(), *body]))
+
+
+def unpack(blob: bytes) -> Iterator[np.ndarray]:
+    data = _zstd()[1](blob)
+    n = int.from_bytes(data[:8], "little")
+    at = 8 * (n + 1)
+    for kind, width, size in np.frombuffer(data, "<i8", n, 8).reshape(-1, 3).tolist():
+        took = width * size if kind else (size + 7) // 8
+        part = np.frombuffer(data, np.uint8, took, at)
+        at += took
+        if not kind:
+            yield np.unpackbits(part, count=size).astype(bool)
+            continue
+        wide = np.zeros((size, 8), np.uint8)
+        wide[:, :width] = part.reshape(width, size).T
+        a = wide.reshape(-1).view("<i8")
+        yield ((a >> 1) & (2**63 - 1)) ^ -(a & 1) if kind == 2 else a
+
+
 class Texts:
     """Some texts of a language as one run of word ids; each begins with WORDS - 1 marks. Ids of two languages differ."""
 
     def __init__(self, texts: list[str], lang: str):
-        place: dict[str, int] = {}
-        runs = []
+        place: dict[str, int] = defaultdict(itertools.count(1).__next__)
+        mark = np.zeros(WORDS - 1, np.int64)
+        runs, sizes = [], []
         for text in texts:
             own = tokens(text)
-            runs.append(np.fromiter((place.setdefault(w, len(place) + 1) for w in own), np.int64, len(own)))
-        self.sizes = np.array([len(r) for r in runs], np.int64)
+            sizes.append(len(own))
+            runs += [mark, np.fromiter(map(place.__getitem__, own), np.int64, len(own))]
         of = blake2b(lang.encode("utf-8", "surrogatepass") + b"\0", digest_size=WORD_BITS // 8)
 
         def hashed(word: str) -> int:
@@ -80,69 +156,75 @@ class Texts:
             return int.from_bytes(h.digest(), "little")
 
         ids = [int.from_bytes(of.digest(), "little")] + [hashed(w) for w in place]
-        self.ids = np.array(ids, np.uint64)
-        mark = np.zeros(WORDS - 1, np.int64)
-        self.flat = np.concatenate([x for r in runs for x in (mark, r)]) if runs else np.empty(0, np.int64)
-        self.text = np.repeat(np.arange(len(runs)), self.sizes + WORDS - 1)
-        self.codes = {}
-        code = self.flat
-        for n in range(1, WORDS + 1):
-            if n > 1:
-                # Numbers of shorter grams are dense, so this can't overflow.
-                code = np.unique(code, return_inverse=True)[1][: max(len(self.flat) - n + 1, 0)] * len(self.ids) + self.flat[n - 1 :]
-            self.codes[n] = code
+        self._hold(np.array(sizes, np.int64), np.concatenate(runs) if runs else np.empty(0, np.int64), np.array(ids, np.uint64))
+
+    def _hold(self, sizes: np.ndarray, flat: np.ndarray, ids: np.ndarray, mixed: np.ndarray | None = None) -> Texts:
+        self.sizes, self.flat, self.ids = sizes, flat, ids
+        self.text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + WORDS - 1)
+        self._keys: list[np.ndarray] = []
+        self._mixed = mixed
+        return self
+
+    def packed(self) -> bytes:
+        return pack([self.sizes, self.flat, self.ids])
+
+    @classmethod
+    def read(cls, blob: bytes) -> Texts:
+        sizes, flat, ids = unpack(blob)
+        return cls.__new__(cls)._hold(sizes, flat, ids.view(np.uint64))
+
+    def of(self, chosen: np.ndarray) -> Texts:
+        """Those texts alone."""
+        if chosen.all():
+            return self
+        if self._mixed is None:
+            self._mixed = _mixed(self.ids)
+        return Texts.__new__(Texts)._hold(self.sizes[chosen], self.flat[chosen[self.text]], self.ids, self._mixed)
 
     def starts(self, n: int) -> np.ndarray:
         """Where grams of n words begin that don't reach into the next text."""
         return np.flatnonzero(self.text[: max(len(self.text) - n + 1, 0)] == self.text[n - 1 :])
 
-    def rows(self, at: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([self.ids[self.flat[at + j]] for j in range(n)], axis=1) if n else np.empty((len(at), 0), np.uint64)
+    def key(self, n: int) -> np.ndarray:
+        """The key of the n words from each place on; what reaches into the next text is no gram."""
+        if self._mixed is None:
+            self._mixed = _mixed(self.ids)
+        while len(self._keys) < n:
+            k = len(self._keys)
+            before = self._keys[-1][: max(len(self.flat) - k, 0)] if k else np.full(len(self._mixed), 42, np.uint64)
+            self._keys.append(_step(before, self._mixed[self.flat[k:]]) if k else _step(before, self._mixed)[self.flat])
+        return self._keys[n - 1]
+
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted keys of distinct grams of n words, and a place of each."""
+        at = self.starts(n)
+        x = self.key(n)[at]
+        order = np.argsort(x)
+        x = x[order]
+        first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])[: len(x)])
+        return x[first], at[order[first]]
 
     def distinct(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct grams of n words as rows of ids, and how often they occur."""
         at = self.starts(n)
-        _, first, count = np.unique(self.codes[n][at], return_index=True, return_counts=True)
-        return self.rows(at[first], n), count
-
-
-_GRAM = ", ".join(f"w{k} long" for k in range(1, WORDS + 1))
+        _, first, count = np.unique(self.key(n)[at], return_index=True, return_counts=True)
+        return np.stack([self.ids[self.flat[at[first] + j]] for j in range(n)], axis=1), count
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, int], list[str]] = {}
-    size = 0
-
-    def out() -> Iterator[pa.RecordBatch]:
-        for (lang, fold), texts in held.items():
-            grams, n = Texts(texts, lang).distinct(WORDS)
-            for at in range(0, len(n), 200_000):
-                part, count = grams[at : at + 200_000].astype(np.int64), n[at : at + 200_000].astype(np.int64)
-                m = len(part)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array(np.full(m, fold, np.int32)), *[pa.array(np.ascontiguousarray(part[:, k])) for k in range(WORDS)], pa.array(count)], ["lang", "fold", *[f"w{k}" for k in range(1, WORDS + 1)], "n"])
-        held.clear()
-
-    for batch in batches:
-        for lang, fold, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if text:
-                held.setdefault((lang, fold), []).append(text)
-                size += len(text)
-                if size > COUNT_CHARS:
-                    yield from out()
-                    size = 0
-    yield from out()
+def _sorted_distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])[: len(x)]]
 
 
 class Bucketed:
-    """A table of rows by key, in buckets, so that joins on the key don't shuffle it."""
+    """A table of rows by block, in buckets, so that what is gathered by block doesn't shuffle it."""
 
     def __init__(self, ws: Workspace, name: str, buckets: int):
         self.ws, self.buckets = ws, buckets
         self.name, self.path = f"quality_{name}_{uuid.uuid4().hex}", ws.folder(name)
 
     def add(self, df: DataFrame) -> None:
-        """Append rows that are dealt by repartition(buckets, "key")."""
-        df.write.mode("append").option("compression", "zstd").option("path", self.path).bucketBy(self.buckets, "key").saveAsTable(self.name)
+        df.write.mode("append").option("compression", "none").option("path", self.path).bucketBy(self.buckets, "block").saveAsTable(self.name)
 
     def read(self) -> DataFrame:
         return self.ws.spark.table(self.name)
@@ -152,180 +234,376 @@ class Bucketed:
         self.ws.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def count_words(ws: Workspace, trusted: DataFrame) -> tuple[Bucketed, Bucketed, DataFrame]:
-    """What scoring looks up, from trusted texts (lang, fold, text).
-
-    grams (key, c0, c1, ...): the counts of grams of one to WORDS words. contexts (key, t0, x0, y0, z0, t1, ...):
-    how often a context of one word or more goes on, and with how many words seen once, twice and more
-    often. A number at the end names a model: one without each fold, and the last over all of them. cuts (lang,
-    cuts): by model the size of the vocabulary, the discounts of each order, and the row of the empty context.
-    """
-    models = range(FOLDS + 1)
-    columns = [f"c{m}" for m in models]
-    raw = trusted.select("lang", "fold", "text").mapInArrow(_count_words, f"lang string, fold int, {_GRAM}, n long")
-    words = [f"w{k}" for k in range(1, WORDS + 1)]
-    sums = raw.groupBy("lang", *words).agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"f{f}") for f in range(FOLDS)])
-    by_order = {WORDS: ws.table(sums.select("lang", *words, *[(F.col("n") - F.col(f"f{f}")).alias(f"c{f}") for f in range(FOLDS)], F.col("n").alias(f"c{FOLDS}")), f"grams{WORDS}", codec="zstd")}
-    ws.settle()
-    for n in range(WORDS - 1, 0, -1):  # in how many ways a shorter gram goes on to the left
-        shorter = by_order[n + 1].groupBy("lang", *[F.col(f"w{k + 1}").alias(f"w{k}") for k in range(1, n + 1)])
-        by_order[n] = ws.table(shorter.agg(*[F.count_if(F.col(c) > 0).alias(c) for c in columns]), f"grams{n}", codec="zstd")
-        ws.settle()
-    rows = by_order[WORDS].count()
-    buckets = int(min(MOST_BUCKETS, max(8, -(-3 * rows // (2 * BUCKET_ROWS)))))
-    goes_on = [f(F.col(f"c{m}")).alias(f"{name}{m}") for m in models for name, f in (("t", F.sum), ("x", lambda c: F.count_if(c == 1)), ("y", lambda c: F.count_if(c == 2)), ("z", lambda c: F.count_if(c > 2)))]
-    cuts = None
-    for n in range(1, WORDS + 1):
-        of = by_order[n].groupBy("lang").agg(*[F.count_if(F.col(f"c{m}") == k).alias(f"n{k}_{m}") for m in models for k in (1, 2, 3, 4)], *[(F.count_if(F.col(f"c{m}") > 0) + 1).alias(f"v{m}") for m in models], *(goes_on if n == 1 else []))
-
-        def cut(m: int, k: int):
-            once, twice, own, more = (F.col(f"n{j}_{m}") for j in (1, 2, k, k + 1))
-            y = once / F.greatest(once + 2 * twice, F.lit(1))
-            return F.greatest(F.lit(0.05), F.least(F.lit(k - 0.05), k - (k + 1) * y * more / F.greatest(own, F.lit(1))))
-
-        empty = [F.array(*[F.col(f"{c}{m}").cast("double") for c in "txyz"]).alias(f"empty{m}") for m in models] if n == 1 else []
-        of = of.select("lang", F.array(*[F.array(*([F.col(f"v{m}").cast("double")] if n == 1 else []), *[cut(m, k) for k in (1, 2, 3)]) for m in models]).alias(f"cuts{n}"), *empty)
-        cuts = of if cuts is None else cuts.join(F.broadcast(of), "lang")  # one row per language
-    cuts = cuts.select("lang", F.array(*[F.concat(*[F.col(f"cuts{n}")[m] for n in range(1, WORDS + 1)], F.col(f"empty{m}")) for m in models]).alias("cuts"))
-    cuts = ws.table(cuts, "cuts")
-    grams, contexts = Bucketed(ws, "counts", buckets), Bucketed(ws, "contexts", buckets)
-    for n in range(WORDS, 0, -1):
-        if n > 1:
-            contexts.add(by_order[n].select(F.xxhash64(*words[: n - 1]).alias("key"), *columns).repartition(buckets, "key").groupBy("key").agg(*goes_on))
-            ws.settle()
-        grams.add(by_order[n].select(F.xxhash64(*words[:n]).alias("key"), *columns).repartition(buckets, "key"))
-        ws.drop(f"grams{n}")
-        ws.settle()
-    return grams, contexts, cuts
-
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents as word ids: so many characters of one language in one partition."""
+    held: dict[tuple[str, str | None], list] = {}
+    size: dict[tuple[str, str | None], int] = {}
+    next_block = TaskContext.get().partitionId() << 32
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packs texts and names the block of each: so many characters of one language and model in one partition."""
-    import zstandard
+    def out(own: tuple[str, str | None]) -> pa.RecordBatch:
+        nonlocal next_block
+        ids, models, texts = zip(*held.pop(own), strict=True)
+        chars = [len(t) for t in texts]
+        row = {"block": next_block, "lang": own[0], "lang_was": own[1], "chars": size.pop(own), "doc_id": list(ids), "model": list(models), "n_chars": chars, "words": Texts(list(texts), own[0]).packed()}
+        next_block += 1
+        return pa.RecordBatch.from_pylist([row], _BLOCK)
 
-    pack = zstandard.ZstdCompressor(level=9).compress
-    next_block = TaskContext.get().partitionId() << 32
-    open_blocks: dict[tuple[str, int], list[int]] = {}
     for batch in batches:
-        for at in range(0, len(batch), 512):
-            part = batch.slice(at, 512)
-            texts = part.column("text").to_pylist()
-            blocks = []
-            for lang, model, text in zip(part.column("lang").to_pylist(), part.column("model").to_pylist(), texts, strict=True):
-                own = open_blocks.get((lang, model))
-                if own is None or own[1] > BLOCK_CHARS:
-                    own = open_blocks[lang, model] = [next_block, 0]
-                    next_block += 1
-                own[1] += len(text or "") + 1
-                blocks.append(own[0])
-            packed = pa.array([None if t is None else pack(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "lang", "lang_was", "model")), pa.array(blocks, pa.int64()), packed], ["doc_id", "lang", "lang_was", "model", "block", "packed"])
-
-
-def _unpacked(column: list) -> list[str]:
-    import zstandard
-
-    unpack = zstandard.ZstdDecompressor().decompress
-    return ["" if p is None else unpack(p).decode("utf-8", "surrogatepass") for p in column]
+        for doc_id, lang, lang_was, model, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lang", "lang_was", "model", "text")), strict=True):
+            own = (lang, lang_was)
+            held.setdefault(own, []).append((doc_id, model, text or ""))
+            size[own] = size.get(own, 0) + len(text or "") + 1
+            if size[own] > BLOCK_CHARS:
+                yield out(own)
+            elif sum(size.values()) > HELD_BLOCKS * BLOCK_CHARS:
+                yield out(max(size, key=size.__getitem__))
+    for own in list(held):
+        yield out(own)
 
 
-def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct grams of each block; of one whose rows are read apart, some more than once."""
-    held: dict[tuple[str, int, int], list[str]] = {}
-    size = 0
+_BLOCK = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("lang_was", pa.string()), ("chars", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("model", pa.list_(pa.int32())), ("n_chars", pa.list_(pa.int64())), ("words", pa.binary())])
+_BLOCK_DDL = "block long, lang string, lang_was string, chars long, doc_id array<long>, model array<int>, n_chars array<long>, words binary"
+_ASKED = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("lang", pa.string()), ("asked", pa.binary())])
+_ASKED_DDL = "shard int, block long, lang string, asked binary"
+_ANSWER = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("lang", pa.string()), ("found", pa.binary()), ("owned", pa.binary()), ("stats", pa.list_(pa.int64()))])
+_ANSWER_DDL = "shard int, block long, lang string, found binary, owned binary, stats array<long>"
 
-    def out() -> Iterator[pa.RecordBatch]:
-        for (lang, model, block), texts in held.items():
-            own = Texts(texts, lang)
-            asked = np.concatenate([keys(own.distinct(n)[0]) for n in range(1, WORDS + 1)])
-            for at in range(0, len(asked), 200_000):
-                part = asked[at : at + 200_000]
-                m = len(part)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, model, np.int32)), pa.array(np.full(m, block, np.int64)), pa.array(part)], ["model", "block", "key"])
-        held.clear()
 
-    for batch in batches:
-        for lang, model, block, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "model", "block")), _unpacked(batch.column("packed").to_pylist()), strict=True):
-            if text:
-                held.setdefault((lang, model, block), []).append(text)
-                size += len(text)
-                if size > 2 * BLOCK_CHARS:
-                    yield from out()
-                    size = 0
-    yield from out()
+def _parts(words: bytes, models: list[int]) -> dict[int, Texts]:
+    """The texts of a block by model."""
+    own, model = Texts.read(words), np.array(models)
+    return {int(m): own.of(model == m) for m in np.unique(model)}
 
 
-def logprobs(own: Texts, key: np.ndarray, columns: list[np.ndarray], cuts: list[float]) -> np.ndarray:
-    """Of each word of some texts, given the WORDS - 1 before it: counts are looked up, absent ones are 0.
+def _told_apart(counts: np.ndarray, fold: int | np.ndarray) -> np.ndarray:
+    """Counts by model to what they differ in, mostly 0, and back: of other folds from the whole; what a fold's own model has, others brought."""
+    for m in range(FOLDS):
+        counts[m] = np.where(fold == m, counts[m], counts[FOLDS] - counts[m])
+    return counts
 
-    ``columns`` hold the counts c, t, x, y, z of each key. They are read one at a time, so a block's counts
-    aren't all held for each of its words.
-    """
-    order = np.argsort(key)
-    key = key[order]
 
-    def find(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where a key's counts are, and whether it has any."""
-        place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-        return order[place], key[place] == wanted
+def _brought(known: np.ndarray, own: Texts, n: int, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """By model, what grams of n + 1 words at these places, with these counts by model, bring to known keys of n words.
 
-    def counts(column: int, at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        return np.where(at[1], columns[column][at[0]], 0).astype(float)
+    c: in how many ways a gram goes on to the left; x, y, z: with how many words seen once, twice and more
+    often it goes on to the right, u: how often with words not seen once.
+    """
+    out = np.zeros((FOLDS + 1, 5, len(known)), np.int64)
+    if not len(known):
+        return out
+    for begins in (1, 0):
+        x = own.key(n)[at + begins]
+        here = (x >= known[0]) & (x <= known[-1])
+        place = np.searchsorted(known, x[here])
+        for m in range(FOLDS + 1):
+            c = counts[m][here]
+            if begins:
+                out[m, 0] = np.bincount(place[c > 0], minlength=len(known))
+                continue
+            out[m, 1] = np.bincount(place, np.where(c != 1, c, 0), len(known))
+            for k, such in ((2, c == 1), (3, c == 2), (4, c > 2)):
+                out[m, k] = np.bincount(place[such], minlength=len(known))
+    return out
+
+
+def _asks(parts: dict[int, Texts], n: int, shards: range, of: int, grown: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, bytes]]:
+    """What a block asks each of some shards: the distinct grams of n words of each model, and what trusted texts bring to them.
+
+    A shard has a range of keys. ``grown`` has places and counts of the grams of n + 1 words by model, where n < WORDS.
+    """
+    edges = np.array([((k << 32) + of - 1) // of << 32 for k in shards], np.uint64)
+    last = np.uint64(((shards.stop << 32) + of - 1) // of * 2**32 - 1)
+    asked = []
+    for m, own in sorted(parts.items()):
+        x = own.key(n)[own.starts(n)]
+        x = x[(x >= edges[0]) & (x <= last)]
+        brought = np.empty((0, 0), np.int64)
+        if m < FOLDS and n == WORDS:
+            x, count = np.unique(x, return_counts=True)
+            brought = count[None]
+        else:
+            x = _sorted_distinct(x)
+            if m < FOLDS:
+                brought = _told_apart(_brought(x, own, n, *grown[m]), m).reshape(5 * (FOLDS + 1), len(x))
+        asked.append((m, x, [*np.searchsorted(x, edges).tolist(), len(x)], brought))
+    for k, shard in enumerate(shards):
+        here = [(m, x[ends[k] : ends[k + 1]], brought[:, ends[k] : ends[k + 1]]) for m, x, ends, brought in asked if ends[k] < ends[k + 1]]
+        if here:
+            trusted = [brought for m, _, brought in here if m < FOLDS]
+            arrays = [np.array([m for m, _, _ in here]), np.array([len(x) for _, x, _ in here]), np.diff(np.concatenate([x for _, x, _ in here]), prepend=np.uint64(0))]
+            if trusted:
+                columns = np.concatenate(trusted, axis=1)
+                arrays += [some := columns.any(axis=0), *columns[:, some]]
+            yield shard, pack(arrays)
+
+
+def _asked(rows: list[tuple[int, str, int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(x), f.type) for x, f in zip(zip(*rows, strict=True), _ASKED, strict=True)] if rows else [pa.array([], f.type) for f in _ASKED], schema=_ASKED)
+
+
+def _ask_longest(shards: range, of: int) -> Callable:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                row = {c: batch.column(c)[k].as_py() for c in ("block", "lang", "model", "words")}
+                yield _asked([(s, row["block"], row["lang"], b) for s, b in _asks(_parts(row["words"], row["model"]), WORDS, shards, of, {})])
+
+    return ask
+
+
+def _collected(rows: pa.Table, column: str) -> dict[int, list[np.ndarray]]:
+    """Answers to a block by model, in the order of its sorted keys: which have one, and counts of those."""
+    parts: dict[int, list[list[np.ndarray]]] = {}
+    for blob in rows.sort_by("shard").column(column).drop_null():
+        models, sizes, mask, *counts = unpack(blob.as_py())
+        ends = np.cumsum(sizes)
+        upto = np.concatenate([[0], np.cumsum(mask)])
+        for m, a, b in zip(models.tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True):
+            parts.setdefault(m, []).append([mask[a:b], *(c[upto[a] : upto[b]] for c in counts)])
+    return {m: [np.concatenate(x) for x in zip(*own, strict=True)] for m, own in parts.items()}
+
+
+def _ask_shorter(n: int, shards: range, of: int) -> Callable:
+    def ask(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        owned = _collected(answers, "owned")
+        rows = []
+        for row in blocks.to_pylist():
+            parts, grown = _parts(row["words"], row["model"]), {}
+            for m, own in parts.items():
+                if m < FOLDS:
+                    _, at = own.grams(n + 1)
+                    mine, *counts = owned.get(m, [np.zeros(len(at), bool), *[np.empty(0, np.int64)] * (FOLDS + 1)])
+                    grown[m] = at[mine], _told_apart(np.array(counts), m)
+            rows += [(s, row["block"], row["lang"], b) for s, b in _asks(parts, n, shards, of, grown)]
+        return pa.Table.from_batches([_asked(rows)])
+
+    return ask
+
+
+def _answer(n: int) -> Callable:
+    """Adds up what trusted texts bring to the grams of a shard, and answers each block with the counts of its models.
+
+    The first trusted texts that have a gram own it: they alone bring it to shorter grams, and get its counts of all models.
+    """
 
+    def of_language(lang: str, asks: list[tuple[int, int, bytes]]) -> Iterator[tuple]:
+        read, some, brought = [], [], []
+        for shard, block, blob in asks:
+            models, sizes, x, *more = unpack(blob)
+            read.append((shard, block, models, sizes, np.cumsum(x.view(np.uint64), dtype=np.uint64)))
+            some.append(np.concatenate([*more[:1], np.zeros(len(x) - len(more[0]) if more else len(x), bool)]))
+            if more:
+                brought.append(np.array(more[1:]))
+        x, model, some = np.concatenate([r[4] for r in read]), np.concatenate([np.repeat(r[2], r[3]) for r in read]), np.concatenate(some)
+        known = _sorted_distinct(x[some])
+        place = np.minimum(np.searchsorted(known, x), max(len(known) - 1, 0))
+        sums, owns = np.zeros((FOLDS + 1, 1 if n == WORDS else 5, len(known)), np.int64), np.zeros(len(x), bool)
+        found, own_counts = owns, sums[:, 0]
+        if len(known):
+            at, fold, counts = place[some], model[some], np.concatenate(brought, axis=1)
+            add = lambda c, at: np.bincount(at, c, len(known)).astype(np.int64)
+            if n == WORDS:
+                sums[FOLDS, 0] = add(counts[0], at)
+                for m in range(FOLDS):  # without each fold
+                    sums[m, 0] = sums[FOLDS, 0] - add(counts[0][fold == m], at[fold == m])
+            else:
+                counts = _told_apart(counts.reshape(FOLDS + 1, 5, -1), fold)
+                for m, k in np.ndindex(*sums.shape[:2]):
+                    sums[m, k] = add(counts[m, k], at)
+            first = np.empty(len(known), np.int64)
+            first[at[::-1]] = np.arange(len(at))[::-1]  # of a place given more than once, the last stays
+            owns[some] = first[at] == np.arange(len(at))
+            stats = np.zeros((WORDS, FOLDS + 1, 6), np.int64)
+            for m in range(FOLDS + 1):
+                c = sums[m, 0]
+                stats[n - 1, m] = [*((c == k).sum() for k in (1, 2, 3, 4)), (c > 0).sum(), c.sum()]
+            yield None, None, lang, None, None, stats.reshape(-1).tolist()
+            found = (known[place] == x) & sums.any(axis=1)[model, place]
+            own_counts = _told_apart(sums[:, 0, place[owns]], model[owns])
+        counts = sums[model[found], :, place[found]].T
+        upto, own_upto = np.concatenate([[0], np.cumsum(found)]), np.concatenate([[0], np.cumsum(owns)])
+        end = 0
+        for shard, block, models, sizes, _ in read:
+            begin, end = end, end + int(sizes.sum())
+            answer = pack([models, sizes, found[begin:end], *counts[:, upto[begin] : upto[end]]])
+            trusted = models < FOLDS
+            middle = begin + int(sizes[trusted].sum())  # they come first
+            owned = pack([models[trusted], sizes[trusted], owns[begin:middle], *own_counts[:, own_upto[begin] : own_upto[middle]]]) if n > 1 and trusted.any() else None
+            yield shard, block, lang, answer, owned, None
+
+    def answer(asked: pa.Table) -> pa.Table:
+        by_lang: dict[str, list[tuple[int, int, bytes]]] = {}
+        for row in asked.to_pylist():
+            by_lang.setdefault(row["lang"], []).append((row["shard"], row["block"], row["asked"]))
+        rows = [row for lang, asks in by_lang.items() for row in of_language(lang, asks)]
+        return pa.table([pa.array(list(x), f.type) for x, f in zip(zip(*rows, strict=True), _ANSWER, strict=True)], schema=_ANSWER)
+
+    return answer
+
+
+def discounts(stats: list[int]) -> list[list[float]]:
+    """By model the size of the vocabulary, the discounts of each order, and how often the empty context goes on, and with how many words seen once, twice and more often."""
+    by_order = np.array(stats, float).reshape(WORDS, FOLDS + 1, 6)
+    out = []
+    for m in range(FOLDS + 1):
+        once, twice, _, _, some, all_ = by_order[0, m]
+        own = [some + 1]
+        for s in by_order[:, m]:
+            y = s[0] / max(s[0] + 2 * s[1], 1)
+            own += [max(0.05, min(k - 0.05, k - (k + 1) * y * s[k] / max(s[k - 1], 1))) for k in (1, 2, 3)]
+        out.append([*own, all_, once, twice, some - once - twice])
+    return out
+
+
+def logprobs(own: Texts, places: list[np.ndarray], counts: list[list[np.ndarray]], cuts: list[float]) -> np.ndarray:
+    """Of each word of some texts, given the WORDS - 1 before it.
+
+    For grams of 1, 2, ... words, ``places`` has the row of counts of the gram that begins at each place,
+    and ``counts`` the columns c, t, x, y, z of those rows; the row after the last is that of grams without any.
+    """
     first = own.starts(WORDS)
     p = np.full(len(first), 1 / cuts[0])
     for n in range(1, WORDS + 1):
         cut = np.array([0.0, *cuts[3 * n - 2 : 3 * n + 1]])
-        at = first + WORDS - n
-        c = counts(0, find(keys(own.rows(at, n)))) if len(key) else np.zeros(len(at))
+        c = np.append(counts[n - 1][0], 0).astype(float)
+        c -= cut[np.minimum(c, 3).astype(int)]
         if n == 1:
-            goes_on, left = np.full(len(at), cuts[-4]), np.full(len(at), np.array(cuts[-3:]) @ cut[1:])
-        elif len(key):
-            ctx = find(keys(own.rows(at, n - 1)))
-            goes_on, left = counts(1, ctx), sum(counts(k + 1, ctx) * cut[k] for k in (1, 2, 3))
+            goes_on, left = np.array([cuts[-4]]), np.array([np.array(cuts[-3:]) @ cut[1:]])
+            context = np.zeros(len(first), np.int8)
         else:
-            goes_on = left = np.zeros(len(at))
+            goes_on = np.append(counts[n - 2][1], 0).astype(float)
+            left = sum(np.append(counts[n - 2][k + 1], 0).astype(float) * cut[k] for k in (1, 2, 3))
+            context = places[n - 2][first + WORDS - n]
         total = np.maximum(goes_on, 1)
-        here = (c - cut[np.minimum(c, 3).astype(int)]) / total + left / total * p
-        p = np.where(goes_on > 0, here, p)
+        here = c[places[n - 1][first + WORDS - n]] / total[context] + (left / total)[context] * p
+        p = np.where((goes_on > 0)[context], here, p)
     return np.log(p)
 
 
+def entropies(own: Texts, places: list[np.ndarray], counts: list[list[np.ndarray]], cuts: list[float] | None) -> list[float | None]:
+    """Of each text, in nats per word; none without words, or where the language has no trusted text."""
+    if not cuts or not cuts[-4]:
+        return [None] * len(own.sizes)
+    lost = -logprobs(own, places, counts, cuts)
+    sums = np.bincount(own.text[own.starts(WORDS)], lost, minlength=len(own.sizes))
+    return [float(s / n) if n else None for s, n in zip(sums, own.sizes, strict=True)]
+
+
+def _answered(own: Texts, n: int, here: np.ndarray) -> np.ndarray:
+    """The row of the answer to the gram of n words at each place; here: which of its sorted distinct grams have one."""
+    out = np.full(len(own.key(n)), here.sum(), np.int32)
+    at = own.starts(n)
+    x = own.key(n)[at]
+    order = np.argsort(x)
+    x = x[order]
+    gram = np.cumsum(np.concatenate([[False], x[1:] != x[:-1]])[: len(x)])
+    out[at[order]] = np.where(here, np.cumsum(here) - 1, here.sum()).astype(np.int32)[gram]
+    return out
+
+
 def _score(docs: pa.Table, found: pa.Table) -> pa.Table:
-    texts = _unpacked(docs.column("packed").to_pylist())
-    entropy: list[float | None] = [None] * len(texts)
-    cuts = docs.column("cuts")[0].as_py()
-    if cuts and cuts[-4]:
-        own = Texts(texts, docs.column("lang")[0].as_py())
-        lost = -logprobs(own, found.column("key").to_numpy(), [found.column(c).to_numpy() for c in "ctxyz"], cuts)
-        sums = np.bincount(own.text[own.starts(WORDS)], lost, minlength=len(texts))
-        entropy = [float(s / n) if n else None for s, n in zip(sums, own.sizes, strict=True)]
+    """Documents of one language and model, packed one by one, by the counts of a table of keys."""
+    import zstandard
+
+    unpack_text = zstandard.ZstdDecompressor().decompress
+    texts = ["" if p is None else unpack_text(p).decode("utf-8", "surrogatepass") for p in docs.column("packed").to_pylist()]
+    own = Texts(texts, docs.column("lang")[0].as_py())
+    key, columns = found.column("key").to_numpy().view(np.uint64), [found.column(c).to_numpy() for c in "ctxyz"]
+    places, counts = [], []
+    for n in range(1, WORDS + 1):
+        grams, _ = own.grams(n)
+        here = np.isin(grams, key)
+        order = np.argsort(key)
+        row = order[np.searchsorted(key, grams[here], sorter=order)]
+        places.append(_answered(own, n, here))
+        counts.append([c[row] for c in columns])
+    entropy = entropies(own, places, counts, docs.column("cuts")[0].as_py())
     return pa.table({"doc_id": docs.column("doc_id"), "lang": docs.column("lang_was"), "n_chars": pa.array([len(t) for t in texts], pa.int64()), "trusted": pa.array(docs.column("model").to_numpy() < FOLDS), "entropy": pa.array(entropy, pa.float64())})
 
 
+_SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("trusted", pa.bool_()), ("entropy", pa.float64())])
+
+
+def _score_block(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+    """Entropies of a block's documents, each by its own model."""
+    order = answers.column("n")
+    found = {n: _collected(answers.filter(pa.compute.equal(order, n)), "found") for n in range(1, WORDS + 1)}
+    out = []
+    for row in blocks.to_pylist():
+        model, entropy = np.array(row["model"]), np.full(len(row["model"]), None, object)
+        for m, own in _parts(row["words"], row["model"]).items():
+            places, counts = [], []
+            for n in range(1, WORDS + 1):
+                here, *columns = found[n].get(m, [np.zeros(len(own.grams(n)[0]), bool), *[np.empty(0, np.int64)] * 5])
+                places.append(_answered(own, n, here))
+                if 1 < len(columns) and n < WORDS:
+                    columns[1] = columns[1] + columns[2]
+                counts.append(columns)
+            entropy[model == m] = entropies(own, places, counts, row["cuts"] and row["cuts"][m])
+        out.append(pa.table([pa.array(row["doc_id"], pa.int64()), pa.array([row["lang_was"]] * len(model), pa.string()), pa.array(row["n_chars"], pa.int64()), pa.array(model < FOLDS), pa.array(entropy.tolist(), pa.float64())], schema=_SCORED))
+    return pa.concat_tables(out) if out else _SCORED.empty_table()
+
+
+def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cuts = [discounts(s) for s in batch.column("stats").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(cuts, pa.list_(pa.list_(pa.float64())))], ["lang", "cuts"])
+
+
+@contextlib.contextmanager
+def _freed_at_once(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile a write's shuffle files go when it has ended, not when the driver finds them forgotten."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def perplexities(ws: Workspace, docs: DataFrame) -> DataFrame:
     """(doc_id, lang, n_chars, trusted, entropy) of each document: nats per word, null where nothing can be said.
 
     ``docs`` has doc_id, lang, lang_was, model and text; the model is the fold of a trusted document, FOLDS of any other.
     """
+    with _freed_at_once(ws.spark):
+        return _perplexities(ws, docs)
+
+
+def _perplexities(ws: Workspace, docs: DataFrame) -> DataFrame:
     spark = ws.spark
-    grams, contexts, cuts = count_words(ws, docs.where(F.col("model") < FOLDS).withColumnRenamed("model", "fold"))
-    blocks = docs.select("doc_id", "lang", "lang_was", "model", "text").mapInArrow(_blocks, "doc_id long, lang string, lang_was string, model int, block long, packed binary")
-    dealt = ws.table(blocks.withColumn("wave", F.pmod(F.xxhash64("block"), F.lit(WAVES)).cast("int")), "blocks", partition_by=("wave",))
-    path = ws.folder("scored")
-    schema = "doc_id long, lang string, n_chars long, trusted boolean, entropy double"
-    picked = [F.coalesce(F.element_at(F.array(*[f"{c}{m}" for m in range(FOLDS + 1)]), F.col("model") + 1), F.lit(0)).cast("int").alias(c) for c in "ctxyz"]
-    for wave in range(WAVES):
-        own = dealt.where(F.col("wave") == wave).drop("wave")
-        asked = own.mapInArrow(_ask, "model int, block long, key long")
-        answers = asked.join(grams.read(), "key", "left").join(contexts.read(), "key", "left").select("block", "key", *picked).where("c > 0 or t > 0")
-        with_cuts = own.join(F.broadcast(cuts), "lang", "left").withColumn("cuts", F.col("cuts")[F.col("model")])  # one row per language
-        scored = with_cuts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, schema)
-        scored.write.parquet(f"{path}/wave={wave}")
+    texts = Bucketed(ws, "texts", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    texts.add(docs.select("doc_id", "lang", "lang_was", "model", "text").mapInArrow(_gather, _BLOCK_DDL))
+    ws.settle()
+    shards = max(LEAST_SHARDS, -(-(texts.read().agg(F.sum("chars")).first()[0] or 0) // SHARD_CHARS))
+    blocks = texts.read().select("block", "lang", "model", "words")
+    answers: dict[int, DataFrame] = {}
+    for n in range(WORDS, 0, -1):
+        path = ws.folder(f"answers{n}")
+        waves = WAVES[n - 1]
+        for wave in range(waves):
+            own = range(wave * shards, (wave + 1) * shards)
+            if n == WORDS:
+                asked = blocks.mapInArrow(_ask_longest(own, waves * shards), _ASKED_DDL)
+            else:
+                owned = answers[n + 1].where("owned is not null").select("shard", "block", "owned")
+                asked = blocks.groupBy("block").cogroup(owned.groupBy("block")).applyInArrow(_ask_shorter(n, own, waves * shards), _ASKED_DDL)
+            asked.groupBy("shard").applyInArrow(_answer(n), _ANSWER_DDL).write.option("compression", "none").parquet(f"{path}/wave={wave}")
+            ws.settle()
+        answers[n] = spark.read.schema(f"{_ANSWER_DDL}, wave int").parquet(path)
+    stats = functools.reduce(DataFrame.unionAll, [a.where("stats is not null").select("lang", "stats") for a in answers.values()])
+    sums = stats.groupBy("lang").agg(F.array(*[F.sum(F.col("stats")[k]) for k in range(WORDS * (FOLDS + 1) * 6)]).alias("stats"))
+    cuts = ws.table(sums.mapInArrow(_cuts, "lang string, cuts array<array<double>>"), "cuts")
+    found = functools.reduce(DataFrame.unionAll, [a.where("block is not null").select(F.lit(n).alias("n"), "shard", "block", "found") for n, a in answers.items()])
+    with_cuts = texts.read().join(F.broadcast(cuts), "lang", "left")  # one row per language
+    path, schema = ws.folder("scored"), "doc_id long, lang string, n_chars long, trusted boolean, entropy double"
+    for wave in range(SCORE_WAVES):
+        own, to_own = (df.where(F.pmod(F.xxhash64("block"), F.lit(SCORE_WAVES)) == wave) for df in (with_cuts, found))
+        own.groupBy("block").cogroup(to_own.groupBy("block")).applyInArrow(_score_block, schema).write.parquet(f"{path}/wave={wave}")
         ws.settle()
-    for table in (grams, contexts):
-        table.forget()
-    ws.drop("blocks", "counts", "contexts")
+    texts.forget()
+    ws.drop("texts", *[f"answers{n}" for n in answers])
     return spark.read.schema(f"{schema}, wave int").parquet(path).drop("wave")
 
 

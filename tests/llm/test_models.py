@@ -555,3 +555,31 @@ def test_scoring_a_block_holds_few_bytes_a_word():
     tracemalloc.stop()
     assert None not in scored.column("entropy").to_pylist()
     assert peak < 250 * own.sizes.sum()
+
+
+def test_quality_shuffles_packed_blocks_not_grams(spark):
+    """A row goes out for a block and shard, not for each gram; entropies of several blocks stay those of the definition."""
+    rng = np.random.default_rng(12)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 300) if k < 4000) for _ in range(60)]
+    rows = [(i, "en", "en", i % 6 if i % 6 < quality_lm.FOLDS else quality_lm.FOLDS, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, lang_was string, model int, text string").repartition(3)
+
+    def stages():
+        sc = spark.sparkContext
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return {s.stageId(): s.shuffleWriteRecords() for s in sc._jvm.scala.jdk.javaapi.CollectionConverters.asJava(sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList()))}
+
+    before = stages()
+    got = {r["doc_id"]: r["entropy"] for r in quality_lm.perplexities(Workspace(spark, "packed"), df).collect()}
+    shuffled = sum(n for i, n in stages().items() if i not in before)
+    brute = {m: BruteKneserNey([t.split() for *_, f, t in rows if f not in (m, quality_lm.FOLDS)], quality_lm.WORDS) for m in range(quality_lm.FOLDS + 1)}
+    for i, *_, m, text in rows:
+        assert got[i] == pytest.approx(brute[m].entropy(text.split()))
+    assert shuffled < sum(len(t.split()) for t in texts) / 4
+
+
+@pytest.mark.parametrize("array", [[], [0, 0, 0], [1, 255, 256, 2**40], [-1, 5, -(2**62)], [True, False, True]])
+def test_packed_arrays_come_back(array):
+    a = np.array(array, bool if array and array[0] is True else np.int64)
+    (got,) = quality_lm.unpack(quality_lm.pack([a]))
+    assert got.tolist() == a.tolist()
