@@ -173,13 +173,12 @@ class Texts:
         sizes, flat, ids = unpack(blob)
         return cls.__new__(cls)._hold(sizes, flat, ids.view(np.uint64))
 
-    def of(self, chosen: np.ndarray) -> Texts:
-        """Those texts alone."""
-        if chosen.all():
-            return self
+    def of(self, begin: int, end: int) -> Texts:
+        """Some texts in a row alone."""
         if self._mixed is None:
             self._mixed = _mixed(self.ids)
-        return Texts.__new__(Texts)._hold(self.sizes[chosen], self.flat[chosen[self.text]], self.ids, self._mixed)
+        ends = np.concatenate([[0], np.cumsum(self.sizes + WORDS - 1)])
+        return Texts.__new__(Texts)._hold(self.sizes[begin:end], self.flat[ends[begin] : ends[end]], self.ids, self._mixed)
 
     def starts(self, n: int) -> np.ndarray:
         """Where grams of n words begin that don't reach into the next text."""
@@ -191,10 +190,25 @@ class Texts:
             self._mixed = _mixed(self.ids)
         while len(self._keys) < n:
             k = len(self._keys)
-            before = self._keys[-1][: max(len(self.flat) - k, 0)] if k else np.full(len(self._mixed), 42, np.uint64)
-            self._keys.append(_step(before, self._mixed[self.flat[k:]]) if k else _step(before, self._mixed)[self.flat])
+            if k:
+                self._keys.append(_step(self._keys[-1][: max(len(self.flat) - k, 0)], self._mixed[self.flat[k:]]))
+            else:
+                self._keys.append(self._words()[self.flat])
         return self._keys[n - 1]
 
+    def _words(self) -> np.ndarray:
+        if self._mixed is None:
+            self._mixed = _mixed(self.ids)
+        return _step(np.full(len(self._mixed), 42, np.uint64), self._mixed)
+
+    def found_keys(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of grams of n words, and the place of each; of a word the number of the word, once."""
+        if n == 1:
+            at = np.flatnonzero(np.bincount(self.flat, minlength=len(self.ids)))
+            return self._words()[at], at
+        at = self.starts(n)
+        return self.key(n)[at], at
+
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """The sorted keys of distinct grams of n words, and a place of each."""
         at = self.starts(n)
@@ -242,7 +256,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out(own: tuple[str, str | None]) -> pa.RecordBatch:
         nonlocal next_block
-        ids, models, texts = zip(*held.pop(own), strict=True)
+        ids, models, texts = zip(*sorted(held.pop(own), key=lambda row: row[1]), strict=True)
         chars = [len(t) for t in texts]
         row = {"block": next_block, "lang": own[0], "lang_was": own[1], "chars": size.pop(own), "doc_id": list(ids), "model": list(models), "n_chars": chars, "words": Texts(list(texts), own[0]).packed()}
         next_block += 1
@@ -270,9 +284,9 @@ _ANSWER_DDL = "shard int, block long, lang string, found binary, owned binary, s
 
 
 def _parts(words: bytes, models: list[int]) -> dict[int, Texts]:
-    """The texts of a block by model."""
+    """The texts of a block by model; they are in its order."""
     own, model = Texts.read(words), np.array(models)
-    return {int(m): own.of(model == m) for m in np.unique(model)}
+    return {int(m): own.of(*np.searchsorted(model, [m, m + 1])) for m in np.unique(model)}
 
 
 def _told_apart(counts: np.ndarray, fold: int | np.ndarray) -> np.ndarray:
@@ -315,7 +329,7 @@ def _asks(parts: dict[int, Texts], n: int, shards: range, of: int, grown: dict[i
     last = np.uint64(((shards.stop << 32) + of - 1) // of * 2**32 - 1)
     asked = []
     for m, own in sorted(parts.items()):
-        x = own.key(n)[own.starts(n)]
+        x, _ = own.found_keys(n)
         x = x[(x >= edges[0]) & (x <= last)]
         brought = np.empty((0, 0), np.int64)
         if m < FOLDS and n == WORDS:
@@ -491,14 +505,14 @@ def entropies(own: Texts, places: list[np.ndarray], counts: list[list[np.ndarray
 
 def _answered(own: Texts, n: int, here: np.ndarray) -> np.ndarray:
     """The row of the answer to the gram of n words at each place; here: which of its sorted distinct grams have one."""
-    out = np.full(len(own.key(n)), here.sum(), np.int32)
-    at = own.starts(n)
-    x = own.key(n)[at]
+    x, at = own.found_keys(n)
     order = np.argsort(x)
     x = x[order]
     gram = np.cumsum(np.concatenate([[False], x[1:] != x[:-1]])[: len(x)])
-    out[at[order]] = np.where(here, np.cumsum(here) - 1, here.sum()).astype(np.int32)[gram]
-    return out
+    row = np.where(here, np.cumsum(here) - 1, here.sum()).astype(np.int32)[gram]
+    out = np.full(len(own.ids) if n == 1 else len(own.flat), here.sum(), np.int32)
+    out[at[order]] = row
+    return out[own.flat] if n == 1 else out
 
 
 def _score(docs: pa.Table, found: pa.Table) -> pa.Table:
@@ -534,7 +548,7 @@ def _score_block(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         for m, own in _parts(row["words"], row["model"]).items():
             places, counts = [], []
             for n in range(1, WORDS + 1):
-                here, *columns = found[n].get(m, [np.zeros(len(own.grams(n)[0]), bool), *[np.empty(0, np.int64)] * 5])
+                here, *columns = found[n][m] if m in found[n] else [np.zeros(len(own.grams(n)[0]), bool), *[np.empty(0, np.int64)] * 5]
                 places.append(_answered(own, n, here))
                 if 1 < len(columns) and n < WORDS:
                     columns[1] = columns[1] + columns[2]
